@@ -88,14 +88,16 @@ def generate_replies(requests: DataFrame, client_factory: Callable[[], Callable[
 def resolve_attempts(ledger: DataFrame, max_attempts: int = 3) -> DataFrame:
     """From an attempt ledger ``(request_id, attempt, ok, reply, error)``
     pick the first successful non-empty reply within ``max_attempts``; else
-    the request failed with the error of its last counted attempt. One hash
+    the request failed with the error of its last counted attempt (an empty
+    reply counts as the error ``empty reply``, as a retry cause). One hash
     aggregation with map-side partial aggregation (hot requests are fine)."""
     within = ledger.where(F.col("attempt") <= F.lit(max_attempts))
     stripped = py_strip(F.col("reply"))
     good = F.col("ok") & stripped.isNotNull() & (stripped != F.lit(""))
+    err = F.coalesce(F.col("error"), F.when(F.col("ok") & ~good, F.lit("empty reply")))
     agg = within.groupBy("request_id").agg(
         F.min(F.when(good, F.struct(F.col("attempt"), stripped.alias("reply")))).alias("_ok"),
-        F.max(F.struct(F.col("attempt"), F.col("error"))).alias("_last"),
+        F.max(F.struct(F.col("attempt"), err.alias("error"))).alias("_last"),
         F.max("attempt").alias("_n"))
     done = F.col("_ok").isNotNull()
     return agg.select(

@@ -27,24 +27,25 @@ from pyspark.sql import functions as F
 
 def running_total(df: DataFrame, value: Column, order: Sequence[str],
                   bucket: Sequence[str], before: str = "before",
-                  total: str | None = None) -> DataFrame:
+                  total: str | None = None, group: Sequence[str] = ()) -> DataFrame:
     """Add ``before`` = sum of ``value`` over all rows strictly earlier in
-    (bucket, order) order. ``bucket`` columns must sort consistently with
-    ``order`` (bucket is a coarsening of the order). With ``total`` set,
-    also add the grand total of ``value``."""
-    bucket = list(bucket)
-    order = list(order)
-    parted = df.withColumn("_rt_v", value.cast("bigint")).repartition(*bucket)
-    inside = Window.partitionBy(*bucket).orderBy(*order).rowsBetween(
+    (bucket, order) order, restarted for every ``group`` value. ``bucket``
+    columns must sort consistently with ``order`` (a bucket is a coarsening
+    of the order). With ``total`` set, also add the group's total."""
+    group, bucket, order = list(group), list(bucket), list(order)
+    keys = group + bucket
+    parted = df.withColumn("_rt_v", value.cast("bigint")).repartition(*keys)
+    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     ranked = parted.withColumn("_rt_in", F.sum("_rt_v").over(inside))
-    totals = parted.groupBy(*bucket).agg(F.sum("_rt_v").alias("_rt_bt"))
-    prior = Window.orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
+    totals = parted.groupBy(*keys).agg(F.sum("_rt_v").alias("_rt_bt"))
+    prior = Window.partitionBy(*group).orderBy(*bucket).rowsBetween(
+        Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *bucket,
+        *keys,
         F.coalesce(F.sum("_rt_bt").over(prior), F.lit(0)).alias("_rt_off"),
-        *([F.sum("_rt_bt").over(Window.partitionBy()).alias(total)] if total else []))
-    out = ranked.join(offsets, on=bucket, how="inner")
+        *([F.sum("_rt_bt").over(Window.partitionBy(*group)).alias(total)] if total else []))
+    out = ranked.join(offsets, on=keys, how="inner")
     return out.withColumn(before, F.col("_rt_off") + F.col("_rt_in") - F.col("_rt_v")).drop(
         "_rt_v", "_rt_in", "_rt_off")
 
@@ -53,3 +54,29 @@ def dense_position(df: DataFrame, order: Sequence[str], bucket: Sequence[str],
                    name: str) -> DataFrame:
     """0-based dense position of every row in the global order."""
     return running_total(df, F.lit(1), order, bucket, before=name)
+
+
+def global_index(df: DataFrame, order: Sequence, name: str) -> DataFrame:
+    """0-based position of every row in an arbitrary global order whose
+    keys are unique together, for orders with no natural bounded bucket
+    (e.g. a vocabulary by count desc, token).
+
+    Spark's range-partitioned sort balances the partitions from a sample;
+    the sorted table is written with ``checkpoint()`` to the shared
+    checkpoint folder so the partition contents are fixed; each row gets
+    ``monotonically_increasing_id`` (partition id in the high bits, row in
+    the partition below); per-partition counts (one row per partition)
+    give the offsets."""
+    from talkmill.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    fixed = df.orderBy(*order).checkpoint(eager=True)
+    mid = fixed.withColumn("_gi_mid", F.monotonically_increasing_id())
+    mid = mid.withColumn("_gi_part", F.shiftright("_gi_mid", 33)).withColumn(
+        "_gi_pos", F.col("_gi_mid") - F.shiftleft(F.col("_gi_part"), 33))
+    counts = mid.groupBy("_gi_part").agg(F.count(F.lit(1)).alias("_gi_n"))
+    prior = Window.orderBy("_gi_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_gi_part", F.coalesce(F.sum("_gi_n").over(prior), F.lit(0))
+                            .alias("_gi_off"))
+    out = mid.join(offsets, on="_gi_part", how="inner")
+    return out.withColumn(name, (F.col("_gi_off") + F.col("_gi_pos")).cast("bigint")).drop(
+        "_gi_mid", "_gi_part", "_gi_pos", "_gi_off")

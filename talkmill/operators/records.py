@@ -66,9 +66,12 @@ def attach_replies(requests: DataFrame, replies: DataFrame) -> DataFrame:
 
 
 def pair_context(conversations: DataFrame, chunks: DataFrame,
-                 keys: Sequence[str] = ("sample_index", "chunk_index")) -> DataFrame:
-    """D3: attach the raw context to each dialogue by equi-join on its key."""
-    return conversations.join(chunks.select(*keys, "context"), on=list(keys), how="inner")
+                 keys: Sequence[str] = ("sample_index", "chunk_index"),
+                 cols: Sequence[str] = ("context",)) -> DataFrame:
+    """D3: attach the raw context (or other chunk columns) to each dialogue
+    by equi-join on the context key. Both sides are hash-partitioned on the
+    key; a context has at most one row per style, so no key is hot."""
+    return conversations.join(chunks.select(*keys, *cols), on=list(keys), how="inner")
 
 
 def pending_only(requests: DataFrame, done: DataFrame, key: str = "request_id") -> DataFrame:

@@ -79,7 +79,11 @@ DEPS = {"samples": [], "chunks": ["samples"], "styles": [], "fanout": ["chunks",
         "dry": ["fanout"], "classified": ["dry"], "kept": ["classified"]}
 
 
-def with_(*names: str, extra: dict[str, str] | None = None) -> str:
+def with_(*names: str, extra: dict[str, str] | None = None,
+          override: dict[str, str] | None = None, first: dict[str, str] | None = None) -> str:
+    """WITH clause holding the named CTEs and their dependencies.
+    ``override`` replaces a CTE body, ``first`` adds CTEs before them and
+    ``extra`` after them."""
     need: set[str] = set()
 
     def add(n: str) -> None:
@@ -90,7 +94,9 @@ def with_(*names: str, extra: dict[str, str] | None = None) -> str:
             add(d)
     for n in names:
         add(n)
-    parts = [f"{n} AS ({CTES[n]})" for n in ORDER if n in need]
+    body = {**CTES, **(override or {})}
+    parts = [f"{k} AS ({v})" for k, v in (first or {}).items()]
+    parts += [f"{n} AS ({body[n]})" for n in ORDER if n in need]
     for k, v in (extra or {}).items():
         parts.append(f"{k} AS ({v})")
     return "WITH " + ",\n".join(parts) + "\n" if parts else ""

@@ -215,11 +215,18 @@ def a7(spark, sf):
     return r.select("request_id", "prompt_style", "payload")
 
 
+def _load() -> None:
+    import talkmill.plans.queries_tables  # noqa: F401  (registers part 2)
+    import talkmill.streaming.incremental  # noqa: F401  (registers J1, J2)
+
+
 def all_queries() -> dict[str, Query]:
+    _load()
     return {k: v[0] for k, v in REGISTRY.items()}
 
 
 def all_sql() -> dict[str, str]:
+    _load()
     return {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
 
 

@@ -54,7 +54,7 @@ def attempt_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "view", F.lit("  "))
         .otherwise(F.col("props")).alias("reply"),
         F.when(F.col("event_type") == "error",
-               F.concat(F.lit("call failed at "), F.col("ts").cast("string")))
+               F.concat(F.lit("call failed at event "), F.col("event_id").cast("string")))
         .alias("error"))
 
 
