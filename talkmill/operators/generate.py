@@ -19,13 +19,48 @@ from talkmill.functions.text import first_line, py_strip
 REPLY_SCHEMA = "request_id STRING, reply STRING, status STRING, attempts INT, error STRING"
 
 
+def dry_run_snippet(context="context"):
+    """First line of the stripped context, cut to 200 characters."""
+    return F.substring(first_line(py_strip(F.col(context))), 1, DRY_RUN_SNIPPET_CHARS)
+
+
+def dry_run_prefix(instruction: str) -> str:
+    """Reply text before the snippet, for one instruction."""
+    return DRY_RUN_TAG + instruction[:DRY_RUN_INSTRUCTION_CHARS] + DRY_RUN_SNIPPET_SEP
+
+
 def dry_run_reply(instruction="instruction", context="context"):
     """Placeholder reply built from the instruction head and the first
     line of the stripped context (JVM expression, no model call)."""
-    snippet = F.substring(first_line(py_strip(F.col(context))), 1, DRY_RUN_SNIPPET_CHARS)
     return F.concat(F.lit(DRY_RUN_TAG),
                     F.substring(F.col(instruction), 1, DRY_RUN_INSTRUCTION_CHARS),
-                    F.lit(DRY_RUN_SNIPPET_SEP), snippet)
+                    F.lit(DRY_RUN_SNIPPET_SEP), dry_run_snippet(context))
+
+
+def dry_run_fanout(chunks: DataFrame, styles, context: str = "context") -> DataFrame:
+    """E1 fused with the D1 fan-out: the snippet and its token count are
+    computed once per chunk, before the x-styles fan-out; each style adds
+    its literal prefix and the prefix's token count (folded at planning).
+
+    The counts add up exactly: every prefix ends with ':' followed by one
+    space, and the lexer never joins a symbol run with the space after it,
+    so tokens(prefix + snippet) = tokens(prefix minus the space) +
+    tokens(' ' + snippet)."""
+    from talkmill.functions.text import count_tokens
+    per_chunk = chunks.withColumn("_snip", dry_run_snippet(context)).withColumn(
+        "_snip_tok", count_tokens(F.concat(F.lit(" "), F.col("_snip"))))
+    entries = []
+    for i, s in enumerate(styles):
+        head = dry_run_prefix(s.instruction)
+        assert head.endswith(": "), "dry-run prefix must end with ': '"
+        entries.append(F.struct(
+            F.lit(i).alias("prompt_ord"), F.lit(s.name).alias("prompt_style"),
+            F.lit(s.instruction).alias("instruction"), F.lit(head).alias("_head"),
+            count_tokens(F.lit(head[:-1])).alias("_head_tok")))
+    fan = per_chunk.select("*", F.inline(F.array(*entries)))
+    return (fan.withColumn("conversation", F.concat(F.col("_head"), F.col("_snip")))
+            .withColumn("_reply_tok", F.col("_head_tok") + F.col("_snip_tok"))
+            .drop("_head", "_snip", "_head_tok", "_snip_tok"))
 
 
 def _call_with_retries(client, request: dict, max_attempts: int, backoff: float,

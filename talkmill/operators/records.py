@@ -30,14 +30,17 @@ def filter_chain(df: DataFrame, predicates: Sequence[tuple[str, Column]]) -> Dat
 
 
 def classify_replies(df: DataFrame, reply_col: str = "conversation", min_tokens: int = 50,
-                     extra: Sequence[tuple[str, Column]] = ()) -> DataFrame:
+                     extra: Sequence[tuple[str, Column]] = (),
+                     tokens: Column | None = None) -> DataFrame:
     """B6 + B3 + B4: ``status`` in (failed, empty, filtered, kept).
 
     A reply that is null or only whitespace is ``empty`` (B6); a failed
     call keeps its ``failed`` status (E5); otherwise the filter chain
-    decides between ``kept`` and ``filtered``."""
+    decides between ``kept`` and ``filtered``. ``tokens`` may supply the
+    reply's token count when the caller already knows it."""
     stripped = py_strip(F.col(reply_col))
-    out = df.withColumn("conversation_tokens", count_tokens(F.col(reply_col)).cast("int"))
+    n_tok = tokens if tokens is not None else count_tokens(F.col(reply_col))
+    out = df.withColumn("conversation_tokens", n_tok.cast("int"))
     out = filter_chain(out, [min_token_filter(min_tokens)] + list(extra))
     failed = F.col("status") == F.lit("failed") if "status" in df.columns else F.lit(False)
     status = (F.when(failed, F.lit("failed"))

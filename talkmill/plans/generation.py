@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from talkmill.functions.styles import Style, select_styles
 from talkmill.operators.chunking import ChunkConfig, chunk_windows
 from talkmill.operators.fanout import RequestConfig, build_requests, prompt_fanout
-from talkmill.operators.generate import dry_run_reply, generate_replies
+from talkmill.operators.generate import dry_run_fanout, generate_replies
 from talkmill.operators.records import (attach_replies, classify_replies,
                                         conversation_record, run_stats)
 from talkmill.sources.corpus import DEFAULT_BLOCK_ROWS, max_samples, samples
@@ -59,9 +59,10 @@ def fanout_table(spark: SparkSession, path: str, cfg: GenerationConfig) -> DataF
 def dry_run_table(spark: SparkSession, path: str, cfg: GenerationConfig | None = None) -> DataFrame:
     """Chunk x style rows with the E1 reply, token count and status."""
     cfg = cfg or GenerationConfig()
-    f = fanout_table(spark, path, cfg)
-    f = f.withColumn("conversation", dry_run_reply())
-    return classify_replies(f, "conversation", cfg.min_conversation_tokens)
+    f = dry_run_fanout(chunk_table(spark, path, cfg), cfg.styles())
+    out = classify_replies(f, "conversation", cfg.min_conversation_tokens,
+                           tokens=F.col("_reply_tok"))
+    return out.drop("_reply_tok")
 
 
 def kept_conversations(classified: DataFrame, created_at=None) -> DataFrame:

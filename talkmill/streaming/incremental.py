@@ -20,8 +20,7 @@ from pyspark.sql import functions as F
 
 from talkmill.functions.styles import Style, select_styles
 from talkmill.operators.chunking import ChunkConfig, chunk_windows
-from talkmill.operators.fanout import prompt_fanout
-from talkmill.operators.generate import dry_run_reply
+from talkmill.operators.generate import dry_run_fanout
 from talkmill.operators.records import ISO_UTC, classify_replies, run_stats
 from talkmill.plans import oracle as o
 from talkmill.plans.queries import register
@@ -44,9 +43,9 @@ def stream_dialogues(spark: SparkSession, source: str, text: str = "text",
         F.col("_metadata.file_path").alias(SOURCE_FILE),
         F.col("_metadata.row_index").alias(SOURCE_ROW), text)
     chunks = chunk_windows(rows, text, chunk or ChunkConfig(), keep=list(STREAM_KEY))
-    fan = prompt_fanout(chunks, list(styles) if styles is not None else select_styles())
-    return classify_replies(fan.withColumn("conversation", dry_run_reply()), "conversation",
-                            min_tokens)
+    fan = dry_run_fanout(chunks, list(styles) if styles is not None else select_styles())
+    return classify_replies(fan, "conversation", min_tokens,
+                            tokens=F.col("_reply_tok")).drop("_reply_tok")
 
 
 def incremental_run(spark: SparkSession, source: str, out_path: str, checkpoint: str,
