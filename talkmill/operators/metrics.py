@@ -114,41 +114,60 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
                  _r(F.corr("_rx", "_ry")).alias("spearman"))
 
 
-def _ngram_counts(df: DataFrame, key: Sequence[str], text: str, n_max: int,
-                  side: str) -> DataFrame:
-    w = df.select(*key, words(text).alias("_w"))
-    grams = w.select(*key, F.explode(F.sequence(F.lit(1), F.lit(n_max))).alias("n"), "_w")
-    grams = grams.select(*key, "n", F.explode(F.when(
-        F.size("_w") >= F.col("n"),
-        F.transform(F.sequence(F.lit(1), F.size("_w") - F.col("n") + 1),
-                    lambda i: F.array_join(F.slice("_w", i, F.col("n")), " ")))
-        .otherwise(F.array().cast("array<string>"))).alias("gram"))
-    return grams.groupBy(*key, "n", "gram").agg(F.count(F.lit(1)).cast("bigint").alias(side))
+def _gram_structs(words: Column, n_max: int, src: Column) -> Column:
+    """ARRAY<STRUCT<n, gram, src>> of all n-grams (n = 1..n_max) of a word list."""
+    per_n = F.transform(F.sequence(F.lit(1), F.lit(n_max)), lambda n: F.when(
+        F.size(words) >= n,
+        F.transform(F.sequence(F.lit(1), F.size(words) - n + 1),
+                    lambda i: F.struct(n.alias("n"), F.array_join(F.slice(words, i, n), " ")
+                                       .alias("gram"), src.alias("src"))))
+        .otherwise(F.array()))
+    return F.flatten(per_n)
 
 
 def overlap_counts(df: DataFrame, key: Sequence[str], hyp: str, ref: str,
-                   group: str, n_max: int = 4) -> DataFrame:
-    """Clipped n-gram matches per (group, n): sum over rows and grams of
-    least(count_hyp, count_ref), with the hypothesis and reference totals.
-
-    Grams are counted per row (map-side partial aggregation), the two
-    sides meet by a join on (row key, n, gram), and the result collapses to
-    a (group, n) table. ``ref`` texts repeated across rows (one context,
-    seven styles) are counted once per distinct row key."""
-    key = list(key)
-    h = _ngram_counts(df, key + [group], hyp, n_max, "c_hyp")
-    refs = df.select(*key, ref).dropDuplicates(key)
-    r = _ngram_counts(refs, key, ref, n_max, "c_ref")
-    matched = h.join(r, on=key + ["n", "gram"], how="left").select(
-        group, "n", "c_hyp", F.least("c_hyp", F.coalesce("c_ref", F.lit(0))).alias("c_match"))
-    hyp_tot = matched.groupBy(group, "n").agg(F.sum("c_match").alias("matches"),
-                                              F.sum("c_hyp").alias("hyp_grams"))
-    # reference totals: each context once per group it appears in
-    pairs = df.select(*key, group).distinct()
-    ref_len = r.groupBy(*key, "n").agg(F.sum("c_ref").alias("_rl"))
-    ref_tot = pairs.join(ref_len, on=key, how="inner").groupBy(group, "n").agg(
-        F.sum("_rl").alias("ref_grams"))
-    out = hyp_tot.join(ref_tot, on=[group, "n"], how="full")
+                   group: str, groups: Sequence[str], n_max: int = 4) -> DataFrame:
+    """Clipped n-gram matches per (group, n): the sum over rows and grams of
+    least(count in hypothesis, count in reference), with the hypothesis and
+    reference n-gram totals.
+
+    Plan: (1) one row per context key with its reference once and its
+    hypotheses as a list — a group holds one context's styles, and the
+    map-side partial aggregation folds the repeated reference before the
+    shuffle; (2) all grams of that row are generated in place; (3) the
+    count by (key, n, gram) needs no second shuffle, because the data is
+    already hash-partitioned by key; (4) only a (n)-level table moves to
+    the final sum. Totals ride along in the same pass: a bit mask of the
+    styles present in a context says which reference grams count towards
+    which style. Assumes one hypothesis per (key, group)."""
+    key, groups = list(key), list(groups)
+    gidx = F.lit(-1)
+    for i, g in reversed(list(enumerate(groups))):
+        gidx = F.when(F.col(group) == F.lit(g), F.lit(i)).otherwise(gidx)
+    ctx = df.select(*key, ref, gidx.alias("_g"), hyp).where(F.col("_g") >= 0).groupBy(*key).agg(
+        F.any_value(ref).alias("_ref"),
+        F.collect_list(F.struct(F.col("_g").alias("g"), F.col(hyp).alias("h"))).alias("_hyps"))
+    ctx = ctx.select(*key, words("_ref").alias("_rw"), F.transform(
+        "_hyps", lambda x: F.struct(x["g"].alias("g"), words(x["h"]).alias("w"))).alias("_hw"))
+    grams = F.concat(_gram_structs(F.col("_rw"), n_max, F.lit(-1)),
+                     F.flatten(F.transform("_hw", lambda x: _gram_structs(x["w"], n_max, x["g"]))))
+    mask = F.aggregate("_hw", F.lit(0).cast("bigint"),
+                       lambda acc, x: acc.bitwiseOR(F.pow(F.lit(2), x["g"]).cast("bigint")))
+    exploded = ctx.select(*key, mask.alias("_mask"), F.inline(grams))
+    counted = exploded.groupBy(*key, "_mask", "n", "gram").agg(
+        F.sum((F.col("src") == -1).cast("int")).alias("_r"),
+        *[F.sum((F.col("src") == i).cast("int")).alias(f"_c{i}") for i in range(len(groups))])
+
+    def has(i: int) -> Column:
+        return F.shiftright(F.col("_mask"), i).bitwiseAND(F.lit(1))
+    per_n = counted.groupBy("n").agg(*[x for i in range(len(groups)) for x in (
+        F.sum(F.least(F.col(f"_c{i}"), F.col("_r"))).alias(f"_m{i}"),
+        F.sum(f"_c{i}").alias(f"_h{i}"),
+        F.sum(F.col("_r") * has(i)).alias(f"_t{i}"))])
+    out = per_n.select("n", F.inline(F.array(*[
+        F.struct(F.lit(g).alias(group), F.col(f"_m{i}").alias("matches"),
+                 F.col(f"_h{i}").alias("hyp_grams"), F.col(f"_t{i}").alias("ref_grams"))
+        for i, g in enumerate(groups)])))
     return out.select(group, F.col("n").cast("int").alias("n"),
                       *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
                         for c in ("matches", "hyp_grams", "ref_grams")])

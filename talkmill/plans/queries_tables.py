@@ -320,7 +320,8 @@ def _bleu_sql() -> str:
 
 def _counts(spark, sf):
     k = kept_dialogues(spark, sf)
-    return M.overlap_counts(k, CTX, "conversation", "context", "prompt_style")
+    from talkmill.functions.styles import STYLE_NAMES
+    return M.overlap_counts(k, CTX, "conversation", "context", "prompt_style", STYLE_NAMES)
 
 
 @register("f9_bleu", _bleu_sql())
