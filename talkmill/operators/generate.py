@@ -79,6 +79,16 @@ def _call_with_retries(client, request: dict, max_attempts: int, backoff: float,
     return None, "failed", max_attempts, f"{type(last_error).__name__}: {last_error}"
 
 
+def _ship_package() -> None:
+    """Pickle this package's functions by value so Python workers need not
+    import it (a job may run from any folder; on a cluster ``--py-files``
+    is the usual way)."""
+    from pyspark import cloudpickle
+
+    import talkmill
+    cloudpickle.register_pickle_by_value(talkmill)
+
+
 def generate_replies(requests: DataFrame, client_factory: Callable[[], Callable[[dict], str]],
                      max_attempts: int = 3, backoff_seconds: float = 2.0,
                      in_flight: int = 10, partitions: int | None = None,
@@ -97,6 +107,7 @@ def generate_replies(requests: DataFrame, client_factory: Callable[[], Callable[
     second use."""
     if max_attempts < 1:
         raise ValueError("max_attempts must be at least 1.")
+    _ship_package()
     slim = requests.select("request_id", "payload")
     if partitions:
         slim = slim.repartition(partitions, "request_id")

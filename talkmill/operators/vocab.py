@@ -29,18 +29,20 @@ def build_vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
 def encode_ids(df: DataFrame, vocab: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Text -> ``ids ARRAY<BIGINT>`` in token order (unknown pieces are
     dropped; a vocabulary built on the same text has them all)."""
-    ex = df.select(key, F.posexplode(tokenize(text)).alias("pos", "token"))
-    j = ex.join(vocab.select("token", "id"), on="token", how="inner")
-    g = j.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_p"))
-    return g.select(key, F.transform("_p", lambda p: p["id"]).alias("ids"))
+    ex = df.select(key, F.posexplode(tokenize(text)).alias("_pos", "_tok"))
+    v = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_vid"))
+    j = ex.join(v, on="_tok", how="inner")
+    g = j.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", "_vid"))).alias("_p"))
+    return g.select(key, F.transform("_p", lambda p: p["_vid"]).alias("ids"))
 
 
 def decode_ids(df: DataFrame, vocab: DataFrame, key: str, ids: str = "ids") -> DataFrame:
     """Id list -> text (concatenation of the pieces; lossless)."""
-    ex = df.select(key, F.posexplode(ids).alias("pos", "id"))
-    j = ex.join(vocab.select("token", "id"), on="id", how="inner")
-    g = j.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("_p"))
-    return g.select(key, F.array_join(F.transform("_p", lambda p: p["token"]), "").alias("text"))
+    ex = df.select(key, F.posexplode(ids).alias("_pos", "_vid"))
+    v = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_vid"))
+    j = ex.join(v, on="_vid", how="inner")
+    g = j.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", "_tok"))).alias("_p"))
+    return g.select(key, F.array_join(F.transform("_p", lambda p: p["_tok"]), "").alias("text"))
 
 
 def normalize_tokens(col: str | Column) -> Column:
