@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from talkmill.functions.hashing import hash_bucket, hash_order
 from talkmill.operators.prefix import running_total
 
-DEFAULT_BITS = 10
+DEFAULT_BITS = 16  # 65,536 uniform buckets: ~N/65536 rows per window task
 
 
 def _budget(b) -> Column:
@@ -59,14 +59,22 @@ def balance_1to1(a: DataFrame, b: DataFrame, n_tok: str, key_a: str | Column,
 
 
 def epochs(df: DataFrame, n_tok: str, key: str, e, seed: int | str = 0,
-           group: Sequence[str] = (), bits: int = DEFAULT_BITS) -> DataFrame:
+           group: Sequence[str] = (), bits: int = DEFAULT_BITS,
+           group_total: Column | None = None) -> DataFrame:
     """Repeat every row ``ceil(e)`` times (``copy_no`` 0..); the last
     copy of a fractional ``e`` keeps, in hash order, rows while tokens
     before < frac(e) x total tokens (of the group). ``e`` may be a number
-    or a Column constant within each group; e = 0 keeps nothing."""
+    or a Column constant within each group; e = 0 keeps nothing.
+
+    With ``group`` the group totals come from ``group_total`` when the
+    caller has them on every row (``blend``), else from a per-group
+    aggregate joined back (AQE broadcasts it: one row per group)."""
     group = list(group)
     e_col = _budget(e).cast("double")
-    if group:
+    if group and group_total is not None:
+        base = df.withColumn("_gt", group_total)
+        gtot = F.col("_gt")
+    elif group:
         totals = df.groupBy(*group).agg(F.sum(n_tok).cast("bigint").alias("_gt"))
         base = df.join(totals, on=group, how="inner")
         gtot = F.col("_gt")
@@ -92,17 +100,20 @@ def blend(df: DataFrame, n_tok: str, key: str, source: str, shares: Mapping[str,
           target_tokens, seed: int | str = 0, bits: int = DEFAULT_BITS) -> DataFrame:
     """A mix of ``target_tokens`` tokens where each source gets its
     normalised share whatever its size: epochs_s = quota_s / size_s, then
-    G4 per source. Shares are a literal map (no join); sources without a
-    share are left out."""
+    G4 per source. Shares are a literal map; source sizes are one scalar
+    subquery returning a map with one entry per listed source (its size is
+    bounded by the share list), so no row is joined on the (possibly very
+    skewed) source key. Sources without a share are left out."""
     total_share = float(sum(shares.values()))
     if total_share <= 0:
         raise ValueError("shares must add up to a positive number")
     weights = {k: float(v) / total_share for k, v in shares.items()}
     wmap = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(v))])
     sized = df.where(F.col(source).isin(list(weights)))
-    sizes = sized.groupBy(source).agg(F.sum(n_tok).cast("bigint").alias("_size"))
-    sized = sized.join(sizes, on=source, how="inner")
+    sizes = sized.groupBy(source).agg(F.sum(n_tok).cast("bigint").alias("_s")).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(source), F.col("_s"))))).scalar()
+    sized = sized.withColumn("_size", F.element_at(sizes, F.col(source)))
     e = (_budget(target_tokens) * F.element_at(wmap, F.col(source))) / F.col("_size")
     out = epochs(sized.withColumn("_es", e), n_tok, key, F.col("_es"), seed, group=[source],
-                 bits=bits)
+                 bits=bits, group_total=F.col("_size"))
     return out.drop("_es", "_size")

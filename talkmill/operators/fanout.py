@@ -15,7 +15,7 @@ from talkmill.functions.text import count_tokens, py_strip
 
 @dataclass(frozen=True)
 class RequestConfig:
-    model: str = "deepseek-r1"
+    model: str = "chat-model"
     temperature: float = 1.0
     top_p: float = 0.9
     max_output_tokens: int = 2048

@@ -205,7 +205,7 @@ def _request_sql() -> str:
     return (o.with_("fanout") +
             "SELECT sha256(concat_ws(chr(1), CAST(sample_index AS VARCHAR), CAST(chunk_index AS VARCHAR), "
             "CAST(prompt_ord AS VARCHAR), prompt_style)) AS request_id, prompt_style, "
-            "CAST(to_json({'model': 'deepseek-r1', 'temperature': 1.0, 'top_p': 0.9, "
+            f"CAST(to_json({{'model': '{RequestConfig().model}', 'temperature': 1.0, 'top_p': 0.9, "
             f"'max_tokens': 2048, 'messages': {msgs}}}) AS VARCHAR) AS payload FROM fanout")
 
 
