@@ -64,9 +64,15 @@ def g1(spark, sf):
 @register("h1_all_conversations",
           o.with_("kept") + "SELECT sample_index, chunk_index, prompt_style, conversation_tokens FROM kept")
 def h1(spark, sf):
-    k = kept_dialogues(spark, sf).select(*CTX, "prompt_style", "conversation_tokens")
+    """Per-style tables as they are stored after generation (one partition
+    folder per style), read one by one (partition pruning) and unioned."""
     from talkmill.functions.styles import STYLE_NAMES
-    return all_conversations([k.where(F.col("prompt_style") == s) for s in STYLE_NAMES])
+    base = f"{checkpoint_dir(spark).rstrip('/')}/by-style-{uuid.uuid4().hex}"
+    (kept_dialogues(spark, sf).select(*CTX, "prompt_style", "conversation_tokens")
+     .write.partitionBy("prompt_style").parquet(base))
+    stored = spark.read.parquet(base)
+    return all_conversations([stored.where(F.col("prompt_style") == s) for s in STYLE_NAMES]) \
+        .select(*CTX, "prompt_style", "conversation_tokens")
 
 
 @register("h2_concat_context",
