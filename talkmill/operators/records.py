@@ -15,6 +15,13 @@ RECORD_COLUMNS = ("sample_index", "chunk_index", "prompt_style", "context", "con
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
+def utc_now_iso() -> Column:
+    """Current time as ISO-8601 UTC with microseconds and ``+00:00``,
+    whatever the session time zone."""
+    utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+
+
 def min_token_filter(min_tokens: int = 50, col: str = "conversation_tokens") -> tuple[str, Column]:
     """Accept when the reply has at least ``min_tokens`` tokens."""
     return ("min_tokens", F.col(col) >= F.lit(min_tokens))
@@ -54,8 +61,7 @@ def conversation_record(df: DataFrame, created_at: Column | None = None) -> Data
     """The six-column output record. ``context`` is the un-stripped
     window; ``created_at`` is an ISO-8601 UTC string with microseconds
     (one value per query / micro-batch)."""
-    stamp = created_at if created_at is not None else F.date_format(
-        F.current_timestamp(), ISO_UTC)
+    stamp = created_at if created_at is not None else utc_now_iso()
     return df.select(F.col("sample_index").cast("bigint"), F.col("chunk_index").cast("int"),
                      "prompt_style", "context", "conversation", stamp.alias("created_at"))
 

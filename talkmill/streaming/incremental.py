@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from talkmill.functions.styles import Style, select_styles
 from talkmill.operators.chunking import ChunkConfig, chunk_windows
 from talkmill.operators.generate import dry_run_fanout
-from talkmill.operators.records import ISO_UTC, classify_replies, run_stats
+from talkmill.operators.records import classify_replies, run_stats, utc_now_iso
 from talkmill.plans import oracle as o
 from talkmill.plans.queries import register
 from talkmill.session import checkpoint_dir
@@ -56,7 +56,7 @@ def incremental_run(spark: SparkSession, source: str, out_path: str, checkpoint:
     d = stream_dialogues(spark, source, **kw).where(F.col("status") == "kept")
     rec = d.select(*STREAM_KEY, "chunk_index", "prompt_style", "context", "conversation",
                    "conversation_tokens",
-                   F.date_format(F.current_timestamp(), ISO_UTC).alias("created_at"))
+                   utc_now_iso().alias("created_at"))
     q = (rec.writeStream.format("parquet").option("path", out_path)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()

@@ -35,3 +35,22 @@ def test_attach_and_pending(spark):
     out = {r.request_id: r.status for r in attach_replies(req, rep).collect()}
     assert out == {"a": "ok", "b": "missing"}
     assert [r.request_id for r in pending_only(req, rep).collect()] == ["b"]
+
+
+def test_created_at_is_utc_iso(spark):
+    import re
+    from datetime import datetime, timezone
+
+    from talkmill.operators.records import conversation_record
+    df = spark.createDataFrame([(0, 1, "debate", "c", "x")],
+                               "sample_index BIGINT, chunk_index INT, prompt_style STRING, "
+                               "context STRING, conversation STRING")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        stamp = conversation_record(df).first().created_at
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}\+00:00", stamp)
+    parsed = datetime.fromisoformat(stamp)
+    assert abs((datetime.now(timezone.utc) - parsed).total_seconds()) < 120
