@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkmill.functions.hashing import hash_bucket, hash_order
-from talkmill.operators.prefix import running_total
+from talkmill.operators.prefix import materialize, running_total
 
 DEFAULT_BITS = 16  # 65,536 uniform buckets: ~N/65536 rows per window task
 
@@ -66,34 +66,37 @@ def epochs(df: DataFrame, n_tok: str, key: str, e, seed: int | str = 0,
     before < frac(e) x total tokens (of the group). ``e`` may be a number
     or a Column constant within each group; e = 0 keeps nothing.
 
-    With ``group`` the group totals come from ``group_total`` when the
-    caller has them on every row (``blend``), else from a per-group
-    aggregate joined back (AQE broadcasts it: one row per group)."""
+    The partial copy is decided once per *input* row (one ranked pass in
+    the hash order of ``key:copy_no``); copies are generated afterwards
+    with ``explode`` and filtered, so the data is never split into two
+    lineages. With ``group`` the group totals come from ``group_total``
+    when the caller has them on every row (``blend``), else from a
+    per-group aggregate joined back (AQE broadcasts it: one row per
+    group)."""
     group = list(group)
     e_col = _budget(e).cast("double")
     if group and group_total is not None:
         base = df.withColumn("_gt", group_total)
-        gtot = F.col("_gt")
     elif group:
         totals = df.groupBy(*group).agg(F.sum(n_tok).cast("bigint").alias("_gt"))
         base = df.join(totals, on=group, how="inner")
-        gtot = F.col("_gt")
     else:
-        base = df
-        gtot = total_tokens(df, n_tok)
+        base = df.withColumn("_gt", total_tokens(df, n_tok))
     base = base.withColumn("_e", e_col).withColumn("_full", F.floor("_e").cast("int")) \
-        .withColumn("_frac", F.col("_e") - F.floor("_e")).withColumn("_gtot", gtot)
-    n_copies = F.ceil(F.col("_e")).cast("int")
-    copies = base.where(F.col("_e") > 0).withColumn(
-        "copy_no", F.explode(F.sequence(F.lit(0), n_copies - 1)))
-    whole = copies.where(F.col("copy_no") < F.col("_full"))
-    part = copies.where(F.col("copy_no") == F.col("_full"))
-    copy_key = F.concat(F.col(key).cast("string"), F.lit(":"), F.col("copy_no").cast("string"))
-    part = token_subset(part.withColumn("_ck", copy_key), n_tok, "_ck",
-                        F.col("_frac") * F.col("_gtot"), seed, group=group + ["copy_no"],
-                        bits=bits).drop("_ck", "tokens_before")
-    drop = ["_e", "_full", "_frac", "_gtot"] + (["_gt"] if group else [])
-    return whole.unionByName(part).drop(*drop)
+        .withColumn("_frac", F.col("_e") - F.floor("_e"))
+    base = base.where(F.col("_e") > 0)
+    copy_key = F.concat(F.col(key).cast("string"), F.lit(":"), F.col("_full").cast("string"))
+    keyed = base.withColumn("_ck", copy_key)
+    h = hash_order(seed, "_ck")
+    keyed = keyed.withColumn("_h", h).withColumn("_hb", hash_bucket("_h", bits))
+    ranked = running_total(keyed, F.col(n_tok), order=["_h", "_ck"], bucket=["_hb"],
+                           before="_tb", group=group)
+    in_part = (F.col("_frac") > 0) & (F.col("_tb") < F.col("_frac") * F.col("_gt"))
+    copies = ranked.withColumn("_in_part", in_part).withColumn(
+        "copy_no", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_e")).cast("int") - 1)))
+    kept = copies.where((F.col("copy_no") < F.col("_full"))
+                        | ((F.col("copy_no") == F.col("_full")) & F.col("_in_part")))
+    return kept.drop("_e", "_full", "_frac", "_gt", "_ck", "_h", "_hb", "_tb", "_in_part")
 
 
 def blend(df: DataFrame, n_tok: str, key: str, source: str, shares: Mapping[str, float],
@@ -107,6 +110,7 @@ def blend(df: DataFrame, n_tok: str, key: str, source: str, shares: Mapping[str,
     total_share = float(sum(shares.values()))
     if total_share <= 0:
         raise ValueError("shares must add up to a positive number")
+    df = materialize(df)
     weights = {k: float(v) / total_share for k, v in shares.items()}
     wmap = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(v))])
     sized = df.where(F.col(source).isin(list(weights)))

@@ -80,3 +80,14 @@ def global_index(df: DataFrame, order: Sequence, name: str) -> DataFrame:
     out = mid.join(offsets, on="_gi_part", how="inner")
     return out.withColumn(name, (F.col("_gi_off") + F.col("_gi_pos")).cast("bigint")).drop(
         "_gi_mid", "_gi_part", "_gi_pos", "_gi_off")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and continue from
+    the written copy. Used on *narrow* tables (keys + counts) that several
+    branches of one plan read (scalar totals, the two sides of a running
+    total), so the expensive lineage above them (scan + tokenise) runs
+    once; the copy survives executor loss."""
+    from talkmill.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -17,6 +17,7 @@ from talkmill.operators.dialogue import TAG, assemble_dialogue, split_turns, tur
 from talkmill.operators.fanout import RequestConfig, build_requests, request_id
 from talkmill.operators.generate import generate_replies, resolve_attempts
 from talkmill.operators.records import attach_replies, pair_context, pending_only
+from talkmill.operators.prefix import materialize
 from talkmill.operators.select import (all_conversations, combine_corpora, concat_context,
                                        longest_conversation, sample_k, training_mix)
 from talkmill.operators.vocab import (build_vocabulary, decode_ids, encode_ids,
@@ -112,7 +113,7 @@ def h4(spark, sf):
           "AS tokens_before FROM d) SELECT doc_id, n_tok, CAST(tokens_before AS BIGINT) AS tokens_before "
           "FROM r WHERE tokens_before < CAST(0.3 AS DOUBLE) * (SELECT sum(n_tok) FROM d)")
 def g2(spark, sf):
-    d = _docs_tok(spark, sf).select("doc_id", "n_tok")
+    d = materialize(_docs_tok(spark, sf).select("doc_id", "n_tok"))
     out = B.token_subset(d, "n_tok", "doc_id", F.lit(0.3) * B.total_tokens(d, "n_tok"), SEED)
     return out.select("doc_id", "n_tok", F.col("tokens_before").cast("bigint"))
 
@@ -133,10 +134,11 @@ def _g3_sql() -> str:
 
 @register("g3_balance_1to1", _g3_sql())
 def g3(spark, sf):
-    a = _docs_tok(spark, sf).select(F.col("doc_id").cast("string").alias("doc_key"), "n_tok")
+    a = materialize(_docs_tok(spark, sf).select(F.col("doc_id").cast("string").alias("doc_key"),
+                                                "n_tok"))
     k = kept_dialogues(spark, sf)
-    b = k.select(F.concat_ws(":", *[F.col(c).cast("string") for c in (*CTX, "prompt_ord")])
-                 .alias("doc_key"), F.col("conversation_tokens").cast("bigint").alias("n_tok"))
+    b = materialize(k.select(F.concat_ws(":", *[F.col(c).cast("string") for c in (*CTX, "prompt_ord")])
+                             .alias("doc_key"), F.col("conversation_tokens").cast("bigint").alias("n_tok")))
     return B.balance_1to1(a, b, "n_tok", "doc_key", "doc_key", SEED).select("origin", "doc_key",
                                                                             "n_tok")
 
@@ -158,7 +160,7 @@ def _g4_sql() -> str:
 
 @register("g4_epochs", _g4_sql())
 def g4(spark, sf):
-    d = _docs_tok(spark, sf).select("doc_id", "n_tok")
+    d = materialize(_docs_tok(spark, sf).select("doc_id", "n_tok"))
     return B.epochs(d, "n_tok", "doc_id", E_EPOCHS, SEED).select(
         "doc_id", F.col("copy_no").cast("int"), "n_tok")
 
@@ -188,7 +190,7 @@ def _g5_sql() -> str:
 
 @register("g5_blend", _g5_sql())
 def g5(spark, sf):
-    d = _docs_tok(spark, sf).select("doc_id", "lang", "n_tok")
+    d = materialize(_docs_tok(spark, sf).select("doc_id", "lang", "n_tok"))
     out = B.blend(d, "n_tok", "doc_id", "lang", SHARES, B.total_tokens(d, "n_tok"), SEED)
     return out.select("lang", "doc_id", F.col("copy_no").cast("int"), "n_tok")
 
@@ -221,7 +223,8 @@ def _style_stats(src: str, label: str | None) -> str:
                                        "prompt_ord) AS rn FROM kept) WHERE rn = 1"}) +
           _style_stats("kept", None) + " UNION ALL " + _style_stats("lg", "longest"))
 def f3(spark, sf):
-    k = kept_dialogues(spark, sf)
+    k = materialize(kept_dialogues(spark, sf).select(*CTX, "prompt_ord", "prompt_style",
+                                                     "conversation_tokens"))
     return M.style_length(k, longest=longest_conversation(k))
 
 
@@ -279,7 +282,8 @@ def f7(spark, sf):
           "SELECT CAST(count(*) AS BIGINT) AS n, round(corr(rx, ry), 6) AS spearman FROM r")
 def f8(spark, sf):
     j = table(spark, sf, "labels").join(table(spark, sf, "documents"), on="doc_id", how="inner")
-    return M.spearman(j.select(F.col("quality").alias("x"), F.col("n_chars").alias("y")), "x", "y")
+    xy = materialize(j.select(F.col("quality").alias("x"), F.col("n_chars").alias("y")))
+    return M.spearman(xy, "x", "y")
 
 
 def _grams(src: str, keys: str, text: str) -> str:
