@@ -33,3 +33,16 @@ def test_special_token_text_is_plain(texts):
 def test_count_tokens_null_is_zero(spark):
     df = spark.createDataFrame([(None,)], "text STRING")
     assert df.select(count_tokens("text").alias("n")).first().n == 0
+
+
+def test_possessive_patterns_equal_plain(spark):
+    from talkmill.functions.text import LEXER, LEXER_JVM, WORD, WORD_JVM
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    extra = spark.createDataFrame([(" 1234 ab  ,, x\x0b y 9",), ("　a b c",)], "text STRING")
+    d = docs.unionByName(extra)
+    same = d.select(F.min(
+        ((F.regexp_extract_all("text", F.lit(LEXER), F.lit(0))
+          == F.regexp_extract_all("text", F.lit(LEXER_JVM), F.lit(0)))
+         & (F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+            == F.regexp_extract_all("text", F.lit(WORD_JVM), F.lit(0)))).cast("int")).alias("ok"))
+    assert same.first().ok == 1
