@@ -23,15 +23,20 @@ def _r(c: Column, digits: int = 6) -> Column:
 
 
 def style_length(df: DataFrame, tokens: str = "conversation_tokens",
-                 style: str = "prompt_style", longest: DataFrame | None = None) -> DataFrame:
+                 style: str = "prompt_style", longest: DataFrame | None = None,
+                 approx_median: bool = False) -> DataFrame:
     """mean / min / max dialogue tokens per style, plus a ``longest``
-    row for the longest-per-context set when given."""
+    row for the longest-per-context set when given. ``approx_median`` adds
+    ``percentile_approx`` (a bounded-memory sketch that merges map-side; an
+    exact median would hold a whole style in one task)."""
     def stats(d: DataFrame, label: Column | None) -> DataFrame:
         g = d.groupBy(style) if label is None else d.withColumn(style, label).groupBy(style)
+        extra = [F.percentile_approx(tokens, 0.5, 10000).cast("bigint").alias("median_tokens")] \
+            if approx_median else []
         return g.agg(F.count(F.lit(1)).cast("bigint").alias("n_dialogues"),
                      _r(F.avg(tokens)).alias("avg_tokens"),
                      F.min(tokens).cast("bigint").alias("min_tokens"),
-                     F.max(tokens).cast("bigint").alias("max_tokens"))
+                     F.max(tokens).cast("bigint").alias("max_tokens"), *extra)
     out = stats(df, None)
     if longest is not None:
         out = out.unionByName(stats(longest, F.lit("longest")))

@@ -56,3 +56,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="talkmill-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
+
+
+def scale_settings(input_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Spark settings sized to the input and the cluster.
+
+    * ``spark.sql.files.maxPartitionBytes``: 256 MiB splits of parquet
+      text (one task ~ 100k documents; the window fan-out streams, so the
+      task's memory does not grow with its rows).
+    * ``spark.sql.shuffle.partitions``: enough partitions that each holds
+      about ``target_partition_bytes`` of the largest shuffle (the corpus
+      once, for the dense index) and at least three waves of tasks; AQE
+      coalesces what turns out smaller and splits skewed partitions.
+    """
+    by_size = max(1, input_bytes // target_partition_bytes)
+    partitions = max(3 * total_cores, int(by_size))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -107,3 +107,18 @@ def test_scorecard_gain(spark):
            M.scorecard(df, {"math": ["gsm8k", "math"]}, baseline="base").collect()}
     assert out[("syn", "math")].avg_score == pytest.approx(16.8)
     assert out[("syn", "math")].gain == pytest.approx(16.8 - 8.94)
+
+
+def test_style_length_with_median(spark):
+    rows = [("a", 1, 0, t) for t in (10, 20, 30, 40, 50)] + [("b", 2, 1, 7)]
+    df = spark.createDataFrame(rows, "prompt_style STRING, sample_index INT, prompt_ord INT, "
+                                     "conversation_tokens INT")
+    got = {r.prompt_style: r for r in M.style_length(df, approx_median=True).collect()}
+    assert got["a"].median_tokens == 30 and got["a"].avg_tokens == 30.0 and got["b"].n_dialogues == 1
+
+
+def test_scale_settings():
+    from talkmill.session import scale_settings
+    conf = scale_settings(100 * 2**40, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_settings(10 * 2**20, 8)["spark.sql.shuffle.partitions"]) == 24
