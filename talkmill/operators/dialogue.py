@@ -13,6 +13,8 @@ from talkmill.functions.text import count_tokens
 # Group 2 is the speaker. (Same text in the Spark and SQL versions.)
 SPEAKER = r"[\p{Lu}][\p{L}\p{N}_]*(?: [\p{L}\p{N}_]+){0,2}"
 TAG = r"(\*\*)?(" + SPEAKER + r")(?:\*\*)?:(?:\*\*)?[ ]?"
+# A turn header line: "**Turn 3**", "Turn 3:", optionally bold, nothing else.
+HEADER = r"(?:\*\*)?Turn [0-9]+(?:\*\*)?:?(?:\*\*)?[ ]*"
 # ---------------------------------------------------------------------------
 
 
@@ -35,18 +37,30 @@ def assemble_dialogue(turns: DataFrame, key: str = "conv_id", turn: str = "turn"
 
 
 def split_turns(dialogues: DataFrame, key: str = "conv_id", text: str = "dialogue") -> DataFrame:
-    """Tagged dialogue text -> ``(key, turn_no, speaker, text)``.
+    """Tagged dialogue text -> ``(key, turn_no, header_no, speaker, text)``.
 
     A turn starts at every line that begins with a speaker tag and runs to
-    the next one; lines before the first tag form turn 0 (no speaker). The
-    split is a regex split with look-ahead inside the row: no shuffle and no
-    window."""
-    pieces = F.split(F.col(text), r"\n(?=" + TAG + ")")
-    d = dialogues.select(key, F.posexplode(pieces).alias("_pos", "_piece"),
-                         F.col(text).rlike("^" + TAG).alias("_lead"))
+    the next one; lines before the first tag form turn 0 (no speaker, kept
+    only when not empty). Header lines (``**Turn k**``) are not part of any
+    turn's text; ``header_no`` counts the headers above a turn's tag line.
+    All of it is array work inside the row (split with look-ahead,
+    filter, slice): no shuffle and no window."""
+    lines = F.split(F.col(text), "\n")
+    is_header = lambda ln: ln.rlike("^" + HEADER + "$")
+    body = F.array_join(F.filter(lines, lambda ln: ~is_header(ln)), "\n")
+    # 0-based line positions of tag lines, in order
+    tag_pos = F.filter(F.transform(lines, lambda ln, i: F.when(
+        ~is_header(ln) & ln.rlike("^" + TAG), i).otherwise(F.lit(-1))), lambda i: i >= 0)
+    headers_before = F.transform(tag_pos, lambda i: F.size(F.filter(
+        F.slice(lines, 1, i + 1), is_header)))
+    d = dialogues.select(key, body.alias("_body"), headers_before.alias("_hb"))
+    d = d.select(key, "_hb", F.col("_body").rlike("^" + TAG).alias("_lead"),
+                 F.posexplode(F.split(F.col("_body"), r"\n(?=" + TAG + ")")).alias("_pos", "_piece"))
     tagged = F.col("_piece").rlike("^" + TAG)
     turn_no = F.col("_pos") + F.when(F.col("_lead"), 1).otherwise(0)
+    header_no = F.when(turn_no > 0, F.element_at("_hb", turn_no.cast("int"))).otherwise(F.lit(0))
     out = d.select(key, turn_no.cast("int").alias("turn_no"),
+                   header_no.cast("int").alias("header_no"),
                    F.when(tagged, F.regexp_extract("_piece", "^" + TAG, 2)).alias("speaker"),
                    F.when(tagged, F.regexp_replace("_piece", "^" + TAG, ""))
                    .otherwise(F.col("_piece")).alias("text"))

@@ -13,7 +13,7 @@ from talkmill.operators import budget as B
 from talkmill.operators import metrics as M
 from talkmill.operators.curation import (MATH_PATTERN, domain_yield, math_signal,
                                          quality_subset, score_quality, train_quality_model)
-from talkmill.operators.dialogue import TAG, assemble_dialogue, split_turns, turn_stats
+from talkmill.operators.dialogue import HEADER, TAG, assemble_dialogue, split_turns, turn_stats
 from talkmill.operators.fanout import RequestConfig, build_requests, request_id
 from talkmill.operators.generate import generate_replies, resolve_attempts
 from talkmill.operators.records import attach_replies, pair_context, pending_only
@@ -418,14 +418,19 @@ def i2(spark, sf):
           f"WITH d AS ({ASSEMBLE_SQL}), "
           "l AS (SELECT conv_id, generate_subscripts(string_split(dialogue, chr(10)), 1) AS i, "
           "unnest(string_split(dialogue, chr(10))) AS line FROM d), "
-          f"m AS (SELECT *, regexp_matches(line, '^{TAG}') AS is_tag FROM l), "
+          f"m AS (SELECT *, regexp_full_match(line, '{HEADER}') AS is_header, "
+          f"NOT regexp_full_match(line, '{HEADER}') AND regexp_matches(line, '^{TAG}') AS is_tag FROM l), "
           "t AS (SELECT *, sum(CASE WHEN is_tag THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY i) "
-          "AS turn_no FROM m), "
-          f"g AS (SELECT conv_id, CAST(turn_no AS INTEGER) AS turn_no, max(CASE WHEN is_tag THEN "
-          f"regexp_extract(line, '^{TAG}', 2) END) AS speaker, string_agg(CASE WHEN is_tag THEN "
-          f"regexp_replace(line, '^{TAG}', '') ELSE line END, chr(10) ORDER BY i) AS text "
+          "AS turn_no, sum(CASE WHEN is_header THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY i) "
+          "AS hn FROM m), "
+          f"g AS (SELECT conv_id, CAST(turn_no AS INTEGER) AS turn_no, "
+          "CAST(coalesce(max(CASE WHEN is_tag THEN hn END), 0) AS INTEGER) AS header_no, "
+          f"max(CASE WHEN is_tag THEN regexp_extract(line, '^{TAG}', 2) END) AS speaker, "
+          f"string_agg(CASE WHEN is_tag THEN regexp_replace(line, '^{TAG}', '') ELSE line END, chr(10) "
+          "ORDER BY i) FILTER (WHERE NOT is_header) AS text "
           "FROM t GROUP BY conv_id, turn_no) "
-          "SELECT * FROM g WHERE NOT (turn_no = 0 AND text = '')")
+          "SELECT conv_id, turn_no, CASE WHEN turn_no = 0 THEN 0 ELSE header_no END AS header_no, "
+          "speaker, coalesce(text, '') AS text FROM g WHERE NOT (turn_no = 0 AND coalesce(text, '') = '')")
 def i1(spark, sf):
     return split_turns(assemble_dialogue(table(spark, sf, "conversations")))
 

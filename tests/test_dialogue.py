@@ -26,3 +26,33 @@ def test_turn_stats(spark):
     turns = spark.createDataFrame(rows, "conv_id BIGINT, turn BIGINT, role STRING, text STRING")
     got = {r.role: (r.speaker_turns, r.n_turns, r.n_speakers) for r in turn_stats(turns).collect()}
     assert got == {"user": (2, 3, 2), "assistant": (1, 3, 2)}
+
+
+def test_turn_headers(spark):
+    text = ("Intro line\n**Turn 1**\nTeacher: Start.\nStudent: Ok\nmore\n"
+            "**Turn 2**\nTeacher: Next.\nTurn 3:\nStudent: End.")
+    df = spark.createDataFrame([(3, text)], "conv_id BIGINT, dialogue STRING")
+    got = sorted((r.turn_no, r.header_no, r.speaker, r.text) for r in split_turns(df).collect())
+    assert got == [(0, 0, None, "Intro line"), (1, 1, "Teacher", "Start."),
+                   (2, 1, "Student", "Ok\nmore"), (3, 2, "Teacher", "Next."),
+                   (4, 3, "Student", "End.")]
+
+
+def test_split_sql_and_spark_agree_with_headers(spark):
+    import duckdb
+
+    import __spark_entry__ as entry
+    from talkmill.plans.queries_tables import ASSEMBLE_SQL
+    dialogues = [(1, "Intro\n**Turn 1**\nA: x\nmore\n**Turn 2**\nB: y"),
+                 (2, "**Turn 1**\n**Bob:** hi\nTurn 2:\nAmy: yo\n\nlast"),
+                 (3, "no tags at all\nsecond line"), (4, "Zed: only")]
+    sql = entry.oracle_sql()["i1_split_turns"].replace(
+        f"d AS ({ASSEMBLE_SQL})", "d AS (SELECT * FROM fixture)")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE fixture (conv_id BIGINT, dialogue VARCHAR)")
+    con.executemany("INSERT INTO fixture VALUES (?, ?)", dialogues)
+    want = sorted(con.execute(sql).fetchall(), key=str)
+    df = spark.createDataFrame(dialogues, "conv_id BIGINT, dialogue STRING")
+    got = sorted([(r.conv_id, r.turn_no, r.header_no, r.speaker, r.text)
+                  for r in split_turns(df).collect()], key=str)
+    assert got == [tuple(w) for w in want]
