@@ -528,7 +528,7 @@ def a8(spark, sf):
           "CAST(length(text) - 1000 AS VARCHAR) || ' characters omitted) ...' || chr(10) || "
           "right(text, 500) ELSE text END AS text_view FROM documents")
 def a9(spark, sf):
-    return sample_preview(corpus(spark, sf))
+    return sample_preview(corpus(spark, sf)).drop("file")
 
 
 @register("a10_column_report", None)

@@ -31,19 +31,34 @@ def file_profile(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("n_rows"))
 
 
-def sample_preview(df: DataFrame, text: str = "text", n: int | None = None) -> DataFrame:
-    """Per row: position, text length, token count, first 50 tokens and
-    the text cut to 500 head + 500 tail characters when longer than 1000.
-    ``n`` keeps the first ``n`` rows in file order (the preview feature)."""
-    d = df.select(SOURCE_FILE, SOURCE_ROW, text, tokenize(text).alias("_tok"))
-    out = d.select(F.col(SOURCE_ROW).alias("row"),
-                   F.length(text).cast("bigint").alias("text_length"),
+def sample_preview(df: DataFrame, text: str = "text", n: int | None = None,
+                   token_columns: tuple[str, ...] = ("tokens", "input_ids")) -> DataFrame:
+    """Per row: file, position, text length, token count, first 50
+    tokens and the text cut to 500 head + 500 tail characters when longer
+    than 1000. Column choice follows the corpus: a usable token-list column
+    (``tokens``, ``input_ids``, then any list column named like a token or
+    id column) wins; otherwise the text is tokenised. ``n`` keeps the first
+    ``n`` rows in file order (the preview feature)."""
+    from talkmill.operators.vocab import pick_token_column, token_candidates
+    has_text = text in df.columns
+    text_col = F.col(text) if has_text else F.lit(None).cast("string")
+    if token_candidates(df, token_columns):
+        d = pick_token_column(df, token_columns, text if has_text else None)
+        toks = F.coalesce(F.col("token_ids").cast("array<string>"), tokenize(text_col))
+        sep = F.when(F.col("token_ids").isNotNull(), F.lit(" ")).otherwise(F.lit(""))
+        d = d.select(SOURCE_FILE, SOURCE_ROW, text_col.alias("_text"), toks.alias("_tok"),
+                     sep.alias("_sep"))
+    else:
+        d = df.select(SOURCE_FILE, SOURCE_ROW, text_col.alias("_text"),
+                      tokenize(text_col).alias("_tok"), F.lit("").alias("_sep"))
+    out = d.select(F.col(SOURCE_FILE).alias("file"), F.col(SOURCE_ROW).alias("row"),
+                   F.length("_text").cast("bigint").alias("text_length"),
                    F.size("_tok").cast("bigint").alias("token_count"),
-                   F.array_join(F.slice("_tok", 1, 50), "").alias("first_tokens"),
-                   head_tail(F.col(text)).alias("text_view"), SOURCE_FILE)
+                   F.expr("array_join(slice(_tok, 1, 50), _sep)").alias("first_tokens"),
+                   head_tail(F.col("_text")).alias("text_view"))
     if n is not None:
-        out = out.orderBy(SOURCE_FILE, "row").limit(n)
-    return out.drop(SOURCE_FILE)
+        out = out.orderBy("file", "row").limit(n)
+    return out
 
 
 def column_report(df: DataFrame, key: str | None = None) -> DataFrame:

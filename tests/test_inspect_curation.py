@@ -49,3 +49,17 @@ def test_quality_model_scores(spark):
     r = scored.agg(F.min("quality_score").alias("lo"), F.max("quality_score").alias("hi")).first()
     assert 0.0 <= r.lo <= r.hi <= 1.0
     assert scored.count() == 200
+
+
+def test_preview_prefers_token_column(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    p = str(tmp_path / "toks")
+    import os
+    os.makedirs(p)
+    pq.write_table(pa.table({"input_ids": [[5, 6, 7], []], "text": ["abc def", "x"]}),
+                   f"{p}/part-0.parquet")
+    rows = sorted(sample_preview(scan_corpus(spark, p)).collect(), key=lambda r: r.row)
+    assert (rows[0].token_count, rows[0].first_tokens) == (3, "5 6 7")
+    assert (rows[1].token_count, rows[1].first_tokens) == (1, "x")
+    assert rows[0].file.endswith("part-0.parquet")
