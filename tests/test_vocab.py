@@ -32,3 +32,14 @@ def test_pick_token_column_order(spark):
         "tokens ARRAY<INT>, input_ids ARRAY<INT>, my_ids ARRAY<INT>, text STRING")
     got = [(r.token_source, r.token_ids) for r in pick_token_column(df).collect()]
     assert got == [("input_ids", [5, 6]), ("tokens", [1]), (None, None), ("text", None)]
+
+
+def test_encode_join_path_beyond_broadcast_bound(texts):
+    docs = texts(["the cat the", "a cat", "zebra"])
+    v = build_vocabulary(docs)
+    small = {r.id: r.ids for r in encode_ids(docs, v, "id").collect()}
+    big = {r.id: r.ids for r in encode_ids(docs, v, "id", max_broadcast=0).collect()}
+    assert small == big
+    back = {r.id: r.text for r in decode_ids(encode_ids(docs, v, "id", max_broadcast=0), v, "id",
+                                             max_broadcast=0).collect()}
+    assert back == {0: "the cat the", 1: "a cat", 2: "zebra"}
