@@ -7,7 +7,7 @@ import json
 import random
 import time
 from concurrent.futures import ThreadPoolExecutor
-from typing import Callable, Iterator
+from typing import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,7 +93,8 @@ def generate_replies(requests: DataFrame, client_factory: Callable[[], Callable[
                      max_attempts: int = 3, backoff_seconds: float = 2.0,
                      in_flight: int = 10, partitions: int | None = None,
                      sleep: Callable[[float], None] = time.sleep,
-                     jitter: Callable[[], float] = random.random) -> DataFrame:
+                     jitter: Callable[[], float] = random.random,
+                     carry: Sequence[str] = ()) -> DataFrame:
     """E2 + E5: call a user-supplied chat client inside Spark tasks.
 
     ``client_factory()`` runs once per task (no client object travels from
@@ -102,13 +103,18 @@ def generate_replies(requests: DataFrame, client_factory: Callable[[], Callable[
     calls open; every request gets at most ``max_attempts`` tries with a
     ``backoff * attempt + jitter`` wait between them. A request that still
     fails becomes a ``failed`` row with its error (dead letter), so one bad
-    item never stops the job. Only ``request_id`` and ``payload`` cross into
-    Python. Results are non-deterministic: write them out (A6) before any
-    second use."""
+    item never stops the job. Only ``request_id``, ``payload`` and the small
+    ``carry`` key columns cross into Python (``carry`` comes back unchanged
+    so replies can be joined to chunks instead of to the 7x request table).
+    Results are non-deterministic: write them out (A6) before any second
+    use."""
     if max_attempts < 1:
         raise ValueError("max_attempts must be at least 1.")
     _ship_package()
-    slim = requests.select("request_id", "payload")
+    carry = list(carry)
+    slim = requests.select("request_id", "payload", *carry)
+    schema = REPLY_SCHEMA + "".join(
+        f", {f.name} {f.dataType.simpleString()}" for f in slim.schema.fields if f.name in carry)
     if partitions:
         slim = slim.repartition(partitions, "request_id")
 
@@ -120,15 +126,18 @@ def generate_replies(requests: DataFrame, client_factory: Callable[[], Callable[
                 reqs = [json.loads(p) for p in pdf["payload"]]
                 outs = list(pool.map(lambda r: _call_with_retries(
                     client, r, max_attempts, backoff_seconds, sleep, jitter), reqs))
-                yield pd.DataFrame({
+                out = pd.DataFrame({
                     "request_id": pdf["request_id"].values,
                     "reply": [o[0] for o in outs],
                     "status": [o[1] for o in outs],
                     "attempts": pd.array([o[2] for o in outs], dtype="int32"),
                     "error": [o[3] for o in outs],
                 })
+                for c in carry:
+                    out[c] = pdf[c].values
+                yield out
 
-    return slim.mapInPandas(run, REPLY_SCHEMA)
+    return slim.mapInPandas(run, schema)
 
 
 def resolve_attempts(ledger: DataFrame, max_attempts: int = 3) -> DataFrame:

@@ -11,7 +11,7 @@ output is written before it is read again.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from typing import Callable, Sequence
+from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +20,7 @@ from talkmill.functions.styles import Style, select_styles
 from talkmill.operators.chunking import ChunkConfig, chunk_windows
 from talkmill.operators.fanout import RequestConfig, build_requests, prompt_fanout
 from talkmill.operators.generate import dry_run_fanout, generate_replies
-from talkmill.operators.records import (attach_replies, classify_replies,
-                                        conversation_record, run_stats)
+from talkmill.operators.records import classify_replies, conversation_record, run_stats
 from talkmill.sources.corpus import DEFAULT_BLOCK_ROWS, max_samples, samples
 
 
@@ -83,20 +82,24 @@ def model_run(spark: SparkSession, path: str, replies_path: str,
               client_factory: Callable[[], Callable[[dict], str]],
               cfg: GenerationConfig | None = None, partitions: int | None = None,
               **client_opts) -> DataFrame:
-    """E2 path: build requests, call the client inside tasks, write the
-    replies once to ``replies_path`` (shared storage), then join them back
-    (D2) and classify. Re-running with the same path only calls the model
-    for requests that have no reply yet (D4)."""
-    from talkmill.operators.records import pending_only
+    """E2 path: build requests, call the client inside tasks, append the
+    replies to ``replies_path`` (shared storage) once, then pair every reply
+    with its context from the chunk table (D3: a join on the chunk key, one
+    row per chunk, rather than on the 7x request table) and classify.
+    Re-running with the same path only calls the model for requests that
+    have no reply yet (D4)."""
+    from talkmill.operators.records import pair_context, pending_only
     cfg = cfg or GenerationConfig()
-    requests = build_requests(fanout_table(spark, path, cfg), cfg.request)
+    chunks = chunk_table(spark, path, cfg)
+    requests = build_requests(prompt_fanout(chunks, cfg.styles()), cfg.request)
     try:
         done = spark.read.parquet(replies_path)
     except Exception:  # noqa: BLE001 - first run: nothing written yet
         done = None
     todo = requests if done is None else pending_only(requests, done)
-    generate_replies(todo, client_factory, partitions=partitions, **client_opts) \
+    keys = ("sample_index", "chunk_index", "prompt_ord", "prompt_style")
+    generate_replies(todo, client_factory, partitions=partitions, carry=keys, **client_opts) \
         .write.mode("append").parquet(replies_path)
-    replies = spark.read.parquet(replies_path)
-    return classify_replies(attach_replies(requests, replies), "conversation",
-                            cfg.min_conversation_tokens)
+    replies = spark.read.parquet(replies_path).withColumnRenamed("reply", "conversation")
+    paired = pair_context(replies, chunks, cols=("context", "context_tokens", *cfg.carry))
+    return classify_replies(paired, "conversation", cfg.min_conversation_tokens)

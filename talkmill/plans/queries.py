@@ -13,14 +13,12 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmill.functions.styles import SYSTEM_PROMPT
 from talkmill.functions.text import count_tokens, py_strip, tokenize
-from talkmill.operators.chunking import chunk_windows
 from talkmill.operators.fanout import RequestConfig, build_requests, render_messages, token_budget
 from talkmill.operators.records import classify_replies, filter_chain, run_stats
 from talkmill.plans import oracle as o
 from talkmill.plans.generation import (GenerationConfig, chunk_table, fanout_table,
-                                       kept_conversations, sample_table)
+                                       kept_conversations)
 from talkmill.plans.tables import CARRY, corpus, dialogue_table, documents_path, table
 from talkmill.sources.corpus import drop_empty_text, max_samples, sample_index
 

@@ -1,7 +1,6 @@
 import os
 import uuid
 
-import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 

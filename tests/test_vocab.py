@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from talkmill.operators.vocab import (build_vocabulary, decode_ids, encode_ids,
                                       normalize_tokens, pick_token_column)
 
