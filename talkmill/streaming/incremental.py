@@ -77,6 +77,51 @@ def incremental_stats(spark: SparkSession, source: str, stats_path: str, checkpo
     q.awaitTermination()
 
 
+def incremental_generate(spark: SparkSession, source: str, out_path: str, checkpoint: str,
+                         client_factory, text: str = "text", chunk: ChunkConfig | None = None,
+                         styles: Sequence[Style] | None = None, min_tokens: int = 50,
+                         max_files_per_trigger: int = 1, file_glob: str = "*.parquet",
+                         partitions: int | None = None, **client_opts) -> None:
+    """J1 with a model client: every micro-batch of new shards is chunked,
+    fanned out, sent through ``generate_replies`` (E2) and written as
+    classified records to ``out_path/batch_id=N``. Replies are written first
+    (``out_path_replies/batch_id=N``) and read back, so the model is called
+    once per request of the batch. A replayed batch (after a failure)
+    overwrites its own folders, so output stays exactly-once even though
+    the model may be called again for that batch."""
+    from talkmill.operators.fanout import build_requests, prompt_fanout
+    from talkmill.operators.generate import generate_replies
+    from talkmill.operators.records import pair_context
+    schema = spark.read.option("pathGlobFilter", file_glob).parquet(source).schema
+    raw = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+           .option("pathGlobFilter", file_glob).parquet(source))
+    rows = raw.where(non_empty(text)).select(
+        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.col("_metadata.row_index").alias(SOURCE_ROW), text)
+    picked = list(styles) if styles is not None else select_styles()
+    keys = [*STREAM_KEY, "chunk_index", "prompt_ord", "prompt_style"]
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        chunks = chunk_windows(batch, text, chunk or ChunkConfig(), keep=list(STREAM_KEY))
+        requests = build_requests(prompt_fanout(chunks, picked), key_cols=keys)
+        replies = generate_replies(requests, client_factory, partitions=partitions, carry=keys,
+                                   **client_opts).withColumnRenamed("reply", "conversation")
+        target = f"{out_path.rstrip('/')}/batch_id={batch_id}"
+        reply_dir = f"{out_path.rstrip('/')}_replies/batch_id={batch_id}"
+        replies.write.mode("overwrite").parquet(reply_dir)
+        stored = batch.sparkSession.read.parquet(reply_dir)
+        paired = pair_context(stored, chunks, keys=[*STREAM_KEY, "chunk_index"],
+                              cols=("context", "context_tokens"))
+        out = classify_replies(paired, "conversation", min_tokens)
+        out.select(*STREAM_KEY, "chunk_index", "prompt_style", "context", "conversation",
+                   "conversation_tokens", "status", "attempts", "error",
+                   utc_now_iso().alias("created_at")).write.mode("overwrite").parquet(target)
+
+    q = (rows.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 STAT_COLS = ("samples_seen", "chunks_generated", "conversations_kept", "conversations_filtered",
              "conversations_failed", "conversations_empty")
 
@@ -125,3 +170,27 @@ def j2(spark, sf):
     incremental_stats(spark, _stream_source(sf), f"{base}/stats", f"{base}/ckpt",
                       file_glob="documents.parquet")
     return read_stats(spark, f"{base}/stats")
+
+
+def _echo_stream_sql() -> str:
+    u = o.user_msg()
+    reply = ("'Teacher: I received ' || CAST(length(u) AS VARCHAR) || ' characters.' || chr(10) "
+             "|| 'Student: Thank you.'")
+    return (o.with_("fanout", override={"samples": _SAMPLES_BY_POS}, first={"pos": _POS}) +
+            "SELECT sample_index AS source_row, chunk_index, prompt_style, "
+            "CASE WHEN length(u) % 7 = 0 THEN 'failed' WHEN " + o.ntok(reply) + " >= 50 THEN 'kept' "
+            "ELSE 'filtered' END AS status, CAST(CASE WHEN length(u) % 7 = 0 THEN 0 ELSE "
+            + o.ntok(reply) + " END AS INTEGER) AS conversation_tokens "
+            f"FROM (SELECT *, {u} AS u FROM fanout)")
+
+
+@register("j1_incremental_generate", _echo_stream_sql())
+def j1_generate(spark, sf):
+    from talkmill.plans.echo_client import echo_client_factory, no_jitter, no_wait
+    base = _scratch(spark, "stream-generate")
+    incremental_generate(spark, _stream_source(sf), f"{base}/out", f"{base}/ckpt",
+                         echo_client_factory, file_glob="documents.parquet", max_attempts=2,
+                         sleep=no_wait, jitter=no_jitter)
+    out = spark.read.parquet(f"{base}/out")
+    return out.select(SOURCE_ROW, F.col("chunk_index").cast("int"), "prompt_style", "status",
+                      "conversation_tokens")

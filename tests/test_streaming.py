@@ -47,3 +47,22 @@ def test_stream_stats_add_up(spark):
     b = run_stats(dry_run_table(spark, f"{base}/in", GenerationConfig())).first()
     assert s.asDict() == b.asDict()
     assert spark.read.parquet(f"{base}/stats").select("batch_id").distinct().count() == 3
+
+
+def test_stream_with_model_client(spark):
+    from talkmill.functions.styles import select_styles
+    from talkmill.plans.echo_client import echo_client_factory, no_jitter, no_wait
+    from talkmill.plans.generation import model_run
+    from talkmill.streaming.incremental import incremental_generate
+    base = split_corpus(spark, parts=2)
+    styles = select_styles(["debate", "interview"])
+    incremental_generate(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", echo_client_factory,
+                         styles=styles, max_attempts=2, sleep=no_wait, jitter=no_jitter)
+    stream = spark.read.parquet(f"{base}/out")
+    assert stream.select("batch_id").distinct().count() == 2
+    cfg = GenerationConfig(style_names=("debate", "interview"))
+    batch = model_run(spark, f"{base}/in", f"{base}/batch-replies", echo_client_factory, cfg,
+                      max_attempts=2, sleep=no_wait, jitter=no_jitter)
+    s = sorted((r.chunk_index, r.prompt_style, r.status, r.conversation) for r in stream.collect())
+    b = sorted((r.chunk_index, r.prompt_style, r.status, r.conversation) for r in batch.collect())
+    assert s == b
