@@ -88,20 +88,27 @@ def pending_only(requests: DataFrame, done: DataFrame, key: str = "request_id")
     return requests.join(done.select(key), on=key, how="left_anti")
 
 
-def run_stats(classified: DataFrame) -> DataFrame:
-    """one row of counters over the chunk x style table.
+def stat_columns() -> list[Column]:
+    """F1 counters as aggregate expressions (shared by ``run_stats`` and
+    the observed write).
 
     ``chunks_generated`` counts chunks, not chunk x style rows; samples are
-    counted from their first chunk, so no distinct and no shuffle beyond a
-    one-row final aggregation. kept + filtered + failed + empty equals
-    chunks x styles."""
+    counted from their first chunk, so no distinct is needed. kept +
+    filtered + failed + empty equals chunks x styles."""
     def n(cond: Column) -> Column:
         return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
     first_style = F.col("prompt_ord") == F.lit(0)
-    return classified.agg(
+    return [
         n(first_style & (F.col("chunk_index") == F.lit(0))).alias("samples_seen"),
         n(first_style).alias("chunks_generated"),
         n(F.col("status") == "kept").alias("conversations_kept"),
         n(F.col("status") == "filtered").alias("conversations_filtered"),
         n(F.col("status") == "failed").alias("conversations_failed"),
-        n(F.col("status") == "empty").alias("conversations_empty"))
+        n(F.col("status") == "empty").alias("conversations_empty"),
+    ]
+
+
+def run_stats(classified: DataFrame) -> DataFrame:
+    """one row of counters over the chunk x style table (a single
+    aggregation with map-side partial sums)."""
+    return classified.agg(*stat_columns())

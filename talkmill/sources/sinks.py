@@ -30,3 +30,18 @@ def write_requests(requests: DataFrame, path: str, overwrite: bool = False,
     if partition_by:
         w = w.partitionBy(partition_by)
     w.json(path)
+
+
+def write_records_with_stats(classified: DataFrame, path: str, overwrite: bool = False) -> dict:
+    """A6 + F1 in one pass: the run counters are collected with an
+    ``Observation`` while the kept records are written (no second job over
+    the data). Returns the counters (one small dict)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    from talkmill.operators.records import conversation_record, stat_columns
+
+    obs = Observation("run_stats")
+    watched = classified.observe(obs, *stat_columns())
+    write_jsonl(conversation_record(watched.where(F.col("status") == "kept")), path, overwrite)
+    return obs.get
