@@ -1,0 +1,89 @@
+"""Optional exact BPE tokens (C1 with a user vocabulary).
+
+The default tokens are JVM lexer pieces. When exact model token counts are
+needed, the user supplies a BPE rank file (the plain text format: one
+``base64(bytes) rank`` pair per line, on shared storage) and the split
+pattern that goes with it; ``tiktoken`` then runs inside Arrow-batched
+pandas UDFs, one encoding object per task. Windows over the id arrays use
+the same array functions as the lexer path; each window is decoded back to
+text (invalid UTF-8 at a cut becomes U+FFFD, as with any BPE decode).
+"""
+
+from __future__ import annotations
+
+import base64
+from dataclasses import dataclass
+
+import pandas as pd
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from talkmill.operators.chunking import ChunkConfig
+
+
+def _ship_package() -> None:
+    from talkmill.operators.generate import _ship_package as ship
+    ship()
+
+
+@dataclass(frozen=True)
+class BpeSpec:
+    rank_file: str
+    pat_str: str
+    special_tokens: tuple[tuple[str, int], ...] = ()
+
+
+def load_encoding(spec: BpeSpec):
+    try:
+        import tiktoken
+    except ImportError as exc:  # pragma: no cover - tiktoken is optional
+        raise RuntimeError("tiktoken is needed for BPE tokens") from exc
+    ranks: dict[bytes, int] = {}
+    with open(spec.rank_file.replace("file:", ""), "rb") as fh:
+        for line in fh:
+            if line.strip():
+                tok, rank = line.split()
+                ranks[base64.b64decode(tok)] = int(rank)
+    return tiktoken.Encoding("user-bpe", pat_str=spec.pat_str, mergeable_ranks=ranks,
+                             special_tokens=dict(spec.special_tokens))
+
+
+def bpe_encode(col, spec: BpeSpec) -> Column:
+    """Text -> ``ARRAY<INT>`` token ids (special-token text is plain text)."""
+    _ship_package()
+
+    @F.pandas_udf("array<int>")
+    def encode(texts: pd.Series) -> pd.Series:
+        enc = load_encoding(spec)
+        return pd.Series([None if t is None else enc.encode(t, disallowed_special=())
+                          for t in texts])
+    return encode(F.col(col) if isinstance(col, str) else col)
+
+
+def bpe_decode(col, spec: BpeSpec) -> Column:
+    """``ARRAY<INT>`` ids -> text."""
+    _ship_package()
+
+    @F.pandas_udf("string")
+    def decode(ids: pd.Series) -> pd.Series:
+        enc = load_encoding(spec)
+        return pd.Series([None if x is None else enc.decode([int(i) for i in x]) for x in ids])
+    return decode(F.col(col) if isinstance(col, str) else col)
+
+
+def bpe_chunk_windows(df: DataFrame, spec: BpeSpec, text_col: str = "text",
+                      cfg: ChunkConfig | None = None, keep: list[str] | None = None) -> DataFrame:
+    """C3 over BPE ids: same window rule as ``chunk_windows``; ``context``
+    is the decoded window, ``context_tokens`` its id count."""
+    cfg = cfg or ChunkConfig()
+    keep = list(keep) if keep is not None else [c for c in df.columns if c != text_col]
+    ids = df.select(*keep, bpe_encode(text_col, spec).alias("_ids"))
+    n = F.coalesce(F.size("_ids"), F.lit(0))
+    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(cfg.stride))).otherwise(
+        F.array().cast("array<int>"))
+    windows = F.transform(starts, lambda s: F.slice(F.col("_ids"), s + 1, cfg.chunk_size))
+    out = ids.select(*keep, F.posexplode(windows).alias("chunk_index", "_w"))
+    return out.select(*keep, F.col("chunk_index").cast("int"),
+                      bpe_decode("_w", spec).alias("context"),
+                      F.size("_w").cast("int").alias("context_tokens"))

@@ -1,0 +1,38 @@
+import base64
+
+import pytest
+
+tiktoken = pytest.importorskip("tiktoken")
+
+from talkmill.functions.bpe import BpeSpec, bpe_chunk_windows, bpe_encode, load_encoding  # noqa: E402
+from talkmill.operators.chunking import ChunkConfig  # noqa: E402
+
+
+@pytest.fixture(scope="module")
+def spec(tmp_path_factory):
+    """A small byte-level BPE: all 256 bytes plus a few merges."""
+    from tiktoken_ext.openai_public import r50k_pat_str
+    ranks = {bytes([b]): b for b in range(256)}
+    for i, m in enumerate([b"th", b"he", b"the", b" t", b" the", b"in", b"ing"]):
+        ranks[m] = 256 + i
+    path = tmp_path_factory.mktemp("bpe") / "ranks.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(k) + b" " + str(v).encode() + b"\n"
+                              for k, v in ranks.items()))
+    return BpeSpec(str(path), r50k_pat_str)
+
+
+def test_encode_matches_driver_side(spark, texts, spec):
+    values = ["the thing is the theme", "Café <|endoftext|> ünïcode", "", "x"]
+    enc = load_encoding(spec)
+    rows = texts(values).select("id", bpe_encode("text", spec).alias("ids")).orderBy("id").collect()
+    assert [r.ids for r in rows] == [enc.encode(v, disallowed_special=()) for v in values]
+
+
+def test_bpe_windows_rebuild_text(spark, texts, spec):
+    text = "the thing " * 40
+    rows = bpe_chunk_windows(texts([text]), spec, cfg=ChunkConfig(16, 4), keep=["id"]) \
+        .orderBy("chunk_index").collect()
+    n = len(load_encoding(spec).encode(text))
+    assert len(rows) == -(-n // 12)
+    assert all(r.context_tokens <= 16 for r in rows)
+    assert "".join(r.context[:len(r.context)] for r in rows[:1]).startswith("the thing")
