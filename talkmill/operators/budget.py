@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkmill.functions.hashing import hash_bucket, hash_order
-from talkmill.operators.prefix import materialize, running_total
+from talkmill.operators.prefix import join_null_safe, materialize, running_total
 
 DEFAULT_BITS = 16  # 65,536 uniform buckets: ~N/65536 rows per window task
 
@@ -79,7 +79,7 @@ def epochs(df: DataFrame, n_tok: str, key: str, e, seed: int | str = 0,
         base = df.withColumn("_gt", group_total)
     elif group:
         totals = df.groupBy(*group).agg(F.sum(n_tok).cast("bigint").alias("_gt"))
-        base = df.join(totals, on=group, how="inner")
+        base = join_null_safe(df, totals, group)
     else:
         base = df.withColumn("_gt", total_tokens(df, n_tok))
     base = base.withColumn("_e", e_col).withColumn("_full", F.floor("_e").cast("int")) \

@@ -25,6 +25,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner equi-join on ``keys`` where null equals null (a null group is
+    a group like any other); the right side's key columns are dropped."""
+    keys = list(keys)
+    renamed = right.select(*[F.col(k).alias(f"_nk{i}") for i, k in enumerate(keys)],
+                           *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(renamed[f"_nk{i}"]) for i, k in enumerate(keys)]
+    return left.join(renamed, on=cond, how="inner").drop(*[f"_nk{i}" for i in range(len(keys))])
+
+
 def running_total(df: DataFrame, value: Column, order: Sequence[str],
                   bucket: Sequence[str], before: str = "before",
                   total: str | None = None, group: Sequence[str] = ()) -> DataFrame:
@@ -45,7 +55,7 @@ def running_total(df: DataFrame, value: Column, order: Sequence[str],
         *keys,
         F.coalesce(F.sum("_rt_bt").over(prior), F.lit(0)).alias("_rt_off"),
         *([F.sum("_rt_bt").over(Window.partitionBy(*group)).alias(total)] if total else []))
-    out = ranked.join(offsets, on=keys, how="inner")
+    out = join_null_safe(ranked, offsets, keys)
     return out.withColumn(before, F.col("_rt_off") + F.col("_rt_in") - F.col("_rt_v")).drop(
         "_rt_v", "_rt_in", "_rt_off")
 

@@ -88,3 +88,11 @@ def test_blend_shares_normalised(spark):
     for src, share in shares.items():
         quota = target * share / s
         assert quota <= got[src] < quota + 51
+
+
+def test_null_group_is_kept(spark):
+    rows = [(i, 10, None if i % 2 else "a") for i in range(20)]
+    df = spark.createDataFrame(rows, "k BIGINT, n_tok BIGINT, src STRING")
+    out = B.epochs(df, "n_tok", "k", 2, seed=1, group=["src"]).collect()
+    assert len(out) == 40
+    assert sum(1 for r in out if r.src is None) == 20
