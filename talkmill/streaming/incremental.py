@@ -30,18 +30,28 @@ from talkmill.sources.corpus import SOURCE_FILE, SOURCE_ROW, non_empty
 STREAM_KEY = (SOURCE_FILE, SOURCE_ROW)
 
 
+def _stream_rows(spark: SparkSession, source: str, text: str,
+                 max_files_per_trigger: int | None, file_glob: str) -> DataFrame:
+    """Non-empty rows of new shards with their (file, row) key. Without
+    ``max_files_per_trigger`` a trigger takes every new shard (Spark's
+    default); set it to bound the size of a micro-batch."""
+    schema = spark.read.option("pathGlobFilter", file_glob).parquet(source).schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.parquet(source)
+    return raw.where(non_empty(text)).select(
+        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.col("_metadata.row_index").alias(SOURCE_ROW), text)
+
+
 def stream_dialogues(spark: SparkSession, source: str, text: str = "text",
                      chunk: ChunkConfig | None = None, styles: Sequence[Style] | None = None,
-                     min_tokens: int = 50, max_files_per_trigger: int = 1,
+                     min_tokens: int = 50, max_files_per_trigger: int | None = None,
                      file_glob: str = "*.parquet") -> DataFrame:
     """Streaming DataFrame of classified chunk x style rows (dry-run
     replies) over the shards of folder ``source`` matching ``file_glob``."""
-    schema = spark.read.option("pathGlobFilter", file_glob).parquet(source).schema
-    raw = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-           .option("pathGlobFilter", file_glob).parquet(source))
-    rows = raw.where(non_empty(text)).select(
-        F.col("_metadata.file_path").alias(SOURCE_FILE),
-        F.col("_metadata.row_index").alias(SOURCE_ROW), text)
+    rows = _stream_rows(spark, source, text, max_files_per_trigger, file_glob)
     chunks = chunk_windows(rows, text, chunk or ChunkConfig(), keep=list(STREAM_KEY))
     fan = dry_run_fanout(chunks, list(styles) if styles is not None else select_styles())
     return classify_replies(fan, "conversation", min_tokens,
@@ -80,7 +90,7 @@ def incremental_stats(spark: SparkSession, source: str, stats_path: str, checkpo
 def incremental_generate(spark: SparkSession, source: str, out_path: str, checkpoint: str,
                          client_factory, text: str = "text", chunk: ChunkConfig | None = None,
                          styles: Sequence[Style] | None = None, min_tokens: int = 50,
-                         max_files_per_trigger: int = 1, file_glob: str = "*.parquet",
+                         max_files_per_trigger: int | None = None, file_glob: str = "*.parquet",
                          partitions: int | None = None, **client_opts) -> None:
     """J1 with a model client: every micro-batch of new shards is chunked,
     fanned out, sent through ``generate_replies`` (E2) and written as
@@ -92,12 +102,7 @@ def incremental_generate(spark: SparkSession, source: str, out_path: str, checkp
     from talkmill.operators.fanout import build_requests, prompt_fanout
     from talkmill.operators.generate import generate_replies
     from talkmill.operators.records import pair_context
-    schema = spark.read.option("pathGlobFilter", file_glob).parquet(source).schema
-    raw = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-           .option("pathGlobFilter", file_glob).parquet(source))
-    rows = raw.where(non_empty(text)).select(
-        F.col("_metadata.file_path").alias(SOURCE_FILE),
-        F.col("_metadata.row_index").alias(SOURCE_ROW), text)
+    rows = _stream_rows(spark, source, text, max_files_per_trigger, file_glob)
     picked = list(styles) if styles is not None else select_styles()
     keys = [*STREAM_KEY, "chunk_index", "prompt_ord", "prompt_style"]
 

@@ -42,7 +42,8 @@ def test_stream_equals_batch_and_resumes(spark):
 
 def test_stream_stats_add_up(spark):
     base = split_corpus(spark)
-    incremental_stats(spark, f"{base}/in", f"{base}/stats", f"{base}/ckpt")
+    incremental_stats(spark, f"{base}/in", f"{base}/stats", f"{base}/ckpt",
+                      max_files_per_trigger=1)
     s = read_stats(spark, f"{base}/stats").first()
     b = run_stats(dry_run_table(spark, f"{base}/in", GenerationConfig())).first()
     assert s.asDict() == b.asDict()
@@ -57,7 +58,8 @@ def test_stream_with_model_client(spark):
     base = split_corpus(spark, parts=2)
     styles = select_styles(["debate", "interview"])
     incremental_generate(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", echo_client_factory,
-                         styles=styles, max_attempts=2, sleep=no_wait, jitter=no_jitter)
+                         styles=styles, max_attempts=2, sleep=no_wait, jitter=no_jitter,
+                         max_files_per_trigger=1)
     stream = spark.read.parquet(f"{base}/out")
     assert stream.select("batch_id").distinct().count() == 2
     cfg = GenerationConfig(style_names=("debate", "interview"))
