@@ -21,7 +21,7 @@ from talkmill.operators.chunking import ChunkConfig, chunk_windows
 from talkmill.operators.fanout import RequestConfig, build_requests, prompt_fanout
 from talkmill.operators.generate import dry_run_fanout, generate_replies
 from talkmill.operators.records import classify_replies, conversation_record, run_stats
-from talkmill.sources.corpus import DEFAULT_BLOCK_ROWS, max_samples, samples
+from talkmill.sources.corpus import DEFAULT_BLOCK_ROWS, samples
 
 
 @dataclass(frozen=True)
@@ -41,8 +41,9 @@ class GenerationConfig:
 
 
 def sample_table(spark: SparkSession, path: str, cfg: GenerationConfig) -> DataFrame:
-    s = samples(spark, path, cfg.text_col, cfg.block_rows)
-    s = max_samples(s, cfg.max_samples)
+    if cfg.max_samples is not None and cfg.max_samples < 0:
+        raise ValueError("max_samples must be non-negative.")
+    s = samples(spark, path, cfg.text_col, cfg.block_rows, limit=cfg.max_samples)
     return s.select("sample_index", cfg.text_col, *cfg.carry)
 
 

@@ -53,7 +53,7 @@ def a3(spark, sf):
 @register("a4_max_samples",
           o.with_("samples") + "SELECT sample_index, doc_id FROM samples WHERE sample_index < 100")
 def a4(spark, sf):
-    s = sample_index(drop_empty_text(corpus(spark, sf)))
+    s = sample_index(drop_empty_text(corpus(spark, sf)), limit=100)
     return max_samples(s, 100).select("sample_index", "doc_id")
 
 

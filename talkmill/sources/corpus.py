@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -52,23 +52,42 @@ def skipped_count(df: DataFrame, col: str = "text") -> Column:
 
 
 def sample_index(df: DataFrame, name: str = "sample_index",
-                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                 block_rows: int = DEFAULT_BLOCK_ROWS, limit: int | None = None) -> DataFrame:
     """A3: dense 0-based index over the rows of ``df`` in (file, row) order.
 
     Blocks of ``block_rows`` rows of one file bound each window, so a file
     holding a third of the corpus still spreads over many tasks; only the
-    per-block counts (one row per block) are ordered globally."""
+    per-block counts (one row per block) are ordered globally.
+
+    With ``limit`` (A4) only rows with index < limit are returned, and the
+    blocks that cannot hold one are dropped *before* the shuffle: the
+    per-block counts (a partial aggregation) give every block's offset, and
+    a semi-join with the blocks whose offset is below the limit (a small
+    table; AQE broadcasts it) keeps a prefix of blocks, whose dense
+    positions are the global ones."""
     blk = F.floor(F.col(SOURCE_ROW) / F.lit(block_rows)).cast("bigint")
     keyed = df.withColumn("_blk", blk)
+    if limit is not None:
+        if limit < 0:
+            raise ValueError("limit must be non-negative.")
+        counts = keyed.groupBy(SOURCE_FILE, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+        prior = Window.orderBy(SOURCE_FILE, "_blk").rowsBetween(Window.unboundedPreceding, -1)
+        wanted = counts.select(SOURCE_FILE, "_blk",
+                               F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off")) \
+            .where(F.col("_off") < F.lit(limit)).select(SOURCE_FILE, "_blk")
+        keyed = keyed.join(wanted, on=[SOURCE_FILE, "_blk"], how="left_semi")
     out = dense_position(keyed, order=[SOURCE_ROW], bucket=[SOURCE_FILE, "_blk"], name=name)
+    if limit is not None:
+        out = out.where(F.col(name) < F.lit(limit))
     return out.drop("_blk")
 
 
 def samples(spark: SparkSession, path: str, text_col: str = "text",
-            block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """A1 + A5 + A3: the reference's sample stream as a table."""
+            block_rows: int = DEFAULT_BLOCK_ROWS, limit: int | None = None) -> DataFrame:
+    """A1 + A5 + A3 (+ A4 with ``limit``): the reference's sample stream as
+    a table."""
     return sample_index(drop_empty_text(scan_corpus(spark, path), text_col),
-                        block_rows=block_rows)
+                        block_rows=block_rows, limit=limit)
 
 
 def max_samples(df: DataFrame, n: int | None, index: str = "sample_index") -> DataFrame:

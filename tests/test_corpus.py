@@ -71,3 +71,15 @@ def test_position_columns(spark):
     df = scan_corpus(spark, "/root/testdata/sf0.001/documents.parquet")
     r = df.where(F.col("doc_id") == 5).select("source_row").first()
     assert r.source_row == 5
+
+
+@pytest.mark.parametrize("limit", [0, 1, 3, 5, 8, 100])
+def test_limit_prunes_blocks_with_same_result(spark, limit):
+    parts = [["a", None, "b", "", "c", "d", "e"], ["f", "g", "", "h"], ["i"]]
+    path = shards(spark, parts)
+    df = drop_empty_text(scan_corpus(spark, path))
+    full = sample_index(df, block_rows=2).where(F.col("sample_index") < limit)
+    pruned = sample_index(df, block_rows=2, limit=limit)
+    assert sorted([(r.sample_index, r.text) for r in full.collect()], key=str) == \
+        sorted([(r.sample_index, r.text) for r in pruned.collect()], key=str)
+    assert pruned.count() == min(limit, 9)
