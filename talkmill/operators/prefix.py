@@ -6,7 +6,8 @@ order and bounded in size (a block of rows of one file, or the top bits of
 a uniform hash):
 
 1. one hash shuffle by bucket; inside each bucket a windowed running sum;
-2. per-bucket totals from the same shuffle output (exchange reuse);
+2. per-bucket totals by a partial aggregation of the input (map-side
+   combine: one row per task and bucket crosses the network);
 3. exclusive running sum over the bucket totals (one row per bucket, so
    its size grows with data / bucket size, not with data);
 4. join the offsets back; the big side is already partitioned by bucket,
@@ -44,11 +45,14 @@ def running_total(df: DataFrame, value: Column, order: Sequence[str],
     of the order). With ``total`` set, also add the group's total."""
     group, bucket, order = list(group), list(bucket), list(order)
     keys = group + bucket
-    parted = df.withColumn("_rt_v", value.cast("bigint")).repartition(*keys)
+    valued = df.withColumn("_rt_v", value.cast("bigint"))
+    parted = valued.repartition(*keys)
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     ranked = parted.withColumn("_rt_in", F.sum("_rt_v").over(inside))
-    totals = parted.groupBy(*keys).agg(F.sum("_rt_v").alias("_rt_bt"))
+    # totals from the unpartitioned input: map-side partial sums, so only one
+    # row per (task, bucket) is shuffled
+    totals = valued.groupBy(*keys).agg(F.sum("_rt_v").alias("_rt_bt"))
     prior = Window.partitionBy(*group).orderBy(*bucket).rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = totals.select(
