@@ -30,6 +30,9 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     """Inner equi-join on ``keys`` where null equals null (a null group is
     a group like any other); the right side's key columns are dropped."""
     keys = list(keys)
+    nullable = any(left.schema[k].nullable or right.schema[k].nullable for k in keys)
+    if not nullable:
+        return left.join(right, on=keys, how="inner")
     renamed = right.select(*[F.col(k).alias(f"_nk{i}") for i, k in enumerate(keys)],
                            *[c for c in right.columns if c not in keys])
     cond = [left[k].eqNullSafe(renamed[f"_nk{i}"]) for i, k in enumerate(keys)]
