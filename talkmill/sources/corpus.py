@@ -65,8 +65,11 @@ def sample_index(df: DataFrame, name: str = "sample_index",
     a semi-join with the blocks whose offset is below the limit (a small
     table; AQE broadcasts it) keeps a prefix of blocks, whose dense
     positions are the global ones."""
-    blk = F.floor(F.col(SOURCE_ROW) / F.lit(block_rows)).cast("bigint")
-    keyed = df.withColumn("_blk", blk)
+    # coalesce only marks the keys non-nullable (neither is ever null), so
+    # the offsets join is a plain equi-join
+    blk = F.coalesce(F.floor(F.col(SOURCE_ROW) / F.lit(block_rows)).cast("bigint"), F.lit(0))
+    keyed = df.withColumn("_blk", blk).withColumn(
+        SOURCE_FILE, F.coalesce(F.col(SOURCE_FILE), F.lit("")))
     if limit is not None:
         if limit < 0:
             raise ValueError("limit must be non-negative.")
