@@ -1,6 +1,7 @@
 """Column expressions (JVM-side, codegen friendly)."""
 
-from talkmill.functions.text import (LEXER, STRIP_CLASS, WORD, count_tokens, first_line,  # noqa: F401
+from talkmill.functions.text import (LEXER, LEXER_JVM, STRIP_CHARS, STRIP_CLASS, WORD,  # noqa: F401
+                                     WORD_JVM, count_tokens, first_line,
                                      head_tail, py_strip, tokenize, words)
 from talkmill.functions.styles import (STYLE_NAMES, Style, select_styles,  # noqa: F401
                                        styles_column, styles_df)
