@@ -72,7 +72,8 @@ def shard(df: DataFrame, n_shards: int, size: Column, group: Column, key: str,
     first. Rows that repeat a key wholly are kept: they fall into the same
     range, their order among themselves is by size and then undefined (they
     are equal rows). An empty table gives an empty result. Columns that
-    begin with an underscore are reserved."""
+    begin with an underscore are reserved; columns named shard or slot are
+    replaced."""
     group_hash = F.when(group.isNull(), F.lit(-(1 << 63))).otherwise(F.xxhash64(group))
     number = F.when(F.col(key).isNull(), F.lit("-")).otherwise(_digits(F.col(key).cast("long")))
     keyed = df.withColumn("_size", size.cast("long")).withColumn(
@@ -112,7 +113,7 @@ def shard(df: DataFrame, n_shards: int, size: Column, group: Column, key: str,
 
     in_range = Window.partitionBy("_range").orderBy("_key", "_size").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    placed = ranged.withColumn("_upto", F.sum("_size").over(in_range) 
+    placed = ranged.withColumn("_upto", F.sum("_size").over(in_range)
         + _per_range({k: v[0] for k, v in before.items()}).cast("long")).withColumn(
         "_place", F.count(F.lit(1)).over(in_range) - 1
         + _per_range({k: v[1] for k, v in before.items()}).cast("long"))
@@ -124,4 +125,5 @@ def shard(df: DataFrame, n_shards: int, size: Column, group: Column, key: str,
         F.count(F.lit(1)).alias("n")).collect()}
     starts = [sum(counts.get(j, 0) for j in range(k)) for k in range(n_shards)]
     first = F.get(F.split(F.lit(",".join(map(str, starts))), ","), F.col("shard")).cast("long")
-    return placed.withColumn("slot", F.col("_place") - first).select(*df.columns, "shard", "slot")
+    return placed.withColumn("slot", F.col("_place") - first).select(
+        *[c for c in df.columns if c not in ("shard", "slot")], "shard", "slot")
