@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkmill.llm.common import utf8
+from talkmill.llm.exact_topk import exact_topk
+from talkmill.llm.rabitq import build_index, search
 from talkmill.llm.sharding import shard
 from talkmill.llm.warc import archive_and_read
 
@@ -47,10 +49,40 @@ SELECT page_id, payload_bytes,
 FROM b
 """
 
+
+
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 nearest by inner product of every vector whose id is divisible by 20."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    index = build_index(vectors, "vec_id", "embedding")
+    return search(index, vectors.where(F.col("vec_id") % 20 == 0), 20, "vec_id", "embedding")
+
+
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10 highest integer inner products of every vector whose id is
+    divisible by 100."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return exact_topk(vectors, vectors.where(F.col("vec_id") % 100 == 0), 10, "vec_id", "embedding")
+
+
+OP9_SQL = """
+WITH v AS (SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND list_bool_and([x IS NOT NULL AND isfinite(x) for x in embedding])),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+             CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op6_warc": op6_warc,
+    "op7_ann": op7_ann,
+    "op9_topk": op9_topk,
 }
 SQL: dict[str, str] = {
     "op6_warc": OP6_SQL,
+    "op9_topk": OP9_SQL,
 }
