@@ -9,11 +9,19 @@ from pyspark.sql import functions as F
 
 from talkmill.llm.common import utf8
 from talkmill.llm.exact_topk import exact_topk
+from talkmill.llm.packing import pack
 from talkmill.llm.rabitq import build_index, search
 from talkmill.llm.sharding import shard
 from talkmill.llm.warc import archive_and_read
 
 
+
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -21,10 +29,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes (law ``bytes``)."""
     docs = _table(spark, sf_dir, "documents").select(
-        "doc_id", "text", (F.octet_length(utf8()) + 16).cast("long").alias("size"))
-    out = shard(docs, 40, size=F.col("size"), group=F.col("text"), key="doc_id")
-    return out.select("doc_id", "size", F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
-                      F.lit("bytes").alias("law"), "shard", "slot",
+        "doc_id", (F.octet_length(utf8()) + 16).cast("long").alias("size"),
+        F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+    out = shard(docs, 40, size=F.col("size"), group=F.col("text_crc32"), key="doc_id")
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
@@ -65,6 +73,13 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(vectors, vectors.where(F.col("vec_id") % 100 == 0), 10, "vec_id", "embedding")
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens, every window of 64
+    sequences at the sources' shares of all tokens."""
+    return pack(_table(spark, sf_dir, "documents"), "doc_id", "text", "source",
+                vocabulary("byte_bpe_50k.json"), end_id=0)
+
+
 OP9_SQL = """
 WITH v AS (SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
            FROM embeddings
@@ -81,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op7_ann": op7_ann,
     "op9_topk": op9_topk,
+    "op10_packing": op10_packing,
 }
 SQL: dict[str, str] = {
     "op6_warc": OP6_SQL,
