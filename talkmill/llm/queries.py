@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmill.llm.common import utf8
+from talkmill.llm import langid
+from talkmill.llm.common import id_crc, utf8
 from talkmill.llm.exact_topk import exact_topk
 from talkmill.llm.packing import pack
 from talkmill.llm.rabitq import build_index, search
@@ -36,6 +37,16 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; learnt from the labelled ones
+    outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = id_crc() % 4 == 2
+    network = langid.train(docs.where(~held_out), "doc_id", "text", "lang")
+    out = langid.predict(docs.select("doc_id", "text"), network, "text")
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A WARC record per page, written and read back."""
     pages = _table(spark, sf_dir, "pages")
@@ -93,6 +104,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
+    "op4_langid": op4_langid,
     "op6_warc": op6_warc,
     "op7_ann": op7_ann,
     "op9_topk": op9_topk,
