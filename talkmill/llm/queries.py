@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from talkmill.llm import langid
 from talkmill.llm.common import id_crc, utf8
 from talkmill.llm.exact_topk import exact_topk
+from talkmill.llm.minhash import near_duplicates
 from talkmill.llm.packing import pack
 from talkmill.llm.rabitq import build_index, search
 from talkmill.llm.sharding import shard
@@ -27,6 +28,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents at similarity 0.85."""
+    return near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text", percent=85)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes (law ``bytes``)."""
     docs = _table(spark, sf_dir, "documents").select(
@@ -103,6 +109,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash": op2_minhash,
     "op3_sharding": op3_sharding,
     "op4_langid": op4_langid,
     "op6_warc": op6_warc,
