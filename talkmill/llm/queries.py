@@ -13,6 +13,7 @@ from talkmill.llm.exact_topk import exact_topk
 from talkmill.llm.minhash import near_duplicates
 from talkmill.llm.packing import pack
 from talkmill.llm.rabitq import build_index, search
+from talkmill.llm.repeats import remove_repeats
 from talkmill.llm.sharding import shard
 from talkmill.llm.warc import archive_and_read
 
@@ -83,6 +84,13 @@ def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(index, vectors.where(F.col("vec_id") % 20 == 0), 20, "vec_id", "embedding")
 
 
+def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removal of 100-byte strings that also start earlier, all documents."""
+    out = remove_repeats(_table(spark, sf_dir, "documents"), "doc_id", "text", length=100)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """10 highest integer inner products of every vector whose id is
     divisible by 100."""
@@ -114,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_langid": op4_langid,
     "op6_warc": op6_warc,
     "op7_ann": op7_ann,
+    "op8_suffix": op8_suffix,
     "op9_topk": op9_topk,
     "op10_packing": op10_packing,
 }
