@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from talkmill.llm import langid
 from talkmill.llm.common import id_crc, utf8
 from talkmill.llm.exact_topk import exact_topk
+from talkmill.llm.lm import score
 from talkmill.llm.minhash import near_duplicates
 from talkmill.llm.packing import pack
 from talkmill.llm.rabitq import build_index, search
@@ -54,6 +55,15 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model and unigram scores of all documents; the model learns
+    from those outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents")
+    out = score(docs, "doc_id", "text", id_crc() % 7 != 2, vocabulary("byte_bpe_50k.json"))
+    return out.select("doc_id", (~F.col("trains")).alias("held_out"), "n_tokens", "n_known",
+                      "train_tokens", "base_score", "score")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A WARC record per page, written and read back."""
     pages = _table(spark, sf_dir, "pages")
@@ -120,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
     "op3_sharding": op3_sharding,
     "op4_langid": op4_langid,
+    "op5_lm": op5_lm,
     "op6_warc": op6_warc,
     "op7_ann": op7_ann,
     "op8_suffix": op8_suffix,
