@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmill.llm import langid
+from talkmill.llm import langid, pieces
 from talkmill.llm.common import id_crc, utf8
 from talkmill.llm.exact_topk import exact_topk
 from talkmill.llm.lm import score
@@ -30,6 +30,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to piece ids and decoded back."""
+    model = pieces.PieceModel(vocabulary("piece_bpe_32k.model"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pieces.decode(pieces.encode(docs, "text", model), "ids", model)
+    return out.select(
+        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
+        F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents at similarity 0.85."""
     return near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text", percent=85)
@@ -127,6 +139,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_minhash": op2_minhash,
     "op3_sharding": op3_sharding,
     "op4_langid": op4_langid,
