@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from talkmill.llm.common import BYTE_VALUES, POWERS, mix64, prefix_sums, sliced, written
 from talkmill.llm.suffix_sort import share_prefix, suffix_order
@@ -99,7 +101,7 @@ def _joint(bucket: np.ndarray, key: np.ndarray) -> np.ndarray:
     return (bucket << 32) | (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def _blocks(rows: DataFrame, length: int, n_buckets: int) -> DataFrame:
+def _blocks(rows: DataFrame, length: int, n_buckets: int, kept: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for part, data, offsets in sliced(batches):
@@ -114,16 +116,24 @@ def _blocks(rows: DataFrame, length: int, n_buckets: int) -> DataFrame:
                 [pa.array([number], pa.int64()), pa.array([ids.tobytes()], pa.binary()),
                  pa.array([offsets.astype(np.int64).tobytes()], pa.binary()),
                  pa.array([pa.compress(data.tobytes(), "zstd", asbytes=True)], pa.binary()),
+                 pa.array([_to_bytes(part.select([f"kept_{i}" for i in range(len(kept))]))], pa.binary()),
                  pa.array([keys], pa.list_(pa.struct([("bucket", pa.int32()), ("keys", pa.binary()),
                                                       ("times", pa.binary())])))],
-                names=["block", "docs", "offsets", "bytes", "found"])
+                names=["block", "docs", "offsets", "bytes", "rows", "found"])
             number += 1
 
     return written(rows.mapInArrow(
-        run, "block long, docs binary, offsets binary, bytes binary, "
+        run, "block long, docs binary, offsets binary, bytes binary, rows binary, "
              "found array<struct<bucket:int,keys:binary,times:binary>>"), "repeats-blocks")
 
 
+def _to_bytes(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
 def _opened(docs: bytes, offsets: bytes, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = np.frombuffer(offsets, np.int64)
     raw = pa.decompress(data, decompressed_size=int(at[-1]), codec="zstd", asbytes=True) if at[-1] else b""
@@ -318,60 +328,88 @@ def _meet(length: int, sorted_bytes: int):
     return run
 
 
-def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """A UTF-8 character goes as soon as one of its bytes does."""
+    number = np.cumsum((data & 0xC0) != 0x80)
+    hit = np.zeros(int(number[-1]) + 1 if len(number) else 1, bool)
+    hit[number[gone]] = True
+    return hit[number]
+
+
+def _finish(kept_schema: pa.Schema, whole_characters: bool):
     """Unite a block's repeated stretches; rows of its documents."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            part = batch.slice(i, 1).to_pydict()
-            ids, offsets, data = _opened(*(part[c][0] for c in ("docs", "offsets", "bytes")))
-            t = np.frombuffer(b"".join(part["stretches"][0] or []), np.int64).reshape(-1, 3)
-            edge = np.bincount(offsets[t[:, 0]] + t[:, 1], minlength=len(data) + 1) \
-                - np.bincount(offsets[t[:, 0]] + t[:, 2], minlength=len(data) + 1)
-            gone = np.cumsum(edge)[:len(data)] > 0
-            begins, stops = gone.copy(), gone.copy()
-            begins[1:] &= ~gone[:-1]
-            stops[:-1] &= ~gone[1:]
-            inner = offsets[offsets < len(data)]
-            begins[inner] = gone[inner]
-            cut = offsets[(offsets > 0) & (offsets <= len(data))] - 1
-            stops[cut] = gone[cut]
-            a, z = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-            a_at = np.searchsorted(a, offsets)
-            kept = data[~gone]
-            kept_at = np.concatenate([[0], np.cumsum(~gone)])[offsets]
-            spans = [[{"start": int(x - o), "stop": int(y - o)} for x, y in zip(a[p:q], z[p:q])]
-                     for o, p, q in zip(offsets[:-1], a_at[:-1], a_at[1:])]
-            sizes = np.diff(offsets)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([None if x == NULL_ID else int(x) for x in ids], pa.int64()), pa.array(sizes),
-                 pa.array(sizes - np.diff(kept_at)),
-                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-                 pa.array([kept[x:y].tobytes() for x, y in zip(kept_at[:-1], kept_at[1:])], pa.binary())],
-                names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield of_block({c: v[0] for c, v in batch.slice(i, 1).to_pydict().items()})
+
+    def of_block(part: dict) -> pa.RecordBatch:
+        ids, offsets, data = _opened(part["docs"], part["offsets"], part["bytes"])
+        t = np.frombuffer(b"".join(part["stretches"] or []), np.int64).reshape(-1, 3)
+        edge = np.bincount(offsets[t[:, 0]] + t[:, 1], minlength=len(data) + 1) \
+            - np.bincount(offsets[t[:, 0]] + t[:, 2], minlength=len(data) + 1)
+        gone = np.cumsum(edge)[:len(data)] > 0
+        if whole_characters:
+            gone = _whole_characters(data, gone)
+        begins, stops = gone.copy(), gone.copy()
+        begins[1:] &= ~gone[:-1]
+        stops[:-1] &= ~gone[1:]
+        inner = offsets[offsets < len(data)]
+        begins[inner] = gone[inner]
+        cut = offsets[(offsets > 0) & (offsets <= len(data))] - 1
+        stops[cut] = gone[cut]
+        a, z = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+        a_at = np.searchsorted(a, offsets)
+        kept = data[~gone]
+        kept_at = np.concatenate([[0], np.cumsum(~gone)])[offsets]
+        spans = [[{"start": int(x - o), "stop": int(y - o)} for x, y in zip(a[p:q], z[p:q])]
+                 for o, p, q in zip(offsets[:-1], a_at[:-1], a_at[1:])]
+        sizes = np.diff(offsets)
+        columns = [pa.array([None if x == NULL_ID else int(x) for x in ids], pa.int64()), pa.array(sizes),
+                   pa.array(sizes - np.diff(kept_at)),
+                   pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
+                   pa.array([kept[x:y].tobytes() for x, y in zip(kept_at[:-1], kept_at[1:])], pa.binary())]
+        names = ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
+        if len(kept_schema):
+            rows = pa.ipc.open_stream(part["rows"]).read_all().combine_chunks().rename_columns(kept_schema.names)
+            columns.append(rows.cast(kept_schema).to_struct_array().combine_chunks())
+            names.append("row")
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
 
 
 def remove_repeats(docs: DataFrame, id_col: str, text_col: str, length: int = LENGTH, hot: int = HOT,
-                   bucket: int = BUCKET, sorted_bytes: int = SORTED_BYTES) -> DataFrame:
+                   bucket: int = BUCKET, sorted_bytes: int = SORTED_BYTES, keep: tuple[str, ...] = (),
+                   whole_characters: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (start, stop of the maximal removed
-    stretches) and kept (the remaining bytes) of every document.
+    stretches) and kept (the remaining bytes) of every document, and with
+    ``keep`` these columns of its row as the struct ``row``.
 
     A byte goes if a string of ``length`` bytes that covers it also starts
     earlier in the input: in a row of smaller id, or earlier in the same
-    row. Strings do not cross rows. A null text is empty; a null id sorts
-    first. Rows that repeat an id come in the order of the written blocks.
-    An empty table gives no rows. Other columns are ignored. ``length`` must
-    be over 32 and at most 104."""
+    row. With ``whole_characters`` a UTF-8 character goes as soon as one of
+    its bytes does, so what is kept stays valid text. Strings do not cross
+    rows. A null text is empty; a null id sorts first. Rows that repeat an
+    id come in the order of the written blocks. An empty table gives no
+    rows. Other columns are ignored. ``length`` must be from 33 to 104."""
     if not GRAM < length <= 104:
         raise ValueError("length must be from 33 to 104")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"),
+                       *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)])
     total = rows.select(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(12, 2 * total // ((length - GRAM + 2) * bucket))
-    blocks = _blocks(rows, length, n_buckets)
-    content = blocks.drop("found")
+    blocks = _blocks(rows, length, n_buckets, list(keep))
+    content = blocks.select("block", "docs", "offsets", "bytes")
     runs = content.join(_repeated(blocks, hot), "block").mapInArrow(_runs(length, n_buckets), _RUN)
     met = runs.repartition("key").sortWithinPartitions("key", "own", "doc", "block", "row", "start") \
         .mapInArrow(_meet(length, sorted_bytes), "block long, stretches binary")
     stretches = met.groupBy("block").agg(F.collect_list("stretches").alias("stretches"))
-    return content.join(stretches, "block", "left").mapInArrow(
-        _finish, "doc_id long, n_bytes long, n_removed long, "
-                 "spans array<struct<start:long,stop:long>>, kept binary")
+    kept_type = docs.select(*keep).schema if keep else T.StructType()
+    out = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, "
+                               "spans array<struct<start:long,stop:long>>, kept binary")
+    if keep:
+        out = out.add("row", kept_type)
+    return blocks.drop("found").join(stretches, "block", "left").mapInArrow(
+        _finish(to_arrow_schema(kept_type), whole_characters), out)
