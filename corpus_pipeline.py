@@ -1,15 +1,75 @@
-"""Corpus pipeline: stages of the training-data operators, in order."""
+"""Corpus pipeline: language ID, near-dedup, repeat removal, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run``
+writes it to the shared folder and reads it again for the next stage. All
+but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from talkmill.llm import langid
+from talkmill.llm.common import written
+from talkmill.llm.minhash import near_duplicates
+from talkmill.llm.packing import pack
+from talkmill.llm.queries import vocabulary
+from talkmill.llm.repeats import remove_repeats
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the labelled ones teach; those without
+    a text or a letter go."""
+    network = langid.train(docs, "doc_id", "text", "lang")
+    named = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return langid.predict(named, network, "text") \
+        .where(F.col("lang_pred") != langid.UNDETERMINED).select("row.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest document of each group of similarity 0.8 or more. Rows
+    that repeat an id are one document, of which one row stays."""
+    found = written(near_duplicates(docs, "doc_id", "text", percent=80), "pipeline-groups")
+    gone = found.where(~F.col("kept")).select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = written(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+                       .select("doc_id"), "pipeline-repeated")
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(once.select(*docs.columns))
+
+
+def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings of 100 bytes that an earlier document, or an
+    earlier place, already holds; n_chars follows the text."""
+    out = remove_repeats(docs, "doc_id", "text", length=100, whole_characters=True,
+                         keep=tuple(c for c in docs.columns if c != "text"))
+    text = F.col("kept").cast("string")
+    own = {"text": text, "n_chars": F.when(F.col("n_removed") > 0, F.length(text).cast("long"))
+           .otherwise(F.col("row.n_chars"))}
+    return out.select(*[own[c].alias(c) if c in own else F.col("row")[c].alias(c) for c in docs.columns])
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of 1024-token sequences with their ids, every window at the
+    sources' shares of the tokens."""
+    return pack(docs, "doc_id", "text", "source", vocabulary("byte_bpe_50k.json"), end_id=0, with_ids=True)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("near_dedup", drop_near_duplicates),
+    ("repeat_removal", remove_repeated_passages),
+    ("packing", pack_sequences),
+]
 
-STAGES: list = []
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
