@@ -401,7 +401,8 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, length: int = LE
     total = rows.select(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(12, 2 * total // ((length - GRAM + 2) * bucket))
     blocks = _blocks(rows, length, n_buckets, list(keep))
-    content = blocks.select("block", "docs", "offsets", "bytes")
+    # both joins read the same columns of the same rows, so the blocks are shuffled once
+    content = blocks.where(F.col("block").isNotNull()).drop("found")
     runs = content.join(_repeated(blocks, hot), "block").mapInArrow(_runs(length, n_buckets), _RUN)
     met = runs.repartition("key").sortWithinPartitions("key", "own", "doc", "block", "row", "start") \
         .mapInArrow(_meet(length, sorted_bytes), "block long, stretches binary")
@@ -411,5 +412,5 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, length: int = LE
                                "spans array<struct<start:long,stop:long>>, kept binary")
     if keep:
         out = out.add("row", kept_type)
-    return blocks.drop("found").join(stretches, "block", "left").mapInArrow(
+    return content.join(stretches, "block", "left").mapInArrow(
         _finish(to_arrow_schema(kept_type), whole_characters), out)
