@@ -4,13 +4,12 @@ Every source is a queue of token ids, its documents in table order. The
 output is one stream of tokens, cut into sequences of ``length`` and into
 windows of ``window`` tokens. A window is one round: each queue that still
 has tokens is given its quantum (share times window) plus the deficit that
-earlier rounds left it, in whole tokens. After n tokens of a mixture the
-queues up to i have been given floor(n * share(1..i)) tokens in all, so the
-deficit a queue carries into the next window stays below one token, and what
-a window takes from a queue follows from the window's number alone: tasks
-need no state from each other, and deficits carry across windows and
-partitions alike. When a queue runs dry, the next mixture starts with the
-remaining ones.
+earlier rounds left it, in whole tokens. After n tokens' worth of rounds a
+queue has thus been given floor(n * share) tokens: its deficit stays below
+one token, and what a window takes from a queue follows from the window's
+number alone. Tasks need no state from each other, and deficits carry across
+windows and partitions alike. When a queue runs dry, the next mixture starts
+with the remaining ones.
 
 Steps: (1) tokenise once into a written table, each row with its place in
 its queue within the task's block; (2) sum the blocks (a narrow table) for
@@ -25,8 +24,8 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from fractions import Fraction
+from math import lcm
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -39,7 +38,7 @@ SEQUENCE = 1024
 #: Tokens of a window in which the shares are met: 64 sequences.
 WINDOW = 64 * SEQUENCE
 #: The queues' totals pass through the driver, so their number is checked.
-MAX_QUEUES = 100_000
+MAX_QUEUES = 10_000
 
 
 def tokenised(docs: DataFrame, id_col: str, text_col: str, queue_col: str | None, tokenizer: str,
@@ -75,24 +74,33 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, queue_col: str | None
 
 
 class Mixture:
-    """A stretch of the stream in which a fixed set of queues is served."""
+    """A stretch of the stream in which a fixed set of queues is served.
+    After ``n`` tokens' worth of rounds a queue has been given floor(n *
+    share) tokens."""
 
-    def __init__(self, start: int, length: int, queues: list[str], weights: list[int],
-                 taken: dict[str, int], window: int) -> None:
+    def __init__(self, start: int, length: int, weights: dict[str, int], taken: dict[str, int], window: int) -> None:
         self.start, self.length, self.window = start, length, window
-        self.upto = [0]
-        for w in weights:
-            self.upto.append(self.upto[-1] + w)
-        self.index = {q: i for i, q in enumerate(queues)}
-        self.first = {q: taken.get(q, 0) for q in queues}
-
-    def given(self, i: int, n: int) -> int:
-        """Tokens that the queues before ``i`` have got after ``n`` tokens."""
-        return n * self.upto[i] // self.upto[-1]
+        self.weights, self.total = weights, sum(weights.values())
+        self.index = {q: i for i, q in enumerate(weights)}
+        self.first = {q: taken.get(q, 0) for q in weights}
+        self._rounds: dict[int, tuple[int, list[int], list[int]]] = {}
 
     def taken(self, q: str, n: int) -> int:
-        i = self.index[q]
-        return self.given(i + 1, n) - self.given(i, n)
+        return n * self.weights[q] // self.total
+
+    def _round(self, w: int) -> tuple[int, list[int], list[int]]:
+        """Of window ``w``: its first place, and by queue the place within
+        it and the tokens that the queue was given before."""
+        if w not in self._rounds:
+            if len(self._rounds) * len(self.weights) > 1 << 20:
+                self._rounds.clear()
+            a, z = w * self.window, min((w + 1) * self.window, self.length)
+            before = [a * x // self.total for x in self.weights.values()]
+            places = [0]
+            for x, n in zip(self.weights.values(), before):
+                places.append(places[-1] + z * x // self.total - n)
+            self._rounds[w] = (self.start + sum(before), places, before)
+        return self._rounds[w]
 
     def runs(self, q: str, at: int, stop: int) -> Iterator[tuple[int, int, int]]:
         """(queue place, stream place, length) of the queue's tokens from
@@ -100,26 +108,23 @@ class Mixture:
         if q not in self.index:
             return
         i, base = self.index[q], self.first[q]
-        end = min(stop, base + self.taken(q, self.length))
-        weight = self.upto[i + 1] - self.upto[i]
-        while max(at, base) < end:
-            at = max(at, base)
-            w = (at - base) * self.upto[-1] // (weight * self.window)
-            while w and self.taken(q, min(w * self.window, self.length)) > at - base:
-                w -= 1
+        at, end = max(at, base), min(stop, base + self.taken(q, self.length))
+        while at < end:
+            w = (at - base) * self.total // (self.weights[q] * self.window)
             while self.taken(q, min((w + 1) * self.window, self.length)) <= at - base:
                 w += 1
-            a, z = w * self.window, min((w + 1) * self.window, self.length)
-            offset = at - base - self.taken(q, a)
-            n = min(end - at, self.taken(q, z) - self.taken(q, a) - offset)
-            yield at, self.start + a + self.given(i, z) - self.given(i, a) + offset, n
+            place, places, before = self._round(w)
+            offset = at - base - before[i]
+            n = min(end - at, places[i + 1] - places[i] - offset)
+            yield at, place + places[i] + offset, n
             at += n
 
 
 def mixtures(totals: dict[str, int], shares: dict[str, float] | None, window: int) -> list[Mixture]:
     """The mixtures of the stream. ``shares``: wanted proportions (queues
     that it does not name get their share of all tokens); None: every
-    queue's share of all tokens, so that all run dry together."""
+    queue's share of all tokens, so that all run dry together. Each mixture
+    lasts until one of its queues is dry."""
     left = {q: n for q, n in sorted(totals.items()) if n > 0}
     all_ = sum(left.values())
     exact = {q: Fraction(n, all_) if shares is None or q not in shares
@@ -127,27 +132,20 @@ def mixtures(totals: dict[str, int], shares: dict[str, float] | None, window: in
     out, start, taken = [], 0, {}
     while left:
         served = [q for q in left if exact[q] > 0] or list(left)
-        parts = [exact[q] or Fraction(left[q], all_) for q in served]
-        common = np.lcm.reduce([p.denominator for p in parts], dtype=object)
-        weights = [int(p * common) for p in parts]
-        total = sum(weights)
-        length = min(left[q] * total // w for q, w in zip(served, weights))
-        mixture = Mixture(start, length, served, weights, taken, window)
-        while length and any(mixture.taken(q, length) > left[q] for q in served):
-            length -= 1
-        if not length:  # less than a round is left of a queue: serve it alone
-            q = min(served, key=lambda x: (left[x], x))
-            served, length = [q], left[q]
-            mixture = Mixture(start, length, served, [1], taken, window)
-        mixture.length = length
+        parts = {q: exact[q] or Fraction(left[q], all_) for q in served}
+        common = lcm(*(p.denominator for p in parts.values()))
+        weights = {q: int(p * common) for q, p in parts.items()}
+        total = sum(weights.values())
+        length = min(-(-left[q] * total // w) for q, w in weights.items())
+        mixture = Mixture(start, length, weights, taken, window)
         out.append(mixture)
         for q in served:
             n = mixture.taken(q, length)
             taken[q] = taken.get(q, 0) + n
+            start += n
             left[q] -= n
             if not left[q]:
                 del left[q]
-        start += length
     return out
 
 

@@ -67,7 +67,7 @@ def by_query_batch(queries: DataFrame, id_col: str, vec_col: str, dim: int, colu
             if np.isfinite(v).all():
                 rows[r["id"]] = min(v, rows.get(r["id"], v))
         ids = np.array(sorted(rows), np.int64)
-        found = search(ids, np.array([rows[i] for i in ids], np.float64).reshape(-1, dim))
+        found = search(ids, np.array([rows[i] for i in ids], np.float64).reshape(len(ids), dim))
         found.write.parquet(f"{path}/batch={b}")
     return spark.read.schema(columns).option("recursiveFileLookup", "true").parquet(path)
 
