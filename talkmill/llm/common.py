@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from talkmill.session import checkpoint_dir
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 MASK64 = (1 << 64) - 1
 
 

@@ -39,7 +39,7 @@ OUTPUTS = 64
 LAST = 512  # classes of the last token in the pair counts
 SMOOTH = 20.0
 #: Texts of a block, in slices of common.BLOCK_BYTES.
-SLICES = 4
+SLICES = 8
 #: One training window per so many tokens of a training document.
 SPACING = 1024
 WARM_UP = 4096
@@ -111,17 +111,12 @@ def _blocks(rows: DataFrame, tokenizer: str, n_buckets: int) -> DataFrame:
              "words long, found array<struct<bucket:int,keys:binary,times:binary>>"), "lm-blocks")
 
 
-class Block:
-    """An opened block: documents and their subword ids."""
+class Slice:
+    """Documents of a slice of a block and their subword ids."""
 
-    def __init__(self, part: pa.RecordBatch, row: int) -> None:
-        at = lambda c: part.column(c)[row]
-        self.docs = at("docs").as_py()
-        self.trains = np.frombuffer(at("trains").as_py(), np.uint8).astype(bool)
-        self.sizes = np.frombuffer(at("sizes").as_py(), np.int64)
-        self.slices = np.frombuffer(at("slices").as_py(), np.int64)
-        self.ids = _unpacked(at("ids").as_py(), int(self.sizes.sum()), np.uint32).astype(np.int64)
-        self.at = np.concatenate([[0], np.cumsum(self.sizes)])
+    def __init__(self, docs: list, trains: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.docs, self.trains, self.sizes, self.ids = docs, trains, sizes, ids.astype(np.int64)
+        self.at = np.concatenate([[0], np.cumsum(sizes)])
 
     def pairs(self, end: int, only_training: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(last token, token, tokens by document): each text starts after
@@ -129,8 +124,7 @@ class Block:
         counts = self.sizes + 1
         nxt = np.full(int(counts.sum()), end, np.int64)
         inner = np.ones(len(nxt), bool)
-        stops = np.cumsum(counts) - 1
-        inner[stops] = False
+        inner[np.cumsum(counts) - 1] = False
         nxt[inner] = self.ids
         last = np.concatenate([[end], nxt[:-1]])
         if only_training:
@@ -139,10 +133,26 @@ class Block:
         return last, nxt, counts
 
 
-def _each(run: Callable[[Block], None], batches: Iterator[pa.RecordBatch]) -> None:
+def _slices(part: pa.RecordBatch, row: int) -> Iterator[Slice]:
+    """The slices of a written block, the same as when it was written; only
+    one at a time is widened to 64 bits."""
+    at = lambda c: part.column(c)[row].as_py()
+    docs = at("docs")
+    trains = np.frombuffer(at("trains"), np.uint8).astype(bool)
+    sizes = np.frombuffer(at("sizes"), np.int64)
+    ids = _unpacked(at("ids"), int(sizes.sum()), np.uint32)
+    upto, done = np.concatenate([[0], np.cumsum(sizes)]), 0
+    for n in np.frombuffer(at("slices"), np.int64).tolist():
+        own = slice(done, done + n)
+        yield Slice(docs[own], trains[own], sizes[own], ids[upto[done]:upto[done + n]])
+        done += n
+
+
+def _each(run: Callable[[Slice], None], batches: Iterator[pa.RecordBatch]) -> None:
     for batch in batches:
         for row in range(batch.num_rows):
-            run(Block(batch, row))
+            for part in _slices(batch, row):
+                run(part)
 
 
 _CONTENT = ("docs", "trains", "sizes", "slices", "ids")
@@ -152,7 +162,7 @@ def _token_counts(blocks: DataFrame, size: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size + 1, np.int64)
 
-        def add(b: Block) -> None:
+        def add(b: Slice) -> None:
             total[:] += np.bincount(b.pairs(size, True)[1], minlength=size + 1)
 
         _each(add, batches)
@@ -195,7 +205,7 @@ def _pair_table(blocks: DataFrame, counts: np.ndarray, classes: Classes) -> np.n
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(LAST * (n_used + 1), np.int32)
 
-        def add(b: Block) -> None:
+        def add(b: Slice) -> None:
             last, nxt, _ = b.pairs(end, True)
             keys, n = np.unique(classes.last[last] * (n_used + 1) + classes.used[nxt], return_counts=True)
             total[keys] += n.astype(np.int32)
@@ -220,8 +230,8 @@ def _pair_table(blocks: DataFrame, counts: np.ndarray, classes: Classes) -> np.n
     return np.log10((pairs + SMOOTH * alone) / (in_class[:, column] + SMOOTH)).astype(np.float32)
 
 
-def _windows(b: Block, end: int, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(inputs, outputs, draw) of the training windows of a block: evenly
+def _windows(b: Slice, end: int, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(inputs, outputs, draw) of the training windows of a slice: evenly
     spaced in each training document, shifted by a hash of its tokens."""
     last, nxt, counts = b.pairs(end, True)
     w = attention.WINDOW
@@ -246,7 +256,7 @@ def _train(blocks: DataFrame, end: int, classes: Classes) -> attention.Parameter
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple] = []
 
-        def add(b: Block) -> None:
+        def add(b: Slice) -> None:
             x, y, draw = _windows(b, end, classes)
             kept.extend((int(d) >> 1, a.astype(np.int16).tobytes() + c.astype(np.int16).tobytes())
                         for a, c, d in zip(x, y, draw))
@@ -278,7 +288,7 @@ def _train(blocks: DataFrame, end: int, classes: Classes) -> attention.Parameter
             params, classes = own.value
             adam, seen = attention.Adam(params, rate), [0]
 
-            def add(b: Block) -> None:
+            def add(b: Slice) -> None:
                 x, y, draw = _windows(b, end, classes)
                 order = np.argsort(draw, kind="stable")
                 for at in range(0, len(order), BATCH):
@@ -360,38 +370,34 @@ def score(docs: DataFrame, id_col: str, text_col: str, trains: Column, tokenizer
             at = np.concatenate([[0], np.cumsum(sizes)])
             return piece_bytes[np.repeat(piece_at[ids] - at[:-1], sizes) + np.arange(at[-1])], at
 
+        def scored(b: Slice, times: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+            value = np.concatenate([[0], np.cumsum(np.log10(times + 1) - base)])
+            seen = np.concatenate([[0], np.cumsum(times > 0)])
+            last, nxt, sizes = b.pairs(size, False)
+            logs = scorer.log_probabilities(classes.input[last], classes.output[nxt], sizes).astype(np.float64)
+            logs = logs / np.log(10) + table[classes.last[last], classes.used[nxt]]
+            upto, stops = np.concatenate([[0], np.cumsum(logs)]), np.cumsum(sizes)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(b.docs, pa.int64()), pa.array(b.trains), pa.array(np.diff(at) + 1),
+                 pa.array(seen[at[1:]] - seen[at[:-1]] + int(n_ends > 0)), pa.array(np.full(len(sizes), n_train)),
+                 pa.array(value[at[1:]] - value[at[:-1]] + np.log10(n_ends + 1) - base),
+                 pa.array(upto[stops] - upto[stops - sizes])],
+                names=["doc_id", "trains", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
         for batch in batches:
             for row in range(batch.num_rows):
-                b = Block(batch, row)
                 parts = [(p["bucket"], _unpacked(p["counts"], p["n"], np.int64))
                          for p in batch.column("counts")[row].as_py() or []]
-                c = np.concatenate([np.zeros(0, np.int64), *[x for _, x in sorted(parts, key=lambda p: p[0])]])
-                done, found = 0, []
-                for n in b.slices:  # the same slices as before, to bound memory
-                    lo, hi = b.at[done], b.at[done + n]
-                    data, byte_at = text_of(b.ids[lo:hi])
-                    h, at = word_hashes(data, byte_at[b.at[done:done + n + 1] - lo])
-                    found.append((*np.unique(h, return_inverse=True), at))
-                    done += n
+                times_of = np.concatenate([np.zeros(0, np.int64), *[x for _, x in sorted(parts, key=lambda p: p[0])]])
+                found = []  # the distinct words of the slices; in order, all of them are those that were counted
+                for b in _slices(batch, row):
+                    data, byte_at = text_of(b.ids)
+                    h, at = word_hashes(data, byte_at[b.at])
+                    own, place = np.unique(h, return_inverse=True)
+                    found.append((own, place.astype(np.int32), at))
                 keys = np.unique(np.concatenate([f[0] for f in found]))
-                known_, base_ = [], []
-                for own, place, at in found:
-                    times = c[np.searchsorted(keys, own)][place]
-                    value = np.concatenate([[0], np.cumsum(np.log10(times + 1) - base)])
-                    seen = np.concatenate([[0], np.cumsum(times > 0)])
-                    known_.append(seen[at[1:]] - seen[at[:-1]] + (n_ends > 0))
-                    base_.append(value[at[1:]] - value[at[:-1]] + np.log10(n_ends + 1) - base)
-                n_words = np.concatenate([np.diff(f[2]) for f in found])
-                last, nxt, sizes = b.pairs(size, False)
-                logs = scorer.log_probabilities(classes.input[last], classes.output[nxt], sizes).astype(np.float64)
-                logs = logs / np.log(10) + table[classes.last[last], classes.used[nxt]]
-                upto = np.concatenate([[0], np.cumsum(logs)])
-                stops = np.cumsum(sizes)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(b.docs, pa.int64()), pa.array(b.trains), pa.array(n_words + 1),
-                     pa.array(np.concatenate(known_).astype(np.int64)), pa.array(np.full(len(sizes), n_train)),
-                     pa.array(np.concatenate(base_)), pa.array(upto[stops] - upto[stops - sizes])],
-                    names=["doc_id", "trains", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                for b, (own, place, at) in zip(_slices(batch, row), found):
+                    yield scored(b, times_of[np.searchsorted(keys, own)][place], at)
 
     by_block = words.where("block >= 0").groupBy("block").agg(
         F.collect_list(F.struct("bucket", "counts", "n")).alias("counts"))
