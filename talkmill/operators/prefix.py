@@ -20,6 +20,7 @@ result is deterministic and survives task re-execution.
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -100,11 +101,12 @@ def global_index(df: DataFrame, order: Sequence, name: str) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and continue from
-    the written copy. Used on *narrow* tables (keys + counts) that several
-    branches of one plan read (scalar totals, the two sides of a running
-    total), so the expensive lineage above them (scan + tokenise) runs
-    once; the copy survives executor loss."""
+    """Write ``df`` once to the shared folder and continue from the written
+    files. Used on *narrow* tables (keys + counts) that several branches of
+    one plan read, so the lineage above them (scan + tokenise) runs once; the
+    copy survives executor loss, and its size is known to the planner. The
+    folder is the caller's to clear after the job, like any checkpoint."""
     from talkmill.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,16 +1,13 @@
 """Session helpers.
 
 The library never creates a session on its own inside an operator; these
-helpers are for jobs, tests and the bench. Checkpoints go to the shared
-folder the cluster names in ``spark.checkpoint.dir``; a private temporary
-folder is only used when that setting is unset *and* Spark runs in local
-mode (tests, the bench).
+helpers are for jobs, tests and the bench. Written intermediate tables go to
+the shared folder the cluster names in ``spark.checkpoint.dir``; tests and
+the bench set that option themselves.
 """
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -37,25 +34,17 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting it from the session
-    conf if needed. Only a local-mode session may fall back to a fresh
-    temporary folder; on a cluster an unset folder is an error."""
+    """The shared folder for written intermediate tables: the context's
+    checkpoint folder, else what ``spark.checkpoint.dir`` names, else
+    ``talkmill-checkpoints`` in the warehouse, which executors share too."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a shared folder "
-            "(HDFS/S3/ABFS) that every executor can reach.")
-    local = tempfile.mkdtemp(prefix="talkmill-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) \
+        or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/talkmill-checkpoints"
+    sc.setCheckpointDir(named)
+    return sc.getCheckpointDir() or named
 
 
 def scale_settings(input_bytes: int, total_cores: int,

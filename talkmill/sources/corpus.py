@@ -7,12 +7,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from talkmill.operators.prefix import dense_position
+from talkmill.operators.prefix import materialize
 
 SOURCE_FILE = "source_file"
 SOURCE_ROW = "source_row"
-# Rows per numbering block (bounded window size for the dense index).
-DEFAULT_BLOCK_ROWS = 1 << 20
+# Rows per numbering block: what one bitmap of kept rows holds.
+DEFAULT_BLOCK_ROWS = 32768
 
 
 def scan_corpus(spark: SparkSession, path: str, schema: StructType | None = None,
@@ -29,7 +29,9 @@ def scan_corpus(spark: SparkSession, path: str, schema: StructType | None = None
     try:
         df = reader.parquet(target)
     except AnalysisException as exc:
-        raise FileNotFoundError(f"No parquet files found under {path}") from exc
+        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            raise FileNotFoundError(f"corpus folder {path} holds no parquet data") from exc
+        raise
     if with_position:
         df = df.withColumn(SOURCE_FILE, F.col("_metadata.file_path")).withColumn(
             SOURCE_ROW, F.col("_metadata.row_index"))
@@ -51,46 +53,69 @@ def skipped_count(df: DataFrame, col: str = "text") -> Column:
     return F.sum(F.when(non_empty(col), 0).otherwise(1)).cast("bigint")
 
 
+def _file_order(col: str = SOURCE_FILE) -> Column:
+    """The file's plain name: the metadata column has it percent-encoded."""
+    return F.expr(f"url_decode(replace({col}, '+', '%2B'))")
+
+
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Deal the rows out by (file, row) when the scan has fewer partitions
+    than the cluster has cores (a few files of one row group each); a larger
+    scan is left as it is, so its text is not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, SOURCE_FILE, SOURCE_ROW)
+
+
 def sample_index(df: DataFrame, name: str = "sample_index",
                  block_rows: int = DEFAULT_BLOCK_ROWS, limit: int | None = None) -> DataFrame:
     """A3: dense 0-based index over the rows of ``df`` in (file, row) order.
 
-    Blocks of ``block_rows`` rows of one file bound each window, so a file
-    holding a third of the corpus still spreads over many tasks; only the
-    per-block counts (one row per block) are ordered globally.
-
-    With ``limit`` (A4) only rows with index < limit are returned, and the
-    blocks that cannot hold one are dropped *before* the shuffle: the
-    per-block counts (a partial aggregation) give every block's offset, and
-    a semi-join with the blocks whose offset is below the limit (a small
-    table; AQE broadcasts it) keeps a prefix of blocks, whose dense
-    positions are the global ones."""
-    # coalesce only marks the keys non-nullable (neither is ever null), so
-    # the offsets join is a plain equi-join
-    blk = F.coalesce(F.floor(F.col(SOURCE_ROW) / F.lit(block_rows)).cast("bigint"), F.lit(0))
-    keyed = df.withColumn("_blk", blk).withColumn(
-        SOURCE_FILE, F.coalesce(F.col(SOURCE_FILE), F.lit("")))
+    No text is shuffled for it. From (file, row) alone, one row per block of
+    ``block_rows`` rows of a file is aggregated: how many rows the block
+    keeps, and, where some are missing (A5), a bitmap of the kept ones. Their
+    running sum gives every block's offset; a row's index is the offset plus
+    the number of kept rows before it in its block. The block table (about
+    50 bytes a block, 4 KB with gaps) is written once, so its size is known
+    when Spark chooses how to join it: below the broadcast threshold the rows
+    stay where they are.
+
+    With ``limit`` (A4) only rows with index < limit are returned; blocks
+    that cannot hold one drop out in the join."""
+    if not 1 <= block_rows <= DEFAULT_BLOCK_ROWS:
+        raise ValueError(f"block_rows must be from 1 to {DEFAULT_BLOCK_ROWS}")
+    if limit is not None and limit < 0:
+        raise ValueError("limit must be non-negative.")
+    keyed = df.withColumn(SOURCE_FILE, F.coalesce(F.col(SOURCE_FILE), F.lit(""))).withColumn(
+        "_blk", F.coalesce(F.floor(F.col(SOURCE_ROW) / block_rows).cast("bigint"), F.lit(0))).withColumn(
+        "_pos", (F.col(SOURCE_ROW) % block_rows).cast("bigint"))
+    blocks = keyed.groupBy(SOURCE_FILE, "_blk").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_pos").alias("_last"),
+        F.expr("bitmap_construct_agg(_pos)").alias("_bits"))
+    prior = Window.orderBy(_file_order(), "_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(blocks.select(
+        SOURCE_FILE, "_blk", F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off"),
+        F.when(F.col("_n") <= F.col("_last"), F.col("_bits")).alias("_bits")))
     if limit is not None:
-        if limit < 0:
-            raise ValueError("limit must be non-negative.")
-        counts = keyed.groupBy(SOURCE_FILE, "_blk").agg(F.count(F.lit(1)).alias("_n"))
-        prior = Window.orderBy(SOURCE_FILE, "_blk").rowsBetween(Window.unboundedPreceding, -1)
-        wanted = counts.select(SOURCE_FILE, "_blk",
-                               F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off")) \
-            .where(F.col("_off") < F.lit(limit)).select(SOURCE_FILE, "_blk")
-        keyed = keyed.join(wanted, on=[SOURCE_FILE, "_blk"], how="left_semi")
-    out = dense_position(keyed, order=[SOURCE_ROW], bucket=[SOURCE_FILE, "_blk"], name=name)
+        offsets = offsets.where(F.col("_off") < F.lit(limit))
+    joined = keyed.join(offsets, on=[SOURCE_FILE, "_blk"], how="inner")
+    whole = F.expr("bitmap_count(substring(_bits, 1, cast(_pos div 8 as int)))")
+    part = F.expr("bit_count(cast(conv(hex(substring(_bits, cast(_pos div 8 as int) + 1, 1)), 16, 10) as int) "
+                  "& (shiftleft(1, cast(_pos % 8 as int)) - 1))")
+    before = F.when(F.col("_bits").isNull(), F.col("_pos")).otherwise(whole + part)
+    out = joined.withColumn(name, (F.col("_off") + before).cast("bigint"))
     if limit is not None:
         out = out.where(F.col(name) < F.lit(limit))
-    return out.drop("_blk")
+    return out.drop("_blk", "_pos", "_off", "_bits")
 
 
 def samples(spark: SparkSession, path: str, text_col: str = "text",
             block_rows: int = DEFAULT_BLOCK_ROWS, limit: int | None = None) -> DataFrame:
     """A1 + A5 + A3 (+ A4 with ``limit``): the reference's sample stream as
     a table."""
-    return sample_index(drop_empty_text(scan_corpus(spark, path), text_col),
-                        block_rows=block_rows, limit=limit)
+    rows = spread_rows(scan_corpus(spark, path))
+    return sample_index(drop_empty_text(rows, text_col), block_rows=block_rows, limit=limit)
 
 
 def max_samples(df: DataFrame, n: int | None, index: str = "sample_index") -> DataFrame:

@@ -7,10 +7,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from talkmill.session import checkpoint_dir, get_session
-    s = get_session(master="local[4]", shuffle_partitions=8, app_name="talkmill-tests")
-    checkpoint_dir(s)  # local mode: a private temporary folder
+def spark(tmp_path_factory):
+    from talkmill.session import get_session
+    s = get_session(master="local[4]", shuffle_partitions=8, app_name="talkmill-tests",
+                    extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints"))})
     yield s
     s.stop()
 

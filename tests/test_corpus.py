@@ -83,3 +83,12 @@ def test_limit_prunes_blocks_with_same_result(spark, limit):
     assert sorted([(r.sample_index, r.text) for r in full.collect()], key=str) == \
         sorted([(r.sample_index, r.text) for r in pruned.collect()], key=str)
     assert pruned.count() == min(limit, 9)
+
+
+def test_file_names_sort_as_plain_names(spark):
+    import os
+    base = shards(spark, [["first"], ["second"], ["third"]])
+    for old, new in (("part-000", "a b"), ("part-001", "a!b"), ("part-002", "a+é")):
+        os.rename(f"{base}/{old}.parquet", f"{base}/{new}.parquet")
+    got = sample_index(scan_corpus(spark, base)).orderBy("sample_index").collect()
+    assert [r.text for r in got] == ["first", "second", "third"]
