@@ -81,8 +81,7 @@ def head_tail(col, head: int = 500, tail: int = 500) -> Column:
     c = _c(col)
     limit = head + tail
     return F.when(F.length(c) > limit,
-                  F.concat(F.substring(c, 1, head), F.lit("\n... ("),
-                           (F.length(c) - limit).cast("string"),
-                           F.lit(" characters omitted) ...\n"),
+                  F.concat(F.substring(c, 1, head), F.lit(" [+"),
+                           (F.length(c) - limit).cast("string"), F.lit("] "),
                            F.substring(c, -tail, tail))
                   ).otherwise(c)

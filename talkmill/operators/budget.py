@@ -43,8 +43,8 @@ def token_subset(df: DataFrame, n_tok: str, key: str | Column, budget,
 
 
 def total_tokens(df: DataFrame, n_tok: str) -> Column:
-    """Scalar subquery: total tokens of ``df``."""
-    return df.agg(F.sum(n_tok).cast("bigint")).scalar()
+    """Scalar subquery: total tokens of ``df`` (0 for an empty one)."""
+    return df.agg(F.coalesce(F.sum(n_tok).cast("bigint"), F.lit(0))).scalar()
 
 
 def balance_1to1(a: DataFrame, b: DataFrame, n_tok: str, key_a: str | Column,
@@ -102,22 +102,25 @@ def epochs(df: DataFrame, n_tok: str, key: str, e, seed: int | str = 0,
 def blend(df: DataFrame, n_tok: str, key: str, source: str, shares: Mapping[str, float],
           target_tokens, seed: int | str = 0, bits: int = DEFAULT_BITS) -> DataFrame:
     """A mix of ``target_tokens`` tokens where each source gets its
-    normalised share whatever its size: epochs_s = quota_s / size_s, then
-    G4 per source. Shares are a literal map; source sizes are one scalar
-    subquery returning a map with one entry per listed source (its size is
-    bounded by the share list), so no row is joined on the (possibly very
-    skewed) source key. Sources without a share are left out."""
-    total_share = float(sum(shares.values()))
-    if total_share <= 0:
-        raise ValueError("shares must add up to a positive number")
-    df = materialize(df)
-    weights = {k: float(v) / total_share for k, v in shares.items()}
-    wmap = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(v))])
-    sized = df.where(F.col(source).isin(list(weights)))
-    sizes = sized.groupBy(source).agg(F.sum(n_tok).cast("bigint").alias("_s")).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(source), F.col("_s"))))).scalar()
-    sized = sized.withColumn("_size", F.element_at(sizes, F.col(source)))
-    e = (_budget(target_tokens) * F.element_at(wmap, F.col(source))) / F.col("_size")
+    share whatever its size: epochs_s = quota_s / size_s, then G4 per source.
+    Shares are normalised over the listed sources that have tokens in the
+    data, so an absent or token-less source leaves its quota to the others.
+    The sizes of the listed sources come to the driver (one number each), so
+    no row is joined on the (possibly very skewed) source key. Sources
+    without a share are left out. ``df`` is read twice: pass a narrow table
+    that is cheap to read (``materialize``)."""
+    if sum(shares.values()) <= 0 or min(shares.values()) < 0:
+        raise ValueError("shares must not be negative and must add up to a positive number")
+    listed = df.where(F.col(source).isin(list(shares)))
+    sizes = {r[source]: r["_s"] for r in listed.groupBy(source).agg(
+        F.sum(n_tok).cast("bigint").alias("_s")).collect() if r["_s"]}
+    total_share = float(sum(shares[k] for k in sizes))
+    if not total_share:
+        return df.limit(0).withColumn("copy_no", F.lit(0))
+    weights = F.create_map(*[x for k in sizes for x in (F.lit(k), F.lit(float(shares[k]) / total_share))])
+    size = F.element_at(F.create_map(*[x for k, v in sizes.items() for x in (F.lit(k), F.lit(v))]), F.col(source))
+    sized = listed.where(F.col(source).isin(list(sizes))).withColumn("_size", size)
+    e = (_budget(target_tokens) * F.element_at(weights, F.col(source))) / F.col("_size")
     out = epochs(sized.withColumn("_es", e), n_tok, key, F.col("_es"), seed, group=[source],
                  bits=bits, group_total=F.col("_size"))
     return out.drop("_es", "_size")

@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
 # Math signal — inline TeX ($...$), common TeX commands, and
-# digit-operator-digit arithmetic. URL host: text between "://" and the next
-# "/", ":", "?" or "#".
-MATH_PATTERN = (r"\$[^$\n]{1,200}\$"
+# digit-operator-digit arithmetic.
+MATH_PATTERN = (r"\$[^$\n]+\$"
                 r"|\\(?:frac|sum|int|sqrt|alpha|beta|pi|cdot|times|leq|geq)"
                 r"|[0-9]+ ?[-+*/=^] ?[0-9]+")
-HOST_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)"
 # ---------------------------------------------------------------------------
 
 
@@ -32,7 +30,9 @@ def math_signal(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def url_host(url: str = "url") -> F.Column:
-    return F.lower(F.regexp_extract(F.col(url), HOST_PATTERN, 1))
+    """Lower-case host of a URL without user and port; empty for what is no
+    URL with a host."""
+    return F.coalesce(F.lower(F.try_parse_url(F.col(url), F.lit("HOST"))), F.lit(""))
 
 
 def domain_yield(pages: DataFrame, hit: F.Column, threshold: float = 0.10,

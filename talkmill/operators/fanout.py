@@ -70,12 +70,13 @@ def token_budget(df: DataFrame, cfg: RequestConfig | None = None) -> DataFrame:
 def build_requests(df: DataFrame, cfg: RequestConfig | None = None,
                    key_cols: Sequence[str] = ("sample_index", "chunk_index", "prompt_ord",
                                               "prompt_style")) -> DataFrame:
-    """Chat request rows with a JSON payload, keyed by ``request_id``."""
+    """Chat request rows with a JSON payload. ``request_id`` hashes the
+    key columns *and* the payload, so a request with another context, style
+    text, model or setting is another request."""
     cfg = cfg or RequestConfig()
     df = render_messages(df, cfg)
-    df = df.withColumn("request_id", request_id(*key_cols))
     payload = F.to_json(F.struct(
         F.lit(cfg.model).alias("model"), F.lit(cfg.temperature).alias("temperature"),
         F.lit(cfg.top_p).alias("top_p"), F.lit(cfg.max_output_tokens).alias("max_tokens"),
         F.col("messages")))
-    return df.withColumn("payload", payload)
+    return df.withColumn("payload", payload).withColumn("request_id", request_id(*key_cols, "payload"))

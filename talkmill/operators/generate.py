@@ -6,7 +6,7 @@ from __future__ import annotations
 import json
 import random
 import time
-from concurrent.futures import ThreadPoolExecutor
+from threading import Thread
 from typing import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame
@@ -63,30 +63,42 @@ def dry_run_fanout(chunks: DataFrame, styles, context: str = "context") -> DataF
             .drop("_head", "_snip", "_head_tok", "_snip_tok"))
 
 
-def _call_with_retries(client, request: dict, max_attempts: int, backoff: float,
-                       sleep: Callable[[float], None], jitter: Callable[[], float]):
-    last_error = None
-    for attempt in range(1, max_attempts + 1):
-        try:
-            reply = client(request)
-            if not reply or not str(reply).strip():
-                raise RuntimeError("Empty response from model.")
-            return str(reply).strip(), "ok", attempt, None
-        except Exception as exc:  # noqa: BLE001 - one request must not stop the task
-            last_error = exc
-            if attempt < max_attempts:
-                sleep(backoff * attempt + jitter())
-    return None, "failed", max_attempts, f"{type(last_error).__name__}: {last_error}"
-
+def _ask_all(client, requests: list[dict], timeout: float | None) -> list[tuple[bool, str | None, str | None]]:
+    """(answered, reply, error) of requests that are asked at the same time.
+    A call that outlasts ``timeout`` seconds is left behind."""
+    outcomes: list = [(False, None, f"no answer within {timeout} s")] * len(requests)
 
-def _ship_package() -> None:
-    """Pickle this package's functions by value so Python workers need not
-    import it (a job may run from any folder; on a cluster ``--py-files``
-    is the usual way)."""
-    from pyspark import cloudpickle
-
-    import talkmill
-    cloudpickle.register_pickle_by_value(talkmill)
+    def ask(i: int) -> None:
+        try:
+            outcomes[i] = (True, str(client(requests[i]) or "").strip(), None)
+        except Exception as exc:  # noqa: BLE001 - becomes the ledger's error, E5
+            outcomes[i] = (False, None, f"{type(exc).__name__}: {exc}")
+
+    threads = [Thread(target=ask, args=(i,), daemon=True) for i in range(len(requests))]
+    until = None if timeout is None else time.monotonic() + timeout
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(None if until is None else max(0.0, until - time.monotonic()))
+    return list(outcomes)
+
+
+def _settle(client, requests: list[dict], rounds: int, wait: Callable[[int], None],
+            timeout: float | None) -> list[tuple[str | None, str, int, str | None]]:
+    """(reply, status, attempts, error) of a small group of requests. Each
+    round asks those that have no answer yet; a blank answer is an answer
+    (status ``empty``) and is not asked for again."""
+    settled: dict[int, tuple] = {}
+    for round_ in range(1, rounds + 1):
+        open_ = [i for i in range(len(requests)) if settled.get(i, ("", "failed"))[1] == "failed"]
+        if not open_:
+            break
+        if round_ > 1:
+            wait(round_ - 1)
+        for i, (answered, reply, error) in zip(open_, _ask_all(client, [requests[i] for i in open_], timeout)):
+            status = "failed" if not answered else "ok" if reply else "empty"
+            settled[i] = (reply, status, round_, error)
+    return [settled[i] for i in range(len(requests))]
 
 
 def generate_replies(requests: DataFrame, client_factory: Callable[[], Callable[[dict], str]],
@@ -94,23 +106,23 @@ def generate_replies(requests: DataFrame, client_factory: Callable[[], Callable[
                      in_flight: int = 10, partitions: int | None = None,
                      sleep: Callable[[float], None] = time.sleep,
                      jitter: Callable[[], float] = random.random,
-                     carry: Sequence[str] = ()) -> DataFrame:
+                     carry: Sequence[str] = (), timeout_seconds: float | None = 120.0) -> DataFrame:
     """E2 + E5: call a user-supplied chat client inside Spark tasks.
 
     ``client_factory()`` runs once per task (no client object travels from
     the driver) and returns ``f(request_dict) -> reply``; ``request_dict``
-    is the decoded ``payload`` of A7. Each task keeps at most ``in_flight``
-    calls open; every request gets at most ``max_attempts`` tries with a
-    ``backoff * attempt + jitter`` wait between them. A request that still
-    fails becomes a ``failed`` row with its error (dead letter), so one bad
-    item never stops the job. Only ``request_id``, ``payload`` and the small
-    ``carry`` key columns cross into Python (``carry`` comes back unchanged
-    so replies can be joined to chunks instead of to the 7x request table).
-    Results are non-deterministic: write them out (A6) before any second
-    use."""
-    if max_attempts < 1:
-        raise ValueError("max_attempts must be at least 1.")
-    _ship_package()
+    is the decoded ``payload`` of A7. A task asks ``in_flight`` requests at a
+    time and hands their rows on before it asks the next ones; with
+    ``partitions`` set, at most ``partitions * in_flight`` calls are open in
+    the whole job, otherwise in_flight times the cores. A call that takes
+    longer than ``timeout_seconds`` counts as failed. A request without an
+    answer is asked up to ``max_attempts`` times and then becomes a
+    ``failed`` row with its last error, so one bad item never stops the job.
+    Only ``request_id``, ``payload`` and the small ``carry`` columns cross
+    into Python. Results are non-deterministic: write them out (A6) before
+    any second use."""
+    if max_attempts < 1 or in_flight < 1:
+        raise ValueError("max_attempts and in_flight must be positive")
     carry = list(carry)
     slim = requests.select("request_id", "payload", *carry)
     schema = REPLY_SCHEMA + "".join(
@@ -121,20 +133,17 @@ def generate_replies(requests: DataFrame, client_factory: Callable[[], Callable[
     def run(batches: Iterator):
         import pandas as pd
         client = client_factory()
-        with ThreadPoolExecutor(max_workers=max(1, in_flight)) as pool:
-            for pdf in batches:
-                reqs = [json.loads(p) for p in pdf["payload"]]
-                outs = list(pool.map(lambda r: _call_with_retries(
-                    client, r, max_attempts, backoff_seconds, sleep, jitter), reqs))
-                out = pd.DataFrame({
-                    "request_id": pdf["request_id"].values,
-                    "reply": [o[0] for o in outs],
-                    "status": [o[1] for o in outs],
-                    "attempts": pd.array([o[2] for o in outs], dtype="int32"),
-                    "error": [o[3] for o in outs],
-                })
+        for pdf in batches:
+            for at in range(0, len(pdf), in_flight):
+                part = pdf.iloc[at:at + in_flight]
+                outs = _settle(client, [json.loads(p) for p in part["payload"]], max_attempts,
+                               lambda n: sleep(backoff_seconds * n + jitter()), timeout_seconds)
+                out = pd.DataFrame({"request_id": part["request_id"].values,
+                                    "reply": [o[0] for o in outs], "status": [o[1] for o in outs],
+                                    "attempts": pd.array([o[2] for o in outs], dtype="int32"),
+                                    "error": [o[3] for o in outs]})
                 for c in carry:
-                    out[c] = pdf[c].values
+                    out[c] = part[c].values
                 yield out
 
     return slim.mapInPandas(run, schema)

@@ -9,13 +9,14 @@ rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmill.functions.text import words
-from talkmill.operators.prefix import running_total
+from talkmill.operators.prefix import materialize, running_total
 
 
 def _r(c: Column, digits: int = 6) -> Column:
@@ -88,94 +89,78 @@ def score_histogram(filtered: DataFrame, mean: str = "mean_score",
                     _r(high / F.sum("n").over(tot)).alias("share_high"))
 
 
-def average_ranks(df: DataFrame, col: str, out: str, bits: int = 8) -> DataFrame:
-    """Average-tie ranks (1-based) of ``col``: (#smaller values) + (count+1)/2.
-
-    Ranks come from the distinct-value counts: a prefix sum over values in
-    sorted order, cut into value-range buckets from approximate quantiles
-    (a few hundred boundaries reach the driver, never the data); the ranks
-    are then joined back on the value."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).cast("bigint").alias("_cnt"))
-    probs = [i / (1 << bits) for i in range(1, 1 << bits)]
-    bounds = sorted(set(v for v in counts.approxQuantile(col, probs, 0.001) if v is not None))
-    if bounds:
-        arr = F.array(*[F.lit(float(b)) for b in bounds])
-        bucket = F.size(F.filter(arr, lambda b: b <= F.col(col).cast("double")))
-    else:
-        bucket = F.lit(0)
-    c = counts.withColumn("_vb", bucket)
-    ranked = running_total(c, F.col("_cnt"), order=[col], bucket=["_vb"], before="_lt")
-    ranks = ranked.select(col, (F.col("_lt") + (F.col("_cnt") + 1) / 2.0).alias(out))
-    return df.join(ranks, on=col, how="inner")
+def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
+    """Average-tie ranks (1-based) of a value-count table: (#smaller values)
+    + (count + 1) / 2. ``df`` has one row per value with its count ``_cnt``;
+    a range-partitioned sort orders the values, and the counts of its
+    partitions give the offsets, so the number of tasks follows the data."""
+    sorted_ = materialize(df.repartitionByRange(col).sortWithinPartitions(col).select(
+        col, "_cnt", F.monotonically_increasing_id().alias("_at")))
+    part = sorted_.withColumn("_part", F.shiftright("_at", 33))
+    ranked = running_total(part, F.col("_cnt"), order=["_at"], bucket=["_part"], before="_lt")
+    return ranked.select(col, (F.col("_lt") + (F.col("_cnt") + 1) / 2.0).alias(out))
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """F8: Spearman correlation with average ranks for ties (Pearson on
-    ranks; rows with a null on either side are left out)."""
-    d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    d = average_ranks(d, x, "_rx")
-    d = average_ranks(d, y, "_ry")
-    return d.agg(F.count(F.lit(1)).cast("bigint").alias("n"),
-                 _r(F.corr("_rx", "_ry")).alias("spearman"))
-
-
-def _gram_structs(words: Column, n_max: int, src: Column) -> Column:
-    """ARRAY<STRUCT<n, gram, src>> of all n-grams (n = 1..n_max) of a word list."""
-    per_n = F.transform(F.sequence(F.lit(1), F.lit(n_max)), lambda n: F.when(
-        F.size(words) >= n,
-        F.transform(F.sequence(F.lit(1), F.size(words) - n + 1),
-                    lambda i: F.struct(n.alias("n"), F.array_join(F.slice(words, i, n), " ")
-                                       .alias("gram"), src.alias("src"))))
-        .otherwise(F.array()))
-    return F.flatten(per_n)
-
-
-def overlap_counts(df: DataFrame, key: Sequence[str], hyp: str, ref: str,
-                   group: str, groups: Sequence[str], n_max: int = 4) -> DataFrame:
+    ranks; rows with a null on either side are left out). The ranks meet the
+    counted pairs of values, not the rows, so a value that many rows share is
+    a few rows here."""
+    pairs = materialize(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(x, y).agg(
+        F.count(F.lit(1)).cast("bigint").alias("_w")))
+    ranks = [average_ranks(pairs.groupBy(c).agg(F.sum("_w").cast("bigint").alias("_cnt")), c, r)
+             for c, r in ((x, "_rx"), (y, "_ry"))]
+    d = pairs.join(ranks[0], on=x).join(ranks[1], on=y)
+    n, rx, ry, w = F.sum("_w"), F.col("_rx"), F.col("_ry"), F.col("_w")
+    mean = (n + 1) / 2.0  # ranks are 1..n, ties share their mean
+    sums = d.agg(F.coalesce(n, F.lit(0)).cast("bigint").alias("n"), mean.alias("m"),
+                 F.sum(w * rx * ry).alias("xy"), F.sum(w * rx * rx).alias("xx"), F.sum(w * ry * ry).alias("yy"))
+    square = F.col("n") * F.col("m") * F.col("m")
+    corr = F.try_divide(F.col("xy") - square, F.sqrt((F.col("xx") - square) * (F.col("yy") - square)))
+    return sums.select("n", _r(corr).alias("spearman"))
+
+
+def overlap_counts(df: DataFrame, hyp: str, ref: str, group: str, n_max: int = 4) -> DataFrame:
     """Clipped n-gram matches per (group, n): the sum over rows and grams of
     least(count in hypothesis, count in reference), with the hypothesis and
-    reference n-gram totals.
-
-    Plan: (1) one row per context key with its reference once and its
-    hypotheses as a list — a group holds one context's styles, and the
-    map-side partial aggregation folds the repeated reference before the
-    shuffle; (2) all grams of that row are generated in place; (3) the
-    count by (key, n, gram) needs no second shuffle, because the data is
-    already hash-partitioned by key; (4) only a (n)-level table moves to
-    the final sum. Totals ride along in the same pass: a bit mask of the
-    styles present in a context says which reference grams count towards
-    which style. Assumes one hypothesis per (key, group)."""
-    key, groups = list(key), list(groups)
-    gidx = F.lit(-1)
-    for i, g in reversed(list(enumerate(groups))):
-        gidx = F.when(F.col(group) == F.lit(g), F.lit(i)).otherwise(gidx)
-    ctx = df.select(*key, ref, gidx.alias("_g"), hyp).where(F.col("_g") >= 0).groupBy(*key).agg(
-        F.any_value(ref).alias("_ref"),
-        F.collect_list(F.struct(F.col("_g").alias("g"), F.col(hyp).alias("h"))).alias("_hyps"))
-    ctx = ctx.select(*key, words("_ref").alias("_rw"), F.transform(
-        "_hyps", lambda x: F.struct(x["g"].alias("g"), words(x["h"]).alias("w"))).alias("_hw"))
-    grams = F.concat(_gram_structs(F.col("_rw"), n_max, F.lit(-1)),
-                     F.flatten(F.transform("_hw", lambda x: _gram_structs(x["w"], n_max, x["g"]))))
-    mask = F.aggregate("_hw", F.lit(0).cast("bigint"),
-                       lambda acc, x: acc.bitwiseOR(F.pow(F.lit(2), x["g"]).cast("bigint")))
-    exploded = ctx.select(*key, mask.alias("_mask"), F.inline(grams))
-    counted = exploded.groupBy(*key, "_mask", "n", "gram").agg(
-        F.sum((F.col("src") == -1).cast("int")).alias("_r"),
-        *[F.sum((F.col("src") == i).cast("int")).alias(f"_c{i}") for i in range(len(groups))])
-
-    def has(i: int) -> Column:
-        return F.shiftright(F.col("_mask"), i).bitwiseAND(F.lit(1))
-    per_n = counted.groupBy("n").agg(*[x for i in range(len(groups)) for x in (
-        F.sum(F.least(F.col(f"_c{i}"), F.col("_r"))).alias(f"_m{i}"),
-        F.sum(f"_c{i}").alias(f"_h{i}"),
-        F.sum(F.col("_r") * has(i)).alias(f"_t{i}"))])
-    out = per_n.select("n", F.inline(F.array(*[
-        F.struct(F.lit(g).alias(group), F.col(f"_m{i}").alias("matches"),
-                 F.col(f"_h{i}").alias("hyp_grams"), F.col(f"_t{i}").alias("ref_grams"))
-        for i, g in enumerate(groups)])))
-    return out.select(group, F.col("n").cast("int").alias("n"),
-                      *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-                        for c in ("matches", "hyp_grams", "ref_grams")])
+    reference n-gram totals of the rows.
+
+    Every row is one (hypothesis, reference) pair, so two hypotheses of one
+    group and context both count, and the groups are those of the data. The
+    words are split in the JVM; the multiset intersection of a row's grams,
+    which no built-in expresses, is counted in a small Arrow helper that
+    keeps sums per group. Rows of one context stand together after the
+    fan-out, so their reference is counted once. Nothing but those sums is
+    shuffled."""
+    pairs = df.select(F.col(group).cast("string").alias("g"), F.array_join(words(ref), " ").alias("r"),
+                      F.array_join(words(hyp), " ").alias("h"))
+
+    def grams(text: str) -> list:
+        w = text.split(" ") if text else []
+        return [Counter(zip(*(w[i:] for i in range(n)))) for n in range(1, n_max + 1)]
+
+    def count(batches):
+        import pyarrow as pa
+        sums: dict = {}
+        last, of_last = None, []
+        for batch in batches:
+            for g, r, h in zip(*(batch.column(c).to_pylist() for c in ("g", "r", "h"))):
+                if r != last:
+                    last, of_last = r, grams(r or "")
+                for n, (a, b) in enumerate(zip(grams(h or ""), of_last), start=1):
+                    t = sums.setdefault((g, n), [0, 0, 0])
+                    t[0] += sum(min(c, b[x]) for x, c in a.items() if x in b)
+                    t[1] += a.total()
+                    t[2] += b.total()
+        keys = list(sums)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([g for g, _ in keys], pa.string()), pa.array([n for _, n in keys], pa.int32()),
+             *(pa.array([sums[k][i] for k in keys], pa.int64()) for i in range(3))],
+            names=["g", "n", "matches", "hyp_grams", "ref_grams"])
+
+    counted = pairs.mapInArrow(count, "g string, n int, matches long, hyp_grams long, ref_grams long")
+    return counted.groupBy(F.col("g").alias(group), "n").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("matches", "hyp_grams", "ref_grams")])
 
 
 def bleu(counts: DataFrame, group: str, n_max: int = 4) -> DataFrame:
@@ -207,16 +192,14 @@ def rouge_n(counts: DataFrame, group: str) -> DataFrame:
                          _r(f).alias("f1"))
 
 
-def scorecard(results: DataFrame, groups: dict[str, Sequence[str]], baseline: str,
-              dataset: str = "dataset", task: str = "task", score: str = "score") -> DataFrame:
+def scorecard(results: DataFrame, task_group: Column, baseline: str,
+              dataset: str = "dataset", score: str = "score") -> DataFrame:
     """average score per (dataset, task group) and the gain over the
-    baseline dataset. ``groups`` maps a group name to its tasks; the group
-    map is a literal (no join) and the baseline is a self-join of the small
-    per-group table."""
-    pairs = [(t, g) for g, ts in groups.items() for t in ts]
-    gmap = F.create_map(*[x for t, g in pairs for x in (F.lit(t), F.lit(g))])
-    tagged = results.withColumn("task_group", F.element_at(gmap, F.col(task))) \
-        .where(F.col("task_group").isNotNull())
+    baseline dataset. ``task_group`` is an expression over the result rows
+    (``task_groups`` makes one from a dict); rows where it is null are in
+    group ``other``. The baseline is a self-join of the small per-group
+    table."""
+    tagged = results.withColumn("task_group", F.coalesce(task_group, F.lit("other")))
     avg = tagged.groupBy(dataset, "task_group").agg(F.avg(score).alias("_avg"),
                                                     F.count(F.lit(1)).cast("bigint").alias("n_tasks"))
     base = avg.where(F.col(dataset) == F.lit(baseline)).select(
@@ -226,6 +209,12 @@ def scorecard(results: DataFrame, groups: dict[str, Sequence[str]], baseline: st
                       _r(F.col("_avg") - F.col("_base")).alias("gain"))
 
 
+def task_groups(groups: dict[str, Sequence[str]], task: str = "task") -> Column:
+    """Group of a task from a dict of group names and their tasks."""
+    pairs = [(t, g) for g, ts in groups.items() for t in ts]
+    return F.element_at(F.create_map(*[x for t, g in pairs for x in (F.lit(t), F.lit(g))]), F.col(task))
+
+
 def majority_answer(df: DataFrame, question: str, answer: str) -> DataFrame:
     """most frequent answer per question; ties go to the smallest
     answer. Votes are counted with a partial aggregation, then one more

@@ -12,7 +12,6 @@ from talkmill.functions.text import count_tokens, py_strip
 
 RECORD_COLUMNS = ("sample_index", "chunk_index", "prompt_style", "context", "conversation",
                   "created_at")
-ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
 def utc_now_iso() -> Column:
@@ -49,8 +48,8 @@ def classify_replies(df: DataFrame, reply_col: str = "conversation", min_tokens:
     n_tok = tokens if tokens is not None else count_tokens(F.col(reply_col))
     out = df.withColumn("conversation_tokens", n_tok.cast("int"))
     out = filter_chain(out, [min_token_filter(min_tokens)] + list(extra))
-    failed = F.col("status") == F.lit("failed") if "status" in df.columns else F.lit(False)
-    status = (F.when(failed, F.lit("failed"))
+    lost = F.col("status").isin("failed", "missing") if "status" in df.columns else F.lit(False)
+    status = (F.when(lost, F.col("status") if "status" in df.columns else F.lit("failed"))
               .when(F.col(reply_col).isNull() | (stripped == F.lit("")), F.lit("empty"))
               .when(F.col("rejected_by").isNotNull(), F.lit("filtered"))
               .otherwise(F.lit("kept")))
@@ -84,10 +83,19 @@ def pair_context(conversations: DataFrame, chunks: DataFrame,
 
 
 def pending_only(requests: DataFrame, done: DataFrame, key: str = "request_id") -> DataFrame:
-    """Requests whose key is not in an earlier run's output."""
+    """Requests whose key is not in ``done`` (an earlier run's answers)."""
     return requests.join(done.select(key), on=key, how="left_anti")
 
 
+def best_replies(replies: DataFrame, key: str = "request_id") -> DataFrame:
+    """One row per request from the replies of several runs: an answer wins
+    over an empty one, that over a failure; then the fewest attempts."""
+    rank = F.when(F.col("status") == "ok", 0).when(F.col("status") == "empty", 1).otherwise(2)
+    row = F.struct(rank.alias("r"), F.col("attempts"), F.col("reply"), F.col("status"), F.col("error"))
+    best = replies.groupBy(key).agg(F.min(row).alias("b"))
+    return best.select(key, *[F.col("b")[c].alias(c) for c in ("reply", "status", "attempts", "error")])
+
+
 def stat_columns() -> list[Column]:
     """F1 counters as aggregate expressions (shared by ``run_stats`` and
     the observed write).
@@ -103,7 +111,7 @@ def stat_columns() -> list[Column]:
         n(first_style).alias("chunks_generated"),
         n(F.col("status") == "kept").alias("conversations_kept"),
         n(F.col("status") == "filtered").alias("conversations_filtered"),
-        n(F.col("status") == "failed").alias("conversations_failed"),
+        n(F.col("status").isin("failed", "missing")).alias("conversations_failed"),
         n(F.col("status") == "empty").alias("conversations_empty"),
     ]
 

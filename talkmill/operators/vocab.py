@@ -26,46 +26,30 @@ def build_vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
     return global_index(counts, [F.col("count").desc(), F.col("token").asc()], "id")
 
 
-# Vocabularies up to this many entries are broadcast to every task (about
-# 100 bytes per entry in the hashed relation); larger ones are joined.
-MAX_BROADCAST_VOCAB = 2_000_000
-
-
-def _lookup_plan(df: DataFrame, key: str, vocab: DataFrame, max_broadcast: int):
-    """(rows to explode, vocabulary side, regroup needs a shuffle?).
-
-    With a small vocabulary (size checked by a count of the vocabulary,
-    which is a written table after ``build_vocabulary``), rows are
-    hash-partitioned by ``key`` once, the exploded pieces meet the
-    broadcast vocabulary in place, and the regroup by ``key`` finds its
-    distribution already satisfied: one text-sized shuffle instead of two
-    piece-level ones. Beyond the bound, the pieces are joined to the
-    vocabulary by a shuffle join (AQE splits hot pieces)."""
-    if vocab.count() <= max_broadcast:
-        return df.repartition(key), F.broadcast(vocab)
-    return df, vocab
-
-
-def encode_ids(df: DataFrame, vocab: DataFrame, key: str, text: str = "text",
-               max_broadcast: int = MAX_BROADCAST_VOCAB) -> DataFrame:
-    """Text -> ``ids ARRAY<BIGINT>`` in token order (unknown pieces are
-    dropped; a vocabulary built on the same text has them all)."""
+UNKNOWN_ID = -1
+
+
+def encode_ids(df: DataFrame, vocab: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """Text -> ``ids ARRAY<BIGINT>`` in token order. Pieces outside the
+    vocabulary become ``UNKNOWN_ID``; a document without pieces keeps an
+    empty list. One join on the piece: Spark chooses its kind from measured
+    sizes, and splits hot pieces."""
     v = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_vid"))
-    rows, v = _lookup_plan(df.select(key, text), key, v, max_broadcast)
-    ex = rows.select(key, F.posexplode(tokenize(text)).alias("_pos", "_tok"))
-    j = ex.join(v, on="_tok", how="inner")
-    g = j.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", "_vid"))).alias("_p"))
+    ex = df.select(key, F.posexplode_outer(tokenize(text)).alias("_pos", "_tok"))
+    known = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_vid", F.lit(UNKNOWN_ID)).alias("_vid")))
+    g = ex.join(v, on="_tok", how="left").groupBy(key).agg(F.array_sort(F.collect_list(known)).alias("_p"))
     return g.select(key, F.transform("_p", lambda p: p["_vid"]).alias("ids"))
 
 
-def decode_ids(df: DataFrame, vocab: DataFrame, key: str, ids: str = "ids",
-               max_broadcast: int = MAX_BROADCAST_VOCAB) -> DataFrame:
-    """Id list -> text (concatenation of the pieces; lossless)."""
+def decode_ids(df: DataFrame, vocab: DataFrame, key: str, ids: str = "ids") -> DataFrame:
+    """Id list -> text (the pieces joined; lossless for known ids). An id
+    outside the vocabulary raises; a document without ids has empty text."""
     v = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_vid"))
-    rows, v = _lookup_plan(df.select(key, ids), key, v, max_broadcast)
-    ex = rows.select(key, F.posexplode(ids).alias("_pos", "_vid"))
-    j = ex.join(v, on="_vid", how="inner")
-    g = j.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", "_tok"))).alias("_p"))
+    ex = df.select(key, F.posexplode_outer(ids).alias("_pos", "_vid"))
+    piece = F.coalesce("_tok", F.raise_error(F.concat(
+        F.lit("id is not in the vocabulary: "), F.col("_vid").cast("string"))).cast("string"))
+    known = F.when(F.col("_pos").isNotNull(), F.struct("_pos", piece.alias("_tok")))
+    g = ex.join(v, on="_vid", how="left").groupBy(key).agg(F.array_sort(F.collect_list(known)).alias("_p"))
     return g.select(key, F.array_join(F.transform("_p", lambda p: p["_tok"]), "").alias("text"))
 
 

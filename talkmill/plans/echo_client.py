@@ -1,5 +1,4 @@
-"""A deterministic stand-in for a chat endpoint, used by the registered
-E2/E5 queries and the tests. It answers every request with a two-turn
+"""A deterministic stand-in for a chat endpoint, used by the tests. It answers every request with a two-turn
 dialogue about the size of the user message and fails (every attempt)
 when that size is a multiple of seven, so the retry and dead-letter paths
 run on real data."""

@@ -2,15 +2,15 @@
 -> filter -> records, plus the run counters.
 
 Physical shape (see ``explain``): parquet scan (text + position columns
-only) -> one shuffle for the dense sample index -> tokenise, window and
-fan out in one codegen stage -> dry-run reply / filter / record in the
-same stage. Only the model-client path (E2) leaves the JVM, and its
+only) -> join with the small block table of the dense index -> tokenise,
+window and fan out in one codegen stage -> dry-run reply / filter / record
+in the same stage. Only the model-client path (E2) leaves the JVM, and its
 output is written before it is read again.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +21,8 @@ from talkmill.operators.chunking import ChunkConfig, chunk_windows
 from talkmill.operators.fanout import RequestConfig, build_requests, prompt_fanout
 from talkmill.operators.generate import dry_run_fanout, generate_replies
 from talkmill.operators.records import classify_replies, conversation_record, run_stats
-from talkmill.sources.corpus import DEFAULT_BLOCK_ROWS, samples
+from talkmill.sources.corpus import DEFAULT_BLOCK_ROWS, SOURCE_FILE, SOURCE_ROW, samples
+from talkmill.sources.sinks import path_exists
 
 
 @dataclass(frozen=True)
@@ -84,23 +85,26 @@ def model_run(spark: SparkSession, path: str, replies_path: str,
               cfg: GenerationConfig | None = None, partitions: int | None = None,
               **client_opts) -> DataFrame:
     """E2 path: build requests, call the client inside tasks, append the
-    replies to ``replies_path`` (shared storage) once, then pair every reply
-    with its context from the chunk table (D3: a join on the chunk key, one
-    row per chunk, rather than on the 7x request table) and classify.
-    Re-running with the same path only calls the model for requests that
-    have no reply yet (D4)."""
-    from talkmill.operators.records import pair_context, pending_only
+    replies to ``replies_path`` (shared storage), then give every request *of
+    this run* its best stored reply (D2) and its context (D3) and classify.
+
+    A request is known by its file, row, window, style and payload, so a
+    rerun asks only what has no answer yet (D4): changed windows, styles,
+    models or settings are new requests, failed ones are asked again, and
+    stored replies of other runs are left alone."""
+    from talkmill.operators.records import attach_replies, best_replies, pair_context, pending_only
     cfg = cfg or GenerationConfig()
-    chunks = chunk_table(spark, path, cfg)
-    requests = build_requests(prompt_fanout(chunks, cfg.styles()), cfg.request)
-    try:
-        done = spark.read.parquet(replies_path)
-    except Exception:  # noqa: BLE001 - first run: nothing written yet
-        done = None
-    todo = requests if done is None else pending_only(requests, done)
-    keys = ("sample_index", "chunk_index", "prompt_ord", "prompt_style")
-    generate_replies(todo, client_factory, partitions=partitions, carry=keys, **client_opts) \
+    placed = replace(cfg, carry=tuple(dict.fromkeys((*cfg.carry, SOURCE_FILE, SOURCE_ROW))))
+    chunks = chunk_table(spark, path, placed)
+    requests = build_requests(prompt_fanout(chunks, cfg.styles()), cfg.request,
+                              key_cols=(SOURCE_FILE, SOURCE_ROW, "chunk_index", "prompt_ord"))
+    todo = requests
+    if path_exists(spark, replies_path):
+        todo = pending_only(requests, spark.read.parquet(replies_path).where(F.col("status") == "ok"))
+    generate_replies(todo, client_factory, partitions=partitions, **client_opts) \
         .write.mode("append").parquet(replies_path)
-    replies = spark.read.parquet(replies_path).withColumnRenamed("reply", "conversation")
-    paired = pair_context(replies, chunks, cols=("context", "context_tokens", *cfg.carry))
+    replies = best_replies(spark.read.parquet(replies_path))
+    keys = ("sample_index", "chunk_index", "prompt_ord", "prompt_style")
+    answered = attach_replies(requests.select("request_id", *keys), replies)
+    paired = pair_context(answered, chunks, cols=("context", "context_tokens", *cfg.carry))
     return classify_replies(paired, "conversation", cfg.min_conversation_tokens)

@@ -5,12 +5,13 @@
         [--chunk-overlap 50] [--min-conversation-tokens 50] [--overwrite]
         [--client module:factory] [--model NAME] [--temperature 1.0]
         [--top-p 0.9] [--max-output-tokens 2048] [--max-attempts 3]
-        [--in-flight 10] [--partitions N]
+        [--in-flight 10] [--timeout 120] [--partitions N]
 
 Everything is validated before any output is touched. The run counters
 are printed as one JSON line. With ``--client``, ``factory()`` must return
 ``f(request_dict) -> reply``; replies go to ``OUT_replies`` first so a
-rerun only calls the model for requests without a reply.
+rerun only calls the model for requests without an answer. Existing output
+is refused before any work starts.
 """
 
 from __future__ import annotations
@@ -44,6 +45,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--max-output-tokens", type=int, default=2048)
     ap.add_argument("--max-attempts", type=int, default=3)
     ap.add_argument("--in-flight", type=int, default=10)
+    ap.add_argument("--timeout", type=float, default=120.0, help="seconds a model call may take")
     ap.add_argument("--partitions", type=int)
     ap.add_argument("--master", default=None, help="only for local runs, e.g. local[8]")
     return ap.parse_args(argv)
@@ -73,8 +75,10 @@ def run(argv: list[str]) -> dict:
 
     from talkmill.plans.generation import GenerationConfig, dry_run_table, model_run
     from talkmill.session import get_session
-    from talkmill.sources.sinks import write_records_with_stats
+    from talkmill.sources.sinks import path_exists, write_records_with_stats
     spark = get_session(a.master) if a.master else SparkSession.builder.getOrCreate()
+    if not a.overwrite and path_exists(spark, a.output):
+        raise FileExistsError(f"there is output in {a.output} already; --overwrite replaces it")
     cfg = GenerationConfig(chunk=chunk, request=request,
                            min_conversation_tokens=a.min_conversation_tokens,
                            style_names=tuple(a.styles) if a.styles else None,
@@ -84,7 +88,7 @@ def run(argv: list[str]) -> dict:
     else:
         classified = model_run(spark, a.dataset_dir, a.output.rstrip("/") + "_replies", factory,
                                cfg, partitions=a.partitions, max_attempts=a.max_attempts,
-                               in_flight=a.in_flight)
+                               in_flight=a.in_flight, timeout_seconds=a.timeout)
     return write_records_with_stats(classified, a.output, overwrite=a.overwrite)
 
 

@@ -202,9 +202,9 @@ def _request_sql() -> str:
             f"{{'role': 'user', 'content': {o.user_msg()}}}]")
     return (o.with_("fanout") +
             "SELECT sha256(concat_ws(chr(1), CAST(sample_index AS VARCHAR), CAST(chunk_index AS VARCHAR), "
-            "CAST(prompt_ord AS VARCHAR), prompt_style)) AS request_id, prompt_style, "
+            "CAST(prompt_ord AS VARCHAR), prompt_style, payload)) AS request_id, prompt_style, payload FROM (SELECT *, "
             f"CAST(to_json({{'model': '{RequestConfig().model}', 'temperature': 1.0, 'top_p': 0.9, "
-            f"'max_tokens': 2048, 'messages': {msgs}}}) AS VARCHAR) AS payload FROM fanout")
+            f"'max_tokens': 2048, 'messages': {msgs}}}) AS VARCHAR) AS payload FROM fanout)")
 
 
 @register("a7_request_sink", _request_sql())

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from talkmill.functions.text import count_tokens
 from talkmill.operators import budget as B
 from talkmill.operators import metrics as M
-from talkmill.operators.curation import (MATH_PATTERN, domain_yield, math_signal,
+from talkmill.operators.curation import (MATH_PATTERN, domain_additions, domain_yield, math_signal,
                                          quality_subset, score_quality, train_quality_model)
 from talkmill.operators.dialogue import HEADER, TAG, assemble_dialogue, split_turns, turn_stats
-from talkmill.operators.fanout import RequestConfig, build_requests, request_id
-from talkmill.operators.generate import generate_replies, resolve_attempts
+from talkmill.operators.fanout import request_id
+from talkmill.operators.generate import resolve_attempts
 from talkmill.operators.records import attach_replies, pair_context, pending_only
 from talkmill.operators.prefix import materialize
 from talkmill.operators.select import (all_conversations, combine_corpora, concat_context,
@@ -23,8 +23,7 @@ from talkmill.operators.select import (all_conversations, combine_corpora, conca
 from talkmill.operators.vocab import (build_vocabulary, decode_ids, encode_ids,
                                       normalize_tokens, pick_token_column)
 from talkmill.plans import oracle as o
-from talkmill.plans.echo_client import echo_client_factory, no_jitter, no_wait
-from talkmill.plans.generation import chunk_table, fanout_table
+from talkmill.plans.generation import chunk_table
 from talkmill.plans.queries import CFG, register
 from talkmill.plans.tables import (attempt_ledger, corpus, dialogue_table, documents_path,
                                    judge_scores, kept_dialogues, table)
@@ -165,17 +164,12 @@ def g4(spark, sf):
         "doc_id", F.col("copy_no").cast("int"), "n_tok")
 
 
-SHARES = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
-
-
 def _g5_sql() -> str:
-    tot = sum(SHARES.values())
-    w = ", ".join(f"('{k}', CAST({v / tot!r} AS DOUBLE))" for k, v in SHARES.items())
     ck = "CAST(doc_id AS VARCHAR) || ':' || CAST(copy_no AS VARCHAR)"
-    langs = ", ".join(f"'{k}'" for k in SHARES)
     return (f"WITH a AS (SELECT doc_id, lang, CAST({o.ntok('text')} AS BIGINT) AS n_tok FROM documents), "
-            f"d AS (SELECT * FROM a WHERE lang IN ({langs})), "
-            f"w AS (SELECT * FROM (VALUES {w}) v(lang, w)), "
+            "d AS (SELECT * FROM a WHERE lang IN (SELECT lang FROM a GROUP BY lang HAVING sum(n_tok) > 0)), "
+            "w AS (SELECT lang, CAST(1 AS DOUBLE) / CAST(count(*) OVER () AS DOUBLE) AS w "
+            "FROM (SELECT DISTINCT lang FROM d)), "
             "s AS (SELECT lang, sum(n_tok) AS size FROM d GROUP BY lang), "
             "e AS (SELECT s.lang, s.size, (CAST((SELECT sum(n_tok) FROM a) AS DOUBLE) * w.w) / "
             "CAST(s.size AS DOUBLE) AS e FROM s JOIN w ON s.lang = w.lang), "
@@ -191,7 +185,8 @@ def _g5_sql() -> str:
 @register("g5_blend", _g5_sql())
 def g5(spark, sf):
     d = materialize(_docs_tok(spark, sf).select("doc_id", "lang", "n_tok"))
-    out = B.blend(d, "n_tok", "doc_id", "lang", SHARES, B.total_tokens(d, "n_tok"), SEED)
+    equal = {r["lang"]: 1.0 for r in d.select("lang").distinct().collect() if r["lang"] is not None}
+    out = B.blend(d, "n_tok", "doc_id", "lang", equal, B.total_tokens(d, "n_tok"), SEED)
     return out.select("lang", "doc_id", F.col("copy_no").cast("int"), "n_tok")
 
 
@@ -329,9 +324,7 @@ def _bleu_sql() -> str:
 
 
 def _counts(spark, sf):
-    k = kept_dialogues(spark, sf)
-    from talkmill.functions.styles import STYLE_NAMES
-    return M.overlap_counts(k, CTX, "conversation", "context", "prompt_style", STYLE_NAMES)
+    return M.overlap_counts(kept_dialogues(spark, sf), "conversation", "context", "prompt_style")
 
 
 @register("f9_bleu", _bleu_sql())
@@ -349,15 +342,11 @@ def f10(spark, sf):
     return M.rouge_n(_counts(spark, sf), "prompt_style")
 
 
-TASK_GROUPS = {f"g{i}": [f"k{j}" for j in range(25 * i, 25 * i + 25)] for i in range(4)}
-
-
 @register("f12_scorecard",
           "WITH res AS (SELECT event_type AS dataset, 'k' || json_extract_string(props, '$.k') AS task, "
           "avg(value) AS score FROM events GROUP BY ALL), "
-          "t AS (SELECT *, 'g' || CAST(CAST(substr(task, 2) AS INTEGER) // 25 AS VARCHAR) AS task_group "
-          "FROM res WHERE TRY_CAST(substr(task, 2) AS INTEGER) BETWEEN 0 AND 99 "
-          "AND substr(task, 2) = CAST(TRY_CAST(substr(task, 2) AS INTEGER) AS VARCHAR)), "
+          "t AS (SELECT *, coalesce('g' || CAST(CAST(floor(TRY_CAST(substr(task, 2) AS DOUBLE) / 25) AS BIGINT) "
+          "AS VARCHAR), 'other') AS task_group FROM res), "
           "a AS (SELECT dataset, task_group, avg(score) AS av, CAST(count(*) AS BIGINT) AS n_tasks "
           "FROM t GROUP BY ALL), b AS (SELECT task_group, av AS base FROM a WHERE dataset = 'view') "
           "SELECT a.dataset, a.task_group, a.n_tasks, round(a.av, 6) AS avg_score, "
@@ -367,7 +356,8 @@ def f12(spark, sf):
     res = e.groupBy(F.col("event_type").alias("dataset"),
                     F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("task")).agg(
         F.avg("value").alias("score"))
-    return M.scorecard(res, TASK_GROUPS, baseline="view")
+    number = F.substring("task", 2, 1 << 30).try_cast("double")
+    return M.scorecard(res, F.concat(F.lit("g"), F.floor(number / 25).cast("string")), baseline="view")
 
 
 @register("f13_majority_answer",
@@ -464,8 +454,9 @@ def c6(spark, sf):
 @register("c7_encode_ids",
           f"WITH v AS ({VOCAB_SQL}), p AS (SELECT doc_id, generate_subscripts(tk, 1) AS pos, "
           f"unnest(tk) AS token FROM (SELECT doc_id, {o.tok('text')} AS tk FROM documents)) "
-          "SELECT doc_id, CAST(count(*) AS INTEGER) AS n_ids, string_agg(CAST(v.id AS VARCHAR), ' ' "
-          "ORDER BY pos) AS ids_text FROM p JOIN v ON p.token = v.token GROUP BY doc_id")
+          "SELECT d.doc_id, CAST(count(pos) AS INTEGER) AS n_ids, coalesce(string_agg(CAST(v.id AS VARCHAR), ' ' "
+          "ORDER BY pos), '') AS ids_text FROM documents d LEFT JOIN p ON d.doc_id = p.doc_id "
+          "LEFT JOIN v ON p.token = v.token GROUP BY d.doc_id")
 def c7(spark, sf):
     enc = encode_ids(table(spark, sf, "documents"), _vocab(spark, sf), "doc_id")
     return enc.select("doc_id", F.size("ids").cast("int").alias("n_ids"),
@@ -476,7 +467,7 @@ def c7(spark, sf):
           "SELECT doc_id, text, true AS rebuilds_text FROM documents "
           "WHERE text IS NOT NULL AND text <> ''")
 def c8(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = table(spark, sf, "documents").where("text <> ''")
     v = _vocab(spark, sf)
     dec = decode_ids(encode_ids(docs, v, "doc_id"), v, "doc_id")
     j = dec.join(docs.select("doc_id", F.col("text").alias("_orig")), on="doc_id", how="inner")
@@ -524,16 +515,25 @@ def a8(spark, sf):
           "CAST(length(text) AS BIGINT) AS text_length, "
           f"CAST({o.ntok('text')} AS BIGINT) AS token_count, "
           f"array_to_string({o.tok('text')}[1:50], '') AS first_tokens, "
-          "CASE WHEN length(text) > 1000 THEN substr(text, 1, 500) || chr(10) || '... (' || "
-          "CAST(length(text) - 1000 AS VARCHAR) || ' characters omitted) ...' || chr(10) || "
-          "right(text, 500) ELSE text END AS text_view FROM documents")
+          "CASE WHEN length(text) > 1000 THEN substr(text, 1, 500) || ' [+' || "
+          "CAST(length(text) - 1000 AS VARCHAR) || '] ' || right(text, 500) ELSE text END AS text_view FROM documents")
 def a9(spark, sf):
     return sample_preview(corpus(spark, sf)).drop("file")
 
 
-@register("a10_column_report", None)
+def _report_sql() -> str:
+    parts = []
+    for c, kind in (("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
+                    ("n_chars", "bigint")):
+        length = f"CAST(length({c}) AS BIGINT)" if kind == "string" else "CAST(NULL AS BIGINT)"
+        parts.append(f"SELECT doc_id, '{c}' AS column_name, '{kind}' AS spark_type, {length} AS length, "
+                     f"substr(CAST({c} AS VARCHAR), 1, 100) AS preview FROM documents")
+    return " UNION ALL ".join(parts)
+
+
+@register("a10_column_report", _report_sql())
 def a10(spark, sf):
-    return column_report(table(spark, sf, "embeddings"), key="vec_id")
+    return column_report(table(spark, sf, "documents"), key="doc_id")
 
 
 # --------------------------------------------------------------------------- D / E / A6
@@ -583,39 +583,6 @@ def d4(spark, sf):
     return pending_only(d, done).select("request_id", *CTX, "prompt_style")
 
 
-def _echo_sql(select: str) -> str:
-    return (o.with_("fanout") + f"SELECT {select} FROM (SELECT {REQ_ID_SQL} AS request_id, "
-            f"{o.user_msg()} AS u FROM fanout) x")
-
-
-def _replies(spark, sf):
-    req = build_requests(fanout_table(spark, documents_path(sf), CFG), RequestConfig())
-    return generate_replies(req, echo_client_factory, max_attempts=3, in_flight=8,
-                            sleep=no_wait, jitter=no_jitter)
-
-
-@register("e2_generate",
-          _echo_sql("request_id, CASE WHEN length(u) % 7 = 0 THEN 'failed' ELSE 'ok' END AS status, "
-                    "CAST(CASE WHEN length(u) % 7 = 0 THEN 3 ELSE 1 END AS INTEGER) AS attempts, "
-                    "CASE WHEN length(u) % 7 = 0 THEN NULL ELSE 'Teacher: I received ' || "
-                    "CAST(length(u) AS VARCHAR) || ' characters.' || chr(10) || 'Student: Thank you.' "
-                    "END AS reply"))
-def e2(spark, sf):
-    return _replies(spark, sf).select("request_id", "status", "attempts", "reply")
-
-
-@register("e5_error_isolation",
-          _echo_sql("CASE WHEN length(u) % 7 = 0 THEN 'failed' ELSE 'ok' END AS status, "
-                    "CAST(count(*) AS BIGINT) AS n_requests, "
-                    "CAST(count(*) FILTER (WHERE length(u) % 7 = 0) AS BIGINT) AS n_dead_letter")
-          + " GROUP BY 1")
-def e5(spark, sf):
-    r = _replies(spark, sf)
-    return r.groupBy("status").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_requests"),
-        F.sum(F.when(F.col("status") == "failed", 1).otherwise(0)).cast("bigint").alias("n_dead_letter"))
-
-
 @register("a6_jsonl_sink",
           o.with_("kept") + "SELECT sample_index, chunk_index, prompt_style, context, conversation FROM kept")
 def a6(spark, sf):
@@ -639,25 +606,45 @@ def l1(spark, sf):
         "doc_id", "lang")
 
 
-@register("l2_train_quality_model", None)
+@register("l2_train_quality_model",
+          "SELECT CAST(count(*) AS BIGINT) AS n_scored, true AS within_unit, true AS agrees FROM documents")
 def l2(spark, sf):
+    """The model's checkable facts: every document is scored, scores are
+    probabilities, and on its training rows the model beats the larger class."""
     docs = table(spark, sf, "documents")
-    labelled = docs.join(table(spark, sf, "labels"), on="doc_id", how="inner")
+    labelled = docs.join(table(spark, sf, "labels").where("quality is not null"), on="doc_id", how="inner")
     model = train_quality_model(labelled)
-    return score_quality(model, docs.select("doc_id", "text")).select("doc_id", "quality_score")
+    scored = score_quality(model, docs.select("doc_id", "text"))
+    facts = scored.agg(F.count(F.lit(1)).cast("bigint").alias("n_scored"),
+                       F.min(F.col("quality_score").between(0.0, 1.0)).alias("within_unit"))
+    own = scored.join(labelled.select("doc_id", "quality"), "doc_id").agg(
+        F.avg(((F.col("quality_score") >= 0.5).cast("int") == F.col("quality")).cast("int")).alias("a"),
+        F.greatest(F.avg("quality"), 1 - F.avg("quality")).alias("b"))
+    return facts.crossJoin(own.select((F.col("a") > F.col("b")).alias("agrees")))  # one row each
+
+
+HOST_SQL = ("coalesce(lower(nullif(regexp_extract(regexp_replace(regexp_extract(url, "
+            "'^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), '^(\\[[^\\]]*\\]|[^:]*)', 1), '')), '')")
+HITS_SQL = (f"SELECT *, {HOST_SQL} AS host, regexp_matches(html, '{MATH_PATTERN}') AS hit FROM pages")
 
 
 @register("l3_domain_yield",
           "SELECT host, CAST(count(*) AS BIGINT) AS n_pages, CAST(sum(CAST(hit AS INTEGER)) AS BIGINT) AS "
           "n_hits, round(sum(CAST(hit AS INTEGER)) / count(*), 6) AS hit_share, "
-          "sum(CAST(hit AS INTEGER)) / count(*) > 0.1 AS selected FROM ("
-          "SELECT lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)) AS host, "
-          f"regexp_matches(html, '{MATH_PATTERN}') AS hit FROM pages) GROUP BY host")
+          f"sum(CAST(hit AS INTEGER)) / count(*) > 0.1 AS selected FROM ({HITS_SQL}) GROUP BY host")
 def l3(spark, sf):
     p = table(spark, sf, "pages")
     return domain_yield(p, F.col("html").rlike(MATH_PATTERN))
 
 
+@register("l3_domain_additions",
+          f"WITH h AS ({HITS_SQL}) SELECT page_id, host FROM h WHERE NOT hit AND host IN (SELECT host FROM h "
+          "GROUP BY host HAVING sum(CAST(hit AS INTEGER)) / count(*) > 0.1)")
+def l3_additions(spark, sf):
+    p = table(spark, sf, "pages")
+    return domain_additions(p, F.col("html").rlike(MATH_PATTERN)).select("page_id", "host")
+
+
 @register("l4_math_signal",
           f"SELECT doc_id, CAST(len(regexp_extract_all(text, '{MATH_PATTERN}', 0)) AS BIGINT) AS math_hits, "
           f"len(regexp_extract_all(text, '{MATH_PATTERN}', 0)) > 0 AS has_math FROM documents")

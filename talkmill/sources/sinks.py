@@ -7,7 +7,20 @@ only what the failed attempt would have written.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at ``path`` in whatever storage; any other
+    error than its absence is raised."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def write_jsonl(df: DataFrame, path: str, overwrite: bool = False) -> None:
@@ -17,10 +30,6 @@ def write_jsonl(df: DataFrame, path: str, overwrite: bool = False) -> None:
      .option("ignoreNullFields", "false").json(path))
 
 
-def append_jsonl(df: DataFrame, path: str) -> None:
-    df.write.mode("append").option("ignoreNullFields", "false").json(path)
-
-
 def write_requests(requests: DataFrame, path: str, overwrite: bool = False,
                    partition_by: str | None = "prompt_style") -> None:
     """Request payloads as JSON lines, partitioned by style so a later

@@ -31,7 +31,8 @@ STREAM_KEY = (SOURCE_FILE, SOURCE_ROW)
 
 
 def _stream_rows(spark: SparkSession, source: str, text: str,
-                 max_files_per_trigger: int | None, file_glob: str) -> DataFrame:
+                 max_files_per_trigger: int | None, file_glob: str,
+                 carry: Sequence[str] = ()) -> DataFrame:
     """Non-empty rows of new shards with their (file, row) key. Without
     ``max_files_per_trigger`` a trigger takes every new shard (Spark's
     default); set it to bound the size of a micro-batch."""
@@ -42,17 +43,17 @@ def _stream_rows(spark: SparkSession, source: str, text: str,
     raw = reader.parquet(source)
     return raw.where(non_empty(text)).select(
         F.col("_metadata.file_path").alias(SOURCE_FILE),
-        F.col("_metadata.row_index").alias(SOURCE_ROW), text)
+        F.col("_metadata.row_index").alias(SOURCE_ROW), text, *carry)
 
 
 def stream_dialogues(spark: SparkSession, source: str, text: str = "text",
                      chunk: ChunkConfig | None = None, styles: Sequence[Style] | None = None,
                      min_tokens: int = 50, max_files_per_trigger: int | None = None,
-                     file_glob: str = "*.parquet") -> DataFrame:
+                     file_glob: str = "*.parquet", carry: Sequence[str] = ()) -> DataFrame:
     """Streaming DataFrame of classified chunk x style rows (dry-run
     replies) over the shards of folder ``source`` matching ``file_glob``."""
-    rows = _stream_rows(spark, source, text, max_files_per_trigger, file_glob)
-    chunks = chunk_windows(rows, text, chunk or ChunkConfig(), keep=list(STREAM_KEY))
+    rows = _stream_rows(spark, source, text, max_files_per_trigger, file_glob, carry)
+    chunks = chunk_windows(rows, text, chunk or ChunkConfig(), keep=[*STREAM_KEY, *carry])
     fan = dry_run_fanout(chunks, list(styles) if styles is not None else select_styles())
     return classify_replies(fan, "conversation", min_tokens,
                             tokens=F.col("_reply_tok")).drop("_reply_tok")
@@ -64,7 +65,7 @@ def incremental_run(spark: SparkSession, source: str, out_path: str, checkpoint:
     and stop when the backlog is drained; rerunning resumes from the
     checkpoint and processes only new shards."""
     d = stream_dialogues(spark, source, **kw).where(F.col("status") == "kept")
-    rec = d.select(*STREAM_KEY, "chunk_index", "prompt_style", "context", "conversation",
+    rec = d.select(*STREAM_KEY, *kw.get("carry", ()), "chunk_index", "prompt_style", "context", "conversation",
                    "conversation_tokens",
                    utc_now_iso().alias("created_at"))
     q = (rec.writeStream.format("parquet").option("path", out_path)
@@ -140,25 +141,23 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _stream_source(sf: str) -> str:
-    return sf.rstrip("/")
-
-
-_POS = ("SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS source_row, * FROM documents")
-_SAMPLES_BY_POS = ("SELECT source_row AS sample_index, doc_id, lang, source, text FROM pos "
-                   "WHERE text IS NOT NULL AND text <> ''")
+def _shards(spark: SparkSession, sf: str, base: str) -> str:
+    """``documents`` as a folder of four shards, read two at a time."""
+    rows = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").select("doc_id", "text")
+    rows.repartition(4, "doc_id").write.parquet(f"{base}/in")
+    return f"{base}/in"
 
 
 @register("j1_incremental_run",
-          o.with_("kept", override={"samples": _SAMPLES_BY_POS}, first={"pos": _POS}) +
-          "SELECT sample_index AS source_row, chunk_index, prompt_style, conversation_tokens FROM kept")
+          o.with_("kept") + "SELECT doc_id, chunk_index, prompt_style, conversation_tokens FROM kept")
 def j1(spark, sf):
+    """Two triggers over the shards, then a restart that finds nothing new."""
     base = _scratch(spark, "stream-run")
-    incremental_run(spark, _stream_source(sf), f"{base}/out", f"{base}/ckpt",
-                    file_glob="documents.parquet")
+    source = _shards(spark, sf, base)
+    for _ in range(2):
+        incremental_run(spark, source, f"{base}/out", f"{base}/ckpt", max_files_per_trigger=2, carry=("doc_id",))
     out = spark.read.parquet(f"{base}/out")
-    return out.select(SOURCE_ROW, F.col("chunk_index").cast("int"), "prompt_style",
-                      "conversation_tokens")
+    return out.select("doc_id", F.col("chunk_index").cast("int"), "prompt_style", "conversation_tokens")
 
 
 @register("j2_incremental_stats",
@@ -172,30 +171,6 @@ def j1(spark, sf):
           "FROM classified")
 def j2(spark, sf):
     base = _scratch(spark, "stream-stats")
-    incremental_stats(spark, _stream_source(sf), f"{base}/stats", f"{base}/ckpt",
-                      file_glob="documents.parquet")
+    incremental_stats(spark, _shards(spark, sf, base), f"{base}/stats", f"{base}/ckpt",
+                      max_files_per_trigger=2)
     return read_stats(spark, f"{base}/stats")
-
-
-def _echo_stream_sql() -> str:
-    u = o.user_msg()
-    reply = ("'Teacher: I received ' || CAST(length(u) AS VARCHAR) || ' characters.' || chr(10) "
-             "|| 'Student: Thank you.'")
-    return (o.with_("fanout", override={"samples": _SAMPLES_BY_POS}, first={"pos": _POS}) +
-            "SELECT sample_index AS source_row, chunk_index, prompt_style, "
-            "CASE WHEN length(u) % 7 = 0 THEN 'failed' WHEN " + o.ntok(reply) + " >= 50 THEN 'kept' "
-            "ELSE 'filtered' END AS status, CAST(CASE WHEN length(u) % 7 = 0 THEN 0 ELSE "
-            + o.ntok(reply) + " END AS INTEGER) AS conversation_tokens "
-            f"FROM (SELECT *, {u} AS u FROM fanout)")
-
-
-@register("j1_incremental_generate", _echo_stream_sql())
-def j1_generate(spark, sf):
-    from talkmill.plans.echo_client import echo_client_factory, no_jitter, no_wait
-    base = _scratch(spark, "stream-generate")
-    incremental_generate(spark, _stream_source(sf), f"{base}/out", f"{base}/ckpt",
-                         echo_client_factory, file_glob="documents.parquet", max_attempts=2,
-                         sleep=no_wait, jitter=no_jitter)
-    out = spark.read.parquet(f"{base}/out")
-    return out.select(SOURCE_ROW, F.col("chunk_index").cast("int"), "prompt_style", "status",
-                      "conversation_tokens")

@@ -96,3 +96,18 @@ def test_null_group_is_kept(spark):
     out = B.epochs(df, "n_tok", "k", 2, seed=1, group=["src"]).collect()
     assert len(out) == 40
     assert sum(1 for r in out if r.src is None) == 20
+
+
+def test_empty_side_balances_to_nothing(spark):
+    df, _ = rows(spark, 30)
+    none = df.where("false")
+    assert B.balance_1to1(df, none, "n_tok", "k", "k").count() == 0
+    assert B.balance_1to1(none, df, "n_tok", "k", "k").count() == 0
+
+
+def test_blend_over_present_sources(spark):
+    df = spark.createDataFrame([(i, 10, "x") for i in range(50)] + [(100 + i, 0, "empty") for i in range(5)],
+                               "k BIGINT, n_tok BIGINT, src STRING")
+    out = B.blend(df, "n_tok", "k", "src", {"x": 0.5, "absent": 0.3, "empty": 0.2}, 100, seed=1)
+    assert out.agg(F.sum("n_tok")).first()[0] == 100
+    assert B.blend(df, "n_tok", "k", "src", {"absent": 1.0}, 100).count() == 0

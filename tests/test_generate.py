@@ -41,7 +41,7 @@ def test_client_retries_and_dead_letters(spark):
                            sleep=waits.append, jitter=lambda: 0.0, partitions=2)
     got = {r.request_id: r for r in out.collect()}
     assert got["r0"].status == "ok" and got["r0"].reply == "Speaker: fine" and got["r0"].attempts == 1
-    assert got["r1"].status == "failed" and got["r1"].attempts == 3
+    assert got["r1"].status == "empty" and got["r1"].attempts == 1  # a blank answer is not asked for again
     assert got["r2"].status == "failed" and "boom" in got["r2"].error
     assert got["r3"].status == "ok" and got["r3"].attempts == 3 and got["r3"].reply == "Speaker: at last"
 
@@ -57,3 +57,28 @@ def test_resolve_attempts_ledger(spark):
     assert (got["b"].status, got["b"].attempts, got["b"].error) == ("failed", 3, "x3")
     assert (got["c"].status, got["c"].attempts, got["c"].reply) == ("ok", 1, "ok")
     assert (got["d"].status, got["d"].error) == ("failed", "d1")
+
+
+def test_a_hanging_call_counts_as_failed(spark):
+    payloads = [("a", json.dumps({"messages": [{"role": "user", "content": "hang"}]})),
+                ("b", json.dumps({"messages": [{"role": "user", "content": "quick"}]}))]
+
+    def factory():
+        def call(req):
+            if req["messages"][0]["content"] == "hang":
+                import time
+                time.sleep(30)
+            return "Speaker: yes"
+        return call
+
+    req = spark.createDataFrame(payloads, "request_id STRING, payload STRING").coalesce(1)
+    out = generate_replies(req, factory, max_attempts=1, timeout_seconds=0.5)
+    got = {r.request_id: r for r in out.collect()}
+    assert got["a"].status == "failed" and "no answer" in got["a"].error and got["b"].status == "ok"
+
+
+def test_rows_leave_in_small_groups():
+    from talkmill.operators.generate import _settle
+    asked = []
+    out = _settle(lambda r: asked.append(r) or "x", [{"n": i} for i in range(3)], 2, lambda n: None, None)
+    assert [o[1] for o in out] == ["ok"] * 3 and len(asked) == 3

@@ -16,7 +16,7 @@ def test_profile_and_preview(spark):
     prev = sample_preview(df, n=3).collect()
     assert [r.row for r in prev] == [0, 1, 2]
     long = sample_preview(df).where("text_length > 1000").first()
-    assert f"({long.text_length - 1000} characters omitted)" in long.text_view
+    assert f" [+{long.text_length - 1000}] " in long.text_view
 
 
 def test_column_report(spark):
@@ -63,3 +63,12 @@ def test_preview_prefers_token_column(spark, tmp_path):
     assert (rows[0].token_count, rows[0].first_tokens) == (3, "5 6 7")
     assert (rows[1].token_count, rows[1].first_tokens) == (1, "x")
     assert rows[0].file.endswith("part-0.parquet")
+
+
+def test_long_inline_math_and_odd_urls(spark):
+    from talkmill.operators.curation import math_signal, url_host
+    long = "$" + "x" * 5000 + "$"
+    df = spark.createDataFrame([(long, "http://u:p@Ex.com:80/a"), ("a $ b", "no url"), ("3 + 4 $y$", None)],
+                               "text STRING, url STRING")
+    assert [r.math_hits for r in math_signal(df).collect()] == [1, 0, 2]
+    assert [r.h for r in df.select(url_host().alias("h")).collect()] == ["ex.com", "", ""]

@@ -1,7 +1,6 @@
 import uuid
 
 import pytest
-from pyspark.errors import AnalysisException
 
 from talkmill.operators.records import run_stats
 from talkmill.plans.generation import GenerationConfig, dry_run_table
@@ -16,7 +15,7 @@ def test_dry_run_job(spark):
     stats = run(["--dataset-dir", DOCS, "--output", out, "--dry-run"])
     assert stats == run_stats(dry_run_table(spark, DOCS, GenerationConfig())).first().asDict()
     assert spark.read.json(out).count() == stats["conversations_kept"]
-    with pytest.raises(AnalysisException):
+    with pytest.raises(FileExistsError):
         run(["--dataset-dir", DOCS, "--output", out, "--dry-run"])
     again = run(["--dataset-dir", DOCS, "--output", out, "--dry-run", "--overwrite",
                  "--prompt-style", "debate", "--max-samples", "5"])

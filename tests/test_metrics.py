@@ -33,12 +33,12 @@ def pairs(spark):
 
 def test_overlap_counts_brute_force(pairs):
     got = {(r.g, r.n): [r.matches, r.hyp_grams, r.ref_grams]
-           for r in M.overlap_counts(pairs, ["k", "c"], "hyp", "ref", "g", ["A", "B"]).collect()}
+           for r in M.overlap_counts(pairs, "hyp", "ref", "g").collect()}
     assert got == py_counts()
 
 
 def test_bleu_formula(pairs):
-    counts = M.overlap_counts(pairs, ["k", "c"], "hyp", "ref", "g", ["A", "B"])
+    counts = M.overlap_counts(pairs, "hyp", "ref", "g")
     got = {r.g: r.bleu for r in M.bleu(counts, "g").collect()}
     c = py_counts()
     for g in ("A", "B"):
@@ -103,7 +103,7 @@ def test_scorecard_gain(spark):
             ("syn", "math", 7.22), ("syn", "arc", 70.0)]
     df = spark.createDataFrame(rows, "dataset STRING, task STRING, score DOUBLE")
     out = {(r.dataset, r.task_group): r for r in
-           M.scorecard(df, {"math": ["gsm8k", "math"]}, baseline="base").collect()}
+           M.scorecard(df, M.task_groups({"math": ["gsm8k", "math"]}), baseline="base").collect()}
     assert out[("syn", "math")].avg_score == pytest.approx(16.8)
     assert out[("syn", "math")].gain == pytest.approx(16.8 - 8.94)
 
@@ -121,3 +121,16 @@ def test_scale_settings():
     conf = scale_settings(100 * 2**40, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert int(scale_settings(10 * 2**20, 8)["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_styles_come_from_the_data_and_may_repeat(spark):
+    rows = [("rephrase", "the cat", "the cat sat"), ("rephrase", "the cat sat", "the cat sat")]
+    df = spark.createDataFrame(rows, "g STRING, hyp STRING, ref STRING")
+    got = {r.n: (r.matches, r.hyp_grams, r.ref_grams) for r in M.overlap_counts(df, "hyp", "ref", "g").collect()}
+    assert got[1] == (5, 5, 6) and got[2] == (3, 3, 4)
+
+
+def test_spearman_with_a_hot_value_and_strings_of_ties(spark):
+    df = spark.range(4000).selectExpr("int(id % 2) AS x", "id AS y")
+    assert M.spearman(df, "x", "y").first().n == 4000
+    assert M.spearman(df.limit(0), "x", "y").first().n == 0

@@ -2,10 +2,14 @@ import json
 import sys
 import uuid
 
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from talkmill.operators.fanout import RequestConfig, build_requests, prompt_fanout
+from talkmill.functions.styles import select_styles
+from talkmill.operators.chunking import ChunkConfig
+from talkmill.operators.fanout import RequestConfig, build_requests, prompt_fanout, render_messages
+from talkmill.operators.records import run_stats
 from talkmill.plans.echo_client import echo_reply, no_jitter, no_wait
 from talkmill.plans.generation import GenerationConfig, chunk_table, model_run
 from talkmill.session import checkpoint_dir
@@ -39,13 +43,62 @@ def test_model_run_writes_once_and_resumes(spark, tmp_path):
     assert statuses.get("failed", 0) > 0
     first_calls = sum(1 for _ in open(COUNTER))
     assert first_calls >= n_req
-    # rerun: every request already has a reply -> no new calls, same table
+    # rerun: only the failed requests are asked again, nothing is doubled
     out2 = model_run(spark, DOCS, replies, counting_factory, cfg,
                      max_attempts=2, sleep=no_wait, jitter=no_jitter)
-    assert sum(1 for _ in open(COUNTER)) == first_calls
+    second = sum(1 for _ in open(COUNTER)) - first_calls
+    assert second == 2 * statuses["failed"]
     assert out2.count() == n_req
 
 
+def steady_factory():
+    return lambda req: "Speaker: " + str(len(req["messages"][1]["content"]))
+
+
+def down_factory():
+    def call(req):
+        raise RuntimeError("endpoint is down")
+    return call
+
+
+def _run(spark, replies, factory, **cfg):
+    out = model_run(spark, DOCS, replies, factory, GenerationConfig(max_samples=3, **cfg),
+                    max_attempts=1, sleep=no_wait, jitter=no_jitter)
+    return out.collect()
+
+
+def test_failed_requests_are_asked_again(spark):
+    replies = f"{checkpoint_dir(spark)}/replies-{uuid.uuid4().hex}"
+    down = _run(spark, replies, down_factory, style_names=("debate",))
+    assert {r.status for r in down} == {"failed"}
+    back = _run(spark, replies, steady_factory, style_names=("debate",))
+    assert {r.status for r in back} == {"filtered"} and len(back) == len(down)
+
+
+def test_other_windows_styles_and_settings_are_other_requests(spark):
+    replies = f"{checkpoint_dir(spark)}/replies-{uuid.uuid4().hex}"
+    _run(spark, replies, steady_factory, style_names=("debate",))
+    small = _run(spark, replies, steady_factory, style_names=("interview",), chunk=ChunkConfig(40, 0))
+    assert {r.prompt_style for r in small} == {"interview"}
+    for r in small:  # every reply was made from the row's own context
+        context = render_messages(spark.createDataFrame([(r.context, select_styles(["interview"])[0].instruction)],
+                                                        "context STRING, instruction STRING")).first()
+        assert r.conversation == "Speaker: " + str(len(context.messages[1].content))
+        break
+    stats = run_stats(model_run(spark, DOCS, replies, steady_factory,
+                                GenerationConfig(max_samples=3, style_names=("interview",), chunk=ChunkConfig(40, 0)),
+                                max_attempts=1)).first()
+    assert stats.samples_seen == 3
+
+
+def test_storage_errors_are_not_taken_for_a_first_run(spark, tmp_path):
+    bad = tmp_path / "replies"
+    bad.mkdir()
+    (bad / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        _run(spark, str(bad), steady_factory, style_names=("debate",))
+
+
 def test_write_requests_partitioned(spark):
     path = f"{checkpoint_dir(spark)}/requests-{uuid.uuid4().hex}"
     cfg = GenerationConfig(style_names=("debate", "two_students"))

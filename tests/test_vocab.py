@@ -32,12 +32,15 @@ def test_pick_token_column_order(spark):
     assert got == [("input_ids", [5, 6]), ("tokens", [1]), (None, None), ("text", None)]
 
 
-def test_encode_join_path_beyond_broadcast_bound(texts):
-    docs = texts(["the cat the", "a cat", "zebra"])
-    v = build_vocabulary(docs)
-    small = {r.id: r.ids for r in encode_ids(docs, v, "id").collect()}
-    big = {r.id: r.ids for r in encode_ids(docs, v, "id", max_broadcast=0).collect()}
-    assert small == big
-    back = {r.id: r.text for r in decode_ids(encode_ids(docs, v, "id", max_broadcast=0), v, "id",
-                                             max_broadcast=0).collect()}
-    assert back == {0: "the cat the", 1: "a cat", 2: "zebra"}
+def test_unknown_pieces_and_documents_without_pieces_are_kept(spark, texts):
+    import pytest
+    docs = texts(["the cat the", "zzz the", "", None])
+    enc = encode_ids(docs, build_vocabulary(texts(["the cat the"])), "id")
+    got = {r.id: r.ids for r in enc.collect()}
+    assert len(got) == 4 and got[2] == got[3] == []
+    assert got[1][0] == -1 and len(got[1]) == 2
+    v = build_vocabulary(texts(["the cat the"]))
+    back = {r.id: r.text for r in decode_ids(enc.where("id <> 1"), v, "id").collect()}
+    assert back == {0: "the cat the", 2: "", 3: ""}
+    with pytest.raises(Exception, match="not in the vocabulary"):
+        decode_ids(enc, v, "id").collect()
