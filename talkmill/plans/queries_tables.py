@@ -614,7 +614,7 @@ def l2(spark, sf):
     docs = table(spark, sf, "documents")
     labelled = docs.join(table(spark, sf, "labels").where("quality is not null"), on="doc_id", how="inner")
     model = train_quality_model(labelled)
-    scored = score_quality(model, docs.select("doc_id", "text"))
+    scored = materialize(score_quality(model, docs.select("doc_id", "text")).select("doc_id", "quality_score"))
     facts = scored.agg(F.count(F.lit(1)).cast("bigint").alias("n_scored"),
                        F.min(F.col("quality_score").between(0.0, 1.0)).alias("within_unit"))
     own = scored.join(labelled.select("doc_id", "quality"), "doc_id").agg(
