@@ -8,11 +8,19 @@ from pyspark.sql import functions as F
 from talkmill.functions.text import count_tokens
 
 # ---------------------------------------------------------------------------
-# A speaker tag at the start of a line — optional bold, a
-# capitalised name of up to three words, optional bold, a colon, one space.
-# Group 2 is the speaker. (Same text in the Spark and SQL versions.)
-SPEAKER = r"[\p{Lu}][\p{L}\p{N}_]*(?: [\p{L}\p{N}_]+){0,2}"
-TAG = r"(\*\*)?(" + SPEAKER + r")(?:\*\*)?:(?:\*\*)?[ ]?"
+# A speaker tag at the start of a line. Either bold, "**Any
+# name:**" or "**Any name**:", or plain: capitalised words (initials, scripts
+# without case, numbers and small linking words included), or one lower-case
+# word; then a plain or full-width colon and at most one space. Groups 1 and 2
+# are the bold and the plain name.
+_WORD = r"[\p{Lu}\p{Lt}\p{Lo}][\p{L}\p{M}\p{N}_.’-]*"
+_NEXT = r"(?: (?:" + _WORD + r"|\p{N}+|of|the|and|de|la|van|von))*"
+TAG = (r"(?:\*\*([^*:：]+)(?:\*\*)?[:：](?:\*\*)?"
+       r"|(" + _WORD + _NEXT + r"|\p{Ll}[\p{L}\p{M}\p{N}_-]*)[:：])[ ]?")
+# Labels that stand before a colon but name no speaker.
+NOT_SPEAKERS = ("answer", "conclusion", "context", "definition", "example", "examples", "ftp", "hint", "http",
+                "https", "input", "note", "notes", "output", "question", "result", "solution", "step",
+                "summary", "tip", "warning")
 # A turn header line: "**Turn 3**", "Turn 3:", optionally bold, nothing else.
 HEADER = r"(?:\*\*)?Turn [0-9]+(?:\*\*)?:?(?:\*\*)?[ ]*"
 # ---------------------------------------------------------------------------
@@ -43,28 +51,36 @@ def split_turns(dialogues: DataFrame, key: str = "conv_id", text: str = "dialogu
     the next one; lines before the first tag form turn 0 (no speaker, kept
     only when not empty). Header lines (``**Turn k**``) are not part of any
     turn's text; ``header_no`` counts the headers above a turn's tag line.
-    All of it is array work inside the row (split with look-ahead,
-    filter, slice): no shuffle and no window."""
-    lines = F.split(F.col(text), "\n")
-    is_header = lambda ln: ln.rlike("^" + HEADER + "$")
-    body = F.array_join(F.filter(lines, lambda ln: ~is_header(ln)), "\n")
-    # 0-based line positions of tag lines, in order
-    tag_pos = F.filter(F.transform(lines, lambda ln, i: F.when(
-        ~is_header(ln) & ln.rlike("^" + TAG), i).otherwise(F.lit(-1))), lambda i: i >= 0)
-    headers_before = F.transform(tag_pos, lambda i: F.size(F.filter(
-        F.slice(lines, 1, i + 1), is_header)))
-    d = dialogues.select(key, body.alias("_body"), headers_before.alias("_hb"))
-    d = d.select(key, "_hb", F.col("_body").rlike("^" + TAG).alias("_lead"),
-                 F.posexplode(F.split(F.col("_body"), r"\n(?=" + TAG + ")")).alias("_pos", "_piece"))
-    tagged = F.col("_piece").rlike("^" + TAG)
-    turn_no = F.col("_pos") + F.when(F.col("_lead"), 1).otherwise(0)
-    header_no = F.when(turn_no > 0, F.element_at("_hb", turn_no.cast("int"))).otherwise(F.lit(0))
-    out = d.select(key, turn_no.cast("int").alias("turn_no"),
-                   header_no.cast("int").alias("header_no"),
-                   F.when(tagged, F.regexp_extract("_piece", "^" + TAG, 2)).alias("speaker"),
-                   F.when(tagged, F.regexp_replace("_piece", "^" + TAG, ""))
-                   .otherwise(F.col("_piece")).alias("text"))
-    return out.where(~((F.col("turn_no") == 0) & (F.col("text") == "")))
+
+    One pass over the lines marks tags and headers with control characters
+    (U+0001 and U+0002, which are taken out of the text first); the marked
+    text is split at the tags, and the headers are counted turn by turn. All
+    of it is array work inside the row: no shuffle and no window."""
+    start, header = "\u0001", "\u0002"
+    named = F.coalesce(F.nullif(F.regexp_extract("_first", "^" + TAG, 1), F.lit("")),
+                       F.regexp_extract("_first", "^" + TAG, 2))
+
+    def mark(line: F.Column) -> F.Column:
+        name = F.lower(F.concat(F.regexp_extract(line, "^" + TAG, 1), F.regexp_extract(line, "^" + TAG, 2)))
+        return F.when(line.rlike("^" + HEADER + "$"), F.lit(header)).when(
+            (name != "") & ~name.isin(*NOT_SPEAKERS), F.concat(F.lit(start), line)).otherwise(line)
+
+    lines = F.split(F.translate(text, start + header, ""), "\n")
+    d = dialogues.select(key, F.split(F.array_join(F.transform(lines, mark), "\n"), "\n?" + start).alias("_turns"))
+    own = F.transform("_turns", lambda t: F.size(F.filter(F.split(t, "\n"), lambda ln: ln == header)))
+    above = F.aggregate(own, F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("upto")),
+                        lambda acc, h: F.struct((acc["n"] + h).alias("n"),
+                                                F.concat(acc["upto"], F.array(acc["n"])).alias("upto")))
+    body = F.transform("_turns", lambda t: F.array_join(
+        F.filter(F.split(t, "\n"), lambda ln: ln != header), "\n"))
+    d = d.select(key, F.posexplode(F.arrays_zip(body.alias("text"), above["upto"].alias("headers")))
+                 .alias("turn_no", "_t")).select(
+        key, "turn_no", F.col("_t.headers").alias("header_no"), F.col("_t.text").alias("_first"))
+    tagged = F.col("turn_no") > 0
+    out = d.select(key, F.col("turn_no").cast("int"), F.when(tagged, F.col("header_no")).otherwise(0).cast("int")
+                   .alias("header_no"), F.when(tagged, named).alias("speaker"),
+                   F.when(tagged, F.regexp_replace("_first", "^" + TAG, "")).otherwise(F.col("_first")).alias("text"))
+    return out.where(tagged | (F.col("text") != ""))
 
 
 def turn_stats(turns: DataFrame, key: str = "conv_id", speaker: str = "role",

@@ -13,7 +13,8 @@ from talkmill.operators import budget as B
 from talkmill.operators import metrics as M
 from talkmill.operators.curation import (MATH_PATTERN, domain_additions, domain_yield, math_signal,
                                          quality_subset, score_quality, train_quality_model)
-from talkmill.operators.dialogue import HEADER, TAG, assemble_dialogue, split_turns, turn_stats
+from talkmill.operators.dialogue import (HEADER, NOT_SPEAKERS, TAG, assemble_dialogue, split_turns,
+                                         turn_stats)
 from talkmill.operators.fanout import request_id
 from talkmill.operators.generate import resolve_attempts
 from talkmill.operators.records import attach_replies, pair_context, pending_only
@@ -29,7 +30,7 @@ from talkmill.plans.tables import (attempt_ledger, corpus, dialogue_table, docum
                                    judge_scores, kept_dialogues, table)
 from talkmill.session import checkpoint_dir
 from talkmill.sources.corpus import first_n
-from talkmill.sources.inspect import column_report, corpus_profile, sample_preview
+from talkmill.sources.inspect import column_report, corpus_profile, file_profile, sample_preview
 from talkmill.sources.sinks import write_jsonl
 
 CTX = ("sample_index", "chunk_index")
@@ -404,27 +405,45 @@ def i2(spark, sf):
     return assemble_dialogue(table(spark, sf, "conversations"))
 
 
-@register("i1_split_turns",
-          f"WITH d AS ({ASSEMBLE_SQL}), "
-          "l AS (SELECT conv_id, generate_subscripts(string_split(dialogue, chr(10)), 1) AS i, "
-          "unnest(string_split(dialogue, chr(10))) AS line FROM d), "
-          f"m AS (SELECT *, regexp_full_match(line, '{HEADER}') AS is_header, "
-          f"NOT regexp_full_match(line, '{HEADER}') AND regexp_matches(line, '^{TAG}') AS is_tag FROM l), "
-          "t AS (SELECT *, sum(CASE WHEN is_tag THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY i) "
-          "AS turn_no, sum(CASE WHEN is_header THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY i) "
-          "AS hn FROM m), "
-          f"g AS (SELECT conv_id, CAST(turn_no AS INTEGER) AS turn_no, "
-          "CAST(coalesce(max(CASE WHEN is_tag THEN hn END), 0) AS INTEGER) AS header_no, "
-          f"max(CASE WHEN is_tag THEN regexp_extract(line, '^{TAG}', 2) END) AS speaker, "
-          f"string_agg(CASE WHEN is_tag THEN regexp_replace(line, '^{TAG}', '') ELSE line END, chr(10) "
-          "ORDER BY i) FILTER (WHERE NOT is_header) AS text "
-          "FROM t GROUP BY conv_id, turn_no) "
-          "SELECT conv_id, turn_no, CASE WHEN turn_no = 0 THEN 0 ELSE header_no END AS header_no, "
-          "speaker, coalesce(text, '') AS text FROM g WHERE NOT (turn_no = 0 AND coalesce(text, '') = '')")
+def _split_sql(dialogues: str) -> str:
+    name = (f"coalesce(nullif(regexp_extract(line, '^{TAG}', 1), ''), regexp_extract(line, '^{TAG}', 2))")
+    labels = ", ".join(f"'{x}'" for x in NOT_SPEAKERS)
+    return (f"WITH d AS ({dialogues}), "
+            "l AS (SELECT conv_id, generate_subscripts(string_split(dialogue, chr(10)), 1) AS i, "
+            "unnest(string_split(dialogue, chr(10))) AS line FROM d), "
+            f"m AS (SELECT *, regexp_full_match(line, '{HEADER}') AS is_header, "
+            f"NOT regexp_full_match(line, '{HEADER}') AND regexp_matches(line, '^{TAG}') "
+            f"AND lower({name}) NOT IN ({labels}) AS is_tag FROM l), "
+            "t AS (SELECT *, sum(CASE WHEN is_tag THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY i) "
+            "AS turn_no, sum(CASE WHEN is_header THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY i) "
+            "AS hn FROM m), "
+            "g AS (SELECT conv_id, CAST(turn_no AS INTEGER) AS turn_no, "
+            "CAST(coalesce(max(CASE WHEN is_tag THEN hn END), 0) AS INTEGER) AS header_no, "
+            f"max(CASE WHEN is_tag THEN {name} END) AS speaker, "
+            f"string_agg(CASE WHEN is_tag THEN regexp_replace(line, '^{TAG}', '') ELSE line END, chr(10) "
+            "ORDER BY i) FILTER (WHERE NOT is_header) AS text "
+            "FROM t GROUP BY conv_id, turn_no) "
+            "SELECT conv_id, turn_no, CASE WHEN turn_no = 0 THEN 0 ELSE header_no END AS header_no, "
+            "speaker, coalesce(text, '') AS text FROM g WHERE NOT (turn_no = 0 AND coalesce(text, '') = '')")
+
+
+@register("i1_split_turns", _split_sql(ASSEMBLE_SQL))
 def i1(spark, sf):
     return split_turns(assemble_dialogue(table(spark, sf, "conversations")))
 
 
+@register("i1_split_bold_turns",
+          _split_sql("SELECT conv_id, string_agg('**Turn ' || turn || '**' || chr(10) || '**Dr. ' || role || ':** ' "
+                     "|| text, chr(10) ORDER BY turn) AS dialogue FROM conversations GROUP BY conv_id"))
+def i1_bold(spark, sf):
+    """Dialogues with bold tags and turn headers."""
+    c = table(spark, sf, "conversations")
+    line = F.concat(F.lit("**Turn "), F.col("turn").cast("string"), F.lit("**\n**Dr. "), "role", F.lit(":** "), "text")
+    parts = F.array_sort(F.collect_list(F.struct("turn", line.alias("x"))))
+    d = c.groupBy("conv_id").agg(F.array_join(F.transform(parts, lambda p: p["x"]), "\n").alias("dialogue"))
+    return split_turns(d)
+
+
 @register("i3_turn_stats",
           "WITH p AS (SELECT conv_id, role, CAST(count(*) AS BIGINT) AS speaker_turns, "
           f"CAST(sum({o.ntok('text')}) AS BIGINT) AS speaker_tokens FROM conversations GROUP BY ALL) "
@@ -487,27 +506,53 @@ def b2(spark, sf):
                     .alias("ids_text"))
 
 
+B1_SQL = ("SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN [CAST(trunc(x) AS BIGINT) for x in embedding] END AS tokens, "
+          "CASE WHEN vec_id % 3 = 1 THEN [CAST(label AS BIGINT), vec_id] WHEN vec_id % 3 = 2 THEN [] END AS input_ids, "
+          "CASE WHEN vec_id % 2 = 0 THEN 'row ' || vec_id ELSE ' ' END AS text FROM embeddings")
+
+
 @register("b1_pick_token_column",
-          f"SELECT vec_id, CASE WHEN ({NORM_SQL}) IS NOT NULL THEN 'embedding' END AS token_source, "
-          f"{NORM_SQL} AS ids_text FROM embeddings")
+          f"WITH c AS ({B1_SQL}) SELECT vec_id, CASE WHEN len(tokens) > 0 THEN 'tokens' WHEN len(input_ids) > 0 "
+          "THEN 'input_ids' WHEN trim(text) <> '' THEN 'text' END AS token_source, "
+          "array_to_string(CASE WHEN len(tokens) > 0 THEN tokens WHEN len(input_ids) > 0 THEN input_ids END, ' ') "
+          "AS ids_text FROM c")
 def b1(spark, sf):
-    e = pick_token_column(table(spark, sf, "embeddings"), token_columns=("embedding",))
-    return e.select("vec_id", "token_source",
-                    F.array_join(F.col("token_ids").cast("array<string>"), " ").alias("ids_text"))
+    """Two token columns, null or empty in some rows, and a text column."""
+    e = table(spark, sf, "embeddings")
+    third = F.col("vec_id") % 3
+    rows = e.select(
+        "vec_id", F.when(third == 0, F.col("embedding")).alias("tokens"),
+        F.when(third == 1, F.array(F.col("label").cast("long"), F.col("vec_id")))
+        .when(third == 2, F.array().cast("array<bigint>")).alias("input_ids"),
+        F.when(F.col("vec_id") % 2 == 0, F.concat(F.lit("row "), F.col("vec_id").cast("string")))
+        .otherwise(F.lit(" ")).alias("text"))
+    out = pick_token_column(rows)
+    return out.select("vec_id", "token_source",
+                      F.array_join(F.col("token_ids").cast("array<string>"), " ").alias("ids_text"))
 
 
 # --------------------------------------------------------------------------- A: inspection
 
 def _profile_sql() -> str:
-    cols = ["doc_id", "text", "lang", "source", "n_chars"]
+    cols = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
     parts = [f"SELECT CAST(count(*) AS BIGINT) AS n_rows, '{c}' AS column_name, CAST({i} AS INTEGER) AS "
-             f"ordinal, CAST(count({c}) AS BIGINT) AS n_nonnull FROM documents" for i, c in enumerate(cols)]
+             f"ordinal, '{kind}' AS spark_type, CAST(count({c}) AS BIGINT) AS n_nonnull FROM documents"
+             for i, (c, kind) in enumerate(cols.items())]
     return " UNION ALL ".join(parts)
 
 
 @register("a8_corpus_profile", _profile_sql())
 def a8(spark, sf):
-    return corpus_profile(corpus(spark, sf)).drop("spark_type")
+    return corpus_profile(corpus(spark, sf))
+
+
+@register("a8_file_profile", "SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(1 AS BIGINT) AS n_profiles FROM "
+          "(SELECT count(*) AS n FROM documents)")
+def a8_files(spark, sf):
+    """Rows of every file; summed, since file names differ by machine."""
+    files = file_profile(corpus(spark, sf))
+    return files.agg(F.sum("n_rows").cast("bigint").alias("n_rows"),
+                     F.countDistinct(F.col("n_rows") > 0).cast("bigint").alias("n_profiles"))
 
 
 @register("a9_sample_preview",

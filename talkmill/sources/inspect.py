@@ -35,15 +35,18 @@ def sample_preview(df: DataFrame, text: str = "text", n: int | None = None,
                    token_columns: tuple[str, ...] = ("tokens", "input_ids")) -> DataFrame:
     """Per row: file, position, text length, token count, first 50
     tokens and the text cut to 500 head + 500 tail characters when longer
-    than 1000. Column choice follows the corpus: a usable token-list column
-    (``tokens``, ``input_ids``, then any list column named like a token or
-    id column) wins; otherwise the text is tokenised. ``n`` keeps the first
+    than 1000. What is previewed: a usable list in one of ``token_columns``,
+    else the text, and in a table without a text column any list column
+    named like a token or id column. ``n`` keeps the first
     ``n`` rows in file order (the preview feature)."""
     from talkmill.operators.vocab import pick_token_column, token_candidates
     has_text = text in df.columns
     text_col = F.col(text) if has_text else F.lit(None).cast("string")
-    if token_candidates(df, token_columns):
-        d = pick_token_column(df, token_columns, text if has_text else None)
+    lists = token_candidates(df, token_columns)
+    wanted = [c for c in lists if c in token_columns] if has_text else lists
+    if wanted:
+        others = [c for c in lists if c not in wanted]
+        d = pick_token_column(df.drop(*others), wanted, text if has_text else None)
         toks = F.coalesce(F.col("token_ids").cast("array<string>"), tokenize(text_col))
         sep = F.when(F.col("token_ids").isNotNull(), F.lit(" ")).otherwise(F.lit(""))
         d = d.select(SOURCE_FILE, SOURCE_ROW, text_col.alias("_text"), toks.alias("_tok"),

@@ -41,13 +41,11 @@ def test_turn_headers(spark):
 def test_split_sql_and_spark_agree_with_headers(spark):
     import duckdb
 
-    import __spark_entry__ as entry
-    from talkmill.plans.queries_tables import ASSEMBLE_SQL
+    from talkmill.plans.queries_tables import _split_sql
     dialogues = [(1, "Intro\n**Turn 1**\nA: x\nmore\n**Turn 2**\nB: y"),
                  (2, "**Turn 1**\n**Bob:** hi\nTurn 2:\nAmy: yo\n\nlast"),
                  (3, "no tags at all\nsecond line"), (4, "Zed: only")]
-    sql = entry.oracle_sql()["i1_split_turns"].replace(
-        f"d AS ({ASSEMBLE_SQL})", "d AS (SELECT * FROM fixture)")
+    sql = _split_sql("SELECT * FROM fixture")
     con = duckdb.connect()
     con.execute("CREATE TABLE fixture (conv_id BIGINT, dialogue VARCHAR)")
     con.executemany("INSERT INTO fixture VALUES (?, ?)", dialogues)
@@ -56,3 +54,26 @@ def test_split_sql_and_spark_agree_with_headers(spark):
     got = sorted([(r.conv_id, r.turn_no, r.header_no, r.speaker, r.text)
                   for r in split_turns(df).collect()], key=str)
     assert got == [tuple(w) for w in want]
+
+
+def _turns(spark, text):
+    df = spark.createDataFrame([(1, text)], "conv_id BIGINT, dialogue STRING")
+    return sorted((r.turn_no, r.speaker, r.text) for r in split_turns(df).collect())
+
+
+def test_speakers_of_many_shapes(spark):
+    text = ("老师：今天我们学什么？\n学生:算术。\n**王老师：**很好\nDr. Smith: Good.\n**Dr. Jane Q. Smith**: Yes\n"
+            "jgens: hello\nThe Head of the Department of Mathematics: Welcome\nSpeaker 12: ok\nd'Arc is no tag\n"
+            "Note: not a speaker\nhttps://example.com\nthis is prose: still prose\nÉlodie: oui")
+    assert _turns(spark, text) == [
+        (1, "老师", "今天我们学什么？"), (2, "学生", "算术。"), (3, "王老师", "很好"), (4, "Dr. Smith", "Good."),
+        (5, "Dr. Jane Q. Smith", "Yes"), (6, "jgens", "hello"),
+        (7, "The Head of the Department of Mathematics", "Welcome"),
+        (8, "Speaker 12", "ok\nd'Arc is no tag\nNote: not a speaker\nhttps://example.com\nthis is prose: still prose"),
+        (9, "Élodie", "oui")]
+
+
+def test_empty_and_null_dialogues(spark):
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "A:"), (4, "**Turn 1**")], "conv_id BIGINT, dialogue STRING")
+    got = sorted((r.conv_id, r.turn_no, r.speaker, r.text) for r in split_turns(df).collect())
+    assert got == [(3, 1, "A", "")]

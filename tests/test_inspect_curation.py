@@ -72,3 +72,14 @@ def test_long_inline_math_and_odd_urls(spark):
                                "text STRING, url STRING")
     assert [r.math_hits for r in math_signal(df).collect()] == [1, 0, 2]
     assert [r.h for r in df.select(url_host().alias("h")).collect()] == ["ex.com", "", ""]
+
+
+def test_preview_prefers_the_text_to_other_id_lists(spark):
+    from talkmill.sources.inspect import sample_preview
+    cols = "source_file STRING, source_row BIGINT, "
+    t = spark.createDataFrame([("f", 0, "two words", [7, 8, 9])], cols + "text STRING, entity_ids ARRAY<INT>")
+    assert sample_preview(t).first().first_tokens == "two words"
+    n = spark.createDataFrame([("f", 0, [7, 8, 9])], cols + "entity_ids ARRAY<INT>")
+    assert sample_preview(n).first().first_tokens == "7 8 9"
+    k = spark.createDataFrame([("f", 0, "two words", [1, 2])], cols + "text STRING, tokens ARRAY<INT>")
+    assert sample_preview(k).first().first_tokens == "1 2"
