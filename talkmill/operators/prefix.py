@@ -20,7 +20,6 @@ result is deterministic and survives task re-execution.
 
 from __future__ import annotations
 
-import uuid
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -104,9 +103,9 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written
     files. Used on *narrow* tables (keys + counts) that several branches of
     one plan read, so the lineage above them (scan + tokenise) runs once; the
-    copy survives executor loss, and its size is known to the planner. The
-    folder is the caller's to clear after the job, like any checkpoint."""
-    from talkmill.session import checkpoint_dir
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    copy survives executor loss, and its size is known to the planner.
+    ``session.release_tables`` deletes such tables after a job."""
+    from talkmill.session import new_path
+    path = new_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

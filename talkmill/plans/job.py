@@ -74,7 +74,7 @@ def run(argv: list[str]) -> dict:
     from pyspark.sql import SparkSession
 
     from talkmill.plans.generation import GenerationConfig, dry_run_table, model_run
-    from talkmill.session import get_session
+    from talkmill.session import get_session, release_tables
     from talkmill.sources.sinks import path_exists, write_records_with_stats
     spark = get_session(a.master) if a.master else SparkSession.builder.getOrCreate()
     if not a.overwrite and path_exists(spark, a.output):
@@ -89,7 +89,9 @@ def run(argv: list[str]) -> dict:
         classified = model_run(spark, a.dataset_dir, a.output.rstrip("/") + "_replies", factory,
                                cfg, partitions=a.partitions, max_attempts=a.max_attempts,
                                in_flight=a.in_flight, timeout_seconds=a.timeout)
-    return write_records_with_stats(classified, a.output, overwrite=a.overwrite)
+    stats = write_records_with_stats(classified, a.output, overwrite=a.overwrite)
+    release_tables(spark)
+    return stats
 
 
 def main() -> None:

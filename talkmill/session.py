@@ -8,6 +8,8 @@ the bench set that option themselves.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -47,6 +49,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or named
 
 
+_WRITTEN: list[str] = []
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new path for a written intermediate table in the shared folder."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this process wrote; call it when
+    no result that reads them is needed any more. Returns their number."""
+    done = 0
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        done += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return done
+
+
 def scale_settings(input_bytes: int, total_cores: int,
                    target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Spark settings sized to the input and the cluster.
