@@ -8,7 +8,6 @@ memory of a task is bounded by the block size plus the longest text.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,15 +15,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmill.session import checkpoint_dir
+from talkmill.session import new_path
 
 BLOCK_BYTES = 2 << 20
 MASK64 = (1 << 64) - 1
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that ``spark.checkpoint.dir`` names."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the folder that ``spark.checkpoint.dir`` names;
+    ``session.release_tables`` deletes it after a job."""
+    return new_path(spark, name)
 
 
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
