@@ -2,7 +2,8 @@
 
 The model gives the distribution of the next token's output class from the
 input classes so far: one attention layer with a learned bias per distance,
-a hidden layer, and a softmax.
+a hidden layer, and a softmax, whose logits are added to a given prior (the
+log-probability of the output class after the last input class alone).
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ _LAG = np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :]
 _PAST = _LAG >= 0
 
 
-def gradients(p: Parameters, x: np.ndarray, y: np.ndarray) -> tuple[float, Parameters]:
+def gradients(p: Parameters, prior: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[float, Parameters]:
     """Mean cross-entropy (nats) of windows x -> y, both (n, WINDOW), and its
     gradients."""
     n = x.size
@@ -62,7 +63,7 @@ def gradients(p: Parameters, x: np.ndarray, y: np.ndarray) -> tuple[float, Param
     z = a @ v
     pre = e @ p["own"] + z @ p["seen"] + p["hidden"]
     h = np.maximum(pre, 0)
-    o = h @ p["out"] + p["bias"]
+    o = h @ p["out"] + p["bias"] + prior[x]
     o -= o.max(axis=2, keepdims=True)
     o = np.exp(o)
     o /= o.sum(axis=2, keepdims=True)
@@ -91,13 +92,14 @@ def gradients(p: Parameters, x: np.ndarray, y: np.ndarray) -> tuple[float, Param
 
 
 class Adam:
-    def __init__(self, p: Parameters, rate: float) -> None:
+    def __init__(self, p: Parameters, prior: np.ndarray, rate: float) -> None:
+        self.prior = prior
         self.p, self.rate, self.t = {k: v.copy() for k, v in p.items()}, rate, 0
         self.m = {k: np.zeros_like(v) for k, v in p.items()}
         self.s = {k: np.zeros_like(v) for k, v in p.items()}
 
     def step(self, x: np.ndarray, y: np.ndarray) -> float:
-        loss, g = gradients(self.p, x, y)
+        loss, g = gradients(self.p, self.prior, x, y)
         self.t += 1
         for k, d in g.items():
             self.m[k] += 0.1 * (d - self.m[k])
@@ -112,7 +114,8 @@ class Scorer:
     window are scored at once with the half window before it as context, so
     windows overlap and every token is scored once."""
 
-    def __init__(self, p: Parameters) -> None:
+    def __init__(self, p: Parameters, prior: np.ndarray) -> None:
+        self.prior = prior + p["bias"]
         e = p["embed"]
         self.q, self.k, self.v = e @ p["q"] * np.float32(1 / np.sqrt(WIDTH)), e @ p["k"], e @ p["v"]
         self.own, self.p = e @ p["own"] + p["hidden"], p
@@ -144,7 +147,8 @@ class Scorer:
             np.exp(np.minimum(s, 60, out=s), out=s)
             z = (s @ self.v[keys]) / s.sum(axis=2, keepdims=True)
             h = np.maximum(self.own[own] + z @ self.p["seen"], 0)
-            o = h @ self.p["out"] + self.p["bias"]
+            o = h @ self.p["out"]
+            o += self.prior[own]
             hit = np.take_along_axis(o, goal[part][:, :, None], axis=2)[:, :, 0]
             top = o.max(axis=2)
             o -= top[:, :, None]

@@ -1,8 +1,9 @@
 """Language-model scores of whole texts.
 
 The model factors a subword: a causal self-attention model (attention.py)
-gives the next token's *class* from the tokens so far, and corpus counts
-give the token within its class after the last token. Classes hold about
+gives the next token's *class* from the tokens so far, as a correction of
+the class counts after the last token, and corpus counts give the token
+within its class after the last token. Classes hold about
 equal shares of the training tokens; the commonest tokens have one each.
 All counts cover every training document:
 
@@ -34,9 +35,8 @@ from talkmill.llm import attention
 from talkmill.llm.common import mix64, sliced, word_hashes, written
 from talkmill.llm.subwords import BytePairEncoder
 
-INPUTS = 1024  # input classes: the commonest tokens one each, the rest together
+INPUTS = 1024  # classes of past tokens: the commonest tokens one each, the rest together
 OUTPUTS = 64
-LAST = 512  # classes of the last token in the pair counts
 SMOOTH = 20.0
 #: Texts of a block, in slices of common.BLOCK_BYTES.
 SLICES = 8
@@ -184,7 +184,6 @@ class Classes:
         rank = np.empty(len(counts), np.int64)
         rank[order] = np.arange(len(counts))
         self.input = np.minimum(rank, INPUTS - 1)
-        self.last = np.minimum(rank, LAST - 1)
         self.output = np.zeros(len(counts), np.int64)
         left, free, i = int(counts.sum()), OUTPUTS, 0
         while free > 1 and i < len(order) and counts[order[i]] * free >= max(left, 1):
@@ -197,17 +196,18 @@ class Classes:
         self.used[order[:int((counts > 0).sum())]] = np.arange(int((counts > 0).sum()))
 
 
-def _pair_table(blocks: DataFrame, counts: np.ndarray, classes: Classes) -> np.ndarray:
+def _pair_tables(blocks: DataFrame, counts: np.ndarray, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
     """log10 probability of a token (column) within its class after a last
-    token of a class (row); at most LAST times the vocabulary."""
+    token of a class (row), at most INPUTS times the vocabulary, and the
+    natural log-probability of the output class after it."""
     end, n_used = len(counts) - 1, int((counts > 0).sum())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(LAST * (n_used + 1), np.int32)
+        total = np.zeros(INPUTS * (n_used + 1), np.int32)
 
         def add(b: Slice) -> None:
             last, nxt, _ = b.pairs(end, True)
-            keys, n = np.unique(classes.last[last] * (n_used + 1) + classes.used[nxt], return_counts=True)
+            keys, n = np.unique(classes.input[last] * (n_used + 1) + classes.used[nxt], return_counts=True)
             total[keys] += n.astype(np.int32)
 
         _each(add, batches)
@@ -215,19 +215,22 @@ def _pair_table(blocks: DataFrame, counts: np.ndarray, classes: Classes) -> np.n
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some].astype(np.int64))], names=["i", "n"])
 
     rows = blocks.select(*_CONTENT).mapInArrow(count, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()
-    pairs = np.zeros(LAST * (n_used + 1))
+    pairs = np.zeros(INPUTS * (n_used + 1))
     pairs[rows["i"].to_numpy(np.int64)] = rows["n"].to_numpy()
-    pairs = pairs.reshape(LAST, n_used + 1)
+    pairs = pairs.reshape(INPUTS, n_used + 1)
     of_class = np.bincount(classes.output, counts, minlength=OUTPUTS)
     members = np.bincount(classes.output, minlength=OUTPUTS)
     column = np.zeros(n_used + 1, np.int64)  # class of each column; unseen tokens are in the last class
     alone = np.zeros(n_used + 1)
     p = (counts + 0.01) / (of_class + 0.01 * members)[classes.output]
     column[classes.used], alone[classes.used] = classes.output, p
-    in_class = np.zeros((LAST, OUTPUTS))
+    in_class = np.zeros((INPUTS, OUTPUTS))
     for k in range(OUTPUTS):
         in_class[:, k] = pairs[:, column == k].sum(axis=1)
-    return np.log10((pairs + SMOOTH * alone) / (in_class[:, column] + SMOOTH)).astype(np.float32)
+    alone_class = (of_class + 0.5) / (of_class + 0.5).sum()
+    prior = np.log((in_class + SMOOTH * alone_class) / (in_class.sum(axis=1, keepdims=True) + SMOOTH))
+    table = np.log10((pairs + SMOOTH * alone) / (in_class[:, column] + SMOOTH))
+    return table.astype(np.float32), prior.astype(np.float32)
 
 
 def _windows(b: Slice, end: int, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -250,7 +253,7 @@ def _windows(b: Slice, end: int, classes: Classes) -> tuple[np.ndarray, np.ndarr
     return classes.input[last[at]], classes.output[nxt[at]], draw
 
 
-def _train(blocks: DataFrame, end: int, classes: Classes) -> attention.Parameters:
+def _train(blocks: DataFrame, end: int, classes: Classes, prior: np.ndarray) -> attention.Parameters:
     start = attention.initial(INPUTS, OUTPUTS)
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +276,7 @@ def _train(blocks: DataFrame, end: int, classes: Classes) -> attention.Parameter
         return start
     xy = np.stack([np.frombuffer(r["xy"], np.int16) for r in rows]).astype(np.int64)
     x, y = xy[:, :attention.WINDOW], xy[:, attention.WINDOW:]
-    adam, rng = attention.Adam(start, 4e-3), np.random.default_rng(9)
+    adam, rng = attention.Adam(start, prior, 4e-3), np.random.default_rng(9)
     for _ in range(WARM_UP_PASSES):
         order = rng.permutation(len(x))
         for at in range(0, len(order), BATCH):
@@ -281,12 +284,12 @@ def _train(blocks: DataFrame, end: int, classes: Classes) -> attention.Parameter
     params = adam.p
 
     for round_ in range(ROUNDS):
-        own = blocks.sparkSession.sparkContext.broadcast((params, classes))
+        own = blocks.sparkSession.sparkContext.broadcast((params, classes, prior))
         rate = 3e-3 / (1 + 2 * round_)
 
         def improve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            params, classes = own.value
-            adam, seen = attention.Adam(params, rate), [0]
+            params, classes, prior = own.value
+            adam, seen = attention.Adam(params, prior, rate), [0]
 
             def add(b: Slice) -> None:
                 x, y, draw = _windows(b, end, classes)
@@ -347,14 +350,14 @@ def score(docs: DataFrame, id_col: str, text_col: str, trains: Column, tokenizer
     words = _word_counts(blocks)
     counts = _token_counts(blocks, size)
     classes = Classes(counts)
-    table = _pair_table(blocks, counts, classes)
-    params = _train(blocks, size, classes)
+    table, prior = _pair_tables(blocks, counts, classes)
+    params = _train(blocks, size, classes, prior)
 
     n_ends = int(counts[size])
     known = blocks.agg(F.sum("words")).first()[0] or 0
     distinct = words.where("block < 0").agg(F.sum("n")).first()[0] or 0
     n_train, vocabulary = known + n_ends, distinct + (n_ends > 0)
-    model = docs.sparkSession.sparkContext.broadcast((params, classes, table))
+    model = docs.sparkSession.sparkContext.broadcast((params, classes, table, prior))
     base = np.log10(n_train + vocabulary + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,8 +365,8 @@ def score(docs: DataFrame, id_col: str, text_col: str, trains: Column, tokenizer
         pieces = [encoder.pieces.get(i, b"") for i in range(size)]
         piece_at = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
         piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
-        params, classes, table = model.value
-        scorer = attention.Scorer(params)
+        params, classes, table, prior = model.value
+        scorer = attention.Scorer(params, prior)
 
         def text_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             sizes = np.diff(piece_at)[ids]
@@ -375,7 +378,7 @@ def score(docs: DataFrame, id_col: str, text_col: str, trains: Column, tokenizer
             seen = np.concatenate([[0], np.cumsum(times > 0)])
             last, nxt, sizes = b.pairs(size, False)
             logs = scorer.log_probabilities(classes.input[last], classes.output[nxt], sizes).astype(np.float64)
-            logs = logs / np.log(10) + table[classes.last[last], classes.used[nxt]]
+            logs = logs / np.log(10) + table[classes.input[last], classes.used[nxt]]
             upto, stops = np.concatenate([[0], np.cumsum(logs)]), np.cumsum(sizes)
             return pa.RecordBatch.from_arrays(
                 [pa.array(b.docs, pa.int64()), pa.array(b.trains), pa.array(np.diff(at) + 1),

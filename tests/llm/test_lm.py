@@ -57,9 +57,11 @@ def test_in_class_probabilities_sum_to_one(spark, bpe):
     blocks = lm._blocks(docs, bpe, 12)
     counts = lm._token_counts(blocks, 50257)
     classes = lm.Classes(counts)
-    p = 10.0 ** lm._pair_table(blocks, counts, classes).astype(float)[:, classes.used]
+    table, prior = lm._pair_tables(blocks, counts, classes)
+    assert np.exp(prior.astype(float)).sum(axis=1) == pytest.approx(np.ones(lm.INPUTS), rel=1e-4)
+    p = 10.0 ** table.astype(float)[:, classes.used]
     for k in set(classes.output):
-        assert p[:, classes.output == k].sum(axis=1) == pytest.approx(np.ones(lm.LAST), rel=1e-4)
+        assert p[:, classes.output == k].sum(axis=1) == pytest.approx(np.ones(lm.INPUTS), rel=1e-4)
 
 
 def test_scoring_equals_the_training_pass():
@@ -67,9 +69,10 @@ def test_scoring_equals_the_training_pass():
     whole context lies in it."""
     p = attention.initial(30, 7)
     rng = np.random.default_rng(1)
+    prior = rng.normal(size=(30, 7)).astype(np.float32)
     counts = np.array([1, 5, 16, 17, 32, 100])
     x, y = rng.integers(0, 30, counts.sum()), rng.integers(0, 7, counts.sum())
-    got = attention.Scorer(p).log_probabilities(x, y, counts)
+    got = attention.Scorer(p, prior).log_probabilities(x, y, counts)
     at = np.concatenate([[0], np.cumsum(counts)])
     for i, n in enumerate(counts):
         for t in range(n):
@@ -78,16 +81,16 @@ def test_scoring_equals_the_training_pass():
             goal = np.zeros((1, attention.WINDOW), int)
             own = slice(at[i] + begin, at[i] + t + 1)
             window[0, :t + 1 - begin], goal[0, :t + 1 - begin] = x[own], y[own]
-            assert got[at[i] + t] == pytest.approx(_reference(p, window, goal, t - begin), abs=1e-4)
+            assert got[at[i] + t] == pytest.approx(_reference(p, prior, window, goal, t - begin), abs=1e-4)
 
 
-def _reference(p, x, y, t):
+def _reference(p, prior, x, y, t):
     e = p["embed"][x[0, :t + 1]].astype(float)
     s = (e[t] @ p["q"]) @ (e @ p["k"]).T / np.sqrt(attention.WIDTH) + p["far"][t - np.arange(t + 1)]
     a = np.exp(s - s.max())
     z = (a / a.sum()) @ (e @ p["v"])
     h = np.maximum(e[t] @ p["own"] + z @ p["seen"] + p["hidden"], 0)
-    o = h @ p["out"] + p["bias"]
+    o = h @ p["out"] + p["bias"] + prior[x[0, t]]
     return o[y[0, t]] - o.max() - np.log(np.exp(o - o.max()).sum())
 
 
@@ -95,14 +98,15 @@ def test_gradients_match_differences():
     rng = np.random.default_rng(3)
     p = {k: v.astype(np.float64) for k, v in attention.initial(12, 5).items()}
     x, y = rng.integers(0, 12, (3, attention.WINDOW)), rng.integers(0, 5, (3, attention.WINDOW))
-    _, g = attention.gradients(p, x, y)
+    prior = rng.normal(size=(12, 5))
+    _, g = attention.gradients(p, prior, x, y)
     for k in p:
         at = tuple(rng.integers(0, n) for n in p[k].shape)
         own = p[k][at]
         p[k][at] = own + 1e-5
-        up = attention.gradients(p, x, y)[0]
+        up = attention.gradients(p, prior, x, y)[0]
         p[k][at] = own - 1e-5
-        down = attention.gradients(p, x, y)[0]
+        down = attention.gradients(p, prior, x, y)[0]
         p[k][at] = own
         assert (up - down) / 2e-5 == pytest.approx(g[k][at], abs=1e-4)
 
@@ -111,6 +115,6 @@ def test_training_lowers_the_loss():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 8, (256, attention.WINDOW))
     y = np.concatenate([x[:, :1] * 0, x[:, :-1]], axis=1) % 4  # the last but one input class decides
-    adam = attention.Adam(attention.initial(8, 4), 1e-2)
+    adam = attention.Adam(attention.initial(8, 4), np.zeros((8, 4), np.float32), 1e-2)
     losses = [adam.step(x[i % 4 * 64:i % 4 * 64 + 64], y[i % 4 * 64:i % 4 * 64 + 64]) for i in range(240)]
     assert np.mean(losses[-8:]) < 0.5 * np.mean(losses[:8])
