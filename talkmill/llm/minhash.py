@@ -172,12 +172,22 @@ def _within_buckets(members: DataFrame, sets: DataFrame, percent: int) -> DataFr
         rows = rows.sort_values("doc").reset_index(drop=True)
         minima = np.stack([np.frombuffer(m, np.uint32) for m in rows["minima"]])
         full = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
+        size = np.array([len(s) for s in full])
+        begin = np.cumsum(size) - size
+        flat = np.unique(np.concatenate(full), return_inverse=True)[1].astype(np.int32)
+        mine = np.zeros(flat.max() + 1, bool)
         group, docs, found = rows["group"].to_numpy().copy(), rows["doc"].to_numpy(), []
         for i in range(len(rows)):
             others = np.flatnonzero(group[i + 1:] != group[i]) + i + 1
             near = others[(minima[others] == minima[i]).sum(axis=1) >= least]
-            for j in near:
-                if group[j] != group[i] and linked(full[i], full[j], percent):
+            if not len(near):
+                continue
+            own = flat[begin[i]:begin[i] + size[i]]
+            mine[own] = True
+            both = np.add.reduceat(mine[flat], begin, dtype=np.int64)[near]  # of all members at once
+            mine[own] = False
+            for j in near[100 * both >= percent * (size[i] + size[near] - both)]:
+                if group[j] != group[i]:
                     found.append((docs[i], docs[j]))
                     group[group == group[j]] = group[i]
         return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
