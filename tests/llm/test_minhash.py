@@ -46,11 +46,11 @@ def _family(rng, base, n, edits):
     return out
 
 
-def _corpus(seed=0):
+def _corpus(families=((60, 3), (40, 6), (25, 1), (30, 10)), seed=0):
     rng = random.Random(seed)
     words = [f"w{i}" for i in range(300)]
     texts = []
-    for n, edits in ((60, 3), (40, 6), (25, 1), (30, 10)):
+    for n, edits in families:
         texts += _family(rng, [rng.choice(words) for _ in range(150)], n, edits)
     texts += [" ".join(rng.choice(words) for _ in range(rng.randint(1, 80))) for _ in range(100)]
     texts += texts[:20] + ["Same  Words here", "same words\there", "x"]
@@ -58,9 +58,11 @@ def _corpus(seed=0):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("percent,bucket_rows", [(85, 2000), (85, 3), (80, 2000)])
-def test_components_equal_all_pairs(spark, percent, bucket_rows):
-    docs = _corpus()
+@pytest.mark.parametrize("percent,bucket_rows,families", [
+    (85, 2000, ((60, 3), (40, 6), (25, 1), (30, 10))),
+    (85, 4, ((8, 3), (6, 6)))])  # small buckets only: the rest meets further hubs
+def test_components_equal_all_pairs(spark, percent, bucket_rows, families):
+    docs = _corpus(families)
     out = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text",
                           percent, bucket_rows).collect()
     want = brute(docs, percent)
