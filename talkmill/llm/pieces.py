@@ -69,14 +69,14 @@ class PieceModel:
         self.score = [sp.get_score(i) for i in self.ids]
         self.n_single = len(single)
         self.longest = max(map(len, self.piece))
-        self.longest_before: dict[str, int] = {}
-        for p in self.piece:
-            self.longest_before[p[-1]] = max(len(p), self.longest_before.get(p[-1], 1))
         self.parts = [(r, r) for r in range(len(self.ids))]
         if not unigram:
             dead = [r for r in range(self.n_single, len(self.ids)) if not self._set_parts(r)]
             for r in dead:  # merging never arrives at these
                 del self.rank[self.piece[r]]
+        #: Rank of every ending of a piece that is a piece itself, else -1: a
+        #: look back stops at what ends no piece.
+        self.endings = {p[k:]: -1 for p in self.rank for k in range(len(p))} | self.rank
 
     def _set_parts(self, r: int) -> bool:
         """The two pieces of the last merge that makes piece ``r``."""
@@ -124,30 +124,34 @@ class Encoder:
     def search(self, text: str) -> list[int]:
         """Ids of a stretch in which words and their marks are whole."""
         m, borders = self.m, self.borders
-        get, before, unigram, n_ids = m.rank.get, m.longest_before, m.unigram, len(m.ids)
+        get, unigram, n_ids = m.endings.get, m.unigram, len(m.ids)
         if len(borders) > 4 * CACHE:
             borders.clear()
         out: list[int] = []
         base, last, back, total = 0, [-1], [0], [0.0]  # of the places from ``base`` on
         for i in range(1, len(text) + 1):
-            found, origin, best = None, i - 1, 0.0
-            for j in range(max(base, i - before.get(text[i - 1], 1)), i):  # longest piece first
+            found, origin, best, pieces = None, i - 1, 0.0, []
+            for j in range(i - 1, base - 1, -1):
                 r = get(text[j:i])
                 if r is None:
-                    continue
-                if unigram:
-                    if found is None or total[j - base] + m.score[r] > best:
+                    break
+                if r >= 0:
+                    pieces.append((r, j))
+            if unigram:
+                for r, j in pieces:
+                    if found is None or total[j - base] + m.score[r] >= best:
                         found, origin, best = r, j, total[j - base] + m.score[r]
-                    continue
-                p = last[j - base]
-                if p >= 0:
-                    admitted = borders.get(p * n_ids + r)
-                    if admitted is None:
-                        admitted = borders[p * n_ids + r] = self._admits(p, r)
-                    if not admitted:
-                        continue
-                found, origin = r, j
-                break
+            else:
+                for r, j in reversed(pieces):  # longest first; one at most is admitted
+                    p = last[j - base]
+                    if p >= 0:
+                        admitted = borders.get(p * n_ids + r)
+                        if admitted is None:
+                            admitted = borders[p * n_ids + r] = self._admits(p, r)
+                        if not admitted:
+                            continue
+                    found, origin = r, j
+                    break
             if found is None:  # a character without a piece stands for its bytes
                 found, best = -1 - ord(text[i - 1]), total[-1] - 1e6
             last.append(found)
