@@ -48,7 +48,7 @@ HOT = 50_000
 #: Distinct minimisers that meet in a bucket, about.
 BUCKET = 400_000
 #: Bytes that are suffix-sorted at once; a minimiser is never split here.
-SORTED_BYTES = 4 << 20
+SORTED_BYTES = 1 << 20
 NULL_ID = -(1 << 63)
 
 
