@@ -48,44 +48,61 @@ _LAG = np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :]
 _PAST = _LAG >= 0
 
 
-def gradients(p: Parameters, prior: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[float, Parameters]:
+def gradients(p: Parameters, prior: np.ndarray, x: np.ndarray, y: np.ndarray,
+              real: np.ndarray | None = None) -> tuple[float, Parameters]:
     """Mean cross-entropy (nats) of windows x -> y, both (n, WINDOW), and its
-    gradients."""
-    n = x.size
-    e = p["embed"][x]
-    q, k, v = e @ p["q"], e @ p["k"], e @ p["v"]
+    gradients. ``real``: the tokens at the start of each window that count
+    (None: all); what pads a window behind them has no effect."""
+    n = x.size if real is None else int(real.sum())
+    padded = None if n == x.size else np.arange(x.shape[1])[None, :] >= real[:, None]
+    flat2 = lambda t: t.reshape(-1, t.shape[-1])
+    e = p["embed"][x.ravel()]
     scale = np.float32(1 / np.sqrt(WIDTH))
-    s = q @ k.transpose(0, 2, 1) * scale + p["far"][np.maximum(_LAG, 0)]
-    s = np.where(_PAST, s, np.float32(-1e9))
-    s -= s.max(axis=2, keepdims=True)
-    a = np.exp(s)
+    joint = np.concatenate([p["q"] * scale, p["k"], p["v"], p["own"]], axis=1)
+    from_e = (e @ joint).reshape(*x.shape, -1)
+    q, k, v, own = np.split(from_e, [WIDTH, 2 * WIDTH, 3 * WIDTH], axis=2)
+    a = q @ k.transpose(0, 2, 1)
+    a += np.where(_PAST, p["far"][np.maximum(_LAG, 0)], np.float32(-1e9))
+    a -= a.max(axis=2, keepdims=True)
+    np.exp(a, out=a)
     a /= a.sum(axis=2, keepdims=True)
-    z = a @ v
-    pre = e @ p["own"] + z @ p["seen"] + p["hidden"]
-    h = np.maximum(pre, 0)
-    o = h @ p["out"] + p["bias"] + prior[x]
-    o -= o.max(axis=2, keepdims=True)
-    o = np.exp(o)
-    o /= o.sum(axis=2, keepdims=True)
-    hit = np.take_along_axis(o, y[:, :, None], axis=2)[:, :, 0]
-    loss = float(-np.log(np.maximum(hit, 1e-30)).mean())
+    z = flat2(a @ v)
+    h = z @ p["seen"]
+    h += flat2(own)
+    h += p["hidden"]
+    np.maximum(h, 0, out=h)
+    o = h @ p["out"]
+    o += p["bias"]
+    o += prior[x.ravel()]
+    o -= o.max(axis=1, keepdims=True)
+    np.exp(o, out=o)
+    o /= o.sum(axis=1, keepdims=True)
+    at, goal = np.arange(len(o)), y.ravel()
+    hit = o[at, goal]
+    logs = np.log(np.maximum(hit, 1e-30))
+    loss = float(-(logs.sum() if padded is None else logs[~padded.ravel()].sum()) / n)
 
-    flat2 = lambda t: t.reshape(-1, t.shape[-1])
     d_o = o
-    np.put_along_axis(d_o, y[:, :, None], (hit - 1)[:, :, None], axis=2)
+    d_o[at, goal] = hit - 1
+    if padded is not None:
+        d_o[padded.ravel()] = 0
     d_o /= n
-    g = {"out": flat2(h).T @ flat2(d_o), "bias": d_o.sum(axis=(0, 1))}
-    d_pre = (d_o @ p["out"].T) * (pre > 0)
-    g["own"], g["seen"], g["hidden"] = flat2(e).T @ flat2(d_pre), flat2(z).T @ flat2(d_pre), d_pre.sum(axis=(0, 1))
-    d_z = d_pre @ p["seen"].T
-    d_a, d_v = d_z @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ d_z
-    d_s = a * (d_a - (d_a * a).sum(axis=2, keepdims=True))
+    g = {"out": h.T @ d_o, "bias": d_o.sum(axis=0)}
+    d_pre = d_o @ p["out"].T
+    d_pre *= h > 0
+    g["seen"], g["hidden"] = z.T @ d_pre, d_pre.sum(axis=0)
+    d_z = (d_pre @ p["seen"].T).reshape(*x.shape, -1)
+    d_s = d_z @ v.transpose(0, 2, 1)
+    d_v = a.transpose(0, 2, 1) @ d_z
+    d_s -= (d_s * a).sum(axis=2, keepdims=True)
+    d_s *= a
     by_lag = d_s.sum(axis=0)
     g["far"] = np.bincount(_LAG[_PAST], by_lag[_PAST], minlength=WINDOW).astype(np.float32)
-    d_q, d_k = d_s @ k * scale, d_s.transpose(0, 2, 1) @ q * scale
-    g["q"], g["k"], g["v"] = flat2(e).T @ flat2(d_q), flat2(e).T @ flat2(d_k), flat2(e).T @ flat2(d_v)
-    d_e = d_q @ p["q"].T + d_k @ p["k"].T + d_v @ p["v"].T + d_pre @ p["own"].T
-    flat_x, flat_d = x.ravel(), flat2(d_e)
+    d_joint = np.concatenate([flat2(d_s @ k), flat2(d_s.transpose(0, 2, 1) @ q), flat2(d_v), d_pre], axis=1)
+    g["q"], g["k"], g["v"], g["own"] = np.split(e.T @ d_joint, [WIDTH, 2 * WIDTH, 3 * WIDTH], axis=1)
+    g["q"] = g["q"] * scale
+    d_e = d_joint @ joint.T
+    flat_x, flat_d = x.ravel(), d_e
     g["embed"] = np.stack([np.bincount(flat_x, flat_d[:, i], minlength=len(p["embed"]))
                            for i in range(WIDTH)], axis=1).astype(np.float32)
     return loss, g
@@ -98,8 +115,8 @@ class Adam:
         self.m = {k: np.zeros_like(v) for k, v in p.items()}
         self.s = {k: np.zeros_like(v) for k, v in p.items()}
 
-    def step(self, x: np.ndarray, y: np.ndarray) -> float:
-        loss, g = gradients(self.p, self.prior, x, y)
+    def step(self, x: np.ndarray, y: np.ndarray, real: np.ndarray | None = None) -> float:
+        loss, g = gradients(self.p, self.prior, x, y, real)
         self.t += 1
         for k, d in g.items():
             self.m[k] += 0.1 * (d - self.m[k])

@@ -14,9 +14,10 @@ All counts cover every training document:
 3. Subword counts and pair counts are summed within tasks first; both are
    bounded by the vocabulary.
 4. The attention model starts from a few passes over a bounded sample of
-   training windows; then every training document gives windows in
-   proportion to its length: the tasks train copies over their windows, and
-   the copies' average, weighted by windows, starts the next round.
+   training windows; then it trains on all of them: the windows of a training
+   document follow each other and cover it whole, and each is in one of the
+   rounds. The tasks train copies over their windows, and the copies'
+   average, weighted by tokens, starts the next round.
 5. One pass scores every token once, with overlapping context windows.
 """
 
@@ -40,10 +41,9 @@ OUTPUTS = 64
 SMOOTH = 20.0
 #: Texts of a block, in slices of common.BLOCK_BYTES.
 SLICES = 8
-#: One training window per so many tokens of a training document.
-SPACING = 1024
 WARM_UP = 4096
 WARM_UP_PASSES = 4
+#: Every training window is in one round.
 ROUNDS = 2
 BATCH = 64
 
@@ -233,24 +233,22 @@ def _pair_tables(blocks: DataFrame, counts: np.ndarray, classes: Classes) -> tup
     return table.astype(np.float32), prior.astype(np.float32)
 
 
-def _windows(b: Slice, end: int, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(inputs, outputs, draw) of the training windows of a slice: evenly
-    spaced in each training document, shifted by a hash of its tokens."""
+def _windows(b: Slice, end: int, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(inputs, outputs, real tokens, draw) of the training windows of a
+    slice: they follow each other through each training document, the last
+    one padded; the draw is a hash of the document and the place."""
     last, nxt, counts = b.pairs(end, True)
     w = attention.WINDOW
     first = np.cumsum(counts) - counts
-    room = counts - w
-    fit = room >= 0
-    number = np.where(fit, -(-counts // SPACING), 0)
+    number = -(-counts // w)
     doc = np.repeat(np.arange(len(counts)), number)
     if not len(doc):
-        return np.zeros((0, w), np.int64), np.zeros((0, w), np.int64), np.zeros(0, np.uint64)
+        return np.zeros((0, w), np.int64), np.zeros((0, w), np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     j = np.arange(len(doc)) - np.repeat(np.cumsum(number) - number, number)
     draw = mix64((nxt[first[doc]] + 7919 * counts[doc] + 104729 * j).astype(np.uint64) + np.uint64(1))
-    span = np.minimum(SPACING, room[doc] + 1 - np.minimum(j * SPACING, room[doc]))
-    start = np.minimum(j * SPACING, room[doc]) + (draw % span.astype(np.uint64)).astype(np.int64)
-    at = first[doc][:, None] + start[:, None] + np.arange(w)[None, :]
-    return classes.input[last[at]], classes.output[nxt[at]], draw
+    real = np.minimum(w, counts[doc] - j * w)
+    at = (first[doc] + j * w)[:, None] + np.minimum(np.arange(w)[None, :], real[:, None] - 1)
+    return classes.input[last][at], classes.output[nxt][at], real, draw
 
 
 def _train(blocks: DataFrame, end: int, classes: Classes, prior: np.ndarray) -> attention.Parameters:
@@ -260,27 +258,29 @@ def _train(blocks: DataFrame, end: int, classes: Classes, prior: np.ndarray) ->
         kept: list[tuple] = []
 
         def add(b: Slice) -> None:
-            x, y, draw = _windows(b, end, classes)
-            kept.extend((int(d) >> 1, a.astype(np.int16).tobytes() + c.astype(np.int16).tobytes())
-                        for a, c, d in zip(x, y, draw))
+            x, y, real, draw = _windows(b, end, classes)
+            some = np.argsort(draw, kind="stable")[:WARM_UP]
+            xyn = np.concatenate([x[some], y[some], real[some, None]], axis=1).astype(np.int16)
+            kept.extend((int(d) >> 1, row.tobytes()) for d, row in zip(draw[some], xyn))
             kept.sort()
             del kept[WARM_UP:]
 
         _each(add, batches)
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.int64()),
-                                          pa.array([d for _, d in kept], pa.binary())], names=["draw", "xy"])
+                                          pa.array([d for _, d in kept], pa.binary())], names=["draw", "xyn"])
 
-    rows = blocks.select(*_CONTENT).mapInArrow(sample, "draw long, xy binary") \
-        .orderBy("draw", "xy").limit(WARM_UP).collect()
+    rows = blocks.select(*_CONTENT).mapInArrow(sample, "draw long, xyn binary") \
+        .orderBy("draw", "xyn").limit(WARM_UP).collect()
     if not rows:
         return start
-    xy = np.stack([np.frombuffer(r["xy"], np.int16) for r in rows]).astype(np.int64)
-    x, y = xy[:, :attention.WINDOW], xy[:, attention.WINDOW:]
+    xyn = np.stack([np.frombuffer(r["xyn"], np.int16) for r in rows]).astype(np.int64)
+    x, y, real = xyn[:, :attention.WINDOW], xyn[:, attention.WINDOW:-1], xyn[:, -1]
     adam, rng = attention.Adam(start, prior, 4e-3), np.random.default_rng(9)
     for _ in range(WARM_UP_PASSES):
         order = rng.permutation(len(x))
         for at in range(0, len(order), BATCH):
-            adam.step(x[order[at:at + BATCH]], y[order[at:at + BATCH]])
+            own = order[at:at + BATCH]
+            adam.step(x[own], y[own], real[own])
     params = adam.p
 
     for round_ in range(ROUNDS):
@@ -292,11 +292,13 @@ def _train(blocks: DataFrame, end: int, classes: Classes, prior: np.ndarray) ->
             adam, seen = attention.Adam(params, prior, rate), [0]
 
             def add(b: Slice) -> None:
-                x, y, draw = _windows(b, end, classes)
+                x, y, real, draw = _windows(b, end, classes)
                 order = np.argsort(draw, kind="stable")
+                order = order[draw[order] % np.uint64(ROUNDS) == round_]
                 for at in range(0, len(order), BATCH):
-                    adam.step(x[order[at:at + BATCH]], y[order[at:at + BATCH]])
-                seen[0] += len(order)
+                    some = order[at:at + BATCH]
+                    adam.step(x[some], y[some], real[some])
+                seen[0] += int(real[order].sum())
 
             _each(add, batches)
             values = attention.flat(adam.p) * seen[0]
@@ -306,7 +308,8 @@ def _train(blocks: DataFrame, end: int, classes: Classes, prior: np.ndarray) ->
 
         sums = blocks.select(*_CONTENT).mapInArrow(improve, "i int, v double, n long") \
             .groupBy("i").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).toPandas().sort_values("i")
-        params = attention.shaped((sums["v"] / sums["n"]).to_numpy(), params)
+        if sums["n"].iloc[0]:  # a tiny corpus may have no window in a round
+            params = attention.shaped((sums["v"] / sums["n"]).to_numpy(), params)
         own.unpersist()
     return params
 

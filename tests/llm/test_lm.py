@@ -118,3 +118,47 @@ def test_training_lowers_the_loss():
     adam = attention.Adam(attention.initial(8, 4), np.zeros((8, 4), np.float32), 1e-2)
     losses = [adam.step(x[i % 4 * 64:i % 4 * 64 + 64], y[i % 4 * 64:i % 4 * 64 + 64]) for i in range(240)]
     assert np.mean(losses[-8:]) < 0.5 * np.mean(losses[:8])
+
+
+def test_windows_cover_every_training_token_in_one_round(spark, bpe):
+    sizes = [0, 3, 31, 32, 40, 700, 5000]
+    docs = spark.createDataFrame([(i, "word " * n) for i, n in enumerate(sizes)], "doc long, text string") \
+        .withColumn("trains", F.col("doc") != 4)
+    rows = lm._blocks(docs, bpe, 12).toArrow().to_batches()
+    classes = lm.Classes(np.arange(50258)[::-1])
+    wanted, got = Counter(), Counter()
+
+    def add(part):
+        last, nxt, _ = part.pairs(50257, True)
+        wanted.update(zip(classes.input[last].tolist(), classes.output[nxt].tolist()))
+        x, y, real, _ = lm._windows(part, 50257, classes)
+        for a, b, n in zip(x.tolist(), y.tolist(), real.tolist()):
+            got.update(zip(a[:n], b[:n]))
+
+    lm._each(add, rows)
+    assert got == wanted and sum(got.values()) > 5000
+
+
+def test_padding_has_no_effect():
+    rng = np.random.default_rng(5)
+    p, prior = attention.initial(12, 5), rng.normal(size=(12, 5)).astype(np.float32)
+    x, y = rng.integers(0, 12, (3, attention.WINDOW)), rng.integers(0, 5, (3, attention.WINDOW))
+    real = np.array([attention.WINDOW, 1, 9])
+    loss, g = attention.gradients(p, prior, x, y, real)
+    x[1, 1:], y[1, 1:], x[2, 9:], y[2, 9:] = 3, 4, 5, 0
+    again, g2 = attention.gradients(p, prior, x, y, real)
+    assert again == pytest.approx(loss, rel=1e-6)
+    assert all(g2[k] == pytest.approx(g[k], abs=1e-6) for k in g)
+
+
+def test_short_texts_train_the_attention(spark, bpe):
+    docs = spark.createDataFrame([(i, "a b a b a b") for i in range(200)], "doc long, text string") \
+        .withColumn("trains", F.lit(True))
+    blocks = lm._blocks(docs, bpe, 12)
+    counts = lm._token_counts(blocks, 50257)
+    classes = lm.Classes(counts)
+    _, prior = lm._pair_tables(blocks, counts, classes)
+    params = lm._train(blocks, 50257, classes, prior)
+    start = attention.initial(lm.INPUTS, lm.OUTPUTS)
+    assert not np.array_equal(params["out"], start["out"])
+    assert all(np.isfinite(v).all() for v in params.values())
