@@ -365,7 +365,7 @@ def score(docs: DataFrame, id_col: str, text_col: str, trains: Column, tokenizer
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = BytePairEncoder.of(tokenizer)
-        pieces = [encoder.pieces.get(i, b"") for i in range(size)]
+        pieces = [encoder.bytes_of.get(i, b"") for i in range(size)]
         piece_at = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
         piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
         params, classes, table, prior = model.value
@@ -402,6 +402,8 @@ def score(docs: DataFrame, id_col: str, text_col: str, trains: Column, tokenizer
                     own, place = np.unique(h, return_inverse=True)
                     found.append((own, place.astype(np.int32), at))
                 keys = np.unique(np.concatenate([f[0] for f in found]))
+                if len(keys) != len(times_of):
+                    raise ValueError(f"{len(keys)} distinct words from the ids, {len(times_of)} in the texts")
                 for b, (own, place, at) in zip(_slices(batch, row), found):
                     yield scored(b, times_of[np.searchsorted(keys, own)][place], at)
 

@@ -37,6 +37,8 @@ class BytePairEncoder:
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.pieces = {i: bytes(alphabet[c] for c in p)
                        for p, i in spec["model"]["vocab"].items() if p not in special}
+        #: Bytes of every id, the special ones included.
+        self.bytes_of = self.pieces | {i: p.encode() for p, i in special.items()}
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         merged = [spec["model"]["vocab"][a + b] for a, b in merges]
         if merged != sorted(merged):

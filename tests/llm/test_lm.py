@@ -34,6 +34,21 @@ def test_base_scores_and_counts(odd_docs, bpe, monkeypatch):
         assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] < 0
 
 
+def test_special_strings_are_words_like_others(spark, bpe):
+    end = "<|endoftext|>"
+    texts = [f"one two {end} three", end, f"un{end}known words one", f"{end}{end} zwei", "one three words zwei two",
+             f"{end.upper()} x{end}", "a b c d e f g h"]
+    docs = list(enumerate(texts))
+    rows = lm.score(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), "doc_id", "text",
+                    F.col("doc_id") % 3 != 2, bpe).collect()
+    want = _base(docs, {d for d, _ in docs if d % 3 != 2})
+    assert len(rows) == len(want)
+    for r in rows:
+        n, known, total, base = want[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (n, known, total)
+        assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] < 0
+
+
 def test_odd_rows_without_training_and_empty_table(odd_docs, no_docs, bpe):
     assert lm.score(no_docs, "doc_id", "text", F.lit(True), bpe).count() == 0
     rows = lm.score(odd_docs, "doc_id", "text", F.lit(None).cast("boolean"), bpe).collect()
