@@ -19,12 +19,16 @@ from talkmill.llm.repeats import remove_repeats
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; those without
-    a text or a letter go."""
+    """Every document with a letter, in its own language or, where it has
+    none, in the one that the labelled documents teach (without labelled ones
+    it stays null); those without a text or a letter go."""
     network = langid.train(docs, "doc_id", "text", "lang")
     named = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return langid.predict(named, network, "text") \
-        .where(F.col("lang_pred") != langid.UNDETERMINED).select("row.*")
+    if network is None:
+        return langid.with_letters(named, "text").select("row.*")
+    lang = F.coalesce(F.col("row.lang"), F.col("lang_pred")).alias("lang")
+    return langid.predict(langid.with_letters(named, "text"), network, "text") \
+        .select(*[lang if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -199,6 +199,16 @@ def predict(docs: DataFrame, network: Network | None, text_col: str) -> DataFram
     return docs.select(*kept).mapInArrow(run, schema)
 
 
+def with_letters(docs: DataFrame, text_col: str) -> DataFrame:
+    """The rows whose text has a letter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, offsets in sliced(batches, text_col):
+            yield part.filter(pa.array(_has_letter(data, offsets, part.column(text_col))))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _has_letter(data: np.ndarray, offsets: np.ndarray, texts: pa.Array) -> np.ndarray:
     folded = _FOLD[data]
     seen = np.concatenate([[0], np.cumsum((folded >= 97) & (folded <= 122))])

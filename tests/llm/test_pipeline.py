@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -45,6 +46,22 @@ def test_stages_take_effect(spark, corpus):
     assert sum(r["length"] for r in pieces) == sum({r["doc_id"]: r["doc_tokens"] for r in pieces}.values())
 
 
+def test_language_fills_missing_labels_and_needs_none(spark, corpus):
+    parts = {"en": "the of and ing tion er", "de": "der die sch ung keit ich"}
+    rng = random.Random(7)
+    text = lambda lang: " ".join(rng.choice(parts[lang].split()) + rng.choice(parts[lang].split())
+                                 for _ in range(40))
+    rows = [(i, text(lang), lang if i < 80 else None, lang) for i in range(100) for lang in [("en", "de")[i % 2]]]
+    docs = spark.createDataFrame(rows + [(100, "12 -- 3", None, None), (101, None, None, None)],
+                                 "doc_id long, text string, lang string, want string")
+    got = corpus_pipeline.identify_language(spark, docs, corpus[0])
+    assert got.columns == docs.columns
+    assert {(r["doc_id"], r["lang"]) for r in got.collect()} == {(i, want) for i, _, _, want in rows}
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    left = corpus_pipeline.identify_language(spark, bare, corpus[0]).collect()
+    assert sorted(r["doc_id"] for r in left) == list(range(100)) and {r["lang"] for r in left} == {None}
+
+
 def test_run_gives_the_last_stage(spark, corpus):
     assert corpus_pipeline.run(spark, corpus[0]).where("doc_id = 102").count() >= 1
 
