@@ -9,7 +9,9 @@ queue has thus been given floor(n * share) tokens: its deficit stays below
 one token, and what a window takes from a queue follows from the window's
 number alone. Tasks need no state from each other, and deficits carry across
 windows and partitions alike. When a queue runs dry, the next mixture starts
-with the remaining ones.
+with the remaining ones. With more than ``MAX_QUEUES`` sources, the smallest
+ones, packed whole like all others, lie one after another in one shared queue,
+and the share that every window meets is that of the shared queue.
 
 Steps: (1) tokenise once into a written table, each row with its place in
 its queue within the task's block; (2) sum the blocks (a narrow table) for
@@ -37,8 +39,11 @@ from talkmill.llm.subwords import BytePairEncoder
 SEQUENCE = 1024
 #: Tokens of a window in which the shares are met: 64 sequences.
 WINDOW = 64 * SEQUENCE
-#: The queues' totals pass through the driver, so their number is checked.
+#: Queues whose totals pass through the driver; sources beyond the largest
+#: ones share the last queue.
 MAX_QUEUES = 10_000
+#: The shared queue; the others are "" or start with "=".
+SHARED = "*"
 
 
 def tokenised(docs: DataFrame, id_col: str, text_col: str, queue_col: str | None, tokenizer: str,
@@ -149,6 +154,33 @@ def mixtures(totals: dict[str, int], shares: dict[str, float] | None, window: in
     return out
 
 
+def _lanes(blocks: DataFrame, named: set[str]) -> DataFrame:
+    """``blocks`` with the queue that each source is served from: its own,
+    or the shared one for the smallest sources beyond MAX_QUEUES."""
+    totals = blocks.groupBy("queue").agg(F.sum("n").alias("n"))
+    largest = [r["queue"] for r in totals.orderBy(F.desc("n"), "queue").limit(MAX_QUEUES + 1).collect()]
+    if len(largest) <= MAX_QUEUES:
+        return blocks.withColumn("lane", F.col("queue"))
+    own = sorted(named | set(largest[:MAX_QUEUES - 1]))
+    kept = blocks.sparkSession.createDataFrame([(q,) for q in own], "queue string").withColumn("own", F.lit(True))
+    return written(blocks.join(F.broadcast(kept), "queue", "left").select(
+        "queue", "block", "n", F.when(F.col("own"), F.col("queue")).otherwise(F.lit(SHARED)).alias("lane")),
+        "packing-lanes")
+
+
+def _offsets(lanes: DataFrame) -> DataFrame:
+    """Place of a block's first id of a source in the source's lane: behind
+    the lane's earlier blocks and the block's earlier sources of the lane.
+    No window holds more than a lane's blocks or a block's sources."""
+    upto = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    by_block = lanes.groupBy("lane", "block").agg(F.sum("n").alias("n")).select(
+        "lane", "block", upto(Window.partitionBy("lane").orderBy("block")).alias("behind"))
+    inner = lanes.select("queue", "block", "lane",
+                         upto(Window.partitionBy("lane", "block").orderBy("queue")).alias("within"))
+    return inner.join(by_block, ["lane", "block"]).select(
+        "queue", "block", "lane", (F.col("behind") + F.col("within")).alias("base"))
+
+
 def pack(docs: DataFrame, id_col: str, text_col: str, queue_col: str | None, tokenizer: str,
          end_id: int | None = 0, shares: dict[str, float] | None = None, length: int = SEQUENCE,
          window: int = WINDOW, with_ids: bool = False) -> DataFrame:
@@ -157,23 +189,20 @@ def pack(docs: DataFrame, id_col: str, text_col: str, queue_col: str | None, tok
     length, ids_crc32 (of the piece's ids as little-endian 32-bit numbers),
     doc_tokens, sequence_id, offset, and with ``with_ids`` the ids.
 
-    Only the last sequence can be short. A null text is empty and still has
+    Sources named in ``shares`` always have queues of their own. Only the
+    last sequence can be short. A null text is empty and still has
     its end id; without an end id empty documents give no piece. A null
     source is a queue of its own; repeated rows are packed each; null ids
     are kept. An empty table gives no rows. Other columns are ignored."""
     ids = tokenised(docs, id_col, text_col, queue_col, tokenizer, end_id)
     blocks = written(ids.groupBy("queue", "block").agg(F.sum("n").alias("n")), "packing-blocks")
-    totals = {r["queue"]: r["n"] for r in blocks.groupBy("queue").agg(F.sum("n").alias("n"))
-              .limit(MAX_QUEUES + 1).collect()}
-    if len(totals) > MAX_QUEUES:
-        raise ValueError(f"more than {MAX_QUEUES} sources: pack by a coarser column")
     wanted = None if shares is None else {f"={q}": s for q, s in shares.items()}
+    lanes = _lanes(blocks, set(wanted or ()))
+    totals = {r["lane"]: r["n"] for r in lanes.groupBy("lane").agg(F.sum("n").alias("n")).collect()}
     plan = mixtures(totals, wanted, window)
-    before = Window.partitionBy("queue").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = written(blocks.select("queue", "block", F.coalesce(
-        F.sum("n").over(before), F.lit(0)).alias("base")), "packing-offsets")
+    offsets = written(_offsets(lanes), "packing-offsets")
     placed = ids.join(offsets, on=["queue", "block"], how="inner").select(
-        "doc_id", "queue", (F.col("base") + F.col("place")).alias("place"), "n", "ids")
+        "doc_id", "queue", "lane", (F.col("base") + F.col("place")).alias("place"), "n", "ids")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,11 +212,11 @@ def pack(docs: DataFrame, id_col: str, text_col: str, queue_col: str | None, tok
     def pieces(part: pa.RecordBatch) -> pa.RecordBatch:
         names = ["doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
         out: list[list] = [[] for _ in range(len(names) + with_ids)]
-        for doc, q, place, n, data in zip(*(part.column(c).to_pylist() for c in (
-                "doc_id", "queue", "place", "n", "ids"))):
+        for doc, q, lane, place, n, data in zip(*(part.column(c).to_pylist() for c in (
+                "doc_id", "queue", "lane", "place", "n", "ids"))):
             source = q[1:] if q else None
             for mixture in plan:
-                for at, to, count in mixture.runs(q, place, place + n):
+                for at, to, count in mixture.runs(lane, place, place + n):
                     while count:
                         m = min(count, length - to % length)
                         own = data[4 * (at - place):4 * (at - place + m)]

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from talkmill.llm import packing
 from talkmill.llm.packing import mixtures, pack
 from talkmill.llm.subwords import BytePairEncoder
 
@@ -87,3 +88,30 @@ def test_repeated_rows_shares_and_empty_table(odd_docs, no_docs, bpe):
     assert sum(r["doc_id"] == 1 and r["start"] == 0 for r in rows) == 2
     assert pack(odd_docs, "doc_id", "text", None, bpe, end_id=None).where("doc_id = 4").count() == 0
     assert pack(no_docs, "doc_id", "text", "source", bpe).count() == 0
+
+
+@pytest.mark.parametrize("shares", [None, {"s11": 0.5}])
+def test_any_number_of_sources(spark, vocabularies, monkeypatch, shares):
+    """Sources beyond the largest ones are packed whole from one queue."""
+    bpe = vocabularies("byte_bpe_50k.json")
+    rows = [(i, f"text {i} " * (1 + 40 * (i % 12 < 2)), None if i % 12 == 5 else f"s{i % 12}") for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    monkeypatch.setattr(packing, "MAX_QUEUES", 4)
+    out = packing.pack(docs, "doc_id", "text", "source", bpe, shares=shares, length=32, window=512,
+                       with_ids=True).collect()
+    out.sort(key=lambda r: (r["sequence_id"], r["offset"]))
+    upto = 0
+    for r in out:
+        assert r["sequence_id"] * 32 + r["offset"] == upto
+        upto += r["length"]
+    parts = {}
+    for r in sorted(out, key=lambda r: r["start"]):
+        parts[r["doc_id"]] = parts.get(r["doc_id"], b"") + bytes(r["ids"])
+    encoder = packing.BytePairEncoder.of(bpe)
+    assert parts == {i: encoder.encode(t).astype("<u4").tobytes() + bytes(4) for i, t, _ in rows}
+    assert {(r["doc_id"], r["source"]) for r in out} == {(i, s) for i, _, s in rows}
+    if shares is None:
+        total = sum(r["length"] for r in out)
+        big = sum(r["length"] for r in out if r["source"] == "s0")
+        first = sum(r["length"] for r in out if r["source"] == "s0" and r["sequence_id"] < 16)
+        assert abs(first - 512 * big / total) <= 4
