@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmill.llm import langid, pieces
+from talkmill.llm import bpe, langid, pieces
 from talkmill.llm.common import id_crc, utf8
 from talkmill.llm.exact_topk import exact_topk
 from talkmill.llm.lm import score
@@ -127,6 +127,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                 vocabulary("byte_bpe_50k.json"), end_id=0)
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to byte-pair ids and decoded back."""
+    model = bpe.BytePairs(vocabulary("byte_bpe_50k.json"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = bpe.encode_and_decode(docs, "text", model)
+    ids, decoded = F.coalesce("ids", F.lit(b"")), F.coalesce("decoded", F.lit(""))
+    return out.select("doc_id", F.floor(F.octet_length(ids) / 4).cast("long").alias("n_tokens"),
+                      F.sha2(ids, 256).alias("ids_sha256"), F.sha2(decoded.cast("binary"), 256).alias("decoded_sha256"))
+
+
 OP9_SQL = """
 WITH v AS (SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
            FROM embeddings
@@ -149,6 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix": op8_suffix,
     "op9_topk": op9_topk,
     "op10_packing": op10_packing,
+    "op13_bpe": op13_bpe,
 }
 SQL: dict[str, str] = {
     "op6_warc": OP6_SQL,
