@@ -17,6 +17,7 @@ from talkmill.llm.rabitq import build_index, search
 from talkmill.llm.repeats import remove_repeats
 from talkmill.llm.sharding import shard
 from talkmill.llm.warc import archive_and_read
+from talkmill.llm.whitening import whiten
 
 
 
@@ -127,6 +128,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                 vocabulary("byte_bpe_50k.json"), end_id=0)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings whitened on their first 8 principal components."""
+    out = whiten(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return out.select("vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened",
+                      "explained", "identity_error")
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded to byte-pair ids and decoded back."""
     model = bpe.BytePairs(vocabulary("byte_bpe_50k.json"))
@@ -159,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix": op8_suffix,
     "op9_topk": op9_topk,
     "op10_packing": op10_packing,
+    "op12_whitening": op12_whitening,
     "op13_bpe": op13_bpe,
 }
 SQL: dict[str, str] = {
