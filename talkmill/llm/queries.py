@@ -13,6 +13,7 @@ from talkmill.llm.exact_topk import exact_topk
 from talkmill.llm.lm import score
 from talkmill.llm.minhash import near_duplicates
 from talkmill.llm.packing import pack
+from talkmill.llm.phrases import mine
 from talkmill.llm.rabitq import build_index, search
 from talkmill.llm.repeats import remove_repeats
 from talkmill.llm.sharding import shard
@@ -128,6 +129,46 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                 vocabulary("byte_bpe_50k.json"), end_id=0)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 most cohesive phrases of 2 to 3 words of every language."""
+    return mine(_table(spark, sf_dir, "documents"), "text", "lang")
+
+
+OP11_SQL = r"""
+WITH p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+c1 AS (SELECT lang, x AS w1, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM p) GROUP BY ALL),
+c2 AS (SELECT lang, x[1] AS w1, x[2] AS w2, count(*) AS f
+       FROM (SELECT lang, unnest([w[i:i + 1] for i in range(1, len(w))]) AS x FROM p) GROUP BY ALL),
+c3 AS (SELECT lang, x[1] AS w1, x[2] AS w2, x[3] AS w3, count(*) AS f
+       FROM (SELECT lang, unnest([w[i:i + 2] for i in range(1, len(w) - 1)]) AS x FROM p) GROUP BY ALL
+       HAVING count(*) >= 10),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM c1 GROUP BY lang),
+longer AS (SELECT lang, w1, w2, max(f) AS f FROM (
+    SELECT lang, w1, w2, f FROM c3 UNION ALL SELECT lang, w2, w3, f FROM c3) GROUP BY ALL),
+s3 AS (SELECT c3.lang, c3.w1 || ' ' || c3.w2 || ' ' || c3.w3 AS phrase, c3.f AS a,
+         a1.f AS l1, b1.f AS r1, a2.f AS l2, b2.f AS r2,
+         (CAST(1000000 AS HUGEINT) * c3.f * c3.f) // (CAST(a1.f AS HUGEINT) * b1.f) AS x1,
+         (CAST(1000000 AS HUGEINT) * c3.f * c3.f) // (CAST(a2.f AS HUGEINT) * b2.f) AS x2
+       FROM c3 JOIN c1 a1 ON a1.lang = c3.lang AND a1.w1 = c3.w1
+       JOIN c2 b1 ON b1.lang = c3.lang AND b1.w1 = c3.w2 AND b1.w2 = c3.w3
+       JOIN c2 a2 ON a2.lang = c3.lang AND a2.w1 = c3.w1 AND a2.w2 = c3.w2
+       JOIN c1 b2 ON b2.lang = c3.lang AND b2.w1 = c3.w3),
+s2 AS (SELECT c2.lang, c2.w1 || ' ' || c2.w2 AS phrase, c2.f AS a, a.f AS l, b.f AS r,
+         (CAST(1000000 AS HUGEINT) * c2.f * c2.f) // (CAST(a.f AS HUGEINT) * b.f) AS score
+       FROM c2 JOIN c1 a ON a.lang = c2.lang AND a.w1 = c2.w1 JOIN c1 b ON b.lang = c2.lang AND b.w1 = c2.w2
+       LEFT JOIN longer g ON g.lang = c2.lang AND g.w1 = c2.w1 AND g.w2 = c2.w2
+       WHERE c2.f >= 10 AND (g.f IS NULL OR 100 * g.f < 50 * c2.f)),
+s AS (SELECT lang, phrase, a, CASE WHEN x2 < x1 THEN l2 ELSE l1 END AS l, CASE WHEN x2 < x1 THEN r2 ELSE r1 END AS r,
+        CAST(least(x1, x2) AS BIGINT) AS score FROM s3
+      UNION ALL SELECT lang, phrase, a, l, r, CAST(score AS BIGINT) FROM s2),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM s)
+SELECT lang, rank, phrase, a, l, r, n, score FROM r JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings whitened on their first 8 principal components."""
     out = whiten(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
@@ -167,10 +208,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix": op8_suffix,
     "op9_topk": op9_topk,
     "op10_packing": op10_packing,
+    "op11_phrases": op11_phrases,
     "op12_whitening": op12_whitening,
     "op13_bpe": op13_bpe,
 }
 SQL: dict[str, str] = {
     "op6_warc": OP6_SQL,
     "op9_topk": OP9_SQL,
+    "op11_phrases": OP11_SQL,
 }
