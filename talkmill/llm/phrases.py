@@ -6,13 +6,15 @@ but one. Every word of a piece starts one edge; near the piece's end the
 missing words are filled with an end mark, and these short edges are the
 piece-end corrections.
 
-1. Blocks of text are cut into words with array operations on the bytes and
-   send their distinct edges with counts; Spark sums them (aggregated in the
-   block, in the task and after the shuffle, so a hot phrase is one row a
-   task).
+1. Blocks of text are cut into words with array operations on the bytes; the
+   distinct edges of some blocks, with their counts, are dealt by a hash of
+   the edge into buckets and travel as packed columns. A task sums a bucket
+   at a time, so a hot phrase is one row for some blocks of text, and no
+   phrase's continuations meet in one task.
 2. The count of a shorter phrase is the flow out of it: the sum of the counts
-   of its continuations, end marks included. Node counts come from edges,
-   the next shorter ones from nodes, and so on; texts are not read again.
+   of its continuations, end marks included. Node counts are summed from
+   edges in the same way, the next shorter ones from nodes, and so on; texts
+   are not read again.
 3. A node whose whole flow comes in by one edge and leaves by one edge is an
    inner point of an unary path. Such paths are compacted (pointer doubling
    along the path, so rounds grow with the logarithm of its length) to one
@@ -34,6 +36,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +47,13 @@ PIECE_END = np.zeros(256, bool)
 PIECE_END[list(b".,;:!?\n\x0b\x0c\r")] = True
 GAP = PIECE_END.copy()
 GAP[list(b" \t")] = True
+#: Rows of counted phrases that a task sums at once.
+CHUNK = 1 << 20
+#: Bytes of text whose phrases make a bucket, and the most buckets; beyond
+#: them buckets grow (a task sums one bucket at a time, and holds its distinct
+#: phrases once).
+BUCKET_BYTES = 16 << 20
+MOST_BUCKETS = 1 << 16
 #: Words whose dictionary entry a task remembers to have sent.
 REMEMBERED = 1 << 20
 #: Groups that a language's phrases are ranked in before the last ranking.
@@ -102,27 +112,106 @@ def _words(langs: list[str], data: np.ndarray, offsets: np.ndarray,
     return hashes, starts, ends, rows, same
 
 
-def _edges(hashes: np.ndarray, same: np.ndarray, m: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct edges of a block, in order of their words, and their counts."""
-    columns, goes_on = [hashes], np.ones(len(hashes), bool)
-    for j in range(1, m):
-        goes_on = goes_on.copy()
-        goes_on[:len(same) - j + 1] &= same[j - 1:]
-        goes_on[max(0, len(same) - j):] = False
-        column = np.zeros(len(hashes), np.uint64)
-        at = np.flatnonzero(goes_on)
-        column[at] = hashes[at + j]
-        columns.append(column)
-    distinct, word = np.unique(hashes, return_inverse=True)
-    base, key, top = len(distinct) + 1, word.astype(np.int64), len(distinct)
-    for column in columns[1:]:
-        if top >= (1 << 62) // base:
-            key = np.unique(key, return_inverse=True)[1].astype(np.int64)
-            top = len(key)
-        key = key * base + np.where(column == 0, 0, np.searchsorted(distinct, column) + 1)
-        top = (top + 1) * base
-    _, first, counts = np.unique(key, return_index=True, return_counts=True)
-    return [c[first].view(np.int64) for c in columns], counts
+class Counts:
+    """Counted phrases of k words: ``ids`` (k rows) are places in the sorted
+    distinct word hashes ``words``, in which 0 is the end mark."""
+
+    def __init__(self, words: np.ndarray, ids: np.ndarray, f: np.ndarray) -> None:
+        self.words, self.ids, self.f = words, ids, f
+
+    @classmethod
+    def edges(cls, hashes: np.ndarray, same: np.ndarray, m: int) -> "Counts":
+        """One edge a word of a block."""
+        words, first = np.unique(hashes, return_inverse=True)
+        ids = np.zeros((m, len(hashes)), np.int32)
+        ids[0] = first + 1
+        goes_on = np.ones(len(hashes), bool)
+        for j in range(1, min(m, len(hashes))):
+            goes_on[:len(same) - j + 1] &= same[j - 1:]
+            goes_on[len(same) - j:] = False
+            at = np.flatnonzero(goes_on)
+            ids[j, at] = ids[0, at + j]
+        return cls(np.concatenate([np.zeros(1, np.uint64), words]), ids, np.ones(len(hashes), np.int64))
+
+    @classmethod
+    def combined(cls, parts: list["Counts"]) -> "Counts":
+        """All parts summed, in the order of their words."""
+        words = np.unique(np.concatenate([p.words for p in parts]))
+        ids = np.concatenate([np.searchsorted(words, p.words).astype(np.int32)[p.ids] for p in parts], axis=1)
+        f = np.concatenate([p.f for p in parts])
+        if not len(f):
+            return cls(words, ids, f)
+        if len(words) ** len(ids) < 1 << 62:
+            key = ids[0].astype(np.int64)
+            for column in ids[1:]:
+                key = key * len(words) + column
+            order = np.argsort(key)
+            new = np.diff(key[order]) != 0
+        else:
+            order = np.lexsort(ids[::-1])
+            new = (np.diff(ids[:, order], axis=1) != 0).any(axis=0)
+        first = np.flatnonzero(np.concatenate([[True], new]))
+        return cls(words, ids[:, order[first]], np.add.reduceat(f[order], first))
+
+    def shorter(self) -> "Counts":
+        """The flow out of every node: counts without the last word."""
+        return Counts.combined([Counts(self.words, self.ids[:-1], self.f)])
+
+    def buckets(self, n: int) -> Iterator[tuple[int, bytes]]:
+        """The phrases dealt by a hash of all their words, packed."""
+        spread = mix64(self.words)
+        key = np.zeros(len(self.f), np.uint64)
+        for column in self.ids:
+            key = mix64(key + spread[column])
+        bucket = (key % np.uint64(n)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+            if len(rows):
+                yield int(bucket[rows[0]]), self._packed(rows)
+
+    def _packed(self, rows: np.ndarray) -> bytes:
+        own = np.unique(self.ids[:, rows])
+        ids, f = np.searchsorted(own, self.ids[:, rows]), self.f[rows]
+        kinds = [np.min_scalar_type(int(x.max())) for x in (ids, f)]
+        head = np.array([len(self.ids), len(own), len(rows), *(k.itemsize for k in kinds)], np.int64)
+        columns = [x.astype(k).view(np.uint8).reshape(-1, k.itemsize).T for x, k in zip((ids.ravel(), f), kinds)]
+        return zstandard.compress(b"".join(x.tobytes() for x in (head, self.words[own], *columns)), 1)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> "Counts":
+        raw = zstandard.decompress(data)
+        k, n_words, n, *sizes = np.frombuffer(raw, np.int64, 5).tolist()
+        words = np.frombuffer(raw, np.uint64, n_words, 40)
+        at, columns = 40 + 8 * n_words, []
+        for size, length in zip(sizes, (k * n, n)):
+            column = np.frombuffer(raw, np.uint8, size * length, at).reshape(size, length).T
+            columns.append(np.ascontiguousarray(column).view(f"<u{size}").ravel())
+            at += size * length
+        return cls(words, columns[0].astype(np.int32).reshape(k, n), columns[1].astype(np.int64))
+
+
+class Adder:
+    """Sums parts as they come; what is not yet summed stays below CHUNK
+    rows or below what is."""
+
+    def __init__(self) -> None:
+        self.parts: list[Counts] = []
+        self.summed = 0
+
+    def add(self, part: Counts) -> int:
+        """Add a part; returns the number of summed rows when it has summed."""
+        self.parts.append(part)
+        if sum(len(p.f) for p in self.parts) < max(CHUNK, 2 * self.summed):
+            return 0
+        self.parts = [Counts.combined(self.parts)]
+        self.summed = len(self.parts[0].f)
+        return self.summed
+
+    def take(self) -> Counts | None:
+        """The sum of what was added since the last time."""
+        out = Counts.combined(self.parts) if self.parts else None
+        self.parts, self.summed = [], 0
+        return out
 
 
 def _named(words: list[str]) -> Column:
@@ -149,52 +238,85 @@ def dictionary(docs: DataFrame, seed: int) -> DataFrame:
     return written(docs.mapInArrow(run, "h long, lang string, word string").dropDuplicates(), "phrase-words")
 
 
-def phrase_counts(docs: DataFrame, m: int, least: int, seed: int) -> DataFrame:
-    """Written table of counts by ``level`` (number of words): words w1 ...
-    wm, count f, the strongest continuation's count ``out`` and, where all
-    of f goes there, its word ``next``. Phrases of two or more words are kept
-    from a count of ``least`` on, single words all."""
+def phrase_counts(docs: DataFrame, m: int, least: int, seed: int) -> dict[int, DataFrame]:
+    """Written tables of the phrases of 1 to m words: w1 ..., count f. Those
+    of two or more words are kept from a count of ``least`` on."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = min(MOST_BUCKETS, 1 + size // BUCKET_BYTES)
     words = [f"w{i + 1}" for i in range(m)]
+    kinds = "level int, bucket int, data binary, " + ", ".join(f"{w} long" for w in words) + ", f long"
+    names = ["level", "bucket", "data", *words, "f"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sent(counts: Counts) -> Iterator[pa.RecordBatch]:
+        for bucket, data in counts.buckets(n):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([len(counts.ids)], pa.int32()), pa.array([bucket], pa.int32()), pa.array([data], pa.binary()),
+                 *[pa.nulls(1, pa.int64())] * (m + 1)], names=names)
+
+    def kept(counts: Counts) -> Iterator[pa.RecordBatch]:
+        k = len(counts.ids)
+        rows = np.flatnonzero((counts.words[counts.ids[-1]] != 0) & (counts.f >= (least if k > 1 else 1)))
+        columns = [pa.array(counts.words[column[rows]].view(np.int64)) for column in counts.ids]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(rows), k, np.int32)), pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary()),
+             *columns, *[pa.nulls(len(rows), pa.int64())] * (m - k), pa.array(counts.f[rows])], names=names)
+
+    def of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        adder = Adder()
         for langs, data, offsets in _parts(batches):
             hashes, _, _, _, same = _words(langs, data, offsets, seed)
-            columns, counts = _edges(hashes, same, m)
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(counts)], names=[*words, "f"])
-
-    rows = docs.mapInArrow(run, ", ".join(f"{w} long" for w in words) + ", f long")
-    # the bounds hold on the sums, so that all levels can read one shuffle
-    level, tables = rows.groupBy(*words).agg(F.sum("f").alias("f")), []
+            if adder.add(Counts.combined([Counts.edges(hashes, same, m)])) > CHUNK // 2:
+                yield from sent(adder.take())
+        if rest := adder.take():
+            yield from sent(rest)
+
+    def of_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        adder, flow, at = Adder(), Adder(), None
+
+        def done() -> Iterator[pa.RecordBatch]:
+            whole = adder.take()
+            yield from kept(whole)
+            if len(whole.ids) > 1 and flow.add(whole.shorter()) > CHUNK // 2:
+                yield from sent(flow.take())
+
+        for batch in batches:
+            for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data")):
+                if at is not None and bucket != at:
+                    yield from done()
+                at = bucket
+                adder.add(Counts.unpacked(data.as_py()))
+        if at is not None:
+            yield from done()
+        if rest := flow.take():
+            yield from sent(rest)
+
+    table, out = docs.mapInArrow(of_texts, kinds), {}
     for k in range(m, 0, -1):
-        full = F.when(F.col(f"w{k}") == 0, F.lit(0)).otherwise(F.col("f")) >= (least if k > 1 else 1)
-        extra = [F.lit(None).cast("long").alias(c) for c in ("out", "next")] if k == m else [
-            F.col("out"), F.when(F.col("out") == F.col("f"), F.col("next")).alias("next")]
-        tables.append(level.where(full).select(
-            F.lit(k).alias("level"), *words[:k], *[F.lit(None).cast("long").alias(w) for w in words[k:]], "f", *extra))
-        last = F.col(f"w{k}")
-        level = level.groupBy(*words[:k - 1]).agg(
-            F.sum("f").alias("f"), F.max(F.when(last != 0, F.col("f"))).alias("out"),
-            F.max(F.when(last != 0, last)).alias("next")) if k > 1 else level
-    out = tables[0]
-    for table in tables[1:]:
-        out = out.union(table)
-    return written(out, "phrase-counts")
-
-
-def with_incoming(shorter: DataFrame, longer: DataFrame, k: int) -> DataFrame:
-    """Phrases of k words with the count ``into`` and the first word ``prev``
-    of their strongest extension to the left."""
+        dealt = table.where((F.col("level") == k) & F.col("bucket").isNotNull()).select("bucket", "data")
+        table = written(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(of_buckets, kinds),
+                        f"phrase-counts-{k}")
+        out[k] = table.where("bucket is null").select(*words[:k], "f")
+    return out
+
+
+def with_extensions(shorter: DataFrame, longer: DataFrame, k: int) -> DataFrame:
+    """Phrases of k words with the counts ``out`` and ``into`` of their
+    strongest extensions to the right and the left (0: none), and the words
+    ``next`` and ``prev`` of those that take all of their flow."""
     words = [f"w{i + 1}" for i in range(k)]
-    into = longer.groupBy(*[F.col(f"w{i + 2}").alias(f"w{i + 1}") for i in range(k)]).agg(
-        F.max("f").alias("into"), F.max("w1").alias("prev"))
-    return shorter.join(into, words, "left").withColumn(
-        "prev", F.when(F.col("into") == F.col("f"), F.col("prev")))
+    for name, word, own in (("out", f"w{k + 1}", words), ("into", "w1", [f"w{i + 2}" for i in range(k)])):
+        side = longer.groupBy(*[F.col(c).alias(w) for c, w in zip(own, words)]).agg(
+            F.max("f").alias(name), F.max(word).alias("word"))
+        shorter = shorter.join(side, words, "left").withColumn(
+            "next" if name == "out" else "prev", F.when(F.col(name) == F.col("f"), F.col("word"))) \
+            .withColumn(name, F.coalesce(name, F.lit(0))).drop("word")
+    return shorter
 
 
 def compact(nodes: DataFrame, edges: DataFrame, m: int) -> DataFrame:
     """Unary paths of the graph: written table of ``words`` (array, at least
     m of them) and the count f that all edges and inner nodes share. Every
-    edge lies in exactly one path. ``nodes`` as ``with_incoming`` gives them."""
+    edge lies in exactly one path. ``nodes`` as ``with_extensions`` gives them."""
     words = [f"w{i + 1}" for i in range(m - 1)]
     unary = written(nodes.where("prev is not null and next is not null").select(*words, "prev", "next", "f"),
                     "phrase-unary")
@@ -268,12 +390,10 @@ def mine(docs: DataFrame, text_col: str, lang_col: str | None = None, longest: i
     while not known.groupBy("h").count().where("count > 1").isEmpty():
         seed += 1
         known = dictionary(docs, seed)
-    counts = phrase_counts(docs, m, least, seed)
-    level = {k: counts.where(F.col("level") == k).select(*[f"w{i + 1}" for i in range(k)], "f", "out", "next")
-             for k in range(1, m + 1)}
+    level = phrase_counts(docs, m, least, seed)
     vocabulary = written(known.join(level[1].select(F.col("w1").alias("h"), "f"), "h"), "phrase-vocabulary")
     sizes = vocabulary.groupBy("lang").agg(F.sum("f").alias("n"))
-    inner = {k: with_incoming(level[k], level[k + 1], k) for k in range(1 if m == 2 else 2, m)}
+    inner = {k: with_extensions(level[k], level[k + 1], k) for k in range(1 if m == 2 else 2, m)}
     paths = compact(inner[m - 1], level[m], m)
 
     first, last = [f"s{i}" for i in range(m - 1)], [f"e{i}" for i in range(m - 1)]
@@ -288,9 +408,9 @@ def mine(docs: DataFrame, text_col: str, lang_col: str | None = None, longest: i
     scored = []
     for k in range(m, 1, -1):
         if k < m:
-            strongest = F.greatest(F.coalesce("out", F.lit(0)), F.coalesce("into", F.lit(0)))
+            strongest = F.greatest("out", "into")
             found = inner[k].where("prev is null or next is null" if k == m - 1 else "true") \
-                .where((strongest < least) | (100 * strongest < share * F.col("f"))) \
+                .where(100 * strongest < share * F.col("f")) \
                 .select(*[f"w{i + 1}" for i in range(k)], F.col("f").alias("a"))
         for c in range(1, k):
             if f"l{c}" not in found.columns:

@@ -76,9 +76,8 @@ def test_query_equals_brute_force(spark, corpus, tmp_path):
 def test_paths_hold_every_edge_once(spark, corpus):
     docs = spark.createDataFrame([(x or "und", t) for t, x in corpus], "lang string, text string")
     counts = phrases.phrase_counts(docs, 3, 2, 0)
-    nodes, edges = (counts.where(F.col("level") == k).select(*[f"w{i + 1}" for i in range(k)], "f", "out", "next")
-                    for k in (2, 3))
-    paths = phrases.compact(phrases.with_incoming(nodes, edges, 2), edges, 3).collect()
+    nodes, edges = counts[2], counts[3]
+    paths = phrases.compact(phrases.with_extensions(nodes, edges, 2), edges, 3).collect()
     found = Counter()
     for r in paths:
         for i in range(len(r["words"]) - 2):
@@ -126,17 +125,37 @@ def test_long_texts_are_cut_at_piece_ends(monkeypatch):
     assert all(p[0] in ",.;" for p in parts[1:])
 
 
-def test_many_distinct_words_in_a_block():
+@pytest.mark.parametrize("m", [2, 3, 7])
+def test_counts_of_edges_nodes_and_packed_buckets(m, monkeypatch):
     rng = np.random.default_rng(0)
     hashes = rng.integers(1, 1 << 63, 3000).astype(np.uint64)[rng.integers(0, 3000, 9000)]
     same = rng.random(9000) < 0.9
-    for m in (2, 3, 7):
-        columns, counts = phrases._edges(hashes, same, m)
-        wanted = Counter()
-        for i in range(9000):
-            key, j = [int(hashes[i])], i
-            while len(key) < m and j < 8999 and same[j]:
-                j += 1
-                key.append(int(hashes[j]))
-            wanted[tuple(np.array(key + [0] * (m - len(key)), np.uint64).view(np.int64).tolist())] += 1
-        assert Counter(dict(zip(zip(*(c.tolist() for c in columns)), counts.tolist()))) == wanted
+    wanted, nodes = Counter(), Counter()
+    for i in range(9000):
+        key, j = [int(hashes[i])], i
+        while len(key) < m and j < 8999 and same[j]:
+            j += 1
+            key.append(int(hashes[j]))
+        key = tuple(key + [0] * (m - len(key)))
+        wanted[key] += 2
+        nodes[key[:-1]] += 2
+
+    def listed(counts):
+        assert len(set(zip(*counts.ids.tolist()))) == len(counts.f)
+        return Counter(dict(zip(zip(*counts.words[counts.ids].tolist()), counts.f.tolist())))
+
+    monkeypatch.setattr(phrases, "CHUNK", 4000)
+    adder = phrases.Adder()
+    for _ in range(2):
+        adder.add(phrases.Counts.edges(hashes, same, m))
+    whole = adder.take()
+    assert listed(whole) == wanted and listed(whole.shorter()) == nodes and adder.take() is None
+    again = dict(whole.buckets(7))
+    assert len(again) == 7
+    back = phrases.Counts.combined([phrases.Counts.unpacked(x) for x in again.values()])
+    assert listed(back) == wanted
+
+
+def test_blocks_without_words():
+    none = phrases.Counts.edges(np.zeros(0, np.uint64), np.zeros(0, bool), 3)
+    assert len(phrases.Counts.combined([none]).f) == 0 and not list(none.buckets(3))
