@@ -2,9 +2,9 @@
 (keys F3-F10, F12, F13).
 
 Every aggregate here is decomposable (sum / count / min / max) so Spark
-combines map-side before the shuffle; no exact percentile or collect of a
-whole group is used, since one style or one rater may hold a third of all
-rows.
+combines map-side before the shuffle (exact percentiles by iterated
+histograms); no group is collected, since one style or one rater may hold a
+third of all rows.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from talkmill.functions.text import words
 from talkmill.operators.prefix import materialize, running_total
+from talkmill.operators.quantiles import quantiles
 
 
 def _r(c: Column, digits: int = 6) -> Column:
@@ -25,19 +26,25 @@ def _r(c: Column, digits: int = 6) -> Column:
 
 def style_length(df: DataFrame, tokens: str = "conversation_tokens",
                  style: str = "prompt_style", longest: DataFrame | None = None,
-                 approx_median: bool = False) -> DataFrame:
+                 approx_median: bool = False, percentiles: dict[str, float] | None = None) -> DataFrame:
     """mean / min / max dialogue tokens per style, plus a ``longest``
-    row for the longest-per-context set when given. ``approx_median`` adds
-    ``percentile_approx`` (a bounded-memory sketch that merges map-side; an
-    exact median would hold a whole style in one task)."""
+    row for the longest-per-context set when given. ``percentiles`` adds
+    exact ones (column name: share), found without holding a style in one
+    task (``operators.quantiles``); ``approx_median`` adds
+    ``percentile_approx``, a bounded sketch for a single pass."""
     def stats(d: DataFrame, label: Column | None) -> DataFrame:
-        g = d.groupBy(style) if label is None else d.withColumn(style, label).groupBy(style)
+        d = d if label is None else d.withColumn(style, label)
         extra = [F.percentile_approx(tokens, 0.5, 10000).cast("bigint").alias("median_tokens")] \
             if approx_median else []
-        return g.agg(F.count(F.lit(1)).cast("bigint").alias("n_dialogues"),
-                     _r(F.avg(tokens)).alias("avg_tokens"),
-                     F.min(tokens).cast("bigint").alias("min_tokens"),
-                     F.max(tokens).cast("bigint").alias("max_tokens"), *extra)
+        out = d.groupBy(style).agg(F.count(F.lit(1)).cast("bigint").alias("n_dialogues"),
+                                   _r(F.avg(tokens)).alias("avg_tokens"),
+                                   F.min(tokens).cast("bigint").alias("min_tokens"),
+                                   F.max(tokens).cast("bigint").alias("max_tokens"), *extra)
+        if not percentiles:
+            return out
+        q = quantiles(d, style, tokens, percentiles).withColumnRenamed(style, "_style")
+        return out.join(q, F.col(style).eqNullSafe(F.col("_style")), "left").select(
+            *out.columns, *[_r(F.col(c)).alias(c) for c in percentiles])
     out = stats(df, None)
     if longest is not None:
         out = out.unionByName(stats(longest, F.lit("longest")))

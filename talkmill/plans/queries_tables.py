@@ -209,7 +209,9 @@ def _style_stats(src: str, label: str | None) -> str:
     return (f"SELECT {style} AS prompt_style, CAST(count(*) AS BIGINT) AS n_dialogues, "
             "round(avg(conversation_tokens), 6) AS avg_tokens, "
             "CAST(min(conversation_tokens) AS BIGINT) AS min_tokens, "
-            f"CAST(max(conversation_tokens) AS BIGINT) AS max_tokens FROM {src}"
+            "CAST(max(conversation_tokens) AS BIGINT) AS max_tokens, "
+            "round(quantile_cont(CAST(conversation_tokens AS DOUBLE), 0.5), 6) AS median_tokens, "
+            f"round(quantile_cont(CAST(conversation_tokens AS DOUBLE), 0.9), 6) AS p90_tokens FROM {src}"
             + (" GROUP BY prompt_style" if label is None else ""))
 
 
@@ -221,7 +223,8 @@ def _style_stats(src: str, label: str | None) -> str:
 def f3(spark, sf):
     k = materialize(kept_dialogues(spark, sf).select(*CTX, "prompt_ord", "prompt_style",
                                                      "conversation_tokens"))
-    return M.style_length(k, longest=longest_conversation(k))
+    return M.style_length(k, longest=materialize(longest_conversation(k)),
+                          percentiles={"median_tokens": 0.5, "p90_tokens": 0.9})
 
 
 @register("f4_length_response",

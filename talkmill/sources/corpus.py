@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,6 +13,13 @@ SOURCE_FILE = "source_file"
 SOURCE_ROW = "source_row"
 # Rows per numbering block: what one bitmap of kept rows holds.
 DEFAULT_BLOCK_ROWS = 32768
+# A block lists its missing rows if they are at most one in FEW.
+FEW = 32
+# Positions of a block that share one start in the list of missing rows.
+GAP_SPAN = 4096
+# Bytes of a table that are broadcast at once, and the most such groups.
+BROADCAST_BYTES = 64 << 20
+IN_PLACE_GROUPS = 64
 
 
 def scan_corpus(spark: SparkSession, path: str, schema: StructType | None = None,
@@ -68,46 +75,117 @@ def spread_rows(df: DataFrame) -> DataFrame:
     return df.repartition(cores, SOURCE_FILE, SOURCE_ROW)
 
 
+def _blocks(df: DataFrame, block_rows: int) -> DataFrame:
+    """One row per block of ``block_rows`` rows of a file that keeps any row:
+    ``n`` kept rows and how to count those before a position. ``gaps`` (the
+    sorted missing positions, with ``starts``, the kept rows before each
+    GAP_SPAN positions) if few are missing, a bitmap if many are, and neither
+    if none is."""
+    kept = df.groupBy(SOURCE_FILE, "_blk").agg(
+        F.count(F.lit(1)).alias("n"), F.max("_pos").cast("int").alias("_last"),
+        F.expr("bitmap_construct_agg(_pos)").alias("_bits"))
+    # the bytes with a missing position, then the positions in them
+    holes = F.expr("filter(sequence(0, _last div 8), b -> substring(_bits, cast(b as int) + 1, 1) != X'FF')")
+    gaps = F.expr("flatten(transform(_holes, b -> filter(transform(sequence(0, 7), i -> 8 * b + i), p -> "
+                  "p < _last and bit_count(cast(conv(hex(substring(_bits, cast(b as int) + 1, 1)), 16, 10) as int) "
+                  "& shiftleft(1, cast(p % 8 as int))) = 0)))")
+    missing = F.col("_last") + 1 - F.col("n")
+    few = (missing > 0) & (missing <= block_rows // FEW)
+    starts = F.transform(F.expr(f"sequence(0L, cast(_last div {GAP_SPAN} as bigint))"), lambda j: (
+        j * GAP_SPAN - F.size(F.filter("_gaps", lambda g: g < j * GAP_SPAN))).cast("smallint"))
+    return kept.withColumn("_holes", F.when(few, holes)).withColumn("_gaps", F.when(few, gaps)).select(
+            SOURCE_FILE, "_blk", "n", F.col("_gaps").cast("array<smallint>").alias("gaps"),
+            F.when(few, starts).alias("starts"),
+            F.when((missing > 0) & ~few, F.expr("substring(_bits, 1, cast(_last div 8 as int) + 1)")).alias("bits"))
+
+
+def _offsets(blocks: DataFrame) -> tuple[DataFrame, int]:
+    """(table, its bytes in memory). One row per file: ``off`` (kept rows of earlier files) and ``blocks``,
+    an array by block number of the kept rows of the file before the block
+    and its gaps. Two levels of running sums: over the blocks of a file, and
+    over the totals of the files."""
+    in_file = Window.partitionBy(SOURCE_FILE).orderBy("_blk")
+    upto = F.coalesce(F.sum("n").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    skipped = F.col("_blk") - F.coalesce(F.lag("_blk").over(in_file), F.lit(-1)) - 1
+    entry = F.struct(upto.alias("start"), "gaps", "starts", "bits")
+    placed = blocks.select(SOURCE_FILE, "_blk", "n", entry.alias("e"), skipped.cast("int").alias("skipped"))
+    listed = placed.select(SOURCE_FILE, "_blk", "n", F.concat(
+        F.array_repeat(F.lit(None).cast(placed.schema["e"].dataType), F.col("skipped")), F.array("e")).alias("es"))
+    size = F.expr("octet_length(source_file) + 64 + aggregate(blocks, 0L, (s, e) -> s + 48 + 2 * (coalesce("
+                  "size(e.gaps), 0) + coalesce(size(e.starts), 0)) + coalesce(octet_length(e.bits), 0))")
+    seen = Observation()
+    files = materialize(listed.groupBy(SOURCE_FILE).agg(
+        F.sum("n").alias("n"),
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_blk", "es"))), lambda x: x["es"])).alias("blocks"))
+        .observe(seen, F.sum(size).alias("bytes")))
+    before = Window.orderBy(_file_order()).rowsBetween(Window.unboundedPreceding, -1)
+    totals = files.select(SOURCE_FILE, "n").select(
+        SOURCE_FILE, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"))
+    return files.join(totals, SOURCE_FILE).select(SOURCE_FILE, "off", "blocks"), seen.get["bytes"] or 0
+
+
+def join_in_place(rows: DataFrame, table: DataFrame, keys: list[str], table_bytes: int,
+                  most: int = BROADCAST_BYTES) -> DataFrame:
+    """Inner join of corpus rows with a table keyed by file (and more) that
+    leaves the rows where they are: the table is broadcast in groups of files
+    of at most about ``most`` bytes, and each group's scan reads its own
+    files only (the file name is a scan filter). From IN_PLACE_GROUPS groups
+    on, a shuffle join costs less than so many scans and Spark plans it."""
+    groups = max(1, -(-table_bytes // most))
+    if groups == 1:
+        return rows.join(F.broadcast(table), keys)
+    if groups > IN_PLACE_GROUPS:
+        return rows.join(table, keys)
+    out = None
+    for g in range(groups):
+        own = F.pmod(F.xxhash64(SOURCE_FILE), F.lit(groups)) == g
+        part = rows.where(own).join(F.broadcast(table.where(own)), keys)
+        out = part if out is None else out.union(part)
+    return out
+
+
 def sample_index(df: DataFrame, name: str = "sample_index",
                  block_rows: int = DEFAULT_BLOCK_ROWS, limit: int | None = None) -> DataFrame:
     """A3: dense 0-based index over the rows of ``df`` in (file, row) order.
 
-    No text is shuffled for it. From (file, row) alone, one row per block of
-    ``block_rows`` rows of a file is aggregated: how many rows the block
-    keeps, and, where some are missing (A5), a bitmap of the kept ones. Their
-    running sum gives every block's offset; a row's index is the offset plus
-    the number of kept rows before it in its block. The block table (about
-    50 bytes a block, 4 KB with gaps) is written once, so its size is known
-    when Spark chooses how to join it: below the broadcast threshold the rows
-    stay where they are.
+    No text is shuffled for it. From (file, row) alone, the kept rows of each
+    block of ``block_rows`` rows of a file are counted and its missing rows
+    (A5) listed; running sums over the blocks of a file and over the files
+    give the offsets. They are written as one row per file (some 40 bytes a
+    full block, 2 bytes more for a missing row, 4 KB for a block that misses
+    many), and the rows meet them where they are (``join_in_place``). A row's
+    index is the offset plus its position less the missing ones before it.
 
-    With ``limit`` (A4) only rows with index < limit are returned; blocks
+    With ``limit`` (A4) only rows with index < limit are returned; files
     that cannot hold one drop out in the join."""
     if not 1 <= block_rows <= DEFAULT_BLOCK_ROWS:
         raise ValueError(f"block_rows must be from 1 to {DEFAULT_BLOCK_ROWS}")
     if limit is not None and limit < 0:
         raise ValueError("limit must be non-negative.")
-    keyed = df.withColumn(SOURCE_FILE, F.coalesce(F.col(SOURCE_FILE), F.lit(""))).withColumn(
-        "_blk", F.coalesce(F.floor(F.col(SOURCE_ROW) / block_rows).cast("bigint"), F.lit(0))).withColumn(
-        "_pos", (F.col(SOURCE_ROW) % block_rows).cast("bigint"))
-    blocks = keyed.groupBy(SOURCE_FILE, "_blk").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("_pos").alias("_last"),
-        F.expr("bitmap_construct_agg(_pos)").alias("_bits"))
-    prior = Window.orderBy(_file_order(), "_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialize(blocks.select(
-        SOURCE_FILE, "_blk", F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off"),
-        F.when(F.col("_n") <= F.col("_last"), F.col("_bits")).alias("_bits")))
+    row = F.coalesce(F.col(SOURCE_ROW), F.lit(0))
+    keyed = df.withColumn(SOURCE_FILE, F.coalesce(F.col(SOURCE_FILE), F.lit("")))
+    blocks = keyed.select(SOURCE_FILE, F.floor(row / block_rows).cast("bigint").alias("_blk"),
+                          (row % block_rows).cast("bigint").alias("_pos"))
+    offsets, table_bytes = _offsets(_blocks(blocks, block_rows))
     if limit is not None:
-        offsets = offsets.where(F.col("_off") < F.lit(limit))
-    joined = keyed.join(offsets, on=[SOURCE_FILE, "_blk"], how="inner")
-    whole = F.expr("bitmap_count(substring(_bits, 1, cast(_pos div 8 as int)))")
-    part = F.expr("bit_count(cast(conv(hex(substring(_bits, cast(_pos div 8 as int) + 1, 1)), 16, 10) as int) "
-                  "& (shiftleft(1, cast(_pos % 8 as int)) - 1))")
-    before = F.when(F.col("_bits").isNull(), F.col("_pos")).otherwise(whole + part)
-    out = joined.withColumn(name, (F.col("_off") + before).cast("bigint"))
+        offsets = offsets.where(F.col("off") < F.lit(limit))
+    joined = join_in_place(keyed, offsets, [SOURCE_FILE], table_bytes)
+    joined = joined.withColumn("_pos", (row % block_rows).cast("int")).withColumn(
+        "_e", F.col("blocks")[F.floor(row / block_rows).cast("int")])
+    span = F.expr(f"_pos div {GAP_SPAN}").cast("int")
+    start = F.col("_e.starts")[span].cast("int")
+    # missing rows before the span are the first of the sorted list
+    here = F.slice("_e.gaps", span * GAP_SPAN - start + 1, GAP_SPAN)
+    sparse = F.col("_pos") - (span * GAP_SPAN - start) - F.size(F.filter(here, lambda g: g < F.col("_pos")))
+    whole = F.expr("bitmap_count(substring(_e.bits, 1, _pos div 8))")
+    part = F.expr("bit_count(cast(conv(hex(substring(_e.bits, _pos div 8 + 1, 1)), 16, 10) as int) "
+                  "& (shiftleft(1, _pos % 8) - 1))")
+    before = F.when(F.col("_e.gaps").isNotNull(), sparse).when(F.col("_e.bits").isNotNull(), whole + part) \
+        .otherwise(F.col("_pos"))
+    out = joined.withColumn(name, (F.col("off") + F.col("_e.start") + before).cast("bigint"))
     if limit is not None:
         out = out.where(F.col(name) < F.lit(limit))
-    return out.drop("_blk", "_pos", "_off", "_bits")
+    return out.drop("_pos", "_e", "off", "blocks")
 
 
 def samples(spark: SparkSession, path: str, text_col: str = "text",

@@ -92,3 +92,63 @@ def test_file_names_sort_as_plain_names(spark):
         os.rename(f"{base}/{old}.parquet", f"{base}/{new}.parquet")
     got = sample_index(scan_corpus(spark, base)).orderBy("sample_index").collect()
     assert [r.text for r in got] == ["first", "second", "third"]
+
+
+def _positions(spark, rows):
+    return spark.createDataFrame(rows, "source_file string, source_row long, text string")
+
+
+@pytest.mark.parametrize("block_rows", [1, 7, 64, 4096, 32768])
+def test_index_counts_every_kind_of_block(spark, block_rows):
+    """Full blocks, few and many missing rows, blocks without any row."""
+    import random
+    rng = random.Random(3)
+    rows = [("f/a", i, "x") for i in range(5000)]
+    rows += [("f/b", i, "x") for i in range(6000) if rng.random() < 0.99]
+    rows += [("f/c", i, "x") for i in range(6000) if rng.random() < 0.3]
+    rows += [("f/d", i, "x") for i in (70_000, 70_001, 140_000)]
+    wanted = {r[:2]: i for i, r in enumerate(rows)}
+    got = sample_index(_positions(spark, rows).repartition(5), block_rows=block_rows).collect()
+    assert {(r.source_file, r.source_row): r.sample_index for r in got} == wanted and len(got) == len(rows)
+
+
+def _exchanges(df, column):
+    """Shuffles of the final plan whose rows hold ``column``."""
+    import re
+    df.collect()
+    details = df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    nodes = re.findall(r"\(\d+\) (?:ShuffleQueryStage|Exchange)\n(.*?)\n\n", details, flags=re.S)
+    return [n for n in nodes if column in n]
+
+
+def test_no_exchange_carries_text_at_one_percent_empty(spark):
+    parts = [[None if (i * 7 + p) % 100 == 0 else f"text {p} {i}" for i in range(2000)] for p in range(3)]
+    path = shards(spark, parts)
+    df = sample_index(drop_empty_text(scan_corpus(spark, path)))
+    assert not _exchanges(df, "text") and _exchanges(df.repartition(3, "text"), "text")
+    assert [r.text for r in df.orderBy("sample_index").collect()] == expected_order(parts)
+
+
+def test_groups_of_files_give_the_same_index(spark, monkeypatch):
+    from talkmill.sources import corpus
+    parts = [[f"{p} {i}" if i % 9 else "" for i in range(50)] for p in range(8)]
+    path = shards(spark, parts)
+    monkeypatch.setattr(corpus.join_in_place, "__defaults__", (300,))
+    df = sample_index(drop_empty_text(scan_corpus(spark, path)))
+    assert df._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") > 1
+    assert not _exchanges(df, "text")
+    assert [r.text for r in df.orderBy("sample_index").collect()] == expected_order(parts)
+    monkeypatch.setattr(corpus, "IN_PLACE_GROUPS", 1)
+    again = sample_index(drop_empty_text(scan_corpus(spark, path)))
+    assert [r.text for r in again.orderBy("sample_index").collect()] == expected_order(parts)
+
+
+def test_offsets_are_small(spark):
+    from talkmill.sources.corpus import _blocks, _offsets
+    rows = spark.range(32768 * 20).select(F.lit("f").alias("source_file"), F.expr("id div 32768").alias("_blk"),
+                                          F.expr("id % 32768").alias("_pos")).where("_pos % 5000 != 4999")
+    table, size = _offsets(_blocks(rows, 32768))
+    assert size < 100 * 20
+    table = table.select(F.explode("blocks").alias("e")).select("e.*")
+    assert table.where("bits is not null").count() == 0 and table.agg(F.max(F.size("gaps"))).first()[0] == 6
