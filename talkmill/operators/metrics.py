@@ -9,7 +9,6 @@ third of all rows.
 
 from __future__ import annotations
 
-from collections import Counter
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -127,47 +126,57 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     return sums.select("n", _r(corr).alias("spearman"))
 
 
-def overlap_counts(df: DataFrame, hyp: str, ref: str, group: str, n_max: int = 4) -> DataFrame:
+def gram_keys(col: str, n_max: int = 4) -> Column:
+    """Per n from 1 to ``n_max``: ``total``, the number of n-grams of a text's
+    words, and ``keys``, 64-bit numbers that stand for the occurrences of each
+    n-gram: the first for the gram's hash, the k-th further one for the hash
+    of (gram, k). So the clipped matches of two texts are the distinct common
+    keys. Grams are sorted, and those equal to the one before are cut into
+    runs, in time proportional to the text (and its logarithm)."""
+    hashes = F.coalesce(F.transform(words(col), lambda w: F.xxhash64(w)), F.array().cast("array<bigint>"))
+
+    def bound(value: Column, use) -> Column:
+        """``use(value)`` with the value computed once."""
+        return F.transform(F.array(value), use)[0]
+
+    def repeats(r: Column, starts: Column) -> Column:
+        return F.flatten(F.transform(starts, lambda i, j: F.transform(
+            F.sequence(F.lit(0), F.coalesce(F.get(starts, j + 1), F.size(r)) - i - 1),
+            lambda k: F.xxhash64(F.get(r, i), k))))
+
+    def keyed(s: Column) -> Column:
+        again = F.filter(s, lambda x, i: (i > 0) & (F.get(s, i - 1) == x))
+        return F.concat(s, bound(again, lambda r: F.when(F.size(r) == 0, r).otherwise(bound(
+            F.filter(F.transform(r, lambda x, i: F.when((i == 0) | (F.get(r, i - 1) != x), i)), lambda i: i.isNotNull()),
+            lambda starts: repeats(r, starts)))))
+
+    def grams(h: Column, n: int) -> Column:
+        total = F.greatest(F.lit(0), F.size(h) - (n - 1))
+        made = F.transform(F.slice(h, 1, total), lambda x, i: F.xxhash64(x, *[F.get(h, i + j) for j in range(1, n)]))
+        return F.struct(total.cast("bigint").alias("total"), bound(F.sort_array(made), keyed).alias("keys"))
+
+    return bound(hashes, lambda h: F.array(*[grams(h, n) for n in range(1, n_max + 1)]))
+
+
+def overlap_counts(df: DataFrame, hyp: str, ref: str, group: str, n_max: int = 4,
+                   ref_keys: str | None = None) -> DataFrame:
     """Clipped n-gram matches per (group, n): the sum over rows and grams of
     least(count in hypothesis, count in reference), with the hypothesis and
     reference n-gram totals of the rows.
 
     Every row is one (hypothesis, reference) pair, so two hypotheses of one
-    group and context both count, and the groups are those of the data. The
-    words are split in the JVM; the multiset intersection of a row's grams,
-    which no built-in expresses, is counted in a small Arrow helper that
-    keeps sums per group. Rows of one context stand together after the
-    fan-out, so their reference is counted once. Nothing but those sums is
-    shuffled."""
-    pairs = df.select(F.col(group).cast("string").alias("g"), F.array_join(words(ref), " ").alias("r"),
-                      F.array_join(words(hyp), " ").alias("h"))
-
-    def grams(text: str) -> list:
-        w = text.split(" ") if text else []
-        return [Counter(zip(*(w[i:] for i in range(n)))) for n in range(1, n_max + 1)]
-
-    def count(batches):
-        import pyarrow as pa
-        sums: dict = {}
-        last, of_last = None, []
-        for batch in batches:
-            for g, r, h in zip(*(batch.column(c).to_pylist() for c in ("g", "r", "h"))):
-                if r != last:
-                    last, of_last = r, grams(r or "")
-                for n, (a, b) in enumerate(zip(grams(h or ""), of_last), start=1):
-                    t = sums.setdefault((g, n), [0, 0, 0])
-                    t[0] += sum(min(c, b[x]) for x, c in a.items() if x in b)
-                    t[1] += a.total()
-                    t[2] += b.total()
-        keys = list(sums)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([g for g, _ in keys], pa.string()), pa.array([n for _, n in keys], pa.int32()),
-             *(pa.array([sums[k][i] for k in keys], pa.int64()) for i in range(3))],
-            names=["g", "n", "matches", "hyp_grams", "ref_grams"])
-
-    counted = pairs.mapInArrow(count, "g string, n int, matches long, hyp_grams long, ref_grams long")
-    return counted.groupBy(F.col("g").alias(group), "n").agg(
-        *[F.sum(c).cast("bigint").alias(c) for c in ("matches", "hyp_grams", "ref_grams")])
+    group and context both count, and the groups are those of the data. All
+    of it is array work inside the row (``gram_keys``, ``array_intersect``);
+    only sums per group are shuffled. ``ref_keys`` names a column that holds
+    ``gram_keys`` of the reference already, made before a fan-out."""
+    both = df.select(F.col(group).cast("string").alias(group), gram_keys(hyp, n_max).alias("h"),
+                     (F.col(ref_keys) if ref_keys else gram_keys(ref, n_max)).alias("r"))
+    sums = [c for n in range(n_max) for c in (
+        F.sum(F.size(F.array_intersect(F.col("h")[n]["keys"], F.col("r")[n]["keys"]))).alias(f"m{n}"),
+        F.sum(F.col("h")[n]["total"]).alias(f"h{n}"), F.sum(F.col("r")[n]["total"]).alias(f"r{n}"))]
+    rows = F.array(*[F.struct(F.lit(n + 1).alias("n"), *[F.col(f"{c}{n}").cast("bigint").alias(name) for c, name in (
+        ("m", "matches"), ("h", "hyp_grams"), ("r", "ref_grams"))]) for n in range(n_max)])
+    return both.groupBy(group).agg(*sums).select(group, F.inline(rows))
 
 
 def bleu(counts: DataFrame, group: str, n_max: int = 4) -> DataFrame:

@@ -57,13 +57,18 @@ def fanout_table(spark: SparkSession, path: str, cfg: GenerationConfig) -> DataF
     return prompt_fanout(chunk_table(spark, path, cfg), cfg.styles())
 
 
+def dry_run_chunks(chunks: DataFrame, cfg: GenerationConfig) -> DataFrame:
+    """Chunk x style rows of a chunk table with the E1 reply, token count and
+    status; other columns of the chunks are carried along."""
+    out = classify_replies(dry_run_fanout(chunks, cfg.styles()), "conversation", cfg.min_conversation_tokens,
+                           tokens=F.col("_reply_tok"))
+    return out.drop("_reply_tok")
+
+
 def dry_run_table(spark: SparkSession, path: str, cfg: GenerationConfig | None = None) -> DataFrame:
     """Chunk x style rows with the E1 reply, token count and status."""
     cfg = cfg or GenerationConfig()
-    f = dry_run_fanout(chunk_table(spark, path, cfg), cfg.styles())
-    out = classify_replies(f, "conversation", cfg.min_conversation_tokens,
-                           tokens=F.col("_reply_tok"))
-    return out.drop("_reply_tok")
+    return dry_run_chunks(chunk_table(spark, path, cfg), cfg)
 
 
 def kept_conversations(classified: DataFrame, created_at=None) -> DataFrame:

@@ -24,7 +24,7 @@ from talkmill.operators.select import (all_conversations, combine_corpora, conca
 from talkmill.operators.vocab import (build_vocabulary, decode_ids, encode_ids,
                                       normalize_tokens, pick_token_column)
 from talkmill.plans import oracle as o
-from talkmill.plans.generation import chunk_table
+from talkmill.plans.generation import chunk_table, dry_run_chunks
 from talkmill.plans.queries import CFG, register
 from talkmill.plans.tables import (attempt_ledger, corpus, dialogue_table, documents_path,
                                    judge_scores, kept_dialogues, table)
@@ -328,7 +328,10 @@ def _bleu_sql() -> str:
 
 
 def _counts(spark, sf):
-    return M.overlap_counts(kept_dialogues(spark, sf), "conversation", "context", "prompt_style")
+    """The contexts' n-grams are made once, before the fan-out."""
+    chunks = chunk_table(spark, documents_path(sf), CFG).withColumn("ref_keys", M.gram_keys("context"))
+    kept = dry_run_chunks(chunks, CFG).where(F.col("status") == "kept")
+    return M.overlap_counts(kept, "conversation", "context", "prompt_style", ref_keys="ref_keys")
 
 
 @register("f9_bleu", _bleu_sql())
