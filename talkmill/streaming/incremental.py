@@ -15,13 +15,13 @@ from __future__ import annotations
 import uuid
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from talkmill.functions.styles import Style, select_styles
 from talkmill.operators.chunking import ChunkConfig, chunk_windows
 from talkmill.operators.generate import dry_run_fanout
-from talkmill.operators.records import classify_replies, run_stats, utc_now_iso
+from talkmill.operators.records import classify_replies, run_stats, stat_columns, utc_now_iso
 from talkmill.plans import oracle as o
 from talkmill.plans.queries import register
 from talkmill.session import checkpoint_dir
@@ -60,23 +60,45 @@ def stream_dialogues(spark: SparkSession, source: str, text: str = "text",
 
 
 def incremental_run(spark: SparkSession, source: str, out_path: str, checkpoint: str,
-                    **kw) -> None:
+                    stats_path: str | None = None, **kw) -> None:
     """Append kept records of every new shard to ``out_path`` (parquet)
     and stop when the backlog is drained; rerunning resumes from the
-    checkpoint and processes only new shards."""
-    d = stream_dialogues(spark, source, **kw).where(F.col("status") == "kept")
-    rec = d.select(*STREAM_KEY, *kw.get("carry", ()), "chunk_index", "prompt_style", "context", "conversation",
-                   "conversation_tokens",
-                   utc_now_iso().alias("created_at"))
-    q = (rec.writeStream.format("parquet").option("path", out_path)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    checkpoint and processes only new shards.
+
+    With ``stats_path`` (J2) the F1 counters of every micro-batch are
+    collected in the pass that writes its records, and stand there as soon as
+    the batch is done, so they also show the progress of a long run. Records
+    and counters of a batch have a folder of its number, which a replay of
+    the batch overwrites: sums on read stay exact."""
+    d = stream_dialogues(spark, source, **kw)
+    columns = [*STREAM_KEY, *kw.get("carry", ()), "chunk_index", "prompt_style", "context", "conversation",
+               "conversation_tokens"]
+
+    def records(rows: DataFrame) -> DataFrame:
+        return rows.where(F.col("status") == "kept").select(*columns, utc_now_iso().alias("created_at"))
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        records(batch.observe(seen, *stat_columns())).write.mode("overwrite").parquet(
+            f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        counted = seen.get
+        row = [(*(int(counted[c] or 0) for c in STAT_COLS), batch_id)]
+        schema = ", ".join(f"{c} BIGINT" for c in (*STAT_COLS, "batch_id"))
+        batch.sparkSession.createDataFrame(row, schema).coalesce(1).write.mode("overwrite").parquet(
+            f"{stats_path.rstrip('/')}/batch_id={batch_id}")
+
+    if stats_path is None:
+        writer = records(d).writeStream.format("parquet").option("path", out_path)
+    else:
+        writer = d.writeStream.foreachBatch(per_batch)
+    q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 
 
 def incremental_stats(spark: SparkSession, source: str, stats_path: str, checkpoint: str,
                       **kw) -> None:
-    """F1 counters per micro-batch, one folder per batch id (a replayed
-    batch overwrites its own folder, so the sum on read stays exact)."""
+    """J2 without records: F1 counters per micro-batch, one folder per batch
+    id (a replayed batch overwrites its own folder)."""
     d = stream_dialogues(spark, source, **kw)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
@@ -155,7 +177,8 @@ def j1(spark, sf):
     base = _scratch(spark, "stream-run")
     source = _shards(spark, sf, base)
     for _ in range(2):
-        incremental_run(spark, source, f"{base}/out", f"{base}/ckpt", max_files_per_trigger=2, carry=("doc_id",))
+        incremental_run(spark, source, f"{base}/out", f"{base}/ckpt", f"{base}/stats", max_files_per_trigger=2,
+                        carry=("doc_id",))
     out = spark.read.parquet(f"{base}/out")
     return out.select("doc_id", F.col("chunk_index").cast("int"), "prompt_style", "conversation_tokens")
 
@@ -170,7 +193,9 @@ def j1(spark, sf):
           "CAST(count(*) FILTER (WHERE status = 'empty') AS BIGINT) AS conversations_empty "
           "FROM classified")
 def j2(spark, sf):
+    """The counters that the run of J1 leaves, batch by batch."""
     base = _scratch(spark, "stream-stats")
-    incremental_stats(spark, _shards(spark, sf, base), f"{base}/stats", f"{base}/ckpt",
-                      max_files_per_trigger=2)
+    source = _shards(spark, sf, base)
+    for _ in range(2):
+        incremental_run(spark, source, f"{base}/out", f"{base}/ckpt", f"{base}/stats", max_files_per_trigger=2)
     return read_stats(spark, f"{base}/stats")

@@ -68,3 +68,21 @@ def test_stream_with_model_client(spark):
     s = sorted((r.chunk_index, r.prompt_style, r.status, r.conversation) for r in stream.collect())
     b = sorted((r.chunk_index, r.prompt_style, r.status, r.conversation) for r in batch.collect())
     assert s == b
+
+
+def test_records_and_counters_in_one_stream_survive_a_replay(spark):
+    base = split_corpus(spark)
+    out, stats, ckpt = (f"{base}/{x}" for x in ("out", "stats", "ckpt"))
+    incremental_run(spark, f"{base}/in", out, ckpt, stats, max_files_per_trigger=1)
+    wanted = run_stats(dry_run_table(spark, f"{base}/in", GenerationConfig())).first().asDict()
+    assert read_stats(spark, stats).first().asDict() == wanted
+    batches = spark.read.parquet(stats).count()
+    assert batches == 3 and spark.read.parquet(out).count() == wanted["conversations_kept"]
+    # the last batch was written, but its commit was lost
+    os.remove(f"{ckpt}/commits/2")
+    for name in (".2.crc",):
+        if os.path.exists(f"{ckpt}/commits/{name}"):
+            os.remove(f"{ckpt}/commits/{name}")
+    incremental_run(spark, f"{base}/in", out, ckpt, stats, max_files_per_trigger=1)
+    assert read_stats(spark, stats).first().asDict() == wanted
+    assert spark.read.parquet(out).count() == wanted["conversations_kept"]
