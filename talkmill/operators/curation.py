@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from talkmill.functions.hashing import hash_order
+from talkmill.functions.text import words
+from talkmill.operators.prefix import materialize
+
 # ---------------------------------------------------------------------------
 # Math signal — inline TeX ($...$), common TeX commands, and
 # digit-operator-digit arithmetic.
@@ -79,3 +83,57 @@ def score_quality(model, docs: DataFrame) -> DataFrame:
     scored = model.transform(docs)
     return scored.withColumn("quality_score", vector_to_array("probability")[1]).drop(
         "_words", "_features", "rawPrediction", "probability")
+
+
+def fold_of(key, folds: int, seed: int = 0) -> F.Column:
+    """Fold of a key, 0 to ``folds`` - 1, from its seeded hash."""
+    return F.pmod(F.conv(F.substring(hash_order(seed, key), 1, 8), 16, 10).cast("bigint"), F.lit(folds)).cast("int")
+
+
+def cross_fitted_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
+                        label: str = "quality", folds: int = 3, seed: int = 0) -> DataFrame:
+    """L2 without a row judged by a model that has seen it: ``key``, ``fold``
+    and ``log_odds`` (to 4 digits) of every document.
+
+    The model of a fold is a word-count classifier (log ratio of the smoothed
+    word shares of the two classes, plus that of the classes) fitted on the
+    labelled documents of all other folds. One pass counts the words of every
+    class and fold; a fold's model is the total less the fold's own counts,
+    so ``folds`` models cost no more than one. Documents meet the model as
+    (document, word, count) rows; a document without words, or a null text,
+    has the odds of the classes. Labels other than 0 and 1, and null ones,
+    are not used; repeated documents are scored as one text, repeated words
+    counted each time."""
+    words_of = materialize(docs.select(key, F.explode(words(text)).alias("word")).groupBy(key, "word").agg(
+        F.count(F.lit(1)).alias("n")))
+    fold = fold_of(key, folds, seed)
+    known = docs.select(key).distinct().join(labels.where(F.col(label).isin(0, 1)).select(key, label).distinct(), key) \
+        .select(key, fold.alias("fold"), F.col(label).cast("int").alias("y"))
+    known = materialize(known)
+    counts = materialize(words_of.join(known, key).groupBy("word", "fold", "y").agg(F.sum("n").alias("n")))
+
+    def sums(rows: DataFrame, n: F.Column) -> list[F.Column]:
+        """Count of class y in all folds but f, for each y and f."""
+        return [F.coalesce(F.sum(F.when((F.col("y") == y) & (F.col("fold") != f), n)), F.lit(0)).alias(f"c{y}_{f}")
+                for y in (0, 1) for f in range(folds)]
+
+    size = counts.agg(F.countDistinct("word").alias("v"), *sums(counts, F.col("n")))
+    docs_of = known.agg(*sums(known, F.lit(1)))
+    # one row each, of numbers that do not grow with the data
+    total, given = size.first(), docs_of.first()
+
+    def ratio(one: F.Column, zero: F.Column, f: int) -> F.Column:
+        v = float(total["v"])
+        return F.log((one + 1) / F.lit(total[f"c1_{f}"] + v)) - F.log((zero + 1) / F.lit(total[f"c0_{f}"] + v))
+
+    def by_fold(values: list[F.Column]) -> F.Column:
+        return F.element_at(F.array(*values), fold + 1)
+
+    model = counts.groupBy("word").agg(*sums(counts, F.col("n"))).select(
+        "word", F.array(*[ratio(F.col(f"c1_{f}"), F.col(f"c0_{f}"), f) for f in range(folds)]).alias("w"))
+    unseen = by_fold([ratio(F.lit(0.0), F.lit(0.0), f) if total["v"] else F.lit(0.0) for f in range(folds)])
+    prior = by_fold([F.log(F.lit((given[f"c1_{f}"] + 1) / (given[f"c0_{f}"] + 1))) for f in range(folds)])
+    met = words_of.join(model, "word", "left").groupBy(key).agg(
+        F.sum(F.col("n") * F.coalesce(F.element_at("w", fold + 1), unseen)).alias("s"))
+    return docs.select(key).distinct().join(met, key, "left").select(
+        key, fold.alias("fold"), F.round(prior + F.coalesce("s", F.lit(0.0)), 4).alias("log_odds"))

@@ -225,12 +225,97 @@ def scorecard(results: DataFrame, task_group: Column, baseline: str,
                       _r(F.col("_avg") - F.col("_base")).alias("gain"))
 
 
+def score_tree(results: DataFrame, tree: dict[str, Sequence[str] | dict[str, float]], baseline: str,
+               task_group: Column | None = None, root: str | None = None, dataset: str = "dataset",
+               task: str = "task", score: str = "score") -> DataFrame:
+    """F12 over a hierarchy: averages of averages. ``tree`` gives the children
+    of an inner node, as a list or with weights (default 1); a child is a task
+    or another inner node, at any depth. With ``task_group`` tasks first have
+    a group from their row (null: ``other``) and ``tree`` stands above the
+    groups; ``root`` adds a node over all that have no parent.
+
+    One row per dataset and inner node: ``level`` (1: over tasks only),
+    ``n_children``, ``avg_score`` and the ``gain`` over the baseline dataset.
+    A node's score is the weighted mean of the children that the dataset has;
+    null scores are left out. Levels are worked from the leaves up, so a
+    level is one aggregation over the small table of the levels below."""
+    tree = {parent: dict.fromkeys(c, 1.0) if not isinstance(c, dict) else dict(c) for parent, c in tree.items()}
+    parents: dict[str, str] = {}
+    for parent, children in tree.items():
+        if any(not w > 0 for w in children.values()):
+            raise ValueError(f"the weights of {parent} must be positive")
+        for child in children:
+            if child in parents:
+                raise ValueError(f"{child} has two parents")
+            parents[child] = parent
+    heights: dict[str, int] = {}
+
+    def height(node: str, above: tuple[str, ...] = ()) -> int:
+        if node in above:
+            raise ValueError(f"{node} lies above itself")
+        if node not in heights:
+            low = 1 if task_group is not None else 0
+            heights[node] = 1 + max(height(c, (*above, node)) for c in tree[node]) if node in tree else low
+        return heights[node]
+
+    top = max([height(n) for n in tree], default=1 if task_group is not None else 0)
+    leaves = results.where(F.col(score).isNotNull())
+    if task_group is not None:
+        grouped = leaves.groupBy(dataset, F.coalesce(task_group, F.lit("other")).alias("node")).agg(
+            F.avg(score).alias("_avg"), F.count(F.lit(1)).cast("bigint").alias("n_children"))
+    else:
+        grouped = leaves.groupBy(dataset, F.col(task).alias("node")).agg(
+            F.avg(score).alias("_avg"), F.lit(0).cast("bigint").alias("n_children"))
+    known = materialize(grouped.select(dataset, "node", F.lit(1 if task_group is not None else 0).alias("level"),
+                                       "n_children", "_avg"))
+    spark = results.sparkSession
+
+    def averaged(edges: DataFrame, level: int) -> DataFrame:
+        return known.join(F.broadcast(edges), "node").groupBy(dataset, "parent").agg(
+            (F.sum(F.col("_avg") * F.col("w")) / F.sum("w")).alias("_avg"),
+            F.count(F.lit(1)).cast("bigint").alias("n_children")).select(
+                dataset, F.col("parent").alias("node"), F.lit(level).alias("level"), "n_children", "_avg")
+
+    for level in range(1, top + 1):
+        here = [(c, p, float(w)) for p, cs in tree.items() if heights[p] == level for c, w in cs.items()]
+        if here:
+            known = known.union(averaged(spark.createDataFrame(here, "node string, parent string, w double"), level))
+    if root is not None:
+        free = known.where(~F.col("node").isin(*parents)) if parents else known
+        known = known.union(free.groupBy(dataset).agg(
+            F.avg("_avg").alias("_avg"), F.count(F.lit(1)).cast("bigint").alias("n_children")).select(
+                dataset, F.lit(root).alias("node"), F.lit(top + 1).alias("level"), "n_children", "_avg"))
+    known = materialize(known.where("level > 0"))
+    base = known.where(F.col(dataset) == F.lit(baseline)).select("node", F.col("_avg").alias("_base"))
+    return known.join(base, "node", "left").select(
+        dataset, "node", F.col("level").cast("int").alias("level"), "n_children", _r(F.col("_avg")).alias("avg_score"),
+        _r(F.col("_avg") - F.col("_base")).alias("gain"))
+
+
 def task_groups(groups: dict[str, Sequence[str]], task: str = "task") -> Column:
     """Group of a task from a dict of group names and their tasks."""
     pairs = [(t, g) for g, ts in groups.items() for t in ts]
     return F.element_at(F.create_map(*[x for t, g in pairs for x in (F.lit(t), F.lit(g))]), F.col(task))
 
 
+def rank_auc(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """One row: ``n_pos``, ``n_neg`` and ``auc``, the share of (positive,
+    negative) pairs in which the positive row (label 1) has the higher score,
+    a tie counting half. From the sum of the positives' average ranks, which
+    are made over the distinct scores (F8), so no pairs are formed; rows with
+    a null on either side are left out, and without one of the classes the
+    value is null."""
+    values = materialize(scored.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(
+        F.col(score).alias("v")).agg(F.count(F.lit(1)).alias("_cnt"),
+                                     F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("_pos")))
+    ranks = average_ranks(values.select("v", "_cnt"), "v", "_rank")
+    sums = values.join(ranks, "v").agg(F.coalesce(F.sum("_pos"), F.lit(0)).cast("bigint").alias("n_pos"),
+                                       F.coalesce(F.sum(F.col("_cnt") - F.col("_pos")), F.lit(0)).cast("bigint")
+                                       .alias("n_neg"), F.sum(F.col("_pos") * F.col("_rank")).alias("_sum"))
+    pos, neg = F.col("n_pos").cast("double"), F.col("n_neg").cast("double")
+    return sums.select("n_pos", "n_neg", _r(F.try_divide(F.col("_sum") - pos * (pos + 1) / 2, pos * neg)).alias("auc"))
+
+
 def majority_answer(df: DataFrame, question: str, answer: str) -> DataFrame:
     """most frequent answer per question; ties go to the smallest
     answer. Votes are counted with a partial aggregation, then one more

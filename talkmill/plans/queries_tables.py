@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from talkmill.functions.text import count_tokens
 from talkmill.operators import budget as B
 from talkmill.operators import metrics as M
-from talkmill.operators.curation import (MATH_PATTERN, domain_additions, domain_yield, math_signal,
-                                         quality_subset, score_quality, train_quality_model)
+from talkmill.operators.curation import (MATH_PATTERN, cross_fitted_scores, domain_additions, domain_yield,
+                                         math_signal, quality_subset)
 from talkmill.operators.dialogue import (HEADER, NOT_SPEAKERS, TAG, assemble_dialogue, split_turns,
                                          turn_stats)
 from talkmill.operators.fanout import request_id
@@ -367,6 +367,33 @@ def f12(spark, sf):
     return M.scorecard(res, F.concat(F.lit("g"), F.floor(number / 25).cast("string")), baseline="view")
 
 
+F12_TREE = {"low": {"g0": 2.0, "g1": 1.0}}
+
+
+@register("f12_score_tree",
+          "WITH res AS (SELECT event_type AS dataset, 'k' || json_extract_string(props, '$.k') AS task, "
+          "avg(value) AS score FROM events GROUP BY ALL), "
+          "t AS (SELECT *, coalesce('g' || CAST(CAST(floor(TRY_CAST(substr(task, 2) AS DOUBLE) / 25) AS BIGINT) "
+          "AS VARCHAR), 'other') AS node FROM res), "
+          "a AS (SELECT dataset, node, 1 AS level, count(*) AS n, avg(score) AS av FROM t GROUP BY dataset, node), "
+          "b AS (SELECT dataset, 'low' AS node, 2 AS level, count(*) AS n, sum(av * CASE node WHEN 'g0' THEN 2.0 ELSE "
+          "1.0 END) / sum(CASE node WHEN 'g0' THEN 2.0 ELSE 1.0 END) AS av FROM a WHERE node IN ('g0', 'g1') "
+          "GROUP BY dataset), c AS (SELECT dataset, 'all' AS node, 3 AS level, count(*) AS n, avg(av) AS av FROM "
+          "(SELECT * FROM a WHERE node NOT IN ('g0', 'g1') UNION ALL SELECT * FROM b) GROUP BY dataset), "
+          "u AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c) "
+          "SELECT u.dataset, u.node, CAST(u.level AS INTEGER) AS level, CAST(u.n AS BIGINT) AS n_children, "
+          "round(u.av, 6) AS avg_score, round(u.av - x.av, 6) AS gain FROM u LEFT JOIN u x ON x.dataset = 'view' "
+          "AND x.node = u.node")
+def f12_tree(spark, sf):
+    """Groups of tasks, a weighted mean of two groups, and the mean over all."""
+    e = table(spark, sf, "events")
+    res = e.groupBy(F.col("event_type").alias("dataset"),
+                    F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("task")).agg(
+        F.avg("value").alias("score"))
+    number = F.substring("task", 2, 1 << 30).try_cast("double")
+    return M.score_tree(res, F12_TREE, "view", F.concat(F.lit("g"), F.floor(number / 25).cast("string")), root="all")
+
+
 @register("f13_majority_answer",
           "WITH v AS (SELECT user_id, event_type, count(*) AS votes FROM events GROUP BY ALL), "
           "r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY votes DESC, event_type) AS rn, "
@@ -657,21 +684,50 @@ def l1(spark, sf):
         "doc_id", "lang")
 
 
-@register("l2_train_quality_model",
-          "SELECT CAST(count(*) AS BIGINT) AS n_scored, true AS within_unit, true AS agrees FROM documents")
+FOLDS = 3
+_FOLD = f"CAST(CAST('0x' || substr({_hash('CAST(doc_id AS VARCHAR)')}, 1, 8) AS BIGINT) % {FOLDS} AS INTEGER)"
+SCORES_L2 = (
+    f"WITH k AS (SELECT doc_id, {_FOLD} AS fold, text FROM documents), "
+    f"t AS (SELECT doc_id, fold, word, count(*) AS n FROM (SELECT doc_id, fold, unnest({o.words('text')}) AS word FROM k) "
+    "GROUP BY ALL), "
+    "y AS (SELECT DISTINCT k.doc_id, k.fold, l.quality AS y FROM k JOIN labels l ON k.doc_id = l.doc_id "
+    "WHERE l.quality IN (0, 1)), "
+    "c AS (SELECT t.word, t.fold, y.y, sum(t.n) AS n FROM t JOIN y ON t.doc_id = y.doc_id GROUP BY ALL), "
+    f"f AS (SELECT unnest(range(0, {FOLDS})) AS fold), "
+    "s AS (SELECT f.fold, (SELECT count(DISTINCT word) FROM c) AS v, "
+    "coalesce(sum(c.n) FILTER (WHERE c.y = 1), 0) AS n1, coalesce(sum(c.n) FILTER (WHERE c.y = 0), 0) AS n0 "
+    "FROM f LEFT JOIN c ON c.fold <> f.fold GROUP BY f.fold), "
+    "p AS (SELECT f.fold, ln((count(*) FILTER (WHERE y.y = 1) + 1) / (count(*) FILTER (WHERE y.y = 0) + 1)) AS prior "
+    "FROM f LEFT JOIN y ON y.fold <> f.fold GROUP BY f.fold), "
+    "m AS (SELECT c.word, f.fold, coalesce(sum(c.n) FILTER (WHERE c.y = 1 AND c.fold <> f.fold), 0) AS a1, "
+    "coalesce(sum(c.n) FILTER (WHERE c.y = 0 AND c.fold <> f.fold), 0) AS a0 FROM c CROSS JOIN f GROUP BY c.word, f.fold), "
+    "w AS (SELECT t.doc_id, sum(t.n * (ln((coalesce(m.a1, 0) + 1) / (s.n1 + s.v)) "
+    "- ln((coalesce(m.a0, 0) + 1) / (s.n0 + s.v)))) AS x FROM t JOIN s ON t.fold = s.fold "
+    "LEFT JOIN m ON m.word = t.word AND m.fold = t.fold GROUP BY t.doc_id), "
+    "q AS (SELECT k.doc_id, k.fold, round(p.prior + coalesce(w.x, 0), 4) AS log_odds FROM k "
+    "JOIN p ON k.fold = p.fold LEFT JOIN w ON k.doc_id = w.doc_id) ")
+
+
+def _cross_fitted(spark, sf):
+    return cross_fitted_scores(table(spark, sf, "documents"), table(spark, sf, "labels"), folds=FOLDS, seed=SEED)
+
+
+@register("l2_train_quality_model", SCORES_L2 + "SELECT doc_id, fold, log_odds FROM q")
 def l2(spark, sf):
-    """The model's checkable facts: every document is scored, scores are
-    probabilities, and on its training rows the model beats the larger class."""
-    docs = table(spark, sf, "documents")
-    labelled = docs.join(table(spark, sf, "labels").where("quality is not null"), on="doc_id", how="inner")
-    model = train_quality_model(labelled)
-    scored = materialize(score_quality(model, docs.select("doc_id", "text")).select("doc_id", "quality_score"))
-    facts = scored.agg(F.count(F.lit(1)).cast("bigint").alias("n_scored"),
-                       F.min(F.col("quality_score").between(0.0, 1.0)).alias("within_unit"))
-    own = scored.join(labelled.select("doc_id", "quality"), "doc_id").agg(
-        F.avg(((F.col("quality_score") >= 0.5).cast("int") == F.col("quality")).cast("int")).alias("a"),
-        F.greatest(F.avg("quality"), 1 - F.avg("quality")).alias("b"))
-    return facts.crossJoin(own.select((F.col("a") > F.col("b")).alias("agrees")))  # one row each
+    """Every document scored by the model that was fitted without its fold."""
+    return _cross_fitted(spark, sf).select("doc_id", "fold", "log_odds")
+
+
+@register("l2_quality_auc",
+          SCORES_L2 + ", j AS (SELECT q.log_odds AS x, l.quality AS y FROM q JOIN labels l ON q.doc_id = l.doc_id "
+          "WHERE l.quality IS NOT NULL), r AS (SELECT y, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) "
+          "/ 2.0 AS rx FROM j) SELECT CAST(sum(y) AS BIGINT) AS n_pos, CAST(count(*) - sum(y) AS BIGINT) AS n_neg, "
+          "round((sum(CASE WHEN y = 1 THEN rx ELSE 0 END) - CAST(sum(y) AS DOUBLE) * (sum(y) + 1) / 2) "
+          "/ (CAST(sum(y) AS DOUBLE) * (count(*) - sum(y))), 6) AS auc FROM r")
+def l2_auc(spark, sf):
+    """Rank-sum AUC of the out-of-fold scores."""
+    scored = _cross_fitted(spark, sf).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    return M.rank_auc(scored, "log_odds", "quality")
 
 
 HOST_SQL = ("coalesce(lower(nullif(regexp_extract(regexp_replace(regexp_extract(url, "

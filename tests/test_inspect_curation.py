@@ -83,3 +83,42 @@ def test_preview_prefers_the_text_to_other_id_lists(spark):
     assert sample_preview(n).first().first_tokens == "7 8 9"
     k = spark.createDataFrame([("f", 0, "two words", [1, 2])], cols + "text STRING, tokens ARRAY<INT>")
     assert sample_preview(k).first().first_tokens == "1 2"
+
+
+def test_cross_fitted_scores_equal_a_plain_fit(spark):
+    """Each fold's model, fitted in plain Python on the other folds."""
+    import math
+    import re
+    from collections import Counter
+
+    from talkmill.operators.curation import cross_fitted_scores, fold_of
+    from talkmill.operators.metrics import rank_auc
+    texts = ["good fine text", "bad spam spam", "fine text again good", "spam bad words", None, "", "neutral thing",
+             "good spam", "fine fine fine", "bad"]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(7, "good spam")]
+    labels = [(0, 1), (1, 0), (2, 1), (3, 0), (4, 1), (5, 0), (7, None), (8, 1), (9, 0), (55, 1)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    y = spark.createDataFrame(labels, "doc_id long, quality int")
+    fold = {r.doc_id: r.f for r in d.select("doc_id", fold_of("doc_id", 3).alias("f")).collect()}
+    got = {r.doc_id: r for r in cross_fitted_scores(d, y).collect()}
+    counts = {i: Counter() for i, _ in docs}
+    for i, t in docs:
+        counts[i].update(re.findall(r"\w+", t or ""))
+    known = {i: q for i, q in labels if q is not None and i in counts}
+    size = len(set().union(*(counts[i] for i in known)))
+    assert sorted(got) == list(range(10))
+    for i, own in counts.items():
+        sides = [Counter(), Counter()]
+        n = [1, 1]
+        for j, q in known.items():
+            if fold[j] != fold[i]:
+                sides[q].update(counts[j])
+                n[q] += 1
+        odds = math.log(n[1] / n[0]) + sum(c * (
+            math.log((sides[1][w] + 1) / (sides[1].total() + size)) - math.log((sides[0][w] + 1) / (sides[0].total() + size)))
+            for w, c in own.items())
+        assert got[i].fold == fold[i] and abs(got[i].log_odds - odds) < 1e-4
+    rows = [(1.0, 1), (2.0, 0), (2.0, 1), (3.0, 1), (0.5, 0), (None, 1), (9.0, None)]
+    r = rank_auc(spark.createDataFrame(rows, "s double, y int"), "s", "y").first()
+    assert (r.n_pos, r.n_neg) == (3, 2) and abs(r.auc - (1 + 0.5 + 1 + 1 + 1) / 6) < 1e-6
+    assert rank_auc(spark.createDataFrame([(1.0, 1)], "s double, y int"), "s", "y").first().auc is None
