@@ -6,8 +6,11 @@ from __future__ import annotations
 import json
 import random
 import time
+from collections import deque
+from itertools import count
+from queue import Empty, Queue, SimpleQueue
 from threading import Thread
-from typing import Callable, Iterator, Sequence
+from typing import Any, Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,42 +66,98 @@ def dry_run_fanout(chunks: DataFrame, styles, context: str = "context") -> DataF
             .drop("_head", "_snip", "_head_tok", "_snip_tok"))
 
 
-def _ask_all(client, requests: list[dict], timeout: float | None) -> list[tuple[bool, str | None, str | None]]:
-    """(answered, reply, error) of requests that are asked at the same time.
-    A call that outlasts ``timeout`` seconds is left behind."""
-    outcomes: list = [(False, None, f"no answer within {timeout} s")] * len(requests)
-
-    def ask(i: int) -> None:
+class CallPool:
+    """Calls of one task: at most ``in_flight`` are open at any time, and the
+    next request is asked as soon as one ends, so a slow call holds up no
+    other. A call that outlasts ``timeout`` seconds is a failed attempt; it
+    keeps its place until it really ends. Should calls that outlast the
+    timeout hold all places for as long again, what is left fails unasked."""
+
+    def __init__(self, client: Callable[[dict], str], in_flight: int, max_attempts: int,
+                 wait: Callable[[int], None], timeout: float | None) -> None:
+        self.client, self.in_flight, self.max_attempts = client, in_flight, max_attempts
+        self.wait, self.timeout = wait, timeout
+        self.jobs: SimpleQueue = SimpleQueue()
+        self.ended: Queue = Queue()
+        self.started: dict[int, float] = {}
+
+    def _work(self) -> None:
+        while (job := self.jobs.get()) is not None:
+            call, attempt, request = job
+            reply, error = None, None
+            try:
+                if attempt > 1:
+                    self.wait(attempt - 1)
+                self.started[call] = time.monotonic()
+                reply = str(self.client(request) or "").strip()
+            except Exception as exc:  # noqa: BLE001 - becomes the ledger's error, E5
+                error = f"{type(exc).__name__}: {exc}"
+            self.ended.put((call, reply, error))
+
+    def run(self, requests: Iterator[tuple[Any, dict]]) -> Iterator[tuple[Any, tuple]]:
+        """(key, (reply, status, attempts, error)) of every (key, request), in
+        the order in which they settle. An answer settles a request; a blank
+        one and a failure are asked again up to ``max_attempts`` times, and
+        the last of them gives the status (``empty`` or ``failed``)."""
+        for _ in range(self.in_flight):
+            Thread(target=self._work, daemon=True).start()
+        requests, again, calls = iter(requests), deque(), count()
+        open_: dict[int, tuple] = {}
+        overdue: set[int] = set()
+        more, stuck_since = True, None
+        try:
+            while True:
+                while len(open_) + len(overdue) < self.in_flight:
+                    if again:
+                        key, request, attempt = again.popleft()
+                    elif more:
+                        item = next(requests, None)
+                        if item is None:
+                            more = False
+                            continue
+                        (key, request), attempt = item, 1
+                    else:
+                        break
+                    call = next(calls)
+                    open_[call] = (key, request, attempt)
+                    self.jobs.put((call, attempt, request))
+                if not open_ and not again and not more:
+                    return
+                for call, reply, error in self._next(open_):
+                    if call in overdue:
+                        overdue.discard(call)
+                        continue
+                    key, request, attempt = open_.pop(call)
+                    if reply:
+                        yield key, (reply, "ok", attempt, None)
+                    elif attempt < self.max_attempts:
+                        again.append((key, request, attempt + 1))
+                    else:
+                        yield key, (reply, "failed" if reply is None else "empty", attempt, error or "empty reply")
+                    if error == self._late():
+                        overdue.add(call)
+                stuck_since = None if open_ or len(overdue) < self.in_flight else stuck_since or time.monotonic()
+                if stuck_since is not None and time.monotonic() - stuck_since > self.timeout:
+                    lost = "no free call: all outlast the timeout"
+                    for key, _, attempt in again:
+                        yield key, (None, "failed", attempt - 1, lost)
+                    for key, _ in requests:
+                        yield key, (None, "failed", 0, lost)
+                    return
+        finally:
+            for _ in range(self.in_flight):
+                self.jobs.put(None)
+
+    def _late(self) -> str:
+        return f"no answer within {self.timeout} s"
+
+    def _next(self, open_: dict[int, tuple]) -> list[tuple[int, str | None, str | None]]:
+        """What ended or became overdue, after waiting for it a little."""
         try:
-            outcomes[i] = (True, str(client(requests[i]) or "").strip(), None)
-        except Exception as exc:  # noqa: BLE001 - becomes the ledger's error, E5
-            outcomes[i] = (False, None, f"{type(exc).__name__}: {exc}")
-
-    threads = [Thread(target=ask, args=(i,), daemon=True) for i in range(len(requests))]
-    until = None if timeout is None else time.monotonic() + timeout
-    for t in threads:
-        t.start()
-    for t in threads:
-        t.join(None if until is None else max(0.0, until - time.monotonic()))
-    return list(outcomes)
-
-
-def _settle(client, requests: list[dict], rounds: int, wait: Callable[[int], None],
-            timeout: float | None) -> list[tuple[str | None, str, int, str | None]]:
-    """(reply, status, attempts, error) of a small group of requests. Each
-    round asks those that have no answer yet; a blank answer is an answer
-    (status ``empty``) and is not asked for again."""
-    settled: dict[int, tuple] = {}
-    for round_ in range(1, rounds + 1):
-        open_ = [i for i in range(len(requests)) if settled.get(i, ("", "failed"))[1] == "failed"]
-        if not open_:
-            break
-        if round_ > 1:
-            wait(round_ - 1)
-        for i, (answered, reply, error) in zip(open_, _ask_all(client, [requests[i] for i in open_], timeout)):
-            status = "failed" if not answered else "ok" if reply else "empty"
-            settled[i] = (reply, status, round_, error)
-    return [settled[i] for i in range(len(requests))]
+            return [self.ended.get(timeout=None if self.timeout is None else min(0.05, self.timeout / 4))]
+        except Empty:
+            now = time.monotonic()
+            return [(c, None, self._late()) for c in list(open_) if now - self.started.get(c, now) > self.timeout]
 
 
 def generate_replies(requests: DataFrame, client_factory: Callable[[], Callable[[dict], str]],
@@ -111,13 +170,14 @@ def generate_replies(requests: DataFrame, client_factory: Callable[[], Callable[
 
     ``client_factory()`` runs once per task (no client object travels from
     the driver) and returns ``f(request_dict) -> reply``; ``request_dict``
-    is the decoded ``payload`` of A7. A task asks ``in_flight`` requests at a
-    time and hands their rows on before it asks the next ones; with
-    ``partitions`` set, at most ``partitions * in_flight`` calls are open in
-    the whole job, otherwise in_flight times the cores. A call that takes
-    longer than ``timeout_seconds`` counts as failed. A request without an
-    answer is asked up to ``max_attempts`` times and then becomes a
-    ``failed`` row with its last error, so one bad item never stops the job.
+    is the decoded ``payload`` of A7. A task keeps ``in_flight`` requests open,
+    asks the next when one ends (``CallPool``) and hands rows on as they
+    settle; with ``partitions`` set, at most ``partitions * in_flight`` calls
+    are open in the whole job, otherwise in_flight times the cores. A call
+    that takes longer than ``timeout_seconds`` counts as failed. A request
+    without an answer, or with a blank one, is asked up to ``max_attempts``
+    times and then becomes a ``failed`` or ``empty`` row with its last error,
+    so one bad item never stops the job.
     Only ``request_id``, ``payload`` and the small ``carry`` columns cross
     into Python. Results are non-deterministic: write them out (A6) before
     any second use."""
@@ -132,19 +192,23 @@ def generate_replies(requests: DataFrame, client_factory: Callable[[], Callable[
 
     def run(batches: Iterator):
         import pandas as pd
-        client = client_factory()
-        for pdf in batches:
-            for at in range(0, len(pdf), in_flight):
-                part = pdf.iloc[at:at + in_flight]
-                outs = _settle(client, [json.loads(p) for p in part["payload"]], max_attempts,
-                               lambda n: sleep(backoff_seconds * n + jitter()), timeout_seconds)
-                out = pd.DataFrame({"request_id": part["request_id"].values,
-                                    "reply": [o[0] for o in outs], "status": [o[1] for o in outs],
-                                    "attempts": pd.array([o[2] for o in outs], dtype="int32"),
-                                    "error": [o[3] for o in outs]})
-                for c in carry:
-                    out[c] = part[c].values
-                yield out
+        names = ["request_id", "reply", "status", "attempts", "error", *carry]
+        rows = (row for pdf in batches for row in pdf.itertuples(index=False, name=None))
+        pool = CallPool(client_factory(), in_flight, max_attempts,
+                        lambda n: sleep(backoff_seconds * n + jitter()), timeout_seconds)
+        done: list[tuple] = []
+
+        def table() -> pd.DataFrame:
+            out = pd.DataFrame(done, columns=names)
+            done.clear()
+            return out.astype({"attempts": "int32"})
+
+        for row, outcome in pool.run((row, json.loads(row[1])) for row in rows):
+            done.append((row[0], *outcome, *row[2:]))
+            if len(done) >= in_flight:
+                yield table()
+        if done:
+            yield table()
 
     return slim.mapInPandas(run, schema)
 

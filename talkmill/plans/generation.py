@@ -11,18 +11,19 @@ output is written before it is read again.
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
-from typing import Callable
+from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from talkmill.functions.styles import Style, select_styles
 from talkmill.operators.chunking import ChunkConfig, chunk_windows
 from talkmill.operators.fanout import RequestConfig, build_requests, prompt_fanout
 from talkmill.operators.generate import dry_run_fanout, generate_replies
+from talkmill.operators.ledger import ReplyLedger
+from talkmill.operators.prefix import materialize
 from talkmill.operators.records import classify_replies, conversation_record, run_stats
-from talkmill.sources.corpus import DEFAULT_BLOCK_ROWS, SOURCE_FILE, SOURCE_ROW, samples
-from talkmill.sources.sinks import path_exists
+from talkmill.sources.corpus import DEFAULT_BLOCK_ROWS, SOURCE_FILE, SOURCE_ROW, join_in_place, samples
 
 
 @dataclass(frozen=True)
@@ -85,6 +86,25 @@ def dry_run_stats(spark: SparkSession, path: str, cfg: GenerationConfig | None =
     return run_stats(dry_run_table(spark, path, cfg))
 
 
+PLACE = (SOURCE_FILE, SOURCE_ROW, "chunk_index")
+
+
+def pending_requests(chunks: DataFrame, styles: list[Style], cfg: RequestConfig, ledger: ReplyLedger,
+                     key_cols: Sequence[str]) -> DataFrame:
+    """The requests of ``chunks`` (with their file and row) that the ledger
+    has no answer for, with payloads. Ids are made in the scan and meet the
+    ledger alone; the places of the open ones, written once, go back to the
+    chunks, whose payloads are made after that join, so no context or payload
+    is shuffled."""
+    ids = build_requests(prompt_fanout(chunks, styles), cfg, key_cols).select("request_id", *PLACE, "prompt_ord")
+    seen = Observation()
+    todo = materialize(ledger.pending(ids).groupBy(*PLACE).agg(F.collect_set("prompt_ord").alias("_open"))
+                       .observe(seen, F.sum(F.octet_length(SOURCE_FILE) + 96).alias("bytes")))
+    open_chunks = join_in_place(chunks, todo, list(PLACE), seen.get["bytes"] or 0)
+    asked = prompt_fanout(open_chunks, styles).where(F.array_contains("_open", F.col("prompt_ord"))).drop("_open")
+    return build_requests(asked, cfg, key_cols)
+
+
 def model_run(spark: SparkSession, path: str, replies_path: str,
               client_factory: Callable[[], Callable[[dict], str]],
               cfg: GenerationConfig | None = None, partitions: int | None = None,
@@ -97,18 +117,16 @@ def model_run(spark: SparkSession, path: str, replies_path: str,
     rerun asks only what has no answer yet (D4): changed windows, styles,
     models or settings are new requests, failed ones are asked again, and
     stored replies of other runs are left alone."""
-    from talkmill.operators.records import attach_replies, best_replies, pair_context, pending_only
+    from talkmill.operators.records import attach_replies, best_replies, pair_context
     cfg = cfg or GenerationConfig()
     placed = replace(cfg, carry=tuple(dict.fromkeys((*cfg.carry, SOURCE_FILE, SOURCE_ROW))))
     chunks = chunk_table(spark, path, placed)
-    requests = build_requests(prompt_fanout(chunks, cfg.styles()), cfg.request,
-                              key_cols=(SOURCE_FILE, SOURCE_ROW, "chunk_index", "prompt_ord"))
-    todo = requests
-    if path_exists(spark, replies_path):
-        todo = pending_only(requests, spark.read.parquet(replies_path).where(F.col("status") == "ok"))
-    generate_replies(todo, client_factory, partitions=partitions, **client_opts) \
-        .write.mode("append").parquet(replies_path)
-    replies = best_replies(spark.read.parquet(replies_path))
+    key_cols = (SOURCE_FILE, SOURCE_ROW, "chunk_index", "prompt_ord")
+    requests = build_requests(prompt_fanout(chunks, cfg.styles()), cfg.request, key_cols=key_cols)
+    ledger = ReplyLedger(spark, replies_path)
+    todo = pending_requests(chunks, cfg.styles(), cfg.request, ledger, key_cols)
+    ledger.append(generate_replies(todo, client_factory, partitions=partitions, **client_opts))
+    replies = best_replies(ledger.replies())
     keys = ("sample_index", "chunk_index", "prompt_ord", "prompt_style")
     answered = attach_replies(requests.select("request_id", *keys), replies)
     paired = pair_context(answered, chunks, cols=("context", "context_tokens", *cfg.carry))

@@ -5,6 +5,7 @@ curation and streaming. See ``queries.py`` for the conventions."""
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -15,21 +16,22 @@ from talkmill.operators.curation import (MATH_PATTERN, cross_fitted_scores, doma
                                          math_signal, quality_subset)
 from talkmill.operators.dialogue import (HEADER, NOT_SPEAKERS, TAG, assemble_dialogue, split_turns,
                                          turn_stats)
-from talkmill.operators.fanout import request_id
+from talkmill.operators.fanout import build_requests, prompt_fanout
 from talkmill.operators.generate import resolve_attempts
-from talkmill.operators.records import attach_replies, pair_context, pending_only
+from talkmill.operators.ledger import ReplyLedger
+from talkmill.operators.records import attach_replies, pair_context
 from talkmill.operators.prefix import materialize
 from talkmill.operators.select import (all_conversations, combine_corpora, concat_context,
                                        longest_conversation, sample_k, training_mix)
 from talkmill.operators.vocab import (build_vocabulary, decode_ids, encode_ids,
                                       normalize_tokens, pick_token_column)
 from talkmill.plans import oracle as o
-from talkmill.plans.generation import chunk_table, dry_run_chunks
-from talkmill.plans.queries import CFG, register
+from talkmill.plans.generation import chunk_table, dry_run_chunks, pending_requests
+from talkmill.plans.queries import CFG, _request_sql, register
 from talkmill.plans.tables import (attempt_ledger, corpus, dialogue_table, documents_path,
                                    judge_scores, kept_dialogues, table)
 from talkmill.session import checkpoint_dir
-from talkmill.sources.corpus import first_n
+from talkmill.sources.corpus import SOURCE_FILE, SOURCE_ROW, first_n
 from talkmill.sources.inspect import column_report, corpus_profile, file_profile, sample_preview
 from talkmill.sources.sinks import write_jsonl
 
@@ -647,18 +649,23 @@ def d3(spark, sf):
     return p.select(*CTX, "prompt_style", "context_tokens", "conversation_tokens")
 
 
-REQ_ID_SQL = ("sha256(concat_ws(chr(1), CAST(sample_index AS VARCHAR), CAST(chunk_index AS VARCHAR), "
-              "CAST(prompt_ord AS VARCHAR), prompt_style))")
+D4_ANSWERED = 10
 
 
 @register("d4_pending_only",
-          o.with_("classified") + f"SELECT {REQ_ID_SQL} AS request_id, sample_index, chunk_index, "
-          "prompt_style FROM classified WHERE status <> 'kept'")
+          f"SELECT * FROM ({_request_sql()}) WHERE CAST('0x' || substr(request_id, 1, 3) AS BIGINT) % {D4_ANSWERED} = 0")
 def d4(spark, sf):
-    d = dialogue_table(spark, sf).withColumn(
-        "request_id", request_id("sample_index", "chunk_index", "prompt_ord", "prompt_style"))
-    done = d.where(F.col("status") == "kept").select("request_id")
-    return pending_only(d, done).select("request_id", *CTX, "prompt_style")
+    """A rerun over a ledger that holds an answer for nine of ten requests."""
+    placed = replace(CFG, carry=(SOURCE_FILE, SOURCE_ROW))
+    chunks = chunk_table(spark, documents_path(sf), placed)
+    keys = ("sample_index", "chunk_index", "prompt_ord", "prompt_style")
+    every = build_requests(prompt_fanout(chunks, CFG.styles()), CFG.request, keys)
+    number = F.conv(F.substring("request_id", 1, 3), 16, 10).cast("bigint")
+    ledger = ReplyLedger(spark, f"{checkpoint_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}")
+    ledger.append(every.where(number % D4_ANSWERED != 0).select(
+        "request_id", F.lit("Speaker: yes").alias("reply"), F.lit("ok").alias("status"), F.lit(1).alias("attempts"),
+        F.lit(None).cast("string").alias("error")))
+    return pending_requests(chunks, CFG.styles(), CFG.request, ledger, keys).select("request_id", "prompt_style", "payload")
 
 
 @register("a6_jsonl_sink",

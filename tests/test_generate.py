@@ -41,7 +41,7 @@ def test_client_retries_and_dead_letters(spark):
                            sleep=waits.append, jitter=lambda: 0.0, partitions=2)
     got = {r.request_id: r for r in out.collect()}
     assert got["r0"].status == "ok" and got["r0"].reply == "Speaker: fine" and got["r0"].attempts == 1
-    assert got["r1"].status == "empty" and got["r1"].attempts == 1  # a blank answer is not asked for again
+    assert got["r1"].status == "empty" and got["r1"].attempts == 3 and got["r1"].error == "empty reply"
     assert got["r2"].status == "failed" and "boom" in got["r2"].error
     assert got["r3"].status == "ok" and got["r3"].attempts == 3 and got["r3"].reply == "Speaker: at last"
 
@@ -77,8 +77,64 @@ def test_a_hanging_call_counts_as_failed(spark):
     assert got["a"].status == "failed" and "no answer" in got["a"].error and got["b"].status == "ok"
 
 
-def test_rows_leave_in_small_groups():
-    from talkmill.operators.generate import _settle
-    asked = []
-    out = _settle(lambda r: asked.append(r) or "x", [{"n": i} for i in range(3)], 2, lambda n: None, None)
-    assert [o[1] for o in out] == ["ok"] * 3 and len(asked) == 3
+def _pool(client, in_flight=3, attempts=2, timeout=None):
+    from talkmill.operators.generate import CallPool
+    return CallPool(client, in_flight, attempts, lambda n: None, timeout)
+
+
+def test_a_blank_answer_is_asked_for_again(spark):
+    answers = {"late": ["", "  ", "Speaker: now"], "never": ["", "", ""], "mixed": ["", RuntimeError("down"), ""]}
+
+    def client(request):
+        a = answers[request["n"]].pop(0)
+        if isinstance(a, Exception):
+            raise a
+        return a
+
+    out = dict(_pool(client, attempts=3).run((n, {"n": n}) for n in list(answers)))
+    assert out == {"late": ("Speaker: now", "ok", 3, None), "never": ("", "empty", 3, "empty reply"),
+                   "mixed": ("", "empty", 3, "empty reply")}
+
+
+def test_a_slow_call_holds_up_no_other():
+    import time
+    release, peak, now, lock = threading.Event(), [0], [0], threading.Lock()
+
+    def client(request):
+        with lock:
+            now[0] += 1
+            peak[0] = max(peak[0], now[0])
+        if request["n"] == 0:
+            release.wait(20)
+        with lock:
+            now[0] -= 1
+        return "x"
+
+    begun, seen = time.monotonic(), []
+    for n, outcome in _pool(client, in_flight=3).run((n, {"n": n}) for n in range(40)):
+        seen.append(n)
+        if len(seen) == 39:
+            release.set()
+    assert seen[-1] == 0 and sorted(seen) == list(range(40))
+    assert peak[0] <= 3 and time.monotonic() - begun < 15
+
+
+def test_calls_that_never_end_keep_their_places():
+    import time
+    peak, now, lock = [0], [0], threading.Lock()
+
+    def client(request):
+        with lock:
+            now[0] += 1
+            peak[0] = max(peak[0], now[0])
+        time.sleep(0.6 if request["n"] < 2 else 0)
+        with lock:
+            now[0] -= 1
+        return "x"
+
+    out = dict(_pool(client, in_flight=2, attempts=1, timeout=0.4).run((n, {"n": n}) for n in range(6)))
+    assert [out[n][1] for n in range(6)] == ["failed"] * 2 + ["ok"] * 4 and peak[0] == 2
+    hang = threading.Event()
+    out = dict(_pool(lambda r: hang.wait(30), in_flight=2, attempts=2, timeout=0.2).run((n, {"n": n}) for n in range(5)))
+    assert len(out) == 5 and {o[1] for o in out.values()} == {"failed"}
+    hang.set()
