@@ -14,7 +14,7 @@ from talkmill.operators import budget as B
 from talkmill.operators import metrics as M
 from talkmill.operators.curation import (MATH_PATTERN, cross_fitted_scores, domain_additions, domain_yield,
                                          math_signal, quality_subset)
-from talkmill.operators.dialogue import (HEADER, NOT_SPEAKERS, TAG, assemble_dialogue, split_turns,
+from talkmill.operators.dialogue import (ADDRESS, HEADER, OFTEN_NO_SPEAKERS, TAG, assemble_dialogue, split_turns,
                                          turn_stats)
 from talkmill.operators.fanout import build_requests, prompt_fanout
 from talkmill.operators.generate import resolve_attempts
@@ -442,13 +442,26 @@ def i2(spark, sf):
 
 def _split_sql(dialogues: str) -> str:
     name = (f"coalesce(nullif(regexp_extract(line, '^{TAG}', 1), ''), regexp_extract(line, '^{TAG}', 2))")
-    labels = ", ".join(f"'{x}'" for x in NOT_SPEAKERS)
+    often = ", ".join(f"'{x}'" for x in OFTEN_NO_SPEAKERS)
     return (f"WITH d AS ({dialogues}), "
             "l AS (SELECT conv_id, generate_subscripts(string_split(dialogue, chr(10)), 1) AS i, "
             "unnest(string_split(dialogue, chr(10))) AS line FROM d), "
-            f"m AS (SELECT *, regexp_full_match(line, '{HEADER}') AS is_header, "
+            f"h AS (SELECT *, regexp_full_match(line, '{HEADER}') AS is_header, "
             f"NOT regexp_full_match(line, '{HEADER}') AND regexp_matches(line, '^{TAG}') "
-            f"AND lower({name}) NOT IN ({labels}) AS is_tag FROM l), "
+            f"AND NOT regexp_matches(line, '^{ADDRESS}') AS is_label FROM l), "
+            f"b AS (SELECT *, CASE WHEN is_label THEN lower({name}) END AS label, "
+            f"regexp_extract(line, '^{TAG}', 1) <> '' AS bold FROM h), "
+            "n AS (SELECT conv_id, i, count(*) OVER (PARTITION BY conv_id, label) AS times, "
+            "lag(label) OVER w AS prev, lead(label) OVER w AS next, row_number() OVER w AS k, label, bold, "
+            f"label NOT IN ({often}) AS plain "
+            "FROM b WHERE is_label WINDOW w AS (PARTITION BY conv_id ORDER BY i)), "
+            "g0 AS (SELECT n.conv_id, max(times) AS most, count(*) AS labels, bool_or(plain) AS others, NOT EXISTS (SELECT 1 FROM b WHERE "
+            "b.conv_id = n.conv_id AND b.i < min(n.i) AND NOT b.is_header AND regexp_matches(b.line, '[^ \\t\\n]')) "
+            "AS opens FROM n GROUP BY n.conv_id), "
+            "sp AS (SELECT n.conv_id, n.i FROM n JOIN g0 ON n.conv_id = g0.conv_id WHERE CASE WHEN most > 1 THEN "
+            "times > 1 OR coalesce(prev = next, false) OR (plain AND (bold OR (opens AND k = 1))) "
+            "ELSE plain OR (NOT others AND labels >= 2) END), "
+            "m AS (SELECT b.*, sp.i IS NOT NULL AS is_tag FROM b LEFT JOIN sp ON b.conv_id = sp.conv_id AND b.i = sp.i), "
             "t AS (SELECT *, sum(CASE WHEN is_tag THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY i) "
             "AS turn_no, sum(CASE WHEN is_header THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY i) "
             "AS hn FROM m), "

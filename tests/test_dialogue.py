@@ -77,3 +77,50 @@ def test_empty_and_null_dialogues(spark):
     df = spark.createDataFrame([(1, ""), (2, None), (3, "A:"), (4, "**Turn 1**")], "conv_id BIGINT, dialogue STRING")
     got = sorted((r.conv_id, r.turn_no, r.speaker, r.text) for r in split_turns(df).collect())
     assert got == [(3, 1, "A", "")]
+
+
+def test_speakers_by_the_evidence_of_the_dialogue(spark):
+    qa = "Question: a?\nAnswer: b\nQuestion: c?\nAnswer: d\nNote: e"
+    assert _turns(spark, qa) == [(1, "Question", "a?"), (2, "Answer", "b"), (3, "Question", "c?"),
+                                 (4, "Answer", "d\nNote: e")]
+    assert _turns(spark, "Question: a?\nAnswer: b") == [(1, "Question", "a?"), (2, "Answer", "b")]
+    assert _turns(spark, "Note: a") == [(0, None, "Note: a")]
+    # a label that answers, a bold one, an opening one, addresses, a stray label
+    text = ("System: go\nUser: a\nhttps://x.y\nUser: b\nhttps://x.z\nSummary: s\nAmy: c\nRemark: r\n"
+            "**Guest:** d\nUser: e")
+    assert _turns(spark, text) == [
+        (1, "System", "go"), (2, "User", "a\nhttps://x.y"), (3, "User", "b\nhttps://x.z\nSummary: s\nAmy: c\nRemark: r"),
+        (4, "Guest", "d"), (5, "User", "e")]
+    assert _turns(spark, "User: a\nBot: b\nuser: c") == [(1, "User", "a"), (2, "Bot", "b"), (3, "user", "c")]
+
+
+def test_sql_and_spark_agree_on_speakers(spark):
+    import random
+
+    import duckdb
+
+    from talkmill.plans.queries_tables import _split_sql
+    rng = random.Random(2)
+    pieces = ["A: x", "B: y", "a: z", "Note: n", "Answer: q", "**C:** w", "**Turn 2**", "plain", "", "http://u.v", "D: v"]
+    dialogues = [(i, "\n".join(rng.choice(pieces) for _ in range(rng.randrange(1, 9)))) for i in range(150)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE fixture (conv_id BIGINT, dialogue VARCHAR)")
+    con.executemany("INSERT INTO fixture VALUES (?, ?)", dialogues)
+    want = sorted(con.execute(_split_sql("SELECT * FROM fixture")).fetchall(), key=str)
+    df = spark.createDataFrame(dialogues, "conv_id BIGINT, dialogue STRING")
+    got = sorted([(r.conv_id, r.turn_no, r.header_no, r.speaker, r.text) for r in split_turns(df).collect()], key=str)
+    assert got == [tuple(w) for w in want]
+
+
+def test_long_dialogues_take_time_in_proportion(spark):
+    import time
+
+    def seconds(n):
+        text = "\n".join(f"{'A' if i % 2 else 'B'}: line {i}" for i in range(n))
+        df = spark.createDataFrame([(1, text)], "conv_id BIGINT, dialogue STRING")
+        begun = time.monotonic()
+        assert split_turns(df).count() == n
+        return time.monotonic() - begun
+    seconds(10)
+    small, large = min(seconds(4000) for _ in range(2)), seconds(32000)
+    assert large < 16 * small + 5
