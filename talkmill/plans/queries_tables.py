@@ -32,7 +32,7 @@ from talkmill.plans.tables import (attempt_ledger, corpus, dialogue_table, docum
                                    judge_scores, kept_dialogues, table)
 from talkmill.session import checkpoint_dir
 from talkmill.sources.corpus import SOURCE_FILE, SOURCE_ROW, first_n
-from talkmill.sources.inspect import column_report, corpus_profile, file_profile, sample_preview
+from talkmill.sources.inspect import column_report, file_profile, footer_profile, sample_preview
 from talkmill.sources.sinks import write_jsonl
 
 CTX = ("sample_index", "chunk_index")
@@ -591,7 +591,7 @@ def _profile_sql() -> str:
 
 @register("a8_corpus_profile", _profile_sql())
 def a8(spark, sf):
-    return corpus_profile(corpus(spark, sf))
+    return footer_profile(spark, documents_path(sf))
 
 
 @register("a8_file_profile", "SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(1 AS BIGINT) AS n_profiles FROM "

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from talkmill.operators.prefix import materialize
+from talkmill.sources.schemas import shard_schema
 
 SOURCE_FILE = "source_file"
 SOURCE_ROW = "source_row"
@@ -22,18 +23,27 @@ BROADCAST_BYTES = 64 << 20
 IN_PLACE_GROUPS = 64
 
 
+def corpus_target(path: str) -> str:
+    """What to read for a corpus path: a folder's own ``*.parquet`` files."""
+    if not any(ch in path for ch in "*?[") and not path.endswith(".parquet"):
+        return path.rstrip("/") + "/*.parquet"
+    return path
+
+
 def scan_corpus(spark: SparkSession, path: str, schema: StructType | None = None,
                 with_position: bool = True) -> DataFrame:
     """A1: read ``*.parquet`` directly inside ``path`` (or a file / glob).
 
-    Column pruning and predicate pushdown are left to Catalyst; only the
-    columns a later step uses are read. ``source_file``/``source_row`` give
+    Without ``schema`` the columns of all shards are read (``shard_schema``):
+    types are widened, a column that a shard lacks is null in its rows, and
+    types that do not go together are refused with the files' names. Column
+    pruning and predicate pushdown are left to Catalyst; only the columns a
+    later step uses are read. ``source_file``/``source_row`` give
     every row its stable position (file, row in file)."""
-    target = path
-    if not any(ch in path for ch in "*?[") and not path.endswith(".parquet"):
-        target = path.rstrip("/") + "/*.parquet"
-    reader = spark.read.schema(schema) if schema is not None else spark.read
+    target = corpus_target(path)
     try:
+        schema = schema if schema is not None else shard_schema(spark, target)
+        reader = spark.read.schema(schema) if schema is not None else spark.read
         df = reader.parquet(target)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):

@@ -2,29 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
 from talkmill.functions.text import head_tail, tokenize
-from talkmill.sources.corpus import SOURCE_FILE, SOURCE_ROW
+from talkmill.sources.corpus import SOURCE_FILE, SOURCE_ROW, corpus_target
+from talkmill.sources.schemas import shard_schema
 
 
-def corpus_profile(df: DataFrame) -> DataFrame:
-    """One row per column: name, position, type, row count and
-    non-null count over every file, in one aggregation pass."""
-    fields = [f for f in df.schema.fields if f.name not in (SOURCE_FILE, SOURCE_ROW)]
-    aggs = [F.count(F.lit(1)).alias("_rows")] + [
-        F.count(F.col(f"`{f.name}`")).alias(f"_nn{i}") for i, f in enumerate(fields)]
-    one = df.agg(*aggs)
+def _counts(df: DataFrame, fields: list) -> DataFrame:
+    """One row: rows and non-null values of each field, as ``_rows`` and
+    ``_nn<i>``."""
+    return df.agg(F.count(F.lit(1)).alias("_rows"),
+                  *[F.count(F.col(f"`{f.name}`")).alias(f"_nn{i}") for i, f in fields])
+
+
+def _profile(one: DataFrame, fields: list) -> DataFrame:
     rows = F.array(*[F.struct(F.lit(f.name).alias("column_name"),
                               F.lit(i).cast("int").alias("ordinal"),
                               F.lit(f.dataType.simpleString()).alias("spark_type"),
                               F.col(f"_nn{i}").cast("bigint").alias("n_nonnull"))
-                     for i, f in enumerate(fields)])
+                     for i, f in fields])
     return one.select(F.col("_rows").cast("bigint").alias("n_rows"), F.inline(rows))
 
 
+def corpus_profile(df: DataFrame) -> DataFrame:
+    """One row per column: name, position, type, row count and
+    non-null count over every file, in one aggregation pass."""
+    fields = list(enumerate(f for f in df.schema.fields if f.name not in (SOURCE_FILE, SOURCE_ROW)))
+    return _profile(_counts(df, fields), fields)
+
+
+def footer_profile(spark: SparkSession, path: str) -> DataFrame:
+    """A8 over a whole corpus with the row count from the parquet footers: a
+    session of its own reads parquet through the source that can push counts
+    down, so counting rows reads no data. For a single file its non-null
+    counts come from the footer too; over several files Spark looks a column
+    up by its place, which may differ from shard to shard, so there, and for
+    nested types, which have no such counts, the columns are counted in one
+    pass."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    target = corpus_target(path)
+    schema = shard_schema(own, target)
+    df = (own.read.schema(schema) if schema is not None else own.read).parquet(target)
+    fields = list(enumerate(df.schema.fields))
+    scanned = [x for x in fields if schema is not None or isinstance(x[1].dataType, (ArrayType, MapType, StructType))]
+    one = _counts(df, [x for x in fields if x not in scanned])
+    if scanned:
+        # sums are not pushed down; one row each
+        one = one.crossJoin(df.agg(*[F.coalesce(F.sum(F.col(f"`{f.name}`").isNotNull().cast("long")), F.lit(0))
+                                     .alias(f"_nn{i}") for i, f in scanned]))
+    return _profile(one, fields)
+
+
 def file_profile(df: DataFrame) -> DataFrame:
     """A8 per file: rows per parquet file (no single-file collect)."""
     return df.groupBy(F.col(SOURCE_FILE).alias("file")).agg(

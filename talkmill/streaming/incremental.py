@@ -26,6 +26,7 @@ from talkmill.plans import oracle as o
 from talkmill.plans.queries import register
 from talkmill.session import checkpoint_dir
 from talkmill.sources.corpus import SOURCE_FILE, SOURCE_ROW, non_empty
+from talkmill.sources.schemas import shard_schema
 
 STREAM_KEY = (SOURCE_FILE, SOURCE_ROW)
 
@@ -36,7 +37,8 @@ def _stream_rows(spark: SparkSession, source: str, text: str,
     """Non-empty rows of new shards with their (file, row) key. Without
     ``max_files_per_trigger`` a trigger takes every new shard (Spark's
     default); set it to bound the size of a micro-batch."""
-    schema = spark.read.option("pathGlobFilter", file_glob).parquet(source).schema
+    schema = shard_schema(spark, source, file_glob) or \
+        spark.read.option("pathGlobFilter", file_glob).parquet(source).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
