@@ -2,8 +2,8 @@
 
 Tokens are lexer pieces: ``array_join(tokens, '')`` rebuilds the text
 exactly, so a window of tokens decodes by concatenation and no vocabulary
-is needed to chunk or count. A BPE vocabulary can be plugged in through
-``talkmill.operators.vocab`` when exact model token ids are wanted.
+is needed to chunk or count. ``talkmill.operators.vocab`` gives the pieces
+of a corpus integer ids.
 """
 
 from __future__ import annotations

@@ -67,15 +67,12 @@ def g1(spark, sf):
 @register("h1_all_conversations",
           o.with_("kept") + "SELECT sample_index, chunk_index, prompt_style, conversation_tokens FROM kept")
 def h1(spark, sf):
-    """Per-style tables as they are stored after generation (one partition
-    folder per style), read one by one (partition pruning) and unioned."""
-    from talkmill.functions.styles import STYLE_NAMES
+    """Dialogues as they are stored after generation (one partition folder per
+    style), read once: the styles are those of the folders."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/by-style-{uuid.uuid4().hex}"
     (kept_dialogues(spark, sf).select(*CTX, "prompt_style", "conversation_tokens")
      .write.partitionBy("prompt_style").parquet(base))
-    stored = spark.read.parquet(base)
-    return all_conversations([stored.where(F.col("prompt_style") == s) for s in STYLE_NAMES]) \
-        .select(*CTX, "prompt_style", "conversation_tokens")
+    return all_conversations([spark.read.parquet(base)]).select(*CTX, "prompt_style", "conversation_tokens")
 
 
 @register("h2_concat_context",
@@ -531,14 +528,14 @@ def c7(spark, sf):
 
 
 @register("c8_decode_ids",
-          "SELECT doc_id, text, true AS rebuilds_text FROM documents "
-          "WHERE text IS NOT NULL AND text <> ''")
+          "SELECT doc_id, coalesce(text, '') AS text, text IS NOT NULL AS rebuilds_text FROM documents")
 def c8(spark, sf):
-    docs = table(spark, sf, "documents").where("text <> ''")
+    """All documents; a null text has no ids and comes back empty."""
+    docs = table(spark, sf, "documents")
     v = _vocab(spark, sf)
     dec = decode_ids(encode_ids(docs, v, "doc_id"), v, "doc_id")
     j = dec.join(docs.select("doc_id", F.col("text").alias("_orig")), on="doc_id", how="inner")
-    return j.select("doc_id", "text", (F.col("text") == F.col("_orig")).alias("rebuilds_text"))
+    return j.select("doc_id", "text", F.col("text").eqNullSafe(F.col("_orig")).alias("rebuilds_text"))
 
 
 NORM_SQL = ("CASE WHEN len(embedding) > 0 AND NOT list_bool_or(list_transform(embedding, "
