@@ -23,12 +23,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     none, in the one that the labelled documents teach (without labelled ones
     it stays null); those without a text or a letter go."""
     network = langid.train(docs, "doc_id", "text", "lang")
-    named = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    hidden = [f"_{i}" for i in range(len(docs.columns))]
+    own = dict(zip(docs.columns, hidden))
+    named = docs.select(*[F.col(c).alias(h) for c, h in own.items()])  # the text goes to Python once
     if network is None:
-        return langid.with_letters(named, "text").select("row.*")
-    lang = F.coalesce(F.col("row.lang"), F.col("lang_pred")).alias("lang")
-    return langid.predict(langid.with_letters(named, "text"), network, "text") \
-        .select(*[lang if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns])
+        return langid.with_letters(named, own["text"]).toDF(*docs.columns)
+    found = langid.predict(named, network, own["text"]).where(F.col("score") > 0)  # 0: no letter
+    lang = F.coalesce(F.col(own["lang"]), F.col("lang_pred"))
+    return found.select(*[(lang if c == "lang" else F.col(h)).alias(c) for c, h in own.items()])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
