@@ -8,6 +8,7 @@ memory of a task is bounded by the block size plus the longest text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,7 +61,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def sliced(batches: Iterator[pa.RecordBatch], text: str = "text",
            limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Cut batches into blocks of whole rows: (rows, bytes, offsets)."""
+    """Cut batches into blocks of whole rows: (rows, bytes, offsets). At the
+    end of the task its Python worker gives unused memory back, since it may
+    wait idle beside the workers of later stages."""
     for batch in batches:
         data, offsets = text_bytes(batch.column(text))
         start, n = 0, batch.num_rows
@@ -70,6 +73,15 @@ def sliced(batches: Iterator[pa.RecordBatch], text: str = "text",
             yield (batch.slice(start, stop - start), data[offsets[start]:offsets[stop]],
                    offsets[start:stop + 1] - offsets[start])
             start = stop
+    release_memory()
+
+
+def release_memory() -> None:
+    """Forget the powers and return freed memory to the system."""
+    POWERS.forget()
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -90,6 +102,9 @@ class Powers:
     BASE = 0x9E3779B97F4A7C15
 
     def __init__(self) -> None:
+        self.forget()
+
+    def forget(self) -> None:
         self.up = np.ones(1, np.uint64)
         self.down = np.ones(1, np.uint64)
 
@@ -103,6 +118,11 @@ class Powers:
 
 
 POWERS = Powers()
+try:  # glibc only
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim
+except (OSError, AttributeError):
+    _LIBC = None
 #: Random 64-bit value of each byte; the folded one treats A-Z as a-z.
 BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 64, 256, dtype=np.uint64)
 FOLDED_VALUES = BYTE_VALUES.copy()
