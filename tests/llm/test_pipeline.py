@@ -75,11 +75,11 @@ def test_stages_on_an_empty_table(spark, corpus):
 def test_registered():
     names = set(__spark_entry__.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert set(__spark_entry__.oracle_sql()) <= names
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in ("op6_warc", "op7_ann", "op9_topk")))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in ("op6_warc", "op7_ann", "op9_topk", "op11_phrases", "op12_whitening")))
 def test_queries_return_the_promised_columns(spark, corpus, name):
     promised = {
         "op2": ["doc_id", "n_shingles", "component_id", "kept"],
@@ -87,6 +87,7 @@ def test_queries_return_the_promised_columns(spark, corpus, name):
         "op4": ["doc_id", "held_out", "lang_pred", "score"],
         "op5": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         "op8": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+        "op13": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
         "op10": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
     }
     out = QUERIES[name](spark, corpus[0])
