@@ -10,6 +10,8 @@ each halving.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
@@ -105,5 +107,5 @@ def shard_schema(spark: SparkSession, target: str, file_glob: str | None = None)
     reader = spark.read.schema("x INT")
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
-    files = sorted(reader.parquet(target).inputFiles())
+    files = sorted(unquote(f) for f in reader.parquet(target).inputFiles())  # given percent-encoded
     return _of(spark, files) if len(files) > 1 else None
