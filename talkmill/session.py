@@ -59,12 +59,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def release_tables(spark: SparkSession) -> int:
+def tables_written() -> int:
+    """How many intermediate tables of this process are not released yet."""
+    return len(_WRITTEN)
+
+
+def release_tables(spark: SparkSession, first: int = 0, last: int | None = None) -> int:
     """Delete the intermediate tables that this process wrote; call it when
-    no result that reads them is needed any more. Returns their number."""
-    done = 0
-    while _WRITTEN:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+    no result that reads them is needed any more. ``first`` and ``last``
+    (what ``tables_written`` said before and after a step) choose the tables
+    of that step. Returns their number."""
+    done, paths = 0, _WRITTEN[first:last]
+    del _WRITTEN[first:last]
+    for name in reversed(paths):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         done += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return done
 
