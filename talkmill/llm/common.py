@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from talkmill.session import new_path
 
 BLOCK_BYTES = 2 << 20
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 MASK64 = (1 << 64) - 1
 
 
@@ -30,10 +31,17 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the files: the
-    lineage is cut, and a lost executor costs no recomputation."""
-    path = shared_path(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lineage is cut, a lost executor costs no recomputation, and the shuffle
+    files that led there are deleted when the write ends."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def id_crc(col: str = "doc_id") -> Column:
