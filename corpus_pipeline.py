@@ -16,6 +16,7 @@ from talkmill.llm.minhash import near_duplicates
 from talkmill.llm.packing import pack
 from talkmill.llm.queries import vocabulary
 from talkmill.llm.repeats import remove_repeats
+from talkmill.session import release_tables, tables_written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +37,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest document of each group of similarity 0.8 or more. Rows
     that repeat an id are one document, of which one row stays."""
-    found = written(near_duplicates(docs, "doc_id", "text", percent=80), "pipeline-groups")
+    first = tables_written()
+    groups = near_duplicates(docs, "doc_id", "text", percent=80)
+    last = tables_written()
+    found = written(groups, "pipeline-groups")
+    release_tables(spark, first, last)
     gone = found.where(~F.col("kept")).select("doc_id").distinct()
     left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     repeated = written(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
