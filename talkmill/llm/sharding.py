@@ -1,8 +1,9 @@
 """Sharding by sampled splitters (DataFrame functions only).
 
 1. Size-weighted sample of record keys: the ``samples`` smallest values of
-   ``-ln(u) / size`` with ``u`` a hash of the key in (0, 1), a bounded top-k
-   (each task keeps ``samples`` rows).
+   ``-ln(u) / size`` with ``u`` a hash of the key in (0, 1). Tasks send only
+   values below a threshold that about ``samples`` records of the whole table
+   pass, so what reaches the driver does not grow with the tasks.
 2. Quantiles of the sampled keys cut the key order into fine ranges.
 3. The exact records and bytes of every range are counted (one row per
    range). A range above ``overfull`` times the mean that holds more than
@@ -47,11 +48,14 @@ def _digits(number: Column) -> Column:
     return F.lpad(F.hex(number.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
 
 
-def _sample(keyed: DataFrame, weight: Column, n: int, salt: int) -> list[str]:
+def _sample(keyed: DataFrame, weight: Column, total: float, n: int, salt: int) -> list[str]:
     """Up to ``n`` keys drawn without replacement, likelier the larger their
-    weight: the ``n`` smallest of -ln(u) / weight, a bounded top-k."""
+    weight: the ``n`` smallest of -ln(u) / weight. ``total`` is the sum of the
+    weights: at most that many times t records are expected below t."""
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(salt), "_key"), 11) + 1) / F.lit(float((1 << 53) + 1))
-    rows = keyed.select("_key", (-F.ln(u) / weight).alias("_p")).orderBy("_p", "_key").limit(n).collect()
+    few = (n + 4 * n ** 0.5 + 16) / max(total, 1e-300)
+    rows = keyed.select("_key", (-F.ln(u) / weight).alias("_p")).where(F.col("_p") < few) \
+        .orderBy("_p", "_key").limit(n).collect()
     return sorted({r["_key"] for r in rows})
 
 
@@ -71,16 +75,18 @@ def shard(df: DataFrame, n_shards: int, size: Column, group: Column, key: str,
     together what should lie side by side. Null ids and null groups sort
     first. Rows that repeat a key wholly are kept: they fall into the same
     range, their order among themselves is by size and then undefined (they
-    are equal rows). An empty table gives an empty result. Columns that
-    begin with an underscore are reserved; columns named shard or slot are
-    replaced."""
+    are equal rows). An empty table gives an empty result. Columns named
+    shard or slot are replaced; all others are kept, whatever their names."""
     group_hash = F.when(group.isNull(), F.lit(-(1 << 63))).otherwise(F.xxhash64(group))
     number = F.when(F.col(key).isNull(), F.lit("-")).otherwise(_digits(F.col(key).cast("long")))
-    keyed = df.withColumn("_size", size.cast("long")).withColumn(
-        "_key", F.concat(_digits(group_hash), number))
+    kept = [c for c in df.columns if c not in ("shard", "slot")]
+    keyed = df.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]).alias("_row"),
+                      size.cast("long").alias("_size"), F.concat(_digits(group_hash), number).alias("_key"))
+    own_columns = [F.col("_row")[f"c{i}"].alias(c) for i, c in enumerate(kept)]
 
     n_ranges = n_shards * ranges_per_shard
-    drawn = _sample(keyed, F.col("_size"), max(samples, n_ranges), 0)
+    total = keyed.select(F.sum("_size")).first()[0] or 0
+    drawn = _sample(keyed, F.col("_size"), total, max(samples, n_ranges), 0)
     splitters = sorted({drawn[len(drawn) * k // n_ranges] for k in range(1, n_ranges)}) if drawn else []
     salt = 0
     while True:
@@ -97,7 +103,7 @@ def shard(df: DataFrame, n_shards: int, size: Column, group: Column, key: str,
         inside = ranged.where(F.col("_range").isin([r["_range"] for r in full]))
         weight = F.greatest(F.col("_size") / _per_range({r["_range"]: r["b"] for r in full}).cast("double"),
                             1 / _per_range({r["_range"]: r["n"] for r in full}).cast("double"))
-        got = _sample(inside, weight, 32 * len(full), salt)
+        got = _sample(inside, weight, len(full), 32 * len(full), salt)  # each range weighs one to two
         more = {r["hi"] for r in full}
         for r in full:
             own = [k for k in got if r["lo"] < k <= r["hi"]]
@@ -109,7 +115,7 @@ def shard(df: DataFrame, n_shards: int, size: Column, group: Column, key: str,
         before[r["_range"]] = tuple(at)
         at = [at[0] + r["b"], at[1] + r["n"]]
     if not before:
-        return df.withColumn("shard", F.lit(0)).withColumn("slot", F.lit(0).cast("long"))
+        return keyed.select(*own_columns, F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
 
     in_range = Window.partitionBy("_range").orderBy("_key", "_size").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -125,5 +131,4 @@ def shard(df: DataFrame, n_shards: int, size: Column, group: Column, key: str,
         F.count(F.lit(1)).alias("n")).collect()}
     starts = [sum(counts.get(j, 0) for j in range(k)) for k in range(n_shards)]
     first = F.get(F.split(F.lit(",".join(map(str, starts))), ","), F.col("shard")).cast("long")
-    return placed.withColumn("slot", F.col("_place") - first).select(
-        *[c for c in df.columns if c not in ("shard", "slot")], "shard", "slot")
+    return placed.select(*own_columns, "shard", (F.col("_place") - first).alias("slot"))
