@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from talkmill.llm.common import shared_path
 
 CRLF = "\r\n"
+#: Fixed value of the WARC 1.1 standard for revisits of an equal payload.
+SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def base32(hexed: Column) -> Column:
@@ -39,24 +41,35 @@ def digest(payload: Column) -> Column:
     return base32(F.sha1(payload))
 
 
+def _name(record_id: Column) -> Column:
+    return F.concat(F.lit("<urn:record:"), F.coalesce(record_id.cast("string"), F.lit("none")), F.lit(">"))
+
+
+def _utc(time: Column) -> Column:
+    return F.date_format(F.to_utc_timestamp(time, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def write_archive(records: DataFrame, path: str, record_id: str, uri: str | None, payload: Column,
-                  min_shared_bytes: int = 0) -> None:
-    """Write one WARC record per row of ``records``.
+                  min_shared_bytes: int = 0, date: Column | None = None) -> None:
+    """Write one WARC record per row of ``records``, dated by the timestamp
+    ``date`` (None, and where it is null: the time of writing).
 
     Of the records with equal payloads of at least ``min_shared_bytes``
     bytes the one with the largest ``record_id`` is the response and the
     others are revisits that refer to it; shorter payloads are responses
-    each. Null payloads count as empty, a null uri as an empty one; rows
-    with a null id have no record name and raise. Rows that repeat an id
+    each. Null payloads count as empty, a null uri as an empty one. Rows with
+    a null id are records named ``none``: revisits where a record with an id
+    has the payload, else responses. Rows that repeat an id
     with the same payload take the same role; the payload is still stored
     once. An empty table writes two empty tables."""
+    now = F.current_timestamp()
     body = F.coalesce(payload, F.lit("").cast("binary"))
     rows = records.select(
-        F.coalesce(F.col(record_id).cast("long"),
-                   F.raise_error("a WARC record needs an id").cast("long")).alias("record_id"),
+        F.col(record_id).cast("long").alias("record_id"), _name(F.col(record_id).cast("long")).alias("name"),
         (F.coalesce(F.col(uri), F.lit("")) if uri else F.lit("")).alias("uri"),
+        _utc(now if date is None else F.coalesce(date, now)).alias("date"),
         body.alias("payload")).select(
-            "record_id", "uri", "payload", digest(F.col("payload")).alias("digest"),
+            "record_id", "name", "uri", "date", "payload", digest(F.col("payload")).alias("digest"),
             F.sha2("payload", 256).alias("check"),
             F.octet_length("payload").cast("long").alias("length"))
     narrow = rows.drop("payload")
@@ -64,25 +77,26 @@ def write_archive(records: DataFrame, path: str, record_id: str, uri: str | None
     first = narrow.groupBy("digest", "check", "length").agg(F.max("record_id").alias("response_id"))
     # one stored row per payload: the rows join on their unique id, and
     # what remains of repeated rows falls in the same partition
-    stored = rows.select("record_id", "digest", "check", "payload").join(
-        first.select(F.col("response_id").alias("record_id"), "digest", "check"),
-        on=["record_id", "digest", "check"], how="left_semi") \
-        .dropDuplicates(["record_id", "digest", "check"])
+    stored = rows.select("name", "digest", "check", "payload").join(
+        first.select(_name(F.col("response_id")).alias("name"), "digest", "check"),
+        on=["name", "digest", "check"], how="left_semi") \
+        .dropDuplicates(["name", "digest", "check"])
     stored.select("digest", "check", "payload").write.option("compression", "zstd") \
         .parquet(f"{path}/payloads")
 
     headers = narrow.join(first, on=["digest", "check", "length"], how="inner")
-    is_revisit = shared & (F.col("record_id") != F.col("response_id"))
-    name = lambda c: F.concat(F.lit("<urn:record:"), c.cast("string"), F.lit(">"))
+    is_revisit = shared & ~F.col("record_id").eqNullSafe(F.col("response_id"))
     clean = F.regexp_replace("uri", r"[\r\n]+", " ")
     header = F.concat(
         F.lit("WARC/1.1" + CRLF + "WARC-Type: "),
         F.when(is_revisit, "revisit").otherwise("response"), F.lit(CRLF),
-        F.lit("WARC-Record-ID: "), name(F.col("record_id")), F.lit(CRLF),
+        F.lit("WARC-Record-ID: "), F.col("name"), F.lit(CRLF),
+        F.lit("WARC-Date: "), F.col("date"), F.lit(CRLF),
         F.lit("WARC-Target-URI: "), clean, F.lit(CRLF),
         F.lit("WARC-Payload-Digest: sha1:"), F.col("digest"), F.lit(CRLF),
         F.when(is_revisit, F.concat(
-            F.lit("WARC-Refers-To: "), name(F.col("response_id")), F.lit(CRLF))).otherwise(""),
+            F.lit("WARC-Refers-To: "), _name(F.col("response_id")), F.lit(CRLF),
+            F.lit(f"WARC-Profile: {SAME_PAYLOAD}{CRLF}"))).otherwise(""),
         F.lit("Content-Type: application/octet-stream" + CRLF),
         F.lit("Content-Length: "), F.when(is_revisit, F.lit(0)).otherwise(F.col("length")).cast("string"),
         F.lit(CRLF + CRLF))
@@ -107,18 +121,18 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         "record_id", "digest", "check", "header", field("WARC-Type").alias("record_type"),
         field("WARC-Target-URI").alias("uri"),
         field("WARC-Payload-Digest").alias("_said"),
-        F.regexp_extract("header", r"\r\nWARC-Record-ID: <urn:record:(-?\d+)>", 1).cast("long").alias("_id"),
+        field("WARC-Record-ID").alias("_name"),
         F.expr(r"try_cast(regexp_extract(header, '\r\nWARC-Refers-To: <urn:record:(-?[0-9]+)>', 1) AS BIGINT)")
         .alias("refers_to"),
         F.regexp_extract("header", r"\r\nContent-Length: (\d+)\r\n", 1).cast("long").alias("_content"))
     joined = parsed.join(stored, on=[parsed["digest"] == stored["_digest"],
                                      parsed["check"] == stored["_check"]], how="left")
     right = (F.col("_same") & F.col("_same2") & (F.col("_said") == F.concat(F.lit("sha1:"), F.col("digest")))
-             & (F.col("_id") == F.col("record_id"))
+             & (F.col("_name") == _name(F.col("record_id")))
              & (F.col("_content") == F.when(F.col("record_type") == "revisit", 0).otherwise(F.col("_length"))))
     length = F.when(F.coalesce(right, F.lit(False)), F.col("_length")).otherwise(
         F.raise_error(F.concat(F.lit("archive record does not verify: "),
-                               F.col("record_id").cast("string"))).cast("long"))
+                               _name(F.col("record_id")))).cast("long"))
     return joined.select("record_id", "record_type", "uri", "digest", length.alias("length"),
                          "refers_to", "header", "payload")
 

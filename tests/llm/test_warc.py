@@ -1,5 +1,6 @@
 import base64
 import hashlib
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,7 +61,36 @@ def test_damage_is_found(spark):
         read_records(spark, other).collect()
 
 
-def test_empty_table_and_null_id(spark):
-    assert archive_and_read(_pages(spark, []), "page_id", "url", F.col("html").cast("binary")).count() == 0
-    with pytest.raises(Exception, match="needs an id"):
-        archive_and_read(_pages(spark, [(None, "u", "x")]), "page_id", "url", F.col("html").cast("binary"))
+def test_empty_table_and_null_ids(spark):
+    body = F.col("html").cast("binary")
+    assert archive_and_read(_pages(spark, []), "page_id", "url", body).count() == 0
+    rows = archive_and_read(_pages(spark, [(None, "u", "x"), (7, "v", "x"), (None, "u", "y"), (None, "w", "y")]),
+                            "page_id", "url", body).collect()
+    assert sorted((r["uri"], r["record_id"] or 0, r["record_type"], r["refers_to"] or 0, bytes(r["payload"])) for r in rows) == [
+        ("u", 0, "response", 0, b"y"), ("u", 0, "revisit", 7, b"x"), ("v", 7, "response", 0, b"x"), ("w", 0, "response", 0, b"y")]
+
+
+def _parsed(data):
+    """One record read by the standard's rules, without this package."""
+    head, rest = data.split(b"\r\n\r\n", 1)
+    first, *lines = head.decode().split("\r\n")
+    assert first == "WARC/1.1"
+    fields = dict(line.split(": ", 1) for line in lines)
+    length = int(fields["Content-Length"])
+    assert rest[length:] == b"\r\n\r\n"
+    return fields, rest[:length]
+
+
+def test_records_hold_the_mandatory_fields(spark):
+    path = shared_path(spark, "warc-test")
+    pages = _pages(spark).withColumn("seen", F.when(F.col("page_id") < 4, F.lit("2024-05-06 07:08:09").cast("timestamp")))
+    write_archive(pages, path, "page_id", "url", F.col("html").cast("binary"), date=F.col("seen"))
+    bodies = {i: (h or "").encode() for i, _, h in PAGES}
+    for r in rebuild(spark, path).collect():
+        fields, block = _parsed(bytes(r["record"]))
+        assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= set(fields)
+        when = datetime.strptime(fields["WARC-Date"], "%Y-%m-%dT%H:%M:%SZ")
+        assert (when == datetime(2024, 5, 6, 7, 8, 9)) == (r["record_id"] < 4)
+        revisit = fields["WARC-Type"] == "revisit"
+        assert revisit == ("WARC-Profile" in fields) == ("WARC-Refers-To" in fields)
+        assert block == (b"" if revisit else bodies[r["record_id"]])
