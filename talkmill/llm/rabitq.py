@@ -102,7 +102,10 @@ def search(index: Index, queries: DataFrame, k: int, id_col: str, vec_col: str,
     def one(ids: np.ndarray, vectors: np.ndarray) -> DataFrame:
         some = vectors.any(axis=1)
         ids, vectors = ids[some], vectors[some]
-        rotated, base = (vectors @ rotation).astype(np.float32), vectors @ centre
+        rotated, base = vectors @ rotation, vectors @ centre
+        # each query by a power of two, so single precision holds any of them
+        unit = np.exp2(np.ceil(np.log2(np.maximum(np.abs(rotated).max(axis=1, initial=0), 1e-300))))
+        rotated = (rotated / unit[:, None]).astype(np.float32)
         length = np.linalg.norm(vectors, axis=1)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +128,7 @@ def search(index: Index, queries: DataFrame, k: int, id_col: str, vec_col: str,
             spread = epsilon * norm * np.sqrt(np.maximum(0, 1 - factor ** 2)) / (safe * np.sqrt(max(dim - 1, 1)))
             for start in range(0, len(ids), QUERY_ROWS):
                 rows = slice(start, start + QUERY_ROWS)
-                estimate = (rotated[rows] @ signs.T) * scale[None, :] + base[rows, None]
+                estimate = (rotated[rows] @ signs.T) * unit[rows, None] * scale[None, :] + base[rows, None]
                 # rounding of single-precision sums counts as error too
                 error = length[rows, None] * (spread + 1e-5 * norm)[None, :]
                 estimate[ids[rows, None] == own[None, :]] = -np.inf

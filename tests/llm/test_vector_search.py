@@ -91,3 +91,15 @@ def test_rotated_codes_recall_scores_and_odd_rows(spark):
     for q, pairs in got.items():
         assert [s for _, s in pairs] == pytest.approx([float(x[q].astype(float) @ x[v].astype(float)) for v, _ in pairs])
         assert pairs == sorted(pairs, key=lambda p: (-p[1], p[0]))
+
+
+def test_queries_beyond_single_precision_find_their_neighbours(spark):
+    x = np.random.default_rng(5).normal(size=(60, 8))
+    x[0] *= 1e39
+    x[20] *= 1e-42
+    df = spark.createDataFrame([(i, [float(c) for c in v], "n") for i, v in enumerate(x)],
+                               "vec_id long, embedding array<double>, code string")
+    got = _got(search(build_index(df, "vec_id", "embedding"), df.where("vec_id % 20 = 0"), 5, "vec_id", "embedding").collect())
+    want = _brute(list(range(60)), x, [0, 20, 40], 5, lambda a, b: float(a @ b))
+    for q in want:
+        assert [v for v, _ in got[q]] == [v for v, _ in want[q]]
