@@ -236,7 +236,8 @@ def _pair_tables(blocks: DataFrame, counts: np.ndarray, classes: Classes) -> tup
 def _windows(b: Slice, end: int, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(inputs, outputs, real tokens, draw) of the training windows of a
     slice: they follow each other through each training document, the last
-    one padded; the draw is a hash of the document and the place."""
+    one padded; the draw is a hash of the document's id, the text's start and
+    length, and the place, so copies have draws of their own."""
     last, nxt, counts = b.pairs(end, True)
     w = attention.WINDOW
     first = np.cumsum(counts) - counts
@@ -245,7 +246,8 @@ def _windows(b: Slice, end: int, classes: Classes) -> tuple[np.ndarray, np.ndarr
     if not len(doc):
         return np.zeros((0, w), np.int64), np.zeros((0, w), np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     j = np.arange(len(doc)) - np.repeat(np.cumsum(number) - number, number)
-    draw = mix64((nxt[first[doc]] + 7919 * counts[doc] + 104729 * j).astype(np.uint64) + np.uint64(1))
+    ids = mix64(np.array([d or 0 for d, t in zip(b.docs, b.trains) if t], np.int64).view(np.uint64))
+    draw = mix64((nxt[first[doc]] + 7919 * counts[doc] + 104729 * j).astype(np.uint64) + ids[doc])
     real = np.minimum(w, counts[doc] - j * w)
     at = (first[doc] + j * w)[:, None] + np.minimum(np.arange(w)[None, :], real[:, None] - 1)
     return classes.input[last][at], classes.output[nxt][at], real, draw
