@@ -16,7 +16,9 @@ WINDOW = 32
 HALF = WINDOW // 2
 WIDTH = 16
 HIDDEN = 32
-BLOCKS_AT_ONCE = 1024
+BLOCKS_AT_ONCE = 512
+#: Scores and logits are held to this size before exp.
+LIMIT = 60
 
 Parameters = dict[str, np.ndarray]
 
@@ -48,81 +50,120 @@ _LAG = np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :]
 _PAST = _LAG >= 0
 
 
+def _exp(scores: np.ndarray) -> np.ndarray:
+    """exp in place of scores held to +-LIMIT: no row overflows or sums to
+    nothing, so no row maximum is needed."""
+    np.clip(scores, -LIMIT, LIMIT, out=scores)
+    return np.exp(scores, out=scores)
+
+
+class Space:
+    """Arrays that every step uses again, so that steps don't wait for the
+    system to hand out and take back the same pages."""
+
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
+
+    def get(self, name: str, shape: tuple[int, ...], kind: np.dtype) -> np.ndarray:
+        old = self.held.get(name)
+        if old is None or old.shape != shape or old.dtype != kind:
+            old = self.held[name] = np.empty(shape, kind)
+        return old
+
+
+def _and_one(v: np.ndarray) -> np.ndarray:
+    """Rows with a 1 at the end: a product with them also gives the sum of weights."""
+    return np.concatenate([v, np.ones((len(v), 1), v.dtype)], axis=1)
+
+
 def gradients(p: Parameters, prior: np.ndarray, x: np.ndarray, y: np.ndarray,
-              real: np.ndarray | None = None) -> tuple[float, Parameters]:
+              real: np.ndarray | None = None, space: Space | None = None) -> tuple[float, Parameters]:
     """Mean cross-entropy (nats) of windows x -> y, both (n, WINDOW), and its
     gradients. ``real``: the tokens at the start of each window that count
     (None: all); what pads a window behind them has no effect."""
+    kind, shape = p["embed"].dtype, x.shape
     n = x.size if real is None else int(real.sum())
-    padded = None if n == x.size else np.arange(x.shape[1])[None, :] >= real[:, None]
-    flat2 = lambda t: t.reshape(-1, t.shape[-1])
-    e = p["embed"][x.ravel()]
-    scale = np.float32(1 / np.sqrt(WIDTH))
-    joint = np.concatenate([p["q"] * scale, p["k"], p["v"], p["own"]], axis=1)
-    from_e = (e @ joint).reshape(*x.shape, -1)
-    q, k, v, own = np.split(from_e, [WIDTH, 2 * WIDTH, 3 * WIDTH], axis=2)
-    a = q @ k.transpose(0, 2, 1)
-    a += np.where(_PAST, p["far"][np.maximum(_LAG, 0)], np.float32(-1e9))
-    a -= a.max(axis=2, keepdims=True)
-    np.exp(a, out=a)
-    a /= a.sum(axis=2, keepdims=True)
-    z = flat2(a @ v)
-    h = z @ p["seen"]
-    h += flat2(own)
+    padded = None if n == x.size else np.flatnonzero(np.arange(shape[1])[None, :] >= real[:, None])
+    classes, goal = x.ravel(), y.ravel()
+    space = space or Space()
+    buffer = lambda name, *size: space.get(name, size, kind)
+    tokens, outputs, length = len(classes), len(p["bias"]), shape[1]
+    windowed = lambda t: t.reshape(*shape, -1)
+    e = p["embed"].take(classes, axis=0)
+    scale = kind.type(1 / np.sqrt(WIDTH))
+    q, k = windowed(e @ (p["q"] * scale)), windowed(e @ p["k"])
+    v = windowed(_and_one(e @ p["v"]))
+    a = np.matmul(q, k.transpose(0, 2, 1), out=buffer("a", len(x), length, length))
+    a += p["far"][np.maximum(_LAG, 0)]
+    _exp(a)
+    a *= _PAST.astype(kind)
+    z = (a @ v).reshape(-1, WIDTH + 1)
+    over_a = 1 / z[:, WIDTH:]  # a itself stays undivided
+    z = z[:, :WIDTH] * over_a
+    h = np.matmul(e, p["own"], out=buffer("h", tokens, HIDDEN))
+    h += np.matmul(z, p["seen"], out=buffer("from_seen", tokens, HIDDEN))
     h += p["hidden"]
     np.maximum(h, 0, out=h)
-    o = h @ p["out"]
-    o += p["bias"]
-    o += prior[x.ravel()]
-    o -= o.max(axis=1, keepdims=True)
-    np.exp(o, out=o)
-    o /= o.sum(axis=1, keepdims=True)
-    at, goal = np.arange(len(o)), y.ravel()
-    hit = o[at, goal]
-    logs = np.log(np.maximum(hit, 1e-30))
-    loss = float(-(logs.sum() if padded is None else logs[~padded.ravel()].sum()) / n)
-
-    d_o = o
-    d_o[at, goal] = hit - 1
+    o = np.matmul(h, p["out"], out=buffer("o", tokens, outputs))
+    o += np.take(prior + p["bias"], classes, axis=0, out=buffer("prior", tokens, outputs), mode="clip")
+    _exp(o)
+    total = o @ np.ones(o.shape[1], kind)
+    at = np.arange(len(o)) * o.shape[1] + goal
+    logs = np.log(o.take(at)) - np.log(total)
+    share = 1 / (total * kind.type(n))
     if padded is not None:
-        d_o[padded.ravel()] = 0
-    d_o /= n
-    g = {"out": h.T @ d_o, "bias": d_o.sum(axis=0)}
-    d_pre = d_o @ p["out"].T
-    d_pre *= h > 0
-    g["seen"], g["hidden"] = z.T @ d_pre, d_pre.sum(axis=0)
-    d_z = (d_pre @ p["seen"].T).reshape(*x.shape, -1)
-    d_s = d_z @ v.transpose(0, 2, 1)
-    d_v = a.transpose(0, 2, 1) @ d_z
-    d_s -= (d_s * a).sum(axis=2, keepdims=True)
+        share[padded], logs[padded] = 0, 0
+    loss = float(-logs.sum() / n)
+
+    o *= share[:, None]
+    counted = np.full(len(o), 1 / n, kind)
+    if padded is not None:
+        counted[padded] = 0
+    o.ravel()[at] -= counted  # the gradient of the logits
+    g = {"out": h.T @ o, "bias": np.ones(len(o), kind) @ o}
+    d_pre = np.matmul(o, p["out"].T, out=buffer("d_pre", tokens, HIDDEN))
+    np.multiply(d_pre, h > 0, out=d_pre)
+    g["own"], g["seen"], g["hidden"] = e.T @ d_pre, z.T @ d_pre, np.ones(len(o), kind) @ d_pre
+    d_z = d_pre @ p["seen"].T
+    mean = np.einsum("ij,ij->i", d_z, z)[:, None] * over_a
+    d_z *= over_a
+    d_z = windowed(d_z)
+    d_s = np.matmul(d_z, v[:, :, :WIDTH].transpose(0, 2, 1), out=buffer("d_s", len(x), length, length))
+    d_s -= windowed(mean)
     d_s *= a
+    d_v = (a.transpose(0, 2, 1) @ d_z).reshape(-1, WIDTH)
     by_lag = d_s.sum(axis=0)
-    g["far"] = np.bincount(_LAG[_PAST], by_lag[_PAST], minlength=WINDOW).astype(np.float32)
-    d_joint = np.concatenate([flat2(d_s @ k), flat2(d_s.transpose(0, 2, 1) @ q), flat2(d_v), d_pre], axis=1)
-    g["q"], g["k"], g["v"], g["own"] = np.split(e.T @ d_joint, [WIDTH, 2 * WIDTH, 3 * WIDTH], axis=1)
-    g["q"] = g["q"] * scale
-    d_e = d_joint @ joint.T
-    flat_x, flat_d = x.ravel(), d_e
-    g["embed"] = np.stack([np.bincount(flat_x, flat_d[:, i], minlength=len(p["embed"]))
-                           for i in range(WIDTH)], axis=1).astype(np.float32)
+    g["far"] = np.bincount(_LAG[_PAST], by_lag[_PAST], minlength=WINDOW).astype(kind)
+    d_q, d_k = (d_s @ k).reshape(-1, WIDTH), (d_s.transpose(0, 2, 1) @ q).reshape(-1, WIDTH)
+    g["q"], g["k"], g["v"] = (e.T @ d_q) * scale, e.T @ d_k, e.T @ d_v
+    d_e = d_pre @ p["own"].T
+    for d, w in ((d_q, p["q"] * scale), (d_k, p["k"]), (d_v, p["v"])):
+        d_e += d @ w.T
+    cells = np.add(classes[:, None] * WIDTH, np.arange(WIDTH), out=space.get("cells", (tokens, WIDTH), np.dtype(int)))
+    g["embed"] = np.bincount(cells.ravel(), d_e.ravel(), minlength=p["embed"].size).reshape(-1, WIDTH).astype(kind)
     return loss, g
 
 
 class Adam:
+    """Adam over all parameters as one vector; ``p`` holds views of it."""
+
     def __init__(self, p: Parameters, prior: np.ndarray, rate: float) -> None:
-        self.prior = prior
-        self.p, self.rate, self.t = {k: v.copy() for k, v in p.items()}, rate, 0
-        self.m = {k: np.zeros_like(v) for k, v in p.items()}
-        self.s = {k: np.zeros_like(v) for k, v in p.items()}
+        self.prior, self.rate, self.t, self.names = prior, rate, 0, sorted(p)
+        self.all = np.concatenate([p[k].ravel() for k in self.names])
+        at = np.cumsum([p[k].size for k in self.names])[:-1]
+        self.p = {k: v.reshape(p[k].shape) for k, v in zip(self.names, np.split(self.all, at))}
+        self.m, self.s, self.space = np.zeros_like(self.all), np.zeros_like(self.all), Space()
 
     def step(self, x: np.ndarray, y: np.ndarray, real: np.ndarray | None = None) -> float:
-        loss, g = gradients(self.p, self.prior, x, y, real)
+        loss, g = gradients(self.p, self.prior, x, y, real, self.space)
+        d = np.concatenate([g[k].ravel() for k in self.names])
         self.t += 1
-        for k, d in g.items():
-            self.m[k] += 0.1 * (d - self.m[k])
-            self.s[k] += 0.01 * (d * d - self.s[k])
-            self.p[k] -= self.rate * (self.m[k] / (1 - 0.9 ** self.t)) / (
-                np.sqrt(self.s[k] / (1 - 0.99 ** self.t)) + 1e-8)
+        self.m += 0.1 * (d - self.m)
+        d *= d
+        self.s += 0.01 * (d - self.s)
+        size = np.sqrt(self.s / (1 - 0.99 ** self.t))
+        size += 1e-8
+        self.all -= self.rate / (1 - 0.9 ** self.t) * self.m / size
         return loss
 
 
@@ -134,11 +175,13 @@ class Scorer:
     def __init__(self, p: Parameters, prior: np.ndarray) -> None:
         self.prior = prior + p["bias"]
         e = p["embed"]
-        self.q, self.k, self.v = e @ p["q"] * np.float32(1 / np.sqrt(WIDTH)), e @ p["k"], e @ p["v"]
+        self.q, self.k = e @ p["q"] * np.float32(1 / np.sqrt(WIDTH)), e @ p["k"]
+        self.v = _and_one(e @ p["v"])
         self.own, self.p = e @ p["own"] + p["hidden"], p
         lag = HALF + np.arange(HALF)[:, None] - np.arange(WINDOW)[None, :]
-        self.far = np.where(lag >= 0, p["far"][np.maximum(lag, 0)], np.float32(-1e9)).astype(np.float32)
-        self.far_first = np.where(np.arange(WINDOW)[None, :] >= HALF, self.far, np.float32(-1e9))
+        self.far = p["far"][np.maximum(lag, 0)]
+        self.seen = (lag >= 0).astype(np.float32)
+        self.seen_first = self.seen * (np.arange(WINDOW) >= HALF)
 
     def log_probabilities(self, x: np.ndarray, y: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Natural log-probability of each output class in ``y`` after the
@@ -159,15 +202,20 @@ class Scorer:
             own = grid[part]
             before = np.concatenate([grid[at - 1:at] if at else own[:1] * 0, own[:-1]])
             keys = np.concatenate([before, own], axis=1)
-            s = self.q[own] @ self.k[keys].transpose(0, 2, 1)
-            s += np.where(starts[part][:, None, None], self.far_first, self.far)
-            np.exp(np.minimum(s, 60, out=s), out=s)
-            z = (s @ self.v[keys]) / s.sum(axis=2, keepdims=True)
-            h = np.maximum(self.own[own] + z @ self.p["seen"], 0)
+            s = self.q.take(own, axis=0) @ self.k.take(keys, axis=0).transpose(0, 2, 1)
+            s += self.far
+            _exp(s)
+            s *= self.seen
+            begin = starts[part]
+            s[begin] *= self.seen_first
+            z = (s @ self.v.take(keys, axis=0)).reshape(-1, WIDTH + 1)
+            h = (z[:, :WIDTH] / z[:, WIDTH:]) @ self.p["seen"]
+            classes = own.ravel()
+            h += self.own.take(classes, axis=0)
+            np.maximum(h, 0, out=h)
             o = h @ self.p["out"]
-            o += self.prior[own]
-            hit = np.take_along_axis(o, goal[part][:, :, None], axis=2)[:, :, 0]
-            top = o.max(axis=2)
-            o -= top[:, :, None]
-            out[part] = hit - top - np.log(np.exp(o, out=o).sum(axis=2))
+            o += self.prior.take(classes, axis=0)
+            _exp(o)
+            hit = o.take(np.arange(len(o)) * o.shape[1] + goal[part].ravel())
+            out[part] = (np.log(hit) - np.log(o @ np.ones(o.shape[1], o.dtype))).reshape(own.shape)
         return out.ravel()[place]
