@@ -16,7 +16,7 @@ WINDOW = 32
 HALF = WINDOW // 2
 WIDTH = 16
 HIDDEN = 32
-BLOCKS_AT_ONCE = 512
+BLOCKS_AT_ONCE = 256
 #: Scores and logits are held to this size before exp.
 LIMIT = 60
 
@@ -182,6 +182,7 @@ class Scorer:
         self.far = p["far"][np.maximum(lag, 0)]
         self.seen = (lag >= 0).astype(np.float32)
         self.seen_first = self.seen * (np.arange(WINDOW) >= HALF)
+        self.space = Space()
 
     def log_probabilities(self, x: np.ndarray, y: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Natural log-probability of each output class in ``y`` after the
@@ -202,19 +203,22 @@ class Scorer:
             own = grid[part]
             before = np.concatenate([grid[at - 1:at] if at else own[:1] * 0, own[:-1]])
             keys = np.concatenate([before, own], axis=1)
-            s = self.q.take(own, axis=0) @ self.k.take(keys, axis=0).transpose(0, 2, 1)
+            classes, n = own.ravel(), len(own)
+            buffer = lambda name, *size: self.space.get(name, size, out.dtype)
+            k = np.take(self.k, keys, axis=0, out=buffer("k", n, WINDOW, WIDTH), mode="clip")
+            v = np.take(self.v, keys, axis=0, out=buffer("v", n, WINDOW, WIDTH + 1), mode="clip")
+            s = np.matmul(self.q.take(own, axis=0), k.transpose(0, 2, 1), out=buffer("s", n, HALF, WINDOW))
             s += self.far
             _exp(s)
             s *= self.seen
             begin = starts[part]
             s[begin] *= self.seen_first
-            z = (s @ self.v.take(keys, axis=0)).reshape(-1, WIDTH + 1)
-            h = (z[:, :WIDTH] / z[:, WIDTH:]) @ self.p["seen"]
-            classes = own.ravel()
-            h += self.own.take(classes, axis=0)
+            z = (s @ v).reshape(-1, WIDTH + 1)
+            h = np.matmul(z[:, :WIDTH] / z[:, WIDTH:], self.p["seen"], out=buffer("h", n * HALF, HIDDEN))
+            h += np.take(self.own, classes, axis=0, out=buffer("own", n * HALF, HIDDEN), mode="clip")
             np.maximum(h, 0, out=h)
-            o = h @ self.p["out"]
-            o += self.prior.take(classes, axis=0)
+            o = np.matmul(h, self.p["out"], out=buffer("o", n * HALF, self.prior.shape[1]))
+            o += np.take(self.prior, classes, axis=0, out=buffer("prior", *o.shape), mode="clip")
             _exp(o)
             hit = o.take(np.arange(len(o)) * o.shape[1] + goal[part].ravel())
             out[part] = (np.log(hit) - np.log(o @ np.ones(o.shape[1], o.dtype))).reshape(own.shape)
