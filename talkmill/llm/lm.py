@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkmill.llm import attention
-from talkmill.llm.common import mix64, sliced, word_hashes, written
+from talkmill.llm.common import mix64, release_memory, sliced, word_hashes, written
 from talkmill.llm.subwords import BytePairEncoder
 
 INPUTS = 1024  # classes of past tokens: the commonest tokens one each, the rest together
@@ -149,10 +149,13 @@ def _slices(part: pa.RecordBatch, row: int) -> Iterator[Slice]:
 
 
 def _each(run: Callable[[Slice], None], batches: Iterator[pa.RecordBatch]) -> None:
+    """Work through the slices; at the end of the task its Python worker
+    gives unused memory back, since it may wait idle beside later ones."""
     for batch in batches:
         for row in range(batch.num_rows):
             for part in _slices(batch, row):
                 run(part)
+    release_memory()
 
 
 _CONTENT = ("docs", "trains", "sizes", "slices", "ids")
@@ -196,10 +199,51 @@ class Classes:
         self.used[order[:int((counts > 0).sum())]] = np.arange(int((counts > 0).sum()))
 
 
-def _pair_tables(blocks: DataFrame, counts: np.ndarray, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
-    """log10 probability of a token (column) within its class after a last
-    token of a class (row), at most INPUTS times the vocabulary, and the
-    natural log-probability of the output class after it."""
+class PairTable:
+    """log10 probability of a token within its class after a last token of
+    an input class. Only pairs that occur are held, sorted: a pair that does
+    not occur has the token's own probability, less what the pairs of its
+    row and class take."""
+
+    def __init__(self, counts: np.ndarray, classes: Classes, keys: np.ndarray, times: np.ndarray) -> None:
+        """``keys``: input class * columns + column, sorted; columns are
+        those of ``classes.used``."""
+        self.columns = int((counts > 0).sum()) + 1
+        of_class = np.bincount(classes.output, counts, minlength=OUTPUTS)
+        members = np.bincount(classes.output, minlength=OUTPUTS)
+        self.output = np.zeros(self.columns, np.int64)  # unseen tokens are in the last class
+        alone = np.zeros(self.columns)
+        self.output[classes.used] = classes.output
+        alone[classes.used] = ((counts + 0.01) / (of_class + 0.01 * members)[classes.output])
+        row, column = np.divmod(keys, self.columns)
+        in_class = np.bincount(row * OUTPUTS + self.output[column], times, minlength=INPUTS * OUTPUTS)
+        in_class = in_class.reshape(INPUTS, OUTPUTS)
+        alone_class = (of_class + 0.5) / (of_class + 0.5).sum()
+        #: Natural log-probability of the output class after the input class.
+        self.prior = np.log((in_class + SMOOTH * alone_class)
+                            / (in_class.sum(axis=1, keepdims=True) + SMOOTH)).astype(np.float32)
+        self.keys = keys.astype(np.int32)
+        self.gain = np.log10(1 + times / (SMOOTH * alone[column])).astype(np.float32)
+        self.alone = np.log10(np.maximum(SMOOTH * alone, 1e-300)).astype(np.float32)
+        self.total = np.log10(in_class + SMOOTH).astype(np.float32)
+
+    def log10(self, row: np.ndarray, column: np.ndarray) -> np.ndarray:
+        out = self.alone[column] - self.total[row, self.output[column]]
+        if not len(self.keys):
+            return out
+        bits = max(1, int(len(row)).bit_length())
+        asked = ((row * self.columns + column) << bits) | np.arange(len(row))
+        asked.sort()  # in the order of the keys the search stays in the cache
+        key, place = asked >> bits, asked & ((1 << bits) - 1)
+        at = np.minimum(np.searchsorted(self.keys, key.astype(np.int32)), len(self.keys) - 1)
+        hit = np.flatnonzero(self.keys[at] == key)
+        out[place[hit]] += self.gain[at[hit]]
+        return out
+
+
+def _pair_table(blocks: DataFrame, counts: np.ndarray, classes: Classes) -> PairTable:
+    """The pairs of all training tokens: at most INPUTS times the vocabulary
+    of them, 12 bytes each on their way to the driver."""
     end, n_used = len(counts) - 1, int((counts > 0).sum())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,25 +256,14 @@ def _pair_tables(blocks: DataFrame, counts: np.ndarray, classes: Classes) -> tup
 
         _each(add, batches)
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some].astype(np.int64))], names=["i", "n"])
-
-    rows = blocks.select(*_CONTENT).mapInArrow(count, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()
-    pairs = np.zeros(INPUTS * (n_used + 1))
-    pairs[rows["i"].to_numpy(np.int64)] = rows["n"].to_numpy()
-    pairs = pairs.reshape(INPUTS, n_used + 1)
-    of_class = np.bincount(classes.output, counts, minlength=OUTPUTS)
-    members = np.bincount(classes.output, minlength=OUTPUTS)
-    column = np.zeros(n_used + 1, np.int64)  # class of each column; unseen tokens are in the last class
-    alone = np.zeros(n_used + 1)
-    p = (counts + 0.01) / (of_class + 0.01 * members)[classes.output]
-    column[classes.used], alone[classes.used] = classes.output, p
-    in_class = np.zeros((INPUTS, OUTPUTS))
-    for k in range(OUTPUTS):
-        in_class[:, k] = pairs[:, column == k].sum(axis=1)
-    alone_class = (of_class + 0.5) / (of_class + 0.5).sum()
-    prior = np.log((in_class + SMOOTH * alone_class) / (in_class.sum(axis=1, keepdims=True) + SMOOTH))
-    table = np.log10((pairs + SMOOTH * alone) / (in_class[:, column] + SMOOTH))
-    return table.astype(np.float32), prior.astype(np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some].astype(np.int64))],
+                                         names=["i", "n"])
+
+    rows = blocks.select(*_CONTENT).mapInArrow(count, "i int, n long").groupBy("i") \
+        .agg(F.sum("n").alias("n")).toArrow()
+    keys, times = rows.column("i").to_numpy(), rows.column("n").to_numpy()
+    order = np.argsort(keys, kind="stable")
+    return PairTable(counts, classes, keys[order], times[order])
 
 
 def _windows(b: Slice, end: int, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -355,14 +388,14 @@ def score(docs: DataFrame, id_col: str, text_col: str, trains: Column, tokenizer
     words = _word_counts(blocks)
     counts = _token_counts(blocks, size)
     classes = Classes(counts)
-    table, prior = _pair_tables(blocks, counts, classes)
-    params = _train(blocks, size, classes, prior)
+    table = _pair_table(blocks, counts, classes)
+    params = _train(blocks, size, classes, table.prior)
 
     n_ends = int(counts[size])
     known = blocks.agg(F.sum("words")).first()[0] or 0
     distinct = words.where("block < 0").agg(F.sum("n")).first()[0] or 0
     n_train, vocabulary = known + n_ends, distinct + (n_ends > 0)
-    model = docs.sparkSession.sparkContext.broadcast((params, classes, table, prior))
+    model = docs.sparkSession.sparkContext.broadcast((params, classes, table))
     base = np.log10(n_train + vocabulary + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,8 +403,8 @@ def score(docs: DataFrame, id_col: str, text_col: str, trains: Column, tokenizer
         pieces = [encoder.bytes_of.get(i, b"") for i in range(size)]
         piece_at = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
         piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
-        params, classes, table, prior = model.value
-        scorer = attention.Scorer(params, prior)
+        params, classes, table = model.value
+        scorer = attention.Scorer(params, table.prior)
 
         def text_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             sizes = np.diff(piece_at)[ids]
@@ -383,7 +416,7 @@ def score(docs: DataFrame, id_col: str, text_col: str, trains: Column, tokenizer
             seen = np.concatenate([[0], np.cumsum(times > 0)])
             last, nxt, sizes = b.pairs(size, False)
             logs = scorer.log_probabilities(classes.input[last], classes.output[nxt], sizes).astype(np.float64)
-            logs = logs / np.log(10) + table[classes.input[last], classes.used[nxt]]
+            logs = logs / np.log(10) + table.log10(classes.input[last], classes.used[nxt])
             upto, stops = np.concatenate([[0], np.cumsum(logs)]), np.cumsum(sizes)
             return pa.RecordBatch.from_arrays(
                 [pa.array(b.docs, pa.int64()), pa.array(b.trains), pa.array(np.diff(at) + 1),

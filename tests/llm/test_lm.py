@@ -72,11 +72,43 @@ def test_in_class_probabilities_sum_to_one(spark, bpe):
     blocks = lm._blocks(docs, bpe, 12)
     counts = lm._token_counts(blocks, 50257)
     classes = lm.Classes(counts)
-    table, prior = lm._pair_tables(blocks, counts, classes)
-    assert np.exp(prior.astype(float)).sum(axis=1) == pytest.approx(np.ones(lm.INPUTS), rel=1e-4)
-    p = 10.0 ** table.astype(float)[:, classes.used]
-    for k in set(classes.output):
-        assert p[:, classes.output == k].sum(axis=1) == pytest.approx(np.ones(lm.INPUTS), rel=1e-4)
+    table = lm._pair_table(blocks, counts, classes)
+    assert np.exp(table.prior.astype(float)).sum(axis=1) == pytest.approx(np.ones(lm.INPUTS), rel=1e-4)
+    held = set()
+    for row in range(lm.INPUTS):
+        p = 10.0 ** table.log10(np.full(len(counts), row), classes.used).astype(float)
+        sums = np.bincount(classes.output, p, minlength=lm.OUTPUTS)
+        assert sums[sorted(set(classes.output))] == pytest.approx(np.ones(len(set(classes.output))), rel=1e-4)
+        held.update(np.flatnonzero(p > 0.9).tolist())
+    assert len(held) > 4  # what always follows is likely
+
+
+def test_pair_table_equals_a_dense_one():
+    rng = np.random.default_rng(6)
+    counts = np.append(rng.integers(0, 50, 300) * (rng.random(300) < 0.7), 30)
+    classes = lm.Classes(counts)
+    columns = int((counts > 0).sum()) + 1
+    keys = np.sort(rng.choice(lm.INPUTS * columns, 20000, replace=False))
+    times = rng.integers(1, 100, len(keys))
+    table = lm.PairTable(counts, classes, keys, times)
+    pairs = np.zeros(lm.INPUTS * columns)
+    pairs[keys] = times
+    pairs = pairs.reshape(lm.INPUTS, columns)
+    of_class = np.bincount(classes.output, counts, minlength=lm.OUTPUTS)
+    members = np.bincount(classes.output, minlength=lm.OUTPUTS)
+    row, token = rng.integers(0, lm.INPUTS, 5000), rng.integers(0, len(counts), 5000)
+    got = table.log10(row, classes.used[token])
+    seen = {c: k for c, k in zip(classes.used, classes.output)}
+    of_column = np.array([seen.get(c, lm.OUTPUTS - 1) for c in range(columns)])
+    for r, t, value in zip(row[:500], token[:500], got):
+        k = classes.output[t]
+        alone = (counts[t] + 0.01) / (of_class[k] + 0.01 * members[k])
+        if not counts[t]:  # unseen tokens share a column, and one probability
+            k = of_column[classes.used[t]]
+            alone = 0.01 / (of_class[k] + 0.01 * members[k])
+        total = pairs[r, of_column == k].sum()
+        want = np.log10((pairs[r, classes.used[t]] + lm.SMOOTH * alone) / (total + lm.SMOOTH))
+        assert value == pytest.approx(want, abs=1e-4)
 
 
 def test_scoring_equals_the_training_pass():
@@ -172,8 +204,8 @@ def test_short_texts_train_the_attention(spark, bpe):
     blocks = lm._blocks(docs, bpe, 12)
     counts = lm._token_counts(blocks, 50257)
     classes = lm.Classes(counts)
-    _, prior = lm._pair_tables(blocks, counts, classes)
-    params = lm._train(blocks, 50257, classes, prior)
+    table = lm._pair_table(blocks, counts, classes)
+    params = lm._train(blocks, 50257, classes, table.prior)
     start = attention.initial(lm.INPUTS, lm.OUTPUTS)
     assert not np.array_equal(params["out"], start["out"])
     assert all(np.isfinite(v).all() for v in params.values())
