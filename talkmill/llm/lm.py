@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkmill.llm import attention
-from talkmill.llm.common import mix64, release_memory, sliced, word_hashes, written
+from talkmill.llm.common import MASK64, mix64, release_memory, sliced, word_hashes, written
 from talkmill.llm.subwords import BytePairEncoder
 
 INPUTS = 1024  # classes of past tokens: the commonest tokens one each, the rest together
@@ -286,15 +286,23 @@ def _windows(b: Slice, end: int, classes: Classes) -> tuple[np.ndarray, np.ndarr
     return classes.input[last][at], classes.output[nxt][at], real, draw
 
 
-def _train(blocks: DataFrame, end: int, classes: Classes, prior: np.ndarray) -> attention.Parameters:
-    start = attention.initial(INPUTS, OUTPUTS)
+def _warm_up_draws(counts: np.ndarray) -> np.uint64:
+    """Windows with a draw up to this are two to four times WARM_UP, or all
+    if they are fewer, however many tasks there are."""
+    least = max(int(counts.sum()) // attention.WINDOW, int(counts[-1]), 1)
+    return np.uint64(min(MASK64, 2 * WARM_UP * (MASK64 + 1) // least))
+
+
+def _train(blocks: DataFrame, counts: np.ndarray, classes: Classes, prior: np.ndarray) -> attention.Parameters:
+    start, end, upto = attention.initial(INPUTS, OUTPUTS), len(counts) - 1, _warm_up_draws(counts)
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple] = []
 
         def add(b: Slice) -> None:
             x, y, real, draw = _windows(b, end, classes)
-            some = np.argsort(draw, kind="stable")[:WARM_UP]
+            some = np.flatnonzero(draw <= upto)
+            some = some[np.argsort(draw[some], kind="stable")[:WARM_UP]]
             xyn = np.concatenate([x[some], y[some], real[some, None]], axis=1).astype(np.int16)
             kept.extend((int(d) >> 1, row.tobytes()) for d, row in zip(draw[some], xyn))
             kept.sort()
@@ -389,7 +397,7 @@ def score(docs: DataFrame, id_col: str, text_col: str, trains: Column, tokenizer
     counts = _token_counts(blocks, size)
     classes = Classes(counts)
     table = _pair_table(blocks, counts, classes)
-    params = _train(blocks, size, classes, table.prior)
+    params = _train(blocks, counts, classes, table.prior)
 
     n_ends = int(counts[size])
     known = blocks.agg(F.sum("words")).first()[0] or 0

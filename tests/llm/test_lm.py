@@ -205,7 +205,16 @@ def test_short_texts_train_the_attention(spark, bpe):
     counts = lm._token_counts(blocks, 50257)
     classes = lm.Classes(counts)
     table = lm._pair_table(blocks, counts, classes)
-    params = lm._train(blocks, 50257, classes, table.prior)
+    params = lm._train(blocks, counts, classes, table.prior)
     start = attention.initial(lm.INPUTS, lm.OUTPUTS)
     assert not np.array_equal(params["out"], start["out"])
     assert all(np.isfinite(v).all() for v in params.values())
+
+
+def test_warm_up_draws_leave_a_bounded_number_of_windows():
+    rng = np.random.default_rng(8)
+    for sizes in (np.full(100_000, 3), np.full(20_000, 1000), rng.integers(1, 5, 10)):
+        windows = int((-(-sizes // attention.WINDOW)).sum())
+        upto = lm._warm_up_draws(np.array([sizes.sum() - len(sizes), len(sizes)]))
+        kept = int((rng.integers(0, 1 << 64, windows, dtype=np.uint64) <= upto).sum())
+        assert min(windows, lm.WARM_UP) <= kept <= 4.5 * lm.WARM_UP
