@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkmill.llm.common import sliced
+from talkmill.llm.common import sliced, written
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -30,9 +30,12 @@ EMBEDDING = 8
 TRAIN_DOCS = 400
 TRAIN_WINDOWS = 8
 EPOCHS = 8
-#: Distinct languages pass through the driver, so their number is checked.
-MAX_LANGUAGES = 1000
+#: Training documents of all languages together, shared evenly where the
+#: languages are many; each has one at least.
+SAMPLE_DOCS = 100_000
 WINDOWS_AT_ONCE = 512
+#: Sums of a text and language that are held at once.
+SUMS_AT_ONCE = 1 << 22
 UNDETERMINED = "und"
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -135,23 +138,24 @@ class Network:
 
 
 def train(labelled: DataFrame, id_col: str, text_col: str, lang_col: str,
-          train_docs: int = TRAIN_DOCS, train_windows: int = TRAIN_WINDOWS) -> Network | None:
+          train_docs: int = TRAIN_DOCS, train_windows: int = TRAIN_WINDOWS,
+          sample_docs: int = SAMPLE_DOCS) -> Network | None:
     """Fit a network on a sample of rows with a text and a language: up to
-    ``train_docs`` documents a language, drawn by a hash of the id, and
-    ``train_windows`` evenly spaced windows of each. None without such rows."""
+    ``train_docs`` documents a language, drawn by a hash of the id (fewer, but
+    at least one, where all languages together would pass ``sample_docs``),
+    and ``train_windows`` evenly spaced windows of each. Any number of
+    languages is learnt. None without such rows."""
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"),
                            F.col(lang_col).cast("string").alias("lang")) \
         .where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not counts:
+    counts = written(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    languages = sorted(r["lang"] for r in counts.select("lang").collect())  # the outputs of the network
+    if not languages:
         return None
+    number = {lang: i for i, lang in enumerate(languages)}
+    train_docs = min(train_docs, max(1, sample_docs // len(languages)))
     draw = F.shiftrightunsigned(F.xxhash64(F.lit("language sample"), "id"), 11) / F.lit(float(1 << 53))
-    rate = F.element_at(F.create_map(*[F.lit(x) for lang, n in counts.items()
-                                       for x in (lang, min(1.0, 2.0 * train_docs / n))]), F.col("lang"))
-    drawn = rows.withColumn("draw", draw).where(F.col("draw") < rate)
+    drawn = rows.join(counts, "lang").withColumn("draw", draw).where(F.col("draw") * F.col("n") < 2.0 * train_docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in sliced(batches):
@@ -168,13 +172,12 @@ def train(labelled: DataFrame, id_col: str, text_col: str, lang_col: str,
 
     got = sorted(tuple(r) for r in drawn.select("text", "lang", "draw", "id").mapInArrow(
         cut, "lang string, draw double, id string, number int, bytes binary").collect())
-    languages = sorted(counts)
     x, y, seen = [], [], {}
     for lang, d, key, _, data in got:
         docs = seen.setdefault(lang, {})
         if docs.setdefault((d, key), len(docs)) < train_docs:
             x.append(np.frombuffer(bytes(data).ljust(WINDOW, b"\0"), np.uint8))
-            y.append(languages.index(lang))
+            y.append(number[lang])
     network = Network(languages)
     if x:
         network.fit(_FOLD[np.array(x).T], np.array(y))
@@ -224,14 +227,21 @@ def _classify(network: Network | None, data: np.ndarray, offsets: np.ndarray,
     letters = _has_letter(data, offsets, texts)
     if network is None:
         return [UNDETERMINED] * n, np.zeros(n)
+    best, score = np.zeros(n, np.int64), np.zeros(n)
     first, sizes, text = windows(data, offsets)
-    total = np.zeros((n, len(network.languages)))
-    for at in range(0, len(first), WINDOWS_AT_ONCE):
-        part = slice(at, at + WINDOWS_AT_ONCE)
-        logs = network.log_probabilities(window_bytes(data, first[part], sizes[part]))
-        np.add.at(total, text[part], logs * sizes[part, None])
-    mean = np.exp(total / np.maximum(1, np.diff(offsets))[:, None])
-    mean /= mean.sum(axis=1, keepdims=True)
-    best = mean.argmax(axis=1)
+    rows = max(1, SUMS_AT_ONCE // len(network.languages))
+    step = max(1, min(WINDOWS_AT_ONCE, rows))
+    for low in range(0, n, rows):
+        high = min(n, low + rows)
+        total = np.zeros((high - low, len(network.languages)))
+        begin, end = np.searchsorted(text, [low, high])
+        for at in range(begin, end, step):
+            part = slice(at, min(at + step, end))
+            logs = network.log_probabilities(window_bytes(data, first[part], sizes[part]))
+            np.add.at(total, text[part] - low, logs * sizes[part, None])
+        mean = np.exp(total / np.maximum(1, np.diff(offsets[low:high + 1]))[:, None])
+        mean /= mean.sum(axis=1, keepdims=True)
+        best[low:high] = mean.argmax(axis=1)
+        score[low:high] = mean.max(axis=1)
     return ([network.languages[b] if ok else UNDETERMINED for b, ok in zip(best, letters)],
-            np.where(letters, mean[np.arange(n), best], 0.0))
+            np.where(letters, score, 0.0))

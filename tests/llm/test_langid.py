@@ -1,6 +1,9 @@
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from talkmill.llm import langid
+from talkmill.llm.common import text_bytes
 
 
 def _corpus(spark, n=120):
@@ -77,3 +80,24 @@ def test_gradients_match_differences():
         down = loss()
         net.p[k][at] = own
         assert abs((up - down) / 2e-4 - g[k][at]) < 1e-3
+
+
+def test_more_than_a_thousand_languages(spark, monkeypatch):
+    rows = [(i, f"text number {i} of its own tongue", f"l{i % 1100:04d}") for i in range(2200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(langid, "EPOCHS", 1)
+    network = langid.train(docs, "doc_id", "text", "lang", train_windows=1, sample_docs=1100)
+    assert len(network.languages) == 1100
+    found = langid.predict(docs.limit(50), network, "text").collect()
+    assert len(found) == 50 and {r["lang_pred"] for r in found} <= set(network.languages)
+    assert all(0 < r["score"] <= 1 for r in found)
+
+
+def test_texts_are_summed_in_parts_alike(spark, monkeypatch):
+    network = langid.Network(["a", "b", "c"])
+    texts = pa.array(["one two " * i for i in range(40)] + [None, ""])
+    data, offsets = text_bytes(texts)
+    whole = langid._classify(network, data, offsets, texts)
+    monkeypatch.setattr(langid, "SUMS_AT_ONCE", 12)
+    parts = langid._classify(network, data, offsets, texts)
+    assert parts[0] == whole[0] and parts[1] == pytest.approx(whole[1], abs=1e-6)
