@@ -44,3 +44,27 @@ def test_unknown_pieces_and_documents_without_pieces_are_kept(spark, texts):
     assert back == {0: "the cat the", 2: "", 3: ""}
     with pytest.raises(Exception, match="not in the vocabulary"):
         decode_ids(enc, v, "id").collect()
+
+
+def test_blocks_of_few_items_give_the_same_ids_row_by_row(spark):
+    from pyspark.sql import functions as F
+
+    from talkmill.functions.text import tokenize
+    from talkmill.operators.blocks import item_counts, look_up, number_items
+    from talkmill.operators.vocab import piece_blocks
+    rows = [(1, "the cat the"), (1, "the"), (None, "a cat"), (4, ""), (5, None), (6, "the the the the the")]
+    docs = spark.createDataFrame(rows, "id BIGINT, text STRING").coalesce(1)
+    v = build_vocabulary(docs).cache()
+    assert v.orderBy("id").collect() == build_vocabulary(docs, pieces=piece_blocks(docs)).orderBy("id").collect()
+    dec = decode_ids(encode_ids(docs, v, "id", keep=["text"]).withColumnRenamed("text", "own"), v, "id", keep=["own"])
+    # a repeated key keeps its rows apart, a null one keeps its row
+    assert sorted((r.id or 0, r.own or "", r.text) for r in dec.collect()) == sorted(
+        (i or 0, t or "", t or "") for i, t in rows)
+    small = number_items(docs, tokenize("text"), ["id"], block_items=3)
+    assert small.select("_block").distinct().count() > 2
+    sums = look_up(small, v, "token", F.col("count"), lambda rows, at, codes, values: [
+        [int(values.take(codes[a:b]).to_numpy().sum()) if b > a else 0 for a, b in zip(at, at[1:])]], "s long")
+    n = {r.token: r["count"] for r in v.collect()}
+    assert {r["item"]: r.n for r in item_counts(small).collect()} == n
+    assert sorted((r.id or 0, r.s) for r in sums.collect()) == sorted(
+        (r.id or 0, sum(n[p] for p in r.p or [])) for r in docs.select("id", tokenize("text").alias("p")).collect())
