@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talkmill.functions.hashing import hash_order
 from talkmill.functions.text import words
+from talkmill.operators.blocks import look_up, number_items
 from talkmill.operators.prefix import materialize
 
 # ---------------------------------------------------------------------------
@@ -99,18 +102,17 @@ def cross_fitted_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id",
     word shares of the two classes, plus that of the classes) fitted on the
     labelled documents of all other folds. One pass counts the words of every
     class and fold; a fold's model is the total less the fold's own counts,
-    so ``folds`` models cost no more than one. Documents meet the model as
-    (document, word, count) rows; a document without words, or a null text,
-    has the odds of the classes. Labels other than 0 and 1, and null ones,
+    so ``folds`` models cost no more than one. The distinct words of blocks of
+    documents meet the model (``operators.blocks``), not every occurrence; a
+    document without words, or a null text, has the odds of the classes. Labels other than 0 and 1, and null ones,
     are not used; repeated documents are scored as one text, repeated words
     counted each time."""
-    words_of = materialize(docs.select(key, F.explode(words(text)).alias("word")).groupBy(key, "word").agg(
-        F.count(F.lit(1)).alias("n")))
     fold = fold_of(key, folds, seed)
     known = docs.select(key).distinct().join(labels.where(F.col(label).isin(0, 1)).select(key, label).distinct(), key) \
         .select(key, fold.alias("fold"), F.col(label).cast("int").alias("y"))
     known = materialize(known)
-    counts = materialize(words_of.join(known, key).groupBy("word", "fold", "y").agg(F.sum("n").alias("n")))
+    counts = materialize(docs.select(key, text).join(known, key).select("fold", "y", F.explode(words(text)).alias("word"))
+                         .groupBy("word", "fold", "y").agg(F.count(F.lit(1)).alias("n")))
 
     def sums(rows: DataFrame, n: F.Column) -> list[F.Column]:
         """Count of class y in all folds but f, for each y and f."""
@@ -131,9 +133,16 @@ def cross_fitted_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id",
 
     model = counts.groupBy("word").agg(*sums(counts, F.col("n"))).select(
         "word", F.array(*[ratio(F.col(f"c1_{f}"), F.col(f"c0_{f}"), f) for f in range(folds)]).alias("w"))
-    unseen = by_fold([ratio(F.lit(0.0), F.lit(0.0), f) if total["v"] else F.lit(0.0) for f in range(folds)])
+    unseen = F.array(*[ratio(F.lit(0.0), F.lit(0.0), f) if total["v"] else F.lit(0.0) for f in range(folds)])
     prior = by_fold([F.log(F.lit((given[f"c1_{f}"] + 1) / (given[f"c0_{f}"] + 1))) for f in range(folds)])
-    met = words_of.join(model, "word", "left").groupBy(key).agg(
-        F.sum(F.col("n") * F.coalesce(F.element_at("w", fold + 1), unseen)).alias("s"))
+
+    def summed(rows: pa.Table, at: np.ndarray, codes: np.ndarray, weights: pa.Array) -> list:
+        each = weights.flatten().to_numpy().reshape(-1, folds)
+        own = np.repeat(rows.column("_fold").fill_null(0).to_numpy(), np.diff(at))
+        upto = np.arange(len(at) - 1).repeat(np.diff(at))
+        return [pa.array(np.bincount(upto, each[codes, own], len(at) - 1))]
+
+    spoken = number_items(docs.select("*", fold.alias("_fold")), words(text), [key, "_fold"])
+    met = look_up(spoken, model, "word", F.coalesce("w", unseen), summed, "s double").groupBy(key).agg(F.sum("s").alias("s"))
     return docs.select(key).distinct().join(met, key, "left").select(
         key, fold.alias("fold"), F.round(prior + F.coalesce("s", F.lit(0.0)), 4).alias("log_odds"))

@@ -122,3 +122,12 @@ def test_cross_fitted_scores_equal_a_plain_fit(spark):
     r = rank_auc(spark.createDataFrame(rows, "s double, y int"), "s", "y").first()
     assert (r.n_pos, r.n_neg) == (3, 2) and abs(r.auc - (1 + 0.5 + 1 + 1 + 1) / 6) < 1e-6
     assert rank_auc(spark.createDataFrame([(1.0, 1)], "s double, y int"), "s", "y").first().auc is None
+
+
+def test_only_distinct_words_of_blocks_meet_the_quality_model(spark):
+    from talkmill.operators.curation import cross_fitted_scores
+    d = spark.createDataFrame([(1, "a b a"), (2, "b"), (3, None), (1, "c c")], "doc_id BIGINT, text STRING")
+    y = spark.createDataFrame([(1, 1), (2, 0)], "doc_id BIGINT, quality INT")
+    scored = cross_fitted_scores(d, y)
+    assert "FlatMapCoGroupsInArrow" in scored._jdf.queryExecution().toString()
+    assert sorted(r.doc_id for r in scored.collect()) == [1, 2, 3]
