@@ -53,14 +53,30 @@ def request_id(*cols) -> F.Column:
     return F.sha2(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in cols]), 256)
 
 
-def token_budget(df: DataFrame, cfg: RequestConfig | None = None) -> DataFrame:
+def context_tokens(context: str = "context") -> F.Column:
+    """Lexer tokens of a user message from its context part on. Taken before
+    the fan-out, it counts a context once and not once per style. Null without a context, whose message is null."""
+    part = F.concat(F.lit(CONTEXT_OPEN), py_strip(F.col(context)), F.lit(CONTEXT_CLOSE + CLOSING_RULE))
+    return F.when(F.col(context).isNotNull(), count_tokens(part))
+
+
+def token_budget(df: DataFrame, cfg: RequestConfig | None = None, counted: str | None = None) -> DataFrame:
     """``prompt_tokens`` and ``max_tokens = least(cap_out, cap_total -
-    prompt_tokens)``; requests with no room left are dropped."""
+    prompt_tokens)``; requests with no room left are dropped.
+
+    ``counted`` names a column with the ``context_tokens`` of the rows. The
+    rest of a message is its instruction and a blank line. The counts add up
+    exactly: the blank line and what space there is before it are one lexer
+    piece, which ends where the context part starts with a letter."""
     cfg = cfg or RequestConfig()
     if "messages" not in df.columns:
         df = render_messages(df, cfg)
-    prompt_tok = (count_tokens(F.col("messages")[0]["content"])
-                  + count_tokens(F.col("messages")[1]["content"]))
+    if counted is None:
+        prompt_tok = (count_tokens(F.col("messages")[0]["content"])
+                      + count_tokens(F.col("messages")[1]["content"]))
+    else:
+        head = F.when(F.col("instruction").isNotNull(), count_tokens(F.concat(F.col("instruction"), F.lit("\n\n"))))
+        prompt_tok = count_tokens(F.lit(cfg.system_prompt)) + F.coalesce(head + F.col(counted), F.lit(0))
     out = df.withColumn("prompt_tokens", prompt_tok.cast("int"))
     out = out.withColumn("max_tokens", F.least(F.lit(cfg.max_output_tokens),
                                                F.lit(cfg.total_token_cap) - F.col("prompt_tokens")))
