@@ -9,8 +9,12 @@ third of all rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -126,57 +130,92 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     return sums.select("n", _r(corr).alias("spearman"))
 
 
-def gram_keys(col: str, n_max: int = 4) -> Column:
-    """Per n from 1 to ``n_max``: ``total``, the number of n-grams of a text's
-    words, and ``keys``, 64-bit numbers that stand for the occurrences of each
-    n-gram: the first for the gram's hash, the k-th further one for the hash
-    of (gram, k). So the clipped matches of two texts are the distinct common
-    keys. Grams are sorted, and those equal to the one before are cut into
-    runs, in time proportional to the text (and its logarithm)."""
-    hashes = F.coalesce(F.transform(words(col), lambda w: F.xxhash64(w)), F.array().cast("array<bigint>"))
-
-    def bound(value: Column, use) -> Column:
-        """``use(value)`` with the value computed once."""
-        return F.transform(F.array(value), use)[0]
-
-    def repeats(r: Column, starts: Column) -> Column:
-        return F.flatten(F.transform(starts, lambda i, j: F.transform(
-            F.sequence(F.lit(0), F.coalesce(F.get(starts, j + 1), F.size(r)) - i - 1),
-            lambda k: F.xxhash64(F.get(r, i), k))))
-
-    def keyed(s: Column) -> Column:
-        again = F.filter(s, lambda x, i: (i > 0) & (F.get(s, i - 1) == x))
-        return F.concat(s, bound(again, lambda r: F.when(F.size(r) == 0, r).otherwise(bound(
-            F.filter(F.transform(r, lambda x, i: F.when((i == 0) | (F.get(r, i - 1) != x), i)), lambda i: i.isNotNull()),
-            lambda starts: repeats(r, starts)))))
-
-    def grams(h: Column, n: int) -> Column:
-        total = F.greatest(F.lit(0), F.size(h) - (n - 1))
-        made = F.transform(F.slice(h, 1, total), lambda x, i: F.xxhash64(x, *[F.get(h, i + j) for j in range(1, n)]))
-        return F.struct(total.cast("bigint").alias("total"), bound(F.sort_array(made), keyed).alias("keys"))
-
-    return bound(hashes, lambda h: F.array(*[grams(h, n) for n in range(1, n_max + 1)]))
+def word_numbers(col: str) -> Column:
+    """The words of a text as 64-bit hashes (null text: none)."""
+    return F.coalesce(F.transform(words(col), lambda w: F.xxhash64(w)), F.array().cast("array<bigint>"))
+
+
+_PLACE = np.array([pow(0xD6E8FEB86659FD93, k, 1 << 64) for k in range(64)], np.uint64)
+
+
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    at = column.offsets.to_numpy()
+    return column.flatten().to_numpy().view(np.uint64), at - at[0]
+
+
+def _grams(flat: np.ndarray, at: np.ndarray, n: int, bits: int) -> np.ndarray:
+    """A number of every n-gram of the lists: the list's in the high ``bits``
+    bits, below it the gram's hash."""
+    total = np.maximum(0, np.diff(at) - n + 1)
+    row = np.repeat(np.arange(len(total)), total)
+    start = at[:-1][row] + np.arange(len(row)) - np.repeat(np.cumsum(total) - total, total)
+    h = np.zeros(len(row), np.uint64)
+    for k in range(n):
+        h += flat[start + k] * _PLACE[k]
+    h = (h ^ (h >> np.uint64(32))) * _PLACE[5]
+    h = (h ^ (h >> np.uint64(29))) * _PLACE[7]
+    return (row.astype(np.uint64) << np.uint64(64 - bits)) | (h >> np.uint64(bits))
+
+
+def _overlaps(n_max: int):
+    """Rows (group, words of hypothesis and reference) to sums per group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield of_batch(batch)
+
+    def of_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
+        groups = pc.dictionary_encode(batch.column("g"), null_encoding="encode")
+        group, n_groups = groups.indices.to_numpy(), len(groups.dictionary)
+        (hyp, hyp_at), (ref, ref_at) = _lists(batch.column("h")), _lists(batch.column("r"))
+        edges = ref_at.tolist()
+        # rows of one fan-out follow each other with the same reference
+        new = [i == 0 or not np.array_equal(ref[edges[i - 1]:edges[i]], ref[edges[i]:edges[i + 1]])
+               for i in range(batch.num_rows)]
+        ref_of, size = np.cumsum(new) - 1, np.diff(ref_at)
+        own = np.flatnonzero(new)
+        ref = ref[np.repeat(new, size)]
+        own_at = np.concatenate([[0], np.cumsum(size[own])])
+        bits = max(1, batch.num_rows.bit_length())
+        shift = np.uint64(64 - bits)
+        columns: list[list] = [[], [], []]
+        for n in range(1, n_max + 1):
+            known, times = np.unique(_grams(ref, own_at, n, bits), return_counts=True)
+            gram, count = np.unique(_grams(hyp, hyp_at, n, bits), return_counts=True)
+            row = (gram >> shift).astype(np.int64)
+            wanted = (gram & ((np.uint64(1) << shift) - np.uint64(1))) | (ref_of[row].astype(np.uint64) << shift)
+            place = np.minimum(np.searchsorted(known, wanted), max(0, len(known) - 1))
+            met = np.minimum(count, np.where(known[place] == wanted, times[place], 0)) if len(known) else 0 * count
+            for column, (of, values) in zip(columns, (
+                    (group[row], met), (group, np.maximum(0, np.diff(hyp_at) - n + 1)), (group, np.maximum(0, size - n + 1)))):
+                column.append(np.bincount(of, values, n_groups).astype(np.int64))
+        return pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([groups.dictionary] * n_max), pa.array(np.repeat(np.arange(1, n_max + 1), n_groups)),
+             *[pa.array(np.concatenate(c)) for c in columns]],
+            names=["g", "n", "m", "h", "r"])
+
+    return run
 
 
 def overlap_counts(df: DataFrame, hyp: str, ref: str, group: str, n_max: int = 4,
-                   ref_keys: str | None = None) -> DataFrame:
+                   ref_words: str | None = None) -> DataFrame:
     """Clipped n-gram matches per (group, n): the sum over rows and grams of
     least(count in hypothesis, count in reference), with the hypothesis and
     reference n-gram totals of the rows.
 
     Every row is one (hypothesis, reference) pair, so two hypotheses of one
-    group and context both count, and the groups are those of the data. All
-    of it is array work inside the row (``gram_keys``, ``array_intersect``);
-    only sums per group are shuffled. ``ref_keys`` names a column that holds
-    ``gram_keys`` of the reference already, made before a fan-out."""
-    both = df.select(F.col(group).cast("string").alias(group), gram_keys(hyp, n_max).alias("h"),
-                     (F.col(ref_keys) if ref_keys else gram_keys(ref, n_max)).alias("r"))
-    sums = [c for n in range(n_max) for c in (
-        F.sum(F.size(F.array_intersect(F.col("h")[n]["keys"], F.col("r")[n]["keys"]))).alias(f"m{n}"),
-        F.sum(F.col("h")[n]["total"]).alias(f"h{n}"), F.sum(F.col("r")[n]["total"]).alias(f"r{n}"))]
-    rows = F.array(*[F.struct(F.lit(n + 1).alias("n"), *[F.col(f"{c}{n}").cast("bigint").alias(name) for c, name in (
-        ("m", "matches"), ("h", "hyp_grams"), ("r", "ref_grams"))]) for n in range(n_max)])
-    return both.groupBy(group).agg(*sums).select(group, F.inline(rows))
+    group and context both count, and the groups are those of the data. The
+    words go to Python as numbers and a batch's grams are counted at once by
+    sorting; a reference that stands in consecutive rows (a fan-out) is
+    counted once. Only sums per group are shuffled. ``ref_words`` names a
+    column that holds ``word_numbers`` of the reference already, made before a
+    fan-out."""
+    both = df.select(F.col(group).cast("string").alias("g"), word_numbers(hyp).alias("h"),
+                     (F.col(ref_words) if ref_words else word_numbers(ref)).alias("r"))
+    sums = both.mapInArrow(_overlaps(n_max), "g string, n long, m long, h long, r long").groupBy("g", "n").agg(
+        *[F.sum(c).cast("bigint").alias(name) for c, name in (("m", "matches"), ("h", "hyp_grams"), ("r", "ref_grams"))])
+    return sums.select(F.col("g").alias(group), F.col("n").cast("int").alias("n"), "matches", "hyp_grams", "ref_grams")
 
 
 def bleu(counts: DataFrame, group: str, n_max: int = 4) -> DataFrame:

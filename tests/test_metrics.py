@@ -134,3 +134,19 @@ def test_spearman_with_a_hot_value_and_strings_of_ties(spark):
     df = spark.range(4000).selectExpr("int(id % 2) AS x", "id AS y")
     assert M.spearman(df, "x", "y").first().n == 4000
     assert M.spearman(df.limit(0), "x", "y").first().n == 0
+
+
+def test_overlap_counts_of_a_fan_out_with_words_made_before_it(spark):
+    from pyspark.sql import functions as F
+    rows = [("the cat the cat sat", 0), ("", 1), (None, 2), ("b b b b", 3), ("b b b b", 4)]
+    chunks = spark.createDataFrame(rows, "ref STRING, k INT").coalesce(1)
+    hyps = F.array(*[F.struct(F.lit(g).alias("g"), F.lit(h).alias("hyp")) for g, h in (
+        ("x", "the cat b b"), ("y", ""), (None, "sat the cat"), ("x", "b b b b b"))])
+    early = chunks.withColumn("w", M.word_numbers("ref")).select("*", F.inline(hyps))
+    got = sorted(M.overlap_counts(early, "hyp", "ref", "g", ref_words="w").collect(), key=str)
+    late = M.overlap_counts(chunks.select("*", F.inline(hyps)).orderBy(F.rand(1)), "hyp", "ref", "g").collect()
+    assert got == sorted(late, key=str)
+    by = {(r.g, r.n): (r.matches, r.hyp_grams, r.ref_grams) for r in got}
+    assert by["x", 1] == (2 + 2 * 2 + 2 * 4, 5 * 4 + 5 * 5, 2 * (5 + 4 + 4))
+    assert by["x", 4] == (2, 5 * 1 + 5 * 2, 2 * (2 + 1 + 1)) and by["y", 1] == (0, 0, 13)
+    assert by[None, 2] == (1, 10, 10)
