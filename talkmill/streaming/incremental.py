@@ -165,11 +165,17 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _shards(spark: SparkSession, sf: str, base: str) -> str:
-    """``documents`` as a folder of four shards, read two at a time."""
+SHARD_BYTES = 64 << 20
+
+
+def _shards(spark: SparkSession, sf: str, base: str, shard_bytes: int = SHARD_BYTES) -> tuple[str, int]:
+    """``documents`` as a folder of shards of about ``shard_bytes`` of text,
+    four at least, and half their number, which one trigger takes."""
     rows = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").select("doc_id", "text")
-    rows.repartition(4, "doc_id").write.parquet(f"{base}/in")
-    return f"{base}/in"
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(4, -(-size // shard_bytes))
+    rows.repartition(shards, "doc_id").write.parquet(f"{base}/in")
+    return f"{base}/in", -(-shards // 2)
 
 
 @register("j1_incremental_run",
@@ -177,9 +183,9 @@ def _shards(spark: SparkSession, sf: str, base: str) -> str:
 def j1(spark, sf):
     """Two triggers over the shards, then a restart that finds nothing new."""
     base = _scratch(spark, "stream-run")
-    source = _shards(spark, sf, base)
+    source, per_trigger = _shards(spark, sf, base)
     for _ in range(2):
-        incremental_run(spark, source, f"{base}/out", f"{base}/ckpt", f"{base}/stats", max_files_per_trigger=2,
+        incremental_run(spark, source, f"{base}/out", f"{base}/ckpt", f"{base}/stats", max_files_per_trigger=per_trigger,
                         carry=("doc_id",))
     out = spark.read.parquet(f"{base}/out")
     return out.select("doc_id", F.col("chunk_index").cast("int"), "prompt_style", "conversation_tokens")
@@ -197,7 +203,7 @@ def j1(spark, sf):
 def j2(spark, sf):
     """The counters that the run of J1 leaves, batch by batch."""
     base = _scratch(spark, "stream-stats")
-    source = _shards(spark, sf, base)
+    source, per_trigger = _shards(spark, sf, base)
     for _ in range(2):
-        incremental_run(spark, source, f"{base}/out", f"{base}/ckpt", f"{base}/stats", max_files_per_trigger=2)
+        incremental_run(spark, source, f"{base}/out", f"{base}/ckpt", f"{base}/stats", max_files_per_trigger=per_trigger)
     return read_stats(spark, f"{base}/stats")

@@ -86,3 +86,15 @@ def test_records_and_counters_in_one_stream_survive_a_replay(spark):
     incremental_run(spark, f"{base}/in", out, ckpt, stats, max_files_per_trigger=1)
     assert read_stats(spark, stats).first().asDict() == wanted
     assert spark.read.parquet(out).count() == wanted["conversations_kept"]
+
+
+def test_shards_of_the_registered_runs_follow_the_input(spark, tmp_path):
+    import os
+
+    from talkmill.streaming.incremental import _shards
+    rows = [(i, "word " * 100) for i in range(200)]
+    spark.createDataFrame(rows, "doc_id BIGINT, text STRING").write.parquet(str(tmp_path / "documents.parquet"))
+    source, per_trigger = _shards(spark, str(tmp_path), str(tmp_path / "many"), shard_bytes=10_000)
+    assert len([f for f in os.listdir(source) if f.endswith(".parquet")]) == 10 and per_trigger == 5
+    assert sorted(r.doc_id for r in spark.read.parquet(source).collect()) == list(range(200))
+    assert _shards(spark, str(tmp_path), str(tmp_path / "few"))[1] == 2
