@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkmill.llm import langid
-from talkmill.llm.common import written
+from talkmill.llm.common import among, not_among, written
 from talkmill.llm.minhash import near_duplicates
 from talkmill.llm.packing import pack
 from talkmill.llm.queries import vocabulary
@@ -42,14 +42,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     last = tables_written()
     found = written(groups, "pipeline-groups")
     release_tables(spark, first, last)
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = written(found.where(~F.col("kept")).select("doc_id").distinct(), "pipeline-gone")
+    left = not_among(docs, gone, "doc_id")
     repeated = written(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
                        .select("doc_id"), "pipeline-repeated")
     if repeated.isEmpty():
         return left
-    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(once.select(*docs.columns))
+    once = among(left, repeated, "doc_id").dropDuplicates(["doc_id"])
+    return not_among(left, repeated, "doc_id").union(once)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkmill.llm.common import mix64, sliced, word_hashes, written
+from talkmill.llm.common import among, mix64, sliced, word_hashes, written
 from talkmill.llm.components import connected_components
 
 WORDS = 5
@@ -220,7 +220,7 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, percent: int =
     shared = leaders.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
     members = written(leaders.join(shared, "key"), "minhash-members")
     wanted = written(members.select("doc").distinct(), "minhash-wanted")
-    sets = written(texts.join(wanted, "doc", "left_semi").mapInArrow(
+    sets = written(among(texts, wanted, "doc").mapInArrow(
         _full_sets, "doc long, minima binary, shingles binary").dropDuplicates(["doc", "shingles"]), "minhash-sets")
     links = _empty(docs, "u long, v long")
     group = members.select("doc", F.col("doc").alias("group")).distinct().limit(0)

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from talkmill.llm import minhash
+from talkmill.llm import common, minhash
 from talkmill.llm.components import connected_components
 from talkmill.llm.minhash import near_duplicates, shingles
 
@@ -106,3 +106,22 @@ def test_connected_components_of_a_path_a_star_and_loops(spark):
         spark.createDataFrame(path + star, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}}
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+@pytest.mark.parametrize("most", [common.MOST_BITS, 1 << 15])  # few bits: more rows to join, the same result
+def test_rows_by_their_ids(spark, most, monkeypatch):
+    monkeypatch.setattr(common, "MOST_BITS", most)
+    rows = spark.createDataFrame([(i, f"text {i}") for i in [*range(40_000), 7, 8, None]], "doc int, text string")
+    ids = common.written(spark.range(0, 40_000, 8).withColumnRenamed("id", "doc"), "test-ids")
+    assert {r["doc"] for r in common.among(rows, ids, "doc").collect()} == set(range(0, 40_000, 8))
+    left = [r["doc"] for r in common.not_among(rows, ids, "doc").collect()]
+    assert len(left) == 35_002 and set(left) == {i for i in range(40_000) if i % 8} | {None}
+    none = common.written(ids.limit(0), "test-none")
+    assert common.among(rows, none, "doc").count() == 0 and common.not_among(rows, none, "doc").count() == 40_003
+
+
+def test_few_of_the_other_rows_are_joined(spark):
+    ids = common.written(spark.range(0, 200_000, 10).withColumnRenamed("id", "doc"), "test-ids")
+    marked, hit = common._perhaps(spark.range(200_000).withColumnRenamed("id", "doc"), ids, "doc")
+    hits = {r["doc"] for r in marked.where(hit).select("doc").collect()}
+    assert set(range(0, 200_000, 10)) <= hits and len(hits) < 20_000 + 0.08 * 180_000

@@ -46,6 +46,21 @@ def test_stages_take_effect(spark, corpus):
     assert sum(r["length"] for r in pieces) == sum({r["doc_id"]: r["doc_tokens"] for r in pieces}.values())
 
 
+def test_texts_of_kept_documents_are_not_shuffled(spark, corpus):
+    docs = spark.read.parquet(f"{corpus[0]}/documents.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the ids to drop were many
+    try:
+        plan = corpus_pipeline.not_among(docs, corpus_pipeline.written(docs.select("doc_id").limit(1), "test-gone"),
+                                         "doc_id")._jdf.queryExecution().executedPlan().toString()
+        out = corpus_pipeline.drop_near_duplicates(spark, docs, corpus[0])._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    stay, join = plan[plan.index("Union"):].split("SortMergeJoin")
+    assert "hashpartitioning(doc_id" not in stay and "LeftAnti" in join
+    assert "getbit" in out.split("LeftAnti")[0]
+
+
 def test_language_fills_missing_labels_and_needs_none(spark, corpus):
     parts = {"en": "the of and ing tion er", "de": "der die sch ung keit ich"}
     rng = random.Random(7)
