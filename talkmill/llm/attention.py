@@ -8,6 +8,8 @@ log-probability of the output class after the last input class alone).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 #: Tokens of a training window; in scoring each half window is scored once
@@ -48,6 +50,9 @@ def shaped(values: np.ndarray, like: Parameters) -> Parameters:
 
 _LAG = np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :]
 _PAST = _LAG >= 0
+_LAG = np.maximum(_LAG, 0)
+#: Rows of a product that are multiplied at once.
+PART = 256
 
 
 def _exp(scores: np.ndarray) -> np.ndarray:
@@ -57,6 +62,36 @@ def _exp(scores: np.ndarray) -> np.ndarray:
     return np.exp(scores, out=scores)
 
 
+def _exp_sums(o: np.ndarray, logits: Callable[[], None]) -> np.ndarray:
+    """exp in place of the logits that ``logits`` writes to ``o``, and their
+    sums by row; they are held to +-LIMIT only where a sum says that it matters."""
+    ones = np.ones(o.shape[1], o.dtype)
+    logits()
+    with np.errstate(over="ignore", invalid="ignore"):
+        total = np.exp(o, out=o) @ ones
+    if not (np.exp(-LIMIT) < total.min() and total.max() < np.exp(LIMIT)):
+        logits()
+        total = _exp(o) @ ones
+    return total
+
+
+def _parts(t: np.ndarray) -> np.ndarray:
+    """A view of ``t`` in blocks of PART rows, whose products are faster than
+    one of all rows."""
+    return t.reshape(-1, PART, t.shape[1]) if len(t) % PART == 0 else t[None]
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a.T @ b"""
+    return np.matmul(_parts(a).transpose(0, 2, 1), _parts(b)).sum(axis=0)
+
+
+def _turned(t: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """``t`` (or each matrix of it) transposed, in the array ``out``."""
+    np.copyto(out, t.swapaxes(-1, -2))
+    return out
+
+
 class Space:
     """Arrays that every step uses again, so that steps don't wait for the
     system to hand out and take back the same pages."""
@@ -80,8 +115,12 @@ def gradients(p: Parameters, prior: np.ndarray, x: np.ndarray, y: np.ndarray,
               real: np.ndarray | None = None, space: Space | None = None) -> tuple[float, Parameters]:
     """Mean cross-entropy (nats) of windows x -> y, both (n, WINDOW), and its
     gradients. ``real``: the tokens at the start of each window that count
-    (None: all); what pads a window behind them has no effect."""
-    kind, shape = p["embed"].dtype, x.shape
+    (None: all); what pads a window behind them has no effect.
+
+    Matrices with the same rows are multiplied together (a token's row holds
+    its embedding, what it has seen and a 1), and transposed ones are laid out
+    anew before a product, which costs less than the product as they are."""
+    kind, shape, inputs = p["embed"].dtype, x.shape, len(p["embed"])
     n = x.size if real is None else int(real.sum())
     padded = None if n == x.size else np.flatnonzero(np.arange(shape[1])[None, :] >= real[:, None])
     classes, goal = x.ravel(), y.ravel()
@@ -89,25 +128,36 @@ def gradients(p: Parameters, prior: np.ndarray, x: np.ndarray, y: np.ndarray,
     buffer = lambda name, *size: space.get(name, size, kind)
     tokens, outputs, length = len(classes), len(p["bias"]), shape[1]
     windowed = lambda t: t.reshape(*shape, -1)
-    e = p["embed"].take(classes, axis=0)
     scale = kind.type(1 / np.sqrt(WIDTH))
-    q, k = windowed(e @ (p["q"] * scale)), windowed(e @ p["k"])
-    v = windowed(_and_one(e @ p["v"]))
-    a = np.matmul(q, k.transpose(0, 2, 1), out=buffer("a", len(x), length, length))
-    a += p["far"][np.maximum(_LAG, 0)]
+    w_qkv = np.concatenate([p["q"] * scale, p["k"], p["v"]], axis=1)
+    w_hidden = np.concatenate([p["own"], p["seen"], p["hidden"][None]])
+    turned = lambda name, t: _turned(t, buffer(name, *t.shape[:-2], t.shape[-1], t.shape[-2]))
+
+    row = np.take(np.concatenate([p["embed"], np.zeros((inputs, WIDTH + 1), kind)], axis=1), classes, axis=0,
+                  out=buffer("row", tokens, 2 * WIDTH + 1), mode="clip")
+    e = row[:, :WIDTH]
+    qkv = buffer("qkv", tokens, 3 * WIDTH + 1)
+    np.matmul(_parts(e), w_qkv, out=_parts(qkv)[:, :, :-1])
+    qkv[:, -1] = 1
+    of_q, of_k, of_v = slice(WIDTH), slice(WIDTH, 2 * WIDTH), slice(2 * WIDTH, None)
+    q, k, v = (windowed(qkv)[:, :, part] for part in (of_q, of_k, of_v))
+    a = np.matmul(q, turned("k", k), out=buffer("a", len(x), length, length))
+    a += p["far"][_LAG]
     _exp(a)
     a *= _PAST.astype(kind)
-    z = (a @ v).reshape(-1, WIDTH + 1)
+    z = np.matmul(a, v, out=buffer("z", *shape, WIDTH + 1)).reshape(-1, WIDTH + 1)
     over_a = 1 / z[:, WIDTH:]  # a itself stays undivided
-    z = z[:, :WIDTH] * over_a
-    h = np.matmul(e, p["own"], out=buffer("h", tokens, HIDDEN))
-    h += np.matmul(z, p["seen"], out=buffer("from_seen", tokens, HIDDEN))
-    h += p["hidden"]
+    np.divide(z, z[:, WIDTH:], out=row[:, WIDTH:])
+    h = buffer("h", tokens, HIDDEN)
+    np.matmul(_parts(row), w_hidden, out=_parts(h))
     np.maximum(h, 0, out=h)
-    o = np.matmul(h, p["out"], out=buffer("o", tokens, outputs))
-    o += np.take(prior + p["bias"], classes, axis=0, out=buffer("prior", tokens, outputs), mode="clip")
-    _exp(o)
-    total = o @ np.ones(o.shape[1], kind)
+    o, start = buffer("o", tokens, outputs), np.add(prior, p["bias"], out=buffer("start", *prior.shape))
+
+    def logits() -> None:
+        np.matmul(_parts(h), p["out"], out=_parts(o))
+        np.add(o, np.take(start, classes, axis=0, out=buffer("prior", tokens, outputs), mode="clip"), out=o)
+
+    total = _exp_sums(o, logits)
     at = np.arange(len(o)) * o.shape[1] + goal
     logs = np.log(o.take(at)) - np.log(total)
     share = 1 / (total * kind.type(n))
@@ -120,26 +170,32 @@ def gradients(p: Parameters, prior: np.ndarray, x: np.ndarray, y: np.ndarray,
     if padded is not None:
         counted[padded] = 0
     o.ravel()[at] -= counted  # the gradient of the logits
-    g = {"out": h.T @ o, "bias": np.ones(len(o), kind) @ o}
-    d_pre = np.matmul(o, p["out"].T, out=buffer("d_pre", tokens, HIDDEN))
+    g = {"out": _product(h, o), "bias": np.ones(len(o), kind) @ o}
+    d_pre = buffer("d_pre", tokens, HIDDEN)
+    np.matmul(_parts(o), turned("w_out", p["out"]), out=_parts(d_pre))
     np.multiply(d_pre, h > 0, out=d_pre)
-    g["own"], g["seen"], g["hidden"] = e.T @ d_pre, z.T @ d_pre, np.ones(len(o), kind) @ d_pre
-    d_z = d_pre @ p["seen"].T
-    mean = np.einsum("ij,ij->i", d_z, z)[:, None] * over_a
-    d_z *= over_a
+    g_hidden = _product(row, d_pre)
+    g["own"], g["seen"], g["hidden"] = g_hidden[:WIDTH], g_hidden[WIDTH:-1], g_hidden[-1]
+    d_row = buffer("d_row", tokens, 2 * WIDTH)
+    np.matmul(_parts(d_pre), turned("w_hidden", w_hidden[:-1]), out=_parts(d_row))
+    d_z = buffer("d_z", tokens, WIDTH + 1)
+    np.multiply(d_row[:, WIDTH:], over_a, out=d_z[:, :WIDTH])
+    d_z[:, WIDTH] = -np.einsum("ij,ij->i", d_z[:, :WIDTH], row[:, WIDTH:-1])  # meets the ones behind v
     d_z = windowed(d_z)
-    d_s = np.matmul(d_z, v[:, :, :WIDTH].transpose(0, 2, 1), out=buffer("d_s", len(x), length, length))
-    d_s -= windowed(mean)
+    d_s = np.matmul(d_z, turned("v", v), out=buffer("d_s", len(x), length, length))
     d_s *= a
-    d_v = (a.transpose(0, 2, 1) @ d_z).reshape(-1, WIDTH)
-    by_lag = d_s.sum(axis=0)
-    g["far"] = np.bincount(_LAG[_PAST], by_lag[_PAST], minlength=WINDOW).astype(kind)
-    d_q, d_k = (d_s @ k).reshape(-1, WIDTH), (d_s.transpose(0, 2, 1) @ q).reshape(-1, WIDTH)
-    g["q"], g["k"], g["v"] = (e.T @ d_q) * scale, e.T @ d_k, e.T @ d_v
-    d_e = d_pre @ p["own"].T
-    for d, w in ((d_q, p["q"] * scale), (d_k, p["k"]), (d_v, p["v"])):
-        d_e += d @ w.T
-    cells = np.add(classes[:, None] * WIDTH, np.arange(WIDTH), out=space.get("cells", (tokens, WIDTH), np.dtype(int)))
+    g["far"] = np.bincount(_LAG.ravel(), d_s.sum(axis=0).ravel(), minlength=WINDOW).astype(kind)
+    d_qkv = buffer("d_qkv", tokens, 3 * WIDTH)
+    np.matmul(d_s, k, out=windowed(d_qkv)[:, :, of_q])
+    np.matmul(d_s.transpose(0, 2, 1), q, out=windowed(d_qkv)[:, :, of_k])
+    np.matmul(a.transpose(0, 2, 1), d_z[:, :, :WIDTH], out=windowed(d_qkv)[:, :, of_v])
+    g_qkv = _product(e, d_qkv)
+    g["q"], g["k"], g["v"] = g_qkv[:, of_q] * scale, g_qkv[:, of_k], g_qkv[:, of_v]
+    d_e = buffer("d_e", tokens, WIDTH)
+    np.matmul(_parts(d_qkv), turned("w_qkv", w_qkv), out=_parts(d_e))
+    d_e += d_row[:, :WIDTH]
+    cells = np.take(np.arange(inputs * WIDTH).reshape(inputs, WIDTH), classes, axis=0,
+                    out=space.get("cells", (tokens, WIDTH), np.dtype(int)), mode="clip")
     g["embed"] = np.bincount(cells.ravel(), d_e.ravel(), minlength=p["embed"].size).reshape(-1, WIDTH).astype(kind)
     return loss, g
 
@@ -156,14 +212,20 @@ class Adam:
 
     def step(self, x: np.ndarray, y: np.ndarray, real: np.ndarray | None = None) -> float:
         loss, g = gradients(self.p, self.prior, x, y, real, self.space)
-        d = np.concatenate([g[k].ravel() for k in self.names])
+        d, w = (self.space.get(name, self.all.shape, self.all.dtype) for name in ("gradient", "work"))
+        np.concatenate([g[k].ravel() for k in self.names], out=d)
         self.t += 1
-        self.m += 0.1 * (d - self.m)
-        d *= d
-        self.s += 0.01 * (d - self.s)
-        size = np.sqrt(self.s / (1 - 0.99 ** self.t))
-        size += 1e-8
-        self.all -= self.rate / (1 - 0.9 ** self.t) * self.m / size
+        for mean, part in ((self.m, 0.1), (self.s, 0.01)):
+            np.subtract(d, mean, out=w)
+            w *= part
+            mean += w
+            d *= d
+        np.divide(self.s, 1 - 0.99 ** self.t, out=w)
+        np.sqrt(w, out=w)
+        w += 1e-8
+        np.divide(self.m, w, out=w)
+        w *= self.rate / (1 - 0.9 ** self.t)
+        self.all -= w
         return loss
 
 
@@ -201,25 +263,38 @@ class Scorer:
         for at in range(0, len(grid), BLOCKS_AT_ONCE):
             part = slice(at, at + BLOCKS_AT_ONCE)
             own = grid[part]
-            before = np.concatenate([grid[at - 1:at] if at else own[:1] * 0, own[:-1]])
-            keys = np.concatenate([before, own], axis=1)
             classes, n = own.ravel(), len(own)
+            around = np.concatenate([grid[at - 1] if at else own[0] * 0, classes])  # with the half window before
             buffer = lambda name, *size: self.space.get(name, size, out.dtype)
-            k = np.take(self.k, keys, axis=0, out=buffer("k", n, WINDOW, WIDTH), mode="clip")
-            v = np.take(self.v, keys, axis=0, out=buffer("v", n, WINDOW, WIDTH + 1), mode="clip")
-            s = np.matmul(self.q.take(own, axis=0), k.transpose(0, 2, 1), out=buffer("s", n, HALF, WINDOW))
+            k, v = (_windows(np.take(t, around, axis=0, out=buffer(name, len(around), t.shape[1]), mode="clip"), n)
+                    for name, t in (("k", self.k), ("v", self.v)))
+            q = np.take(self.q, own, axis=0, out=buffer("q", n, HALF, WIDTH), mode="clip")
+            s = np.matmul(q, _turned(k, buffer("turned", n, WIDTH, WINDOW)), out=buffer("s", n, HALF, WINDOW))
             s += self.far
             _exp(s)
             s *= self.seen
             begin = starts[part]
             s[begin] *= self.seen_first
-            z = (s @ v).reshape(-1, WIDTH + 1)
-            h = np.matmul(z[:, :WIDTH] / z[:, WIDTH:], self.p["seen"], out=buffer("h", n * HALF, HIDDEN))
+            z = np.matmul(s, v, out=buffer("z", n, HALF, WIDTH + 1)).reshape(-1, WIDTH + 1)
+            z = np.divide(z[:, :WIDTH], z[:, WIDTH:], out=buffer("seen", n * HALF, WIDTH))
+            h = buffer("h", n * HALF, HIDDEN)
+            np.matmul(_parts(z), self.p["seen"], out=_parts(h))
             h += np.take(self.own, classes, axis=0, out=buffer("own", n * HALF, HIDDEN), mode="clip")
             np.maximum(h, 0, out=h)
-            o = np.matmul(h, self.p["out"], out=buffer("o", n * HALF, self.prior.shape[1]))
-            o += np.take(self.prior, classes, axis=0, out=buffer("prior", *o.shape), mode="clip")
-            _exp(o)
+            o = buffer("o", n * HALF, self.prior.shape[1])
+
+            def logits() -> None:
+                np.matmul(_parts(h), self.p["out"], out=_parts(o))
+                np.add(o, np.take(self.prior, classes, axis=0, out=buffer("prior", *o.shape), mode="clip"), out=o)
+
+            total = _exp_sums(o, logits)
             hit = o.take(np.arange(len(o)) * o.shape[1] + goal[part].ravel())
-            out[part] = (np.log(hit) - np.log(o @ np.ones(o.shape[1], o.dtype))).reshape(own.shape)
+            out[part] = (np.log(hit) - np.log(total)).reshape(own.shape)
         return out.ravel()[place]
+
+
+def _windows(t: np.ndarray, n: int) -> np.ndarray:
+    """The ``n`` windows of the rows of ``t``, each half a window after the
+    one before, as a view."""
+    row, column = t.strides
+    return np.lib.stride_tricks.as_strided(t, (n, WINDOW, t.shape[1]), (HALF * row, row, column), writeable=False)

@@ -266,11 +266,13 @@ def _pair_table(blocks: DataFrame, counts: np.ndarray, classes: Classes) -> Pair
     return PairTable(counts, classes, keys[order], times[order])
 
 
-def _windows(b: Slice, end: int, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _windows(b: Slice, end: int, classes: Classes, choose: Callable[[np.ndarray], np.ndarray] = lambda draw:
+             np.arange(len(draw))) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(inputs, outputs, real tokens, draw) of the training windows of a
     slice: they follow each other through each training document, the last
     one padded; the draw is a hash of the document's id, the text's start and
-    length, and the place, so copies have draws of their own."""
+    length, and the place, so copies have draws of their own. ``choose``
+    gives the places of those that are wanted from the draws of all."""
     last, nxt, counts = b.pairs(end, True)
     w = attention.WINDOW
     first = np.cumsum(counts) - counts
@@ -281,9 +283,11 @@ def _windows(b: Slice, end: int, classes: Classes) -> tuple[np.ndarray, np.ndarr
     j = np.arange(len(doc)) - np.repeat(np.cumsum(number) - number, number)
     ids = mix64(np.array([d or 0 for d, t in zip(b.docs, b.trains) if t], np.int64).view(np.uint64))
     draw = mix64((nxt[first[doc]] + 7919 * counts[doc] + 104729 * j).astype(np.uint64) + ids[doc])
+    some = choose(draw)
+    doc, j, draw = doc[some], j[some], draw[some]
     real = np.minimum(w, counts[doc] - j * w)
     at = (first[doc] + j * w)[:, None] + np.minimum(np.arange(w)[None, :], real[:, None] - 1)
-    return classes.input[last][at], classes.output[nxt][at], real, draw
+    return classes.input[last[at]], classes.output[nxt[at]], real, draw
 
 
 def _warm_up_draws(counts: np.ndarray) -> np.uint64:
@@ -299,12 +303,14 @@ def _train(blocks: DataFrame, counts: np.ndarray, classes: Classes, prior: np.nd
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple] = []
 
-        def add(b: Slice) -> None:
-            x, y, real, draw = _windows(b, end, classes)
+        def first(draw: np.ndarray) -> np.ndarray:
             some = np.flatnonzero(draw <= upto)
-            some = some[np.argsort(draw[some], kind="stable")[:WARM_UP]]
-            xyn = np.concatenate([x[some], y[some], real[some, None]], axis=1).astype(np.int16)
-            kept.extend((int(d) >> 1, row.tobytes()) for d, row in zip(draw[some], xyn))
+            return some[np.argsort(draw[some], kind="stable")[:WARM_UP]]
+
+        def add(b: Slice) -> None:
+            x, y, real, draw = _windows(b, end, classes, first)
+            xyn = np.concatenate([x, y, real[:, None]], axis=1).astype(np.int16)
+            kept.extend((int(d) >> 1, row.tobytes()) for d, row in zip(draw, xyn))
             kept.sort()
             del kept[WARM_UP:]
 
@@ -334,14 +340,15 @@ def _train(blocks: DataFrame, counts: np.ndarray, classes: Classes, prior: np.nd
             params, classes, prior = own.value
             adam, seen = attention.Adam(params, prior, rate), [0]
 
+            def of_round(draw: np.ndarray) -> np.ndarray:
+                some = np.flatnonzero(draw % np.uint64(ROUNDS) == round_)
+                return some[np.argsort(draw[some], kind="stable")]
+
             def add(b: Slice) -> None:
-                x, y, real, draw = _windows(b, end, classes)
-                order = np.argsort(draw, kind="stable")
-                order = order[draw[order] % np.uint64(ROUNDS) == round_]
-                for at in range(0, len(order), BATCH):
-                    some = order[at:at + BATCH]
-                    adam.step(x[some], y[some], real[some])
-                seen[0] += int(real[order].sum())
+                x, y, real, _ = _windows(b, end, classes, of_round)
+                for at in range(0, len(x), BATCH):
+                    adam.step(x[at:at + BATCH], y[at:at + BATCH], real[at:at + BATCH])
+                seen[0] += int(real.sum())
 
             _each(add, batches)
             values = attention.flat(adam.p) * seen[0]

@@ -218,3 +218,34 @@ def test_warm_up_draws_leave_a_bounded_number_of_windows():
         upto = lm._warm_up_draws(np.array([sizes.sum() - len(sizes), len(sizes)]))
         kept = int((rng.integers(0, 1 << 64, windows, dtype=np.uint64) <= upto).sum())
         assert min(windows, lm.WARM_UP) <= kept <= 4.5 * lm.WARM_UP
+
+
+def test_gradients_and_scores_in_parts_equal_those_of_single_windows():
+    """Rows are multiplied PART at a time; logits past LIMIT are held."""
+    rng = np.random.default_rng(5)
+    p = {k: v.astype(np.float64) for k, v in attention.initial(40, 9).items()}
+    n = 2 * attention.PART // attention.WINDOW
+    x, y = rng.integers(0, 40, (n, attention.WINDOW)), rng.integers(0, 9, (n, attention.WINDOW))
+    prior, space = rng.normal(size=(40, 9)), attention.Space()
+    loss, g = attention.gradients(p, prior, x, y, space=space)
+    g = {k: v.copy() for k, v in g.items()}
+    ones = [attention.gradients(p, prior, x[i:i + 1], y[i:i + 1], space=space) for i in range(n)]
+    assert loss == pytest.approx(np.mean([one for one, _ in ones]))
+    for k in p:
+        assert g[k] == pytest.approx(np.mean([one[k] for _, one in ones], axis=0), abs=1e-9)
+    far = np.where(np.arange(9) == 3, 900.0, -900.0) * np.ones((40, 1))
+    loss, g = attention.gradients(p, far, x, y)
+    assert np.isfinite(loss) and all(np.isfinite(v).all() for v in g.values())
+    logs = attention.Scorer(attention.initial(40, 9), far.astype(np.float32)).log_probabilities(
+        x.ravel(), y.ravel(), np.full(n, attention.WINDOW))
+    assert np.isfinite(logs).all()
+
+
+def test_windows_are_made_for_the_chosen_only():
+    counts = np.arange(1, 31)
+    classes = lm.Classes(counts)
+    b = lm.Slice([1, 2, 3], np.array([True, False, True]), np.array([70, 50, 200]), np.arange(320) % 29)
+    x, y, real, draw = lm._windows(b, 29, classes)
+    some = np.array([4, 0, 7])
+    for got, all_ in zip(lm._windows(b, 29, classes, lambda d: some), (x, y, real, draw)):
+        assert (got == all_[some]).all()
