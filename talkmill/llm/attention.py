@@ -55,6 +55,10 @@ _LAG = np.maximum(_LAG, 0)
 PART = 256
 
 
+#: Added to the scores of places that may not be seen; its exp is 0.
+NEVER = -1e30
+
+
 def _exp(scores: np.ndarray) -> np.ndarray:
     """exp in place of scores held to +-LIMIT: no row overflows or sums to
     nothing, so no row maximum is needed."""
@@ -75,6 +79,28 @@ def _exp_sums(o: np.ndarray, logits: Callable[[], None]) -> np.ndarray:
     return total
 
 
+def _attend(q: np.ndarray, turned: np.ndarray, v: np.ndarray, far: np.ndarray, seen: np.ndarray,
+            a: np.ndarray, z: np.ndarray, edges: Callable[[], None] = lambda: None) -> None:
+    """Write the undivided weights of windows to ``a`` and their sums of ``v``
+    to ``z``, whose last column holds the sums of the weights. ``far``: by
+    place and place seen, ``seen``: which may be; ``edges`` takes more out of
+    ``a``. Scores are held to +-LIMIT only where a sum says that it matters."""
+    np.matmul(q, turned, out=a)
+    a += np.where(seen, far, far.dtype.type(NEVER))
+    with np.errstate(over="ignore", invalid="ignore"):
+        np.exp(a, out=a)
+        edges()
+        np.matmul(a, v, out=z)
+    total = z[..., -1]
+    if not (np.exp(-LIMIT) < total.min() and total.max() < np.exp(LIMIT)):
+        np.matmul(q, turned, out=a)
+        a += far
+        _exp(a)
+        a *= seen.astype(a.dtype)
+        edges()
+        np.matmul(a, v, out=z)
+
+
 def _parts(t: np.ndarray) -> np.ndarray:
     """A view of ``t`` in blocks of PART rows, whose products are faster than
     one of all rows."""
@@ -86,6 +112,13 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.matmul(_parts(a).transpose(0, 2, 1), _parts(b)).sum(axis=0)
 
 
+def _wide(column: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """``column`` in every column of ``out``; rows multiplied with it as they
+    lie cost less than with a column."""
+    np.copyto(out, column[:, None])
+    return out
+
+
 def _turned(t: np.ndarray, out: np.ndarray) -> np.ndarray:
     """``t`` (or each matrix of it) transposed, in the array ``out``."""
     np.copyto(out, t.swapaxes(-1, -2))
@@ -117,39 +150,38 @@ def gradients(p: Parameters, prior: np.ndarray, x: np.ndarray, y: np.ndarray,
     gradients. ``real``: the tokens at the start of each window that count
     (None: all); what pads a window behind them has no effect.
 
-    Matrices with the same rows are multiplied together (a token's row holds
-    its embedding, what it has seen and a 1), and transposed ones are laid out
-    anew before a product, which costs less than the product as they are."""
+    Matrices with the same rows are multiplied together, and transposed ones
+    are laid out anew before a product, which costs less than the product as
+    they are."""
     kind, shape, inputs = p["embed"].dtype, x.shape, len(p["embed"])
     n = x.size if real is None else int(real.sum())
     padded = None if n == x.size else np.flatnonzero(np.arange(shape[1])[None, :] >= real[:, None])
-    classes, goal = x.ravel(), y.ravel()
+    classes, goal = x.ravel().astype(np.intp, copy=False), y.ravel()
     space = space or Space()
     buffer = lambda name, *size: space.get(name, size, kind)
     tokens, outputs, length = len(classes), len(p["bias"]), shape[1]
     windowed = lambda t: t.reshape(*shape, -1)
     scale = kind.type(1 / np.sqrt(WIDTH))
     w_qkv = np.concatenate([p["q"] * scale, p["k"], p["v"]], axis=1)
-    w_hidden = np.concatenate([p["own"], p["seen"], p["hidden"][None]])
+    minus = np.append(np.full(WIDTH, -1, kind), kind.type(0))
+    w_seen = np.concatenate([p["seen"], p["hidden"][None]])
     turned = lambda name, t: _turned(t, buffer(name, *t.shape[:-2], t.shape[-1], t.shape[-2]))
 
-    row = np.take(np.concatenate([p["embed"], np.zeros((inputs, WIDTH + 1), kind)], axis=1), classes, axis=0,
-                  out=buffer("row", tokens, 2 * WIDTH + 1), mode="clip")
-    e = row[:, :WIDTH]
+    e = np.take(p["embed"], classes, axis=0, out=buffer("e", tokens, WIDTH), mode="clip")
     qkv = buffer("qkv", tokens, 3 * WIDTH + 1)
     np.matmul(_parts(e), w_qkv, out=_parts(qkv)[:, :, :-1])
     qkv[:, -1] = 1
     of_q, of_k, of_v = slice(WIDTH), slice(WIDTH, 2 * WIDTH), slice(2 * WIDTH, None)
     q, k, v = (windowed(qkv)[:, :, part] for part in (of_q, of_k, of_v))
-    a = np.matmul(q, turned("k", k), out=buffer("a", len(x), length, length))
-    a += p["far"][_LAG]
-    _exp(a)
-    a *= _PAST.astype(kind)
-    z = np.matmul(a, v, out=buffer("z", *shape, WIDTH + 1)).reshape(-1, WIDTH + 1)
-    over_a = 1 / z[:, WIDTH:]  # a itself stays undivided
-    np.divide(z, z[:, WIDTH:], out=row[:, WIDTH:])
-    h = buffer("h", tokens, HIDDEN)
-    np.matmul(_parts(row), w_hidden, out=_parts(h))
+    a, z = buffer("a", len(x), length, length), buffer("z", *shape, WIDTH + 1)
+    _attend(q, turned("k", k), v, p["far"][_LAG], _PAST, a, z)
+    z = z.reshape(-1, WIDTH + 1)
+    over_a = _wide(1 / z[:, WIDTH], buffer("over_a", *z.shape))  # a itself stays undivided
+    z *= over_a  # and ends with a 1
+    h, own = buffer("h", tokens, HIDDEN), buffer("own", tokens, HIDDEN)
+    np.matmul(_parts(z), w_seen, out=_parts(h))
+    np.matmul(_parts(e), p["own"], out=_parts(own))
+    h += own
     np.maximum(h, 0, out=h)
     o, start = buffer("o", tokens, outputs), np.add(prior, p["bias"], out=buffer("start", *prior.shape))
 
@@ -165,7 +197,7 @@ def gradients(p: Parameters, prior: np.ndarray, x: np.ndarray, y: np.ndarray,
         share[padded], logs[padded] = 0, 0
     loss = float(-logs.sum() / n)
 
-    o *= share[:, None]
+    o *= _wide(share, buffer("prior", tokens, outputs))
     counted = np.full(len(o), 1 / n, kind)
     if padded is not None:
         counted[padded] = 0
@@ -174,17 +206,17 @@ def gradients(p: Parameters, prior: np.ndarray, x: np.ndarray, y: np.ndarray,
     d_pre = buffer("d_pre", tokens, HIDDEN)
     np.matmul(_parts(o), turned("w_out", p["out"]), out=_parts(d_pre))
     np.multiply(d_pre, h > 0, out=d_pre)
-    g_hidden = _product(row, d_pre)
-    g["own"], g["seen"], g["hidden"] = g_hidden[:WIDTH], g_hidden[WIDTH:-1], g_hidden[-1]
-    d_row = buffer("d_row", tokens, 2 * WIDTH)
-    np.matmul(_parts(d_pre), turned("w_hidden", w_hidden[:-1]), out=_parts(d_row))
+    g["own"], g_seen = _product(e, d_pre), _product(z, d_pre)
+    g["seen"], g["hidden"] = g_seen[:-1], g_seen[-1]
     d_z = buffer("d_z", tokens, WIDTH + 1)
-    np.multiply(d_row[:, WIDTH:], over_a, out=d_z[:, :WIDTH])
-    d_z[:, WIDTH] = -np.einsum("ij,ij->i", d_z[:, :WIDTH], row[:, WIDTH:-1])  # meets the ones behind v
+    np.matmul(_parts(d_pre), turned("w_seen", w_seen), out=_parts(d_z))
+    d_z *= over_a
+    z *= d_z
+    d_z[:, WIDTH] = z @ minus  # meets the ones behind v
     d_z = windowed(d_z)
     d_s = np.matmul(d_z, turned("v", v), out=buffer("d_s", len(x), length, length))
     d_s *= a
-    g["far"] = np.bincount(_LAG.ravel(), d_s.sum(axis=0).ravel(), minlength=WINDOW).astype(kind)
+    g["far"] = np.bincount(_LAG.ravel(), np.ones(len(x), kind) @ d_s.reshape(len(x), -1), minlength=WINDOW).astype(kind)
     d_qkv = buffer("d_qkv", tokens, 3 * WIDTH)
     np.matmul(d_s, k, out=windowed(d_qkv)[:, :, of_q])
     np.matmul(d_s.transpose(0, 2, 1), q, out=windowed(d_qkv)[:, :, of_k])
@@ -193,10 +225,11 @@ def gradients(p: Parameters, prior: np.ndarray, x: np.ndarray, y: np.ndarray,
     g["q"], g["k"], g["v"] = g_qkv[:, of_q] * scale, g_qkv[:, of_k], g_qkv[:, of_v]
     d_e = buffer("d_e", tokens, WIDTH)
     np.matmul(_parts(d_qkv), turned("w_qkv", w_qkv), out=_parts(d_e))
-    d_e += d_row[:, :WIDTH]
-    cells = np.take(np.arange(inputs * WIDTH).reshape(inputs, WIDTH), classes, axis=0,
-                    out=space.get("cells", (tokens, WIDTH), np.dtype(int)), mode="clip")
-    g["embed"] = np.bincount(cells.ravel(), d_e.ravel(), minlength=p["embed"].size).reshape(-1, WIDTH).astype(kind)
+    np.matmul(_parts(d_pre), turned("w_own", p["own"]), out=_parts(e))
+    d_e += e
+    cells = np.add(classes[:, None] * WIDTH, np.arange(WIDTH), out=space.get("cells", (tokens, WIDTH), np.dtype(int)))
+    g["embed"] = np.zeros((inputs, WIDTH), kind)
+    np.add.at(g["embed"].reshape(-1), cells.reshape(-1), d_e.reshape(-1))
     return loss, g
 
 
@@ -242,8 +275,7 @@ class Scorer:
         self.own, self.p = e @ p["own"] + p["hidden"], p
         lag = HALF + np.arange(HALF)[:, None] - np.arange(WINDOW)[None, :]
         self.far = p["far"][np.maximum(lag, 0)]
-        self.seen = (lag >= 0).astype(np.float32)
-        self.seen_first = self.seen * (np.arange(WINDOW) >= HALF)
+        self.seen = lag >= 0
         self.space = Space()
 
     def log_probabilities(self, x: np.ndarray, y: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -269,16 +301,17 @@ class Scorer:
             k, v = (_windows(np.take(t, around, axis=0, out=buffer(name, len(around), t.shape[1]), mode="clip"), n)
                     for name, t in (("k", self.k), ("v", self.v)))
             q = np.take(self.q, own, axis=0, out=buffer("q", n, HALF, WIDTH), mode="clip")
-            s = np.matmul(q, _turned(k, buffer("turned", n, WIDTH, WINDOW)), out=buffer("s", n, HALF, WINDOW))
-            s += self.far
-            _exp(s)
-            s *= self.seen
-            begin = starts[part]
-            s[begin] *= self.seen_first
-            z = np.matmul(s, v, out=buffer("z", n, HALF, WIDTH + 1)).reshape(-1, WIDTH + 1)
-            z = np.divide(z[:, :WIDTH], z[:, WIDTH:], out=buffer("seen", n * HALF, WIDTH))
+            s, z = buffer("s", n, HALF, WINDOW), buffer("z", n, HALF, WIDTH + 1)
+            begin = np.flatnonzero(starts[part])
+
+            def edges() -> None:
+                s[begin, :, :HALF] = 0  # a text's first block sees nothing before it
+
+            _attend(q, _turned(k, buffer("turned", n, WIDTH, WINDOW)), v, self.far, self.seen, s, z, edges)
+            z = z.reshape(-1, WIDTH + 1)
+            z *= _wide(1 / z[:, WIDTH], buffer("over", *z.shape))
             h = buffer("h", n * HALF, HIDDEN)
-            np.matmul(_parts(z), self.p["seen"], out=_parts(h))
+            np.matmul(_parts(z)[:, :, :WIDTH], self.p["seen"], out=_parts(h))
             h += np.take(self.own, classes, axis=0, out=buffer("own", n * HALF, HIDDEN), mode="clip")
             np.maximum(h, 0, out=h)
             o = buffer("o", n * HALF, self.prior.shape[1])

@@ -39,6 +39,9 @@ class BytePairEncoder:
                        for p, i in spec["model"]["vocab"].items() if p not in special}
         #: Bytes of every id, the special ones included.
         self.bytes_of = self.pieces | {i: p.encode() for p, i in special.items()}
+        self.lengths = np.zeros(max(self.bytes_of) + 1, np.int64)
+        for i, p in self.bytes_of.items():
+            self.lengths[i] = len(p)
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         merged = [spec["model"]["vocab"][a + b] for a, b in merges]
         if merged != sorted(merged):

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from talkmill.llm import attention, lm
+from talkmill.llm.common import word_hashes
+from talkmill.llm.subwords import BytePairEncoder
 
 
 @pytest.fixture(scope="module")
@@ -249,3 +251,69 @@ def test_windows_are_made_for_the_chosen_only():
     some = np.array([4, 0, 7])
     for got, all_ in zip(lm._windows(b, 29, classes, lambda d: some), (x, y, real, draw)):
         assert (got == all_[some]).all()
+
+
+def _odd_texts(n):
+    rng = np.random.default_rng(n)
+    bits = [" ", " ", " ", "  ", "\n", "\t", "\r\n", " ", " ", "　", "\x85", "\x1c", "\x7f", "a", "B", "don't", "'s", "12", "é",
+            "ß", "中", "文", "à", "😀", "<|endoftext|>", "<|endof", "text|>", ".", "!?", "_", " ever", " after", " one", "one"]
+    return [None if rng.random() < 0.05 else "".join(rng.choice(bits, int(rng.choice([0, 1, 2, 5, 40])))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("n", [1, 40, 400])
+def test_units_give_the_ids_and_words_of_whole_texts(bpe, n, monkeypatch):
+    """Only distinct units between texts' cuts are encoded."""
+    encoder, asked = BytePairEncoder.of(bpe), []
+    monkeypatch.setattr(encoder, "encode", lambda t, own=encoder.encode: asked.append(len(t)) or own(t))
+    morse = "a"
+    for _ in range(11):  # equal sums of powers
+        morse += morse.translate(str.maketrans("ab", "ba"))
+    texts = _odd_texts(n) + ["again and again and again " * 50] * 20 + [morse, morse.translate(str.maketrans("ab", "ba"))]
+    offsets = np.concatenate([[0], np.cumsum([len((t or "").encode()) for t in texts])])
+    data = np.frombuffer("".join(t or "" for t in texts).encode(), np.uint8)
+    ids, sizes, keys, places, lengths = lm._tokenised(data, offsets, encoder)
+    assert sum(asked) < len(data) - 20_000
+    want = [encoder.encode(t or "") for t in texts]
+    assert ids.tolist() == np.concatenate(want).tolist() and sizes.tolist() == [len(x) for x in want]
+    words, at = word_hashes(data, offsets)
+    assert (keys[places] == words).all() and (np.diff(keys.astype(object)) > 0).all()
+    assert lengths.tolist() == np.diff(at).tolist()
+    empty = lm._tokenised(data[:0], np.zeros(4, np.int64), encoder)
+    assert [len(x) for x in empty] == [0, 3, 0, 0, 3]
+
+
+def test_ids_are_not_shuffled_and_words_not_hashed_again(odd_docs, bpe, monkeypatch):
+    """By block only the words' places and a few numbers a document meet."""
+    out = lm.score(odd_docs, "doc_id", "text", F.col("doc_id") % 3 != 2, bpe)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) == 2
+    for side in plan.split("Join")[1:]:
+        assert "ids#" not in side.splitlines()[1]
+    assert any("Project" in line and "ids#" in line for line in plan.splitlines())
+
+
+def test_windows_of_few_and_of_many_documents_are_the_same():
+    """A window doesn't depend on the texts around it, its padding included."""
+    counts = np.arange(1, 31)
+    classes, rng = lm.Classes(counts), np.random.default_rng(2)
+    sizes = np.array([0, 70, 31, 32, 5, 64, 1])
+    parts = [rng.integers(0, 29, n) for n in sizes]
+    trains = np.array([True, True, False, True, True, True, True])
+    whole = lm._windows(lm.Slice(list(range(7)), trains, sizes, np.concatenate(parts)), 29, classes)
+    ones = [lm._windows(lm.Slice([i], trains[i:i + 1], sizes[i:i + 1], parts[i]), 29, classes) for i in range(7)]
+    for got, want in zip(whole, zip(*ones)):
+        assert (got == np.concatenate(want)).all()
+
+
+def test_pairs_are_found_however_full_their_buckets_are(monkeypatch):
+    rng = np.random.default_rng(7)
+    counts = np.append(rng.integers(1, 50, 60), 30)
+    classes, columns = lm.Classes(counts), 62
+    keys = np.sort(rng.choice(lm.INPUTS * columns, 3000, replace=False))
+    keys = keys[keys % columns < columns - 1]  # what was never seen is in no pair
+    times = rng.integers(1, 100, len(keys))
+    row, column = (t.ravel() for t in np.meshgrid(np.arange(lm.INPUTS), np.arange(columns)))
+    want = lm.PairTable(counts, classes, keys, times).log10(row, column)
+    monkeypatch.setattr(lm.PairTable, "_bucket", lambda self, key: (key % np.uint32(2)))
+    assert (lm.PairTable(counts, classes, keys, times).log10(row, column) == want).all()
