@@ -11,10 +11,13 @@
    the signatures and then the full sets. A hub that has been compared with
    all members leaves the bucket, and buckets whose members are already
    connected are finished.
-4. What is left of buckets of up to ``BUCKET_ROWS`` members is compared
-   within a task, skipping members that are already connected; larger ones
-   go through step 3 again. So no pair of a bucket is lost, no group is
-   written out in pairs, and work shrinks as soon as a group hangs together.
+4. What is left of a bucket is compared within a task, in one pass over all
+   buckets, skipping members that are already connected and pairs that an
+   earlier band brings together. A bucket of more than ``BUCKET_ROWS`` members
+   or ``BUCKET_SHINGLES`` shingles is cut into blocks, and each pair of blocks
+   is a task; blocks that lie wholly in the bucket's largest group do not meet
+   each other. So no pair of a bucket is lost and no group is written out in
+   pairs.
 5. Components of the confirmed links, by alternating large-star and
    small-star.
 
@@ -27,12 +30,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkmill.llm.common import among, mix64, sliced, word_hashes, written
+from talkmill.llm.common import among, mix64, sliced, text_bytes, word_hashes, written
 from talkmill.llm.components import connected_components
 
 WORDS = 5
@@ -41,7 +43,12 @@ ROWS = 5
 #: Signatures may fall this far below the threshold (7 standard errors)
 #: before the full sets are no longer compared.
 SLACK = 0.25
+#: Members and shingles of a block, of which a task compares two at most.
 BUCKET_ROWS = 2000
+BUCKET_SHINGLES = 1 << 21
+#: Members of a small task, and bits of the sets of a large one in memory.
+_FEW = 64
+_BITS_AT_ONCE = 1 << 28
 _SHINGLES_AT_ONCE = 1 << 16
 
 _RNG = np.random.default_rng(7)
@@ -128,9 +135,10 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, at = shingles(data, offsets)
         minima = signatures(h, at)
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc").cast(pa.int64()), pa.array([m.tobytes() for m in minima], pa.binary()),
+            [part.column("doc").cast(pa.int64()), pa.array(np.diff(at)),
+             pa.array([m.tobytes() for m in minima], pa.binary()),
              pa.array([h[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())],
-            names=["doc", "minima", "shingles"])
+            names=["doc", "n", "minima", "shingles"])
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -164,35 +172,141 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .mapInArrow(check, "u long, v long")
 
 
-def _within_buckets(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between members of a bucket that are not yet connected."""
+def _tasks(rest: DataFrame, bucket_rows: int, bucket_shingles: int) -> DataFrame:
+    """(key, a, b, side, doc, group, n, small): the members of open buckets in
+    the tasks that compare them, given (key, doc, group, n). Task (a, b) of a
+    bucket compares its block a with its block b (side 0 and 1), or a block
+    with itself. The largest group of a bucket has blocks of its own where it
+    fills more than one; two of them never meet."""
+
+    def blocks(rows: str, shingles: str) -> Column:
+        by_size = F.least(F.col(rows), F.ceil(F.col(shingles) / bucket_shingles))
+        return F.greatest(F.ceil(F.col(rows) / bucket_rows), by_size)
+
+    groups = rest.groupBy("key", "group").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
+    buckets = groups.groupBy("key").agg(
+        F.count(F.lit(1)).alias("groups"), F.sum("c").alias("c"), F.sum("n").alias("n"),
+        F.max(F.struct("c", "n", "group")).alias("main")).where("groups > 1")
+    small = (F.col("c") <= F.least(F.lit(_FEW), F.lit(bucket_rows))) & (F.col("n") <= bucket_shingles // _FEW)
+    parted = blocks("main.c", "main.n") > 1
+    buckets = buckets.select(
+        "key", small.alias("small"), F.when(parted, F.col("main.group")).alias("main"),
+        F.when(parted, blocks("main.c", "main.n")).otherwise(0).alias("n_main"),
+        F.when(parted, F.col("c") - F.col("main.c")).otherwise(F.col("c")).alias("c"),
+        F.when(parted, F.col("n") - F.col("main.n")).otherwise(F.col("n")).alias("n"))
+    buckets = buckets.select("key", "small", "main", "n_main", blocks("c", "n").alias("n_rest"))
+    in_main = F.coalesce(F.col("group") == F.col("main"), F.lit(False))
+    hashed = F.xxhash64("doc")
+    block = F.when(in_main, F.col("n_rest") + F.pmod(hashed, "n_main")).otherwise(F.pmod(hashed, "n_rest"))
+    last = F.when(in_main, F.col("n_rest")).otherwise(F.col("n_rest") + F.col("n_main")) - 1
+    placed = rest.join(buckets, "key").select(
+        "key", "doc", "group", "n", "small", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("other"))
+    return placed.select("key", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"),
+                         (F.col("block") > F.col("other")).cast("int").alias("side"), "doc", "group", "n", "small")
+
+
+class _Sets:
+    """The sets of a task's members, to count what some of them share with
+    one of them."""
+
+    def __init__(self, hashes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        row = np.repeat(np.arange(len(size)), size)
+        at = np.arange(len(row)) + np.repeat(begin - np.cumsum(size) + size, size)
+        flat, times = np.unique(hashes[at], return_inverse=True, return_counts=True)[1:]
+        shared = times > 1  # what only one has, no two share
+        width = max(1, -(-int(shared.sum()) // 64)) * 64
+        self.size, self.begin, self.bits = size, np.cumsum(size) - size, None
+        if len(size) * width <= _BITS_AT_ONCE:
+            place, some = np.cumsum(shared) - 1, shared[flat]
+            row, column = row[some], place[flat[some]]
+            self.bits = np.empty((len(size), width // 64), np.uint64)
+            for start in range(0, len(size), 256):
+                a, b = np.searchsorted(row, [start, start + 256])
+                dense = np.zeros((len(self.bits[start:start + 256]), width), bool)
+                dense[row[a:b] - start, column[a:b]] = True
+                self.bits[start:start + 256] = np.packbits(dense, axis=1).view(np.uint64)
+        else:
+            self.flat, self.mine = flat.astype(np.int32), np.zeros(len(times), bool)
+
+    def shared_with(self, i: int, others: np.ndarray) -> np.ndarray:
+        if self.bits is not None:
+            return np.bitwise_count(self.bits[others] & self.bits[i]).sum(axis=1, dtype=np.int64)
+        own, size = self.flat[self.begin[i]:self.begin[i] + self.size[i]], self.size[others]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1]) + np.repeat(self.begin[others] - ends + size, size)
+        self.mine[own] = True
+        both = np.add.reduceat(self.mine[self.flat[at]], ends - size, dtype=np.int64)
+        self.mine[own] = False
+        return both
+
+
+def _links_of_tasks(table: pa.Table, percent: int) -> pa.Table:
+    """Links between members of each task that are not yet connected; a pair
+    that shares an earlier band is left to that band's bucket."""
     least = (percent / 100 - SLACK) * BANDS * ROWS
-
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("doc").reset_index(drop=True)
-        minima = np.stack([np.frombuffer(m, np.uint32) for m in rows["minima"]])
-        full = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
-        size = np.array([len(s) for s in full])
-        begin = np.cumsum(size) - size
-        flat = np.unique(np.concatenate(full), return_inverse=True)[1].astype(np.int32)
-        mine = np.zeros(flat.max() + 1, bool)
-        group, docs, found = rows["group"].to_numpy().copy(), rows["doc"].to_numpy(), []
-        for i in range(len(rows)):
-            others = np.flatnonzero(group[i + 1:] != group[i]) + i + 1
-            near = others[(minima[others] == minima[i]).sum(axis=1) >= least]
-            if not len(near):
-                continue
-            own = flat[begin[i]:begin[i] + size[i]]
-            mine[own] = True
-            both = np.add.reduceat(mine[flat], begin, dtype=np.int64)[near]  # of all members at once
-            mine[own] = False
-            for j in near[100 * both >= percent * (size[i] + size[near] - both)]:
-                if group[j] != group[i]:
-                    found.append((docs[i], docs[j]))
-                    group[group == group[j]] = group[i]
-        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
-
-    return members.join(sets, "doc").groupBy("key").applyInPandas(solve, "u long, v long")
+    key, a, b, side, doc, group = (table.column(c).to_numpy() for c in ("key", "a", "b", "side", "doc", "group"))
+    order = np.lexsort((doc, side, b, a, key))
+    key, a, b, side, doc, group = (x[order] for x in (key, a, b, side, doc, group))
+    minima = text_bytes(table.column("minima"))[0].view(np.uint32).reshape(-1, BANDS * ROWS)[order]
+    bands = band_keys(minima).view(np.int64)
+    data, at = text_bytes(table.column("shingles"))
+    hashes, begin, size = data.view(np.uint64), at[:-1][order] // 8, np.diff(at)[order] // 8
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    cuts, found = np.append(np.flatnonzero(new), len(key)), []
+
+    def few(lo: int, hi: int, earlier: np.ndarray) -> None:
+        x, y = (lo + i for i in np.triu_indices(hi - lo, 1))
+        open_ = (group[x] != group[y]) & (100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y]))
+        if a[lo] != b[lo]:
+            open_ &= side[x] != side[y]
+        x, y = x[open_], y[open_]
+        alone = ~(earlier[x - lo] == earlier[y - lo]).any(axis=1)
+        x, y = x[alone], y[alone]
+        near = (minima[x] == minima[y]).sum(axis=1) >= least
+        for i, j in zip(x[near].tolist(), y[near].tolist()):
+            if group[i] != group[j] and linked(
+                    hashes[begin[i]:begin[i] + size[i]], hashes[begin[j]:begin[j] + size[j]], percent):
+                join(lo, hi, i, j)
+
+    def many(lo: int, hi: int, earlier: np.ndarray) -> None:
+        ranks = np.empty(earlier.shape[::-1], np.uint32)
+        for band, row in enumerate(ranks):
+            row[:] = np.unique(earlier[:, band], return_inverse=True)[1]
+        sets = _Sets(hashes, begin[lo:hi], size[lo:hi])
+        first = lo + int((side[lo:hi] == 0).sum())
+        for i in range(lo, first):
+            start = first if a[lo] != b[lo] else i + 1
+            open_ = (group[start:hi] != group[i]) & ~(ranks[:, start - lo:] == ranks[:, i - lo, None]).any(axis=0)
+            near = np.flatnonzero(open_) + start
+            near = near[100 * np.minimum(size[near], size[i]) >= percent * np.maximum(size[near], size[i])]
+            near = near[(minima[near] == minima[i]).sum(axis=1) >= least]
+            if len(near):
+                both = sets.shared_with(i - lo, near - lo)
+                for j in near[100 * both >= percent * (size[i] + size[near] - both)]:
+                    if group[j] != group[i]:
+                        join(lo, hi, i, j)
+
+    def join(lo: int, hi: int, i: int, j: int) -> None:
+        found.append((doc[i], doc[j]))
+        here = group[lo:hi]
+        here[here == group[j]] = group[i]
+
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        band = np.flatnonzero((bands[lo:hi] == key[lo]).any(axis=0))
+        (few if hi - lo <= _FEW else many)(lo, hi, bands[lo:hi, :band[0] if len(band) else 0])
+    u, v = np.array(found, np.int64).reshape(-1, 2).T
+    return pa.table({"u": u, "v": v})
+
+
+def _within_buckets(tasks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members of the tasks that are not yet connected. Small
+    tasks go to Python some at once, the others one by one."""
+    rows, shingles = tasks.where("small").agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    bins = 1 + max(rows // BUCKET_ROWS, shingles // BUCKET_SHINGLES)
+    at_once = F.when(F.col("small"), F.pmod(F.xxhash64("key"), F.lit(bins))).otherwise(F.xxhash64("key", "a", "b"))
+    return tasks.withColumn("at_once", at_once).drop("small", "n").join(sets.drop("n"), "doc") \
+        .groupBy("at_once").applyInArrow(lambda table: _links_of_tasks(table, percent), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str, text_col: str, percent: int = 80,
@@ -221,7 +335,8 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, percent: int =
     members = written(leaders.join(shared, "key"), "minhash-members")
     wanted = written(members.select("doc").distinct(), "minhash-wanted")
     sets = written(among(texts, wanted, "doc").mapInArrow(
-        _full_sets, "doc long, minima binary, shingles binary").dropDuplicates(["doc", "shingles"]), "minhash-sets")
+        _full_sets, "doc long, n long, minima binary, shingles binary").where("n > 0")
+        .dropDuplicates(["doc", "shingles"]), "minhash-sets")
     links = _empty(docs, "u long, v long")
     group = members.select("doc", F.col("doc").alias("group")).distinct().limit(0)
 
@@ -229,7 +344,7 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, percent: int =
         return m.join(group, "doc", "left").select(
             "key", "doc", F.coalesce("group", "doc").alias("group"))
 
-    while not members.isEmpty():
+    if not members.isEmpty():
         hubs = members.groupBy("key").agg(F.min("doc").alias("hub"))
         for first in (True, False):  # the smallest hub of each document first, then the others where need be
             of_hub = group.select(F.col("doc").alias("hub"), F.col("group").alias("hub_group"))
@@ -241,14 +356,11 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, percent: int =
             if not pairs.isEmpty():
                 links, group = _merge(links, _confirmed(pairs, sets, percent))
         rest = members.join(hubs, (members["key"] == hubs["key"]) & (members["doc"] == hubs["hub"]), "left_anti")
-        rest = written(grouped(rest), "minhash-rest")
-        open_ = rest.groupBy("key").agg(F.min("group").alias("a"), F.max("group").alias("b"),
-                                        F.count(F.lit(1)).alias("c")).where("a < b")
-        rest = written(rest.join(open_.select("key", "c"), "key"), "minhash-rest")
-        small = rest.where(F.col("c") <= bucket_rows).drop("c")
-        if not small.isEmpty():
-            links, group = _merge(links, _within_buckets(small, sets, percent))
-        members = rest.where(F.col("c") > bucket_rows).select("key", "doc")
+        sizes = sets.groupBy("doc").agg(F.sum("n").alias("n"))
+        rest = written(grouped(rest).join(sizes, "doc"), "minhash-rest")
+        tasks = written(_tasks(rest, bucket_rows, BUCKET_SHINGLES), "minhash-tasks")
+        if not tasks.isEmpty():
+            links, group = _merge(links, _within_buckets(tasks, sets, percent))
 
     ends = group.select("doc", F.col("group").alias("component"))
     known = classes.join(ends, "doc", "left").select(*same, F.coalesce("component", "doc").alias("component"))

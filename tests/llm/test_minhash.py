@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from talkmill.llm import common, minhash
@@ -125,3 +126,71 @@ def test_few_of_the_other_rows_are_joined(spark):
     marked, hit = common._perhaps(spark.range(200_000).withColumnRenamed("id", "doc"), ids, "doc")
     hits = {r["doc"] for r in marked.where(hit).select("doc").collect()}
     assert set(range(0, 200_000, 10)) <= hits and len(hits) < 20_000 + 0.08 * 180_000
+
+
+def _groups(spark, docs, percent=85, **kw):
+    out = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", percent, **kw)
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out.collect()}
+
+
+def test_passes_do_not_grow_with_a_bucket(spark, monkeypatch):
+    merges, merge = [], minhash._merge
+    monkeypatch.setattr(minhash, "_merge", lambda *a: merges.append(1) or merge(*a))
+    docs = _corpus(((90, 4), (40, 3)))  # much of a group is alike, but below the threshold
+    assert _groups(spark, docs, bucket_rows=6) == brute(docs, 85)
+    assert len(merges) <= 3
+
+
+@pytest.mark.parametrize("few,bits", [(0, 1 << 28), (0, 0), (1000, 0)])
+def test_all_ways_of_comparing_a_task_agree(spark, monkeypatch, few, bits):
+    monkeypatch.setattr(minhash, "_FEW", few)
+    monkeypatch.setattr(minhash, "_BITS_AT_ONCE", bits)
+    texts = _family(random.Random(4), [f"w{i % 97}" for i in range(150)], 70, 4)
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    h, at = shingles(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
+    minima = minhash.signatures(h, at)
+    keys = minhash.band_keys(minima).view(np.int64)
+    sets = [set(h[a:b].tolist()) for a, b in zip(at, at[1:])]
+    alike = {(i, j) for i in range(70) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])}
+
+    def compared(a, b, side, docs):
+        rows = [(int(keys[d, band]), a, b, side(d), d, d, minima[d].tobytes(), h[at[d]:at[d + 1]].tobytes())
+                for band in range(minhash.BANDS) for d in docs]
+        links = minhash._links_of_tasks(pa.table(dict(zip(
+            ("key", "a", "b", "side", "doc", "group", "minima", "shingles"), map(list, zip(*rows))))), 85)
+        return {(max(p), min(p)) for p in zip(links["u"].to_pylist(), links["v"].to_pylist())}
+
+    def reached(links):
+        parent = list(range(70))
+        for i, j in sorted(links):
+            parent = [min(parent[i], parent[j]) if p in (parent[i], parent[j]) else p for p in parent]
+        return parent
+
+    whole = compared(0, 0, lambda d: 0, range(70))
+    assert whole <= alike and reached(whole) == reached(alike) and len(alike) > 20
+    halves = compared(0, 1, lambda d: d % 2, range(70))
+    across = {(i, j) for i, j in alike if (i - j) % 2}
+    assert halves <= across and reached(halves) == reached(across)
+
+
+def test_blocks_of_a_bucket_meet(spark):
+    rows = [(1, d, d if d % 3 else 0, 10) for d in range(60)] + [(2, d, 7, 10) for d in range(9)] \
+        + [(3, d, d, 2) for d in range(4)] + [(4, d, d, 900) for d in range(3)]
+    tasks = minhash._tasks(spark.createDataFrame(rows, "key long, doc long, group long, n long"), 8, 1000).collect()
+    met = defaultdict(set)
+    for r in tasks:
+        met[r["key"], r["a"], r["b"]].add((r["side"], r["doc"]))
+    pairs = Counter((k, *sorted((x, y))) for (k, a, b), m in met.items() for s, x in m for t, y in m
+                    if (s, x) < (t, y) and (s != t or a == b))
+    groups = {(k, d): g for k, d, g, _ in rows}
+    want = {(k, x, y) for k, x, g, _ in rows for l, y, f, _ in rows if k == l and x < y and g != f}
+    assert want <= set(pairs) and max(pairs.values()) == 1 and 2 not in {k for k, _, _ in met}
+    assert all(len(m) < 40 for m in met.values()) and {r["small"] for r in tasks if r["key"] == 3} == {True}
+    main = [p for p in pairs if groups[p[:2]] == groups[p[0], p[2]]]
+    assert not main  # the largest group's blocks do not meet
+
+
+def test_an_id_with_an_empty_text_too(spark):
+    docs = _corpus(((20, 4),))
+    docs += [(d, t) for d, _ in docs[:30] for t in ("", None)]
+    assert len(_groups(spark, docs)) == len({d for d, _ in docs})
