@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkmill.llm.common import among, mix64, sliced, text_bytes, word_hashes, written
+from talkmill.llm.common import among, mix64, release_memory, sliced, text_bytes, word_hashes, written
 from talkmill.llm.components import connected_components
 
 WORDS = 5
@@ -167,6 +167,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 good.append(bool(same >= least and linked(
                     np.frombuffer(su.as_buffer(), np.uint64), np.frombuffer(sv.as_buffer(), np.uint64), percent)))
             yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
+        release_memory()
 
     return pairs.join(left, "u").join(right, "v").select("u", "v", "mu", "mv", "su", "sv") \
         .mapInArrow(check, "u long, v long")
@@ -305,8 +306,15 @@ def _within_buckets(tasks: DataFrame, sets: DataFrame, percent: int) -> DataFram
     rows, shingles = tasks.where("small").agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     bins = 1 + max(rows // BUCKET_ROWS, shingles // BUCKET_SHINGLES)
     at_once = F.when(F.col("small"), F.pmod(F.xxhash64("key"), F.lit(bins))).otherwise(F.xxhash64("key", "a", "b"))
+
+    def solve(table: pa.Table) -> pa.Table:
+        found = _links_of_tasks(table, percent)
+        del table
+        release_memory()  # the worker may wait idle beside those of later stages
+        return found
+
     return tasks.withColumn("at_once", at_once).drop("small", "n").join(sets.drop("n"), "doc") \
-        .groupBy("at_once").applyInArrow(lambda table: _links_of_tasks(table, percent), "u long, v long")
+        .groupBy("at_once").applyInArrow(solve, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str, text_col: str, percent: int = 80,

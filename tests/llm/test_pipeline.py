@@ -1,10 +1,12 @@
 import random
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
+from talkmill.llm import minhash
 from talkmill.llm.queries import QUERIES
 
 
@@ -46,6 +48,28 @@ def test_stages_take_effect(spark, corpus):
     assert sum(r["length"] for r in pieces) == sum({r["doc_id"]: r["doc_tokens"] for r in pieces}.values())
 
 
+def test_near_dedup_of_a_large_group_takes_few_passes(spark, monkeypatch):
+    merges, merge = [], minhash._merge
+    monkeypatch.setattr(minhash, "_merge", lambda *a: merges.append(1) or merge(*a))
+    monkeypatch.setattr(corpus_pipeline, "near_duplicates", partial(minhash.near_duplicates, bucket_rows=6))
+    rng, base, words = random.Random(1), [f"w{i}" for i in range(200)], []
+    for n in [0, 1, *range(2, 62)]:  # the first two are alike, the others far from each other and from those
+        words.append(base[:])
+        for k in range(n if n < 2 else 7):
+            words[-1][rng.randrange(200)] = f"edit{n}x{k}"
+    docs = [(i, " ".join(w), "en", "s0", 9) for i, w in enumerate(words)]
+    out = corpus_pipeline.drop_near_duplicates(
+        spark, spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long"), "")
+    left = {r["doc_id"] for r in out.collect()}
+    sets = [{tuple(w[i:i + 5]) for i in range(196)} for w in words]
+    near = [{j for j in range(62) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])} for i in range(62)]
+    least = list(range(62))
+    for _ in range(62):
+        least = [min(least[j] for j in near[i]) for i in range(62)]
+    assert left == {i for i in range(62) if least[i] == i} and 5 < len(left) < 62
+    assert len(merges) <= 3
+
+
 def test_texts_of_kept_documents_are_not_shuffled(spark, corpus):
     docs = spark.read.parquet(f"{corpus[0]}/documents.parquet")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
